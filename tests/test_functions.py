@@ -1,0 +1,101 @@
+"""Scalar expressions: calendar attributes, cleansing rules, safe math."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.functions import cleaning
+from tillroll.functions.arithmetic import profit_margin, unit_price
+from tillroll.functions.calendar import calendar_columns
+from tillroll.rules import SilverRules
+from tillroll.schemas import DIM_DATE_COLUMNS
+
+
+def test_calendar_columns_of_known_dates(spark):
+    df = spark.createDataFrame([(dt.date(2016, 1, 1),), (dt.date(2016, 7, 3),), (dt.date(2016, 12, 5),)], "d date")
+    rows = {r.full_date: r for r in df.select(*calendar_columns(F.col("d"))).collect()}
+    jan1 = rows[dt.date(2016, 1, 1)]
+    assert jan1.date_key == 20160101
+    assert jan1.quarter_name == "Q1" and jan1.month_name == "January" and jan1.month_short == "Jan"
+    assert jan1.month_year_label == "Jan 2016"
+    assert jan1.week_of_year == 53          # ISO week, although the year is 2016
+    assert jan1.day_of_week == 6 and jan1.day_name == "Friday" and jan1.day_short == "Fri"
+    assert (jan1.is_weekend, jan1.is_business_day, jan1.season) == (0, 1, "Winter")
+    sun = rows[dt.date(2016, 7, 3)]
+    assert (sun.day_of_week, sun.is_weekend, sun.is_business_day, sun.season) == (1, 1, 0, "Summer")
+    assert rows[dt.date(2016, 12, 5)].season == "Winter"
+    assert list(df.select(*calendar_columns(F.col("d"))).columns) == DIM_DATE_COLUMNS
+
+
+@pytest.mark.parametrize("mode,days,expected", [
+    ("null", 0, "Same Day"), ("0", 1, "Same Day"), ("0", -3, "Same Day"),
+    ("null", 2, "Unknown"), ("0", 3, "Standard Class"), ("0", 7, "Standard Class"),
+    ("null", 8, "Unknown"), ("First Class", 0, "First Class"), (None, 0, None),
+])
+def test_ship_mode_repair(spark, mode, days, expected):
+    order = dt.date(2000, 1, 10)
+    df = spark.createDataFrame([(mode, order, order + dt.timedelta(days=days))], "m string, o date, s date")
+    got = df.select(cleaning.ship_mode(F.col("m"), F.col("o"), F.col("s"), SilverRules()).alias("x")).first().x
+    assert got == expected
+
+
+def test_ship_mode_null_duration_is_unknown(spark):
+    df = spark.createDataFrame([("0", dt.date(2000, 1, 1), None)], "m string, o date, s date")
+    got = df.select(cleaning.ship_mode(F.col("m"), F.col("o"), F.col("s"), SilverRules()).alias("x")).first().x
+    assert got == "Unknown"
+
+
+def test_null_ship_mode_repaired_only_when_asked(spark):
+    df = spark.createDataFrame([(None, dt.date(2000, 1, 1), dt.date(2000, 1, 1))], "m string, o date, s date")
+    strict = SilverRules(treat_null_as_invalid=True)
+    got = df.select(cleaning.ship_mode(F.col("m"), F.col("o"), F.col("s"), strict).alias("x")).first().x
+    assert got == "Same Day"
+
+
+def test_product_name_single_replace_pass(spark):
+    rules = SilverRules()
+    df = spark.createDataFrame([("P-1", "a  b"), ("P-2", "a   b"), ("OFF-AP-10002684", "x")], "id string, n string")
+    got = [r.x for r in df.select(cleaning.product_name(F.col("id"), F.col("n"), rules).alias("x")).collect()]
+    assert got[0] == "a b"
+    assert got[1] == "a  b"           # three spaces become two (one pass)
+    assert got[2].startswith("Acco 7-Outlet") and "Wihtout" in got[2]
+
+
+def test_country_and_postal_rules(spark):
+    rules = SilverRules()
+    df = spark.createDataFrame([("123", "Burlington", "Vermont", "99999"), ("US", "Burlington", "Iowa", None)],
+                               "c string, city string, state string, p string")
+    out = df.select(cleaning.country_region(F.col("c"), rules).alias("c"),
+                    cleaning.postal_code(F.col("city"), F.col("state"), F.col("p"), rules).alias("p")).collect()
+    assert (out[0].c, out[0].p) == ("United States", "05401")   # overwritten even when present
+    assert (out[1].c, out[1].p) == ("US", None)
+
+
+def test_order_date_override(spark):
+    rules = SilverRules()
+    df = spark.createDataFrame([("CA-2016-153927", dt.date(2016, 1, 1)), ("X", dt.date(2016, 1, 1))], "id string, d date")
+    got = [r.x for r in df.select(cleaning.order_date(F.col("id"), F.col("d"), rules).alias("x")).collect()]
+    assert got == [dt.date(2016, 8, 12), dt.date(2016, 1, 1)]
+
+
+def test_discount_narrowing_rounds_half_up_and_overflows(spark):
+    df = spark.createDataFrame([(Decimal("0.1250"),), (Decimal("-0.1250"),)], "d decimal(5,4)")
+    got = [r.x for r in df.select(cleaning.narrow_discount(F.col("d")).alias("x")).collect()]
+    assert got == [Decimal("0.13"), Decimal("-0.13")]
+    bad = spark.createDataFrame([(Decimal("9.9960"),)], "d decimal(5,4)")
+    with pytest.raises(Exception):
+        bad.select(cleaning.narrow_discount(F.col("d"))).collect()
+
+
+def test_safe_divisions(spark):
+    df = spark.createDataFrame([(Decimal("10.0000"), 0, Decimal("1.0000")), (Decimal("0.0000"), 3, Decimal("1.0000")),
+                                (Decimal("1.0001"), 2, Decimal("-0.3333"))],
+                               "s decimal(10,4), q int, p decimal(10,4)")
+    out = df.select(unit_price(F.col("s"), F.col("q")).alias("u"), profit_margin(F.col("p"), F.col("s")).alias("m")).collect()
+    assert out[0].u is None and out[1].m is None
+    assert out[2].u == Decimal("0.5001")          # 0.50005 rounds half up
+    assert out[2].m == Decimal("-0.3333")

@@ -20,6 +20,7 @@ import datetime as dt
 import logging
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,7 @@ class Warehouse:
     steps: list = field(default_factory=list)
     warnings: list = field(default_factory=list)
     quarantine: DataFrame | None = None
+    stage_seconds: dict = field(default_factory=dict)
 
     def step_results(self, spark: SparkSession) -> DataFrame:
         """One row per step (bounded by the number of steps)."""
@@ -75,11 +77,15 @@ class _Runner:
         self.on_error = on_error
         self.steps: list[StepResult] = []
         self.failed: set[str] = set()
+        self.order: list[str] = []
+        self.stage_seconds: dict[str, float] = {}
 
     def persist(self, layer: str, name: str, df: DataFrame, **kw) -> tuple[DataFrame, dict]:
         path = f"{self.run_dir}/{layer}/{name}"
         metrics = write_table(df, path, **kw)
-        return self.spark.read.parquet(path), metrics
+        # Read back with the written schema: an empty partitioned table has
+        # no files to infer it from.
+        return self.spark.read.schema(df.schema).parquet(path), metrics
 
     def step(self, name: str, fn, depends_on=()):
         if any(d in self.failed for d in depends_on):
@@ -100,6 +106,36 @@ class _Runner:
         log.info("step %s: %s rows", name, rows)
         return result
 
+    def group(self, stage: str, steps: list) -> list:
+        start = time.perf_counter()
+        try:
+            return self._group(steps)
+        finally:
+            self.stage_seconds[stage] = time.perf_counter() - start
+
+    def _group(self, steps: list) -> list:
+        """Run independent steps concurrently (each is its own Spark job).
+
+        Small jobs -- dimensions, side tables -- leave most of a cluster idle
+        when run one after another; submitted together they share it.
+        """
+        self.order.extend(name for name, _, _ in steps)
+        if len(steps) == 1:
+            name, fn, deps = steps[0]
+            return [self.step(name, fn, deps)]
+        with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+            futures = [pool.submit(self.step, name, fn, deps) for name, fn, deps in steps]
+            errors, results = [], []
+            for fut in futures:
+                try:
+                    results.append(fut.result())
+                except Exception as exc:
+                    errors.append(exc)
+                    results.append(None)
+        if errors:
+            raise errors[0]
+        return results
+
 
 def run_pipeline(
     spark: SparkSession,
@@ -129,22 +165,27 @@ def run_pipeline(
     wh = Warehouse(root=run_dir, bronze={}, silver={}, gold=None)
 
     # -- bronze: land the inputs with their declared types (S7) ---------------
-    for name, df in bronze.items():
-        def land(name=name, df=df):
+    def land(name, df):
+        def run():
             out, m = runner.persist("bronze", name, df)
             return out, m["rows"]
-        wh.bronze[name] = runner.step(f"bronze.{name}", land)
+        return run
+    landed = runner.group("bronze", [(f"bronze.{n}", land(n, df), ()) for n, df in bronze.items()])
+    wh.bronze = dict(zip(bronze, landed))
 
     # -- silver (R1) -------------------------------------------------------------
     silver_rows: dict[str, int] = {}
     if all(wh.bronze.get(n) is not None for n in ("orders", "people", "returns_order")):
         built = silver_plan.build_silver(wh.bronze, rules)
-        for name, df in built.items():
-            def clean(name=name, df=df):
+
+        def clean(name, df):
+            def run():
                 out, m = runner.persist("silver", name, df)
                 silver_rows[name] = m["rows"]
                 return out, m["rows"]
-            wh.silver[name] = runner.step(f"silver.{name}", clean, depends_on=[f"bronze.{name}"])
+            return run
+        cleaned = runner.group("silver", [(f"silver.{n}", clean(n, df), [f"bronze.{n}"]) for n, df in built.items()])
+        wh.silver = dict(zip(built, cleaned))
 
     # -- gold dimensions (R2) ------------------------------------------------------
     rows: dict[str, int] = {"dim_date": gold_plan.date_range_days(start, end)}
@@ -156,13 +197,10 @@ def run_pipeline(
         out, m = runner.persist("gold", "dim_date", gold_plan.dim_date(spark, start, end))
         rows["dim_date"] = m["rows"]
         return out, m["rows"]
-    dim_date_df = runner.step("gold.dim_date", build_date)
-
     silver_orders = wh.silver.get("orders")
-    for name in gold_plan.DIMENSION_NAMES:
-        source = "silver.people" if name == "dim_sales_person" else "silver.orders"
 
-        def build_dim(name=name):
+    def build_dim(name):
+        def run():
             if name == "dim_sales_person":
                 df = gold_plan.dim_sales_person(wh.silver["people"])
             else:
@@ -170,7 +208,14 @@ def run_pipeline(
             out, m = runner.persist("gold", name, df)
             rows[name] = m["rows"]
             return out, m["rows"]
-        dims[name] = runner.step(f"gold.{name}", build_dim, depends_on=[source])
+        return run
+    dim_steps = [("gold.dim_date", build_date, ())]
+    for name in gold_plan.DIMENSION_NAMES:
+        source = "silver.people" if name == "dim_sales_person" else "silver.orders"
+        dim_steps.append((f"gold.{name}", build_dim(name), [source]))
+    built_dims = runner.group("gold_dims", dim_steps)
+    dim_date_df = built_dims[0]
+    dims.update(zip(gold_plan.DIMENSION_NAMES, built_dims[1:]))
 
     # -- gold fact, checked before it is published (Q1/Q2, G3) ---------------------
     fact_deps = ["silver.orders", "silver.returns_order", "gold.dim_date",
@@ -198,7 +243,7 @@ def run_pipeline(
             return out, good["rows"]
         rows["fact_sales"] = m["rows"]
         return out, m["rows"]
-    fact = runner.step("gold.fact_sales", build_fact, depends_on=fact_deps)
+    fact = runner.group("gold_fact", [("gold.fact_sales", build_fact, fact_deps)])[0]
 
     if fact is not None:
         wh.gold = Gold(dim_date=dim_date_df, fact_sales=fact, rows=rows, **dims)
@@ -207,5 +252,6 @@ def run_pipeline(
                 register_view(df, f"gold_{name}")
             for name, view in VIEWS.items():
                 register_view(view(wh.gold), f"gold_{name}")
-    wh.steps = runner.steps
+    wh.stage_seconds = dict(runner.stage_seconds)
+    wh.steps = sorted(runner.steps, key=lambda r: runner.order.index(r.step))
     return wh
