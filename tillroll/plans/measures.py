@@ -48,29 +48,51 @@ MEASURE_NAMES = [
 ]
 
 
-def _measure_exprs(numeric: str, horizon: float, order_rule: str,
-                   on_time_max_days: int) -> dict[str, Column]:
-    as_num = (lambda c: c.cast("double")) if numeric == "double" else (lambda c: c)
-    sales = as_num(F.sum("sales"))
-    profit = as_num(F.sum("profit"))
-    orders = F.countDistinct("order_id")
-    customers = F.countDistinct("customer_id")
-    returned = F.countDistinct(F.when(F.col("is_returned") == 1, F.col("order_id")))
-    if order_rule == "all":
-        late = F.countDistinct(F.when(~F.coalesce(F.col("days_to_ship") <= on_time_max_days, F.lit(False)),
-                                      F.col("order_id")))
-        on_time = orders - late
-    else:
-        on_time = F.countDistinct(F.when(F.col("days_to_ship") <= on_time_max_days, F.col("order_id")))
+def _order_level(f: DataFrame, by: Sequence[str], on_time_max_days: int) -> DataFrame:
+    """Level 1: one row per (group, order) with additive partial sums.
 
-    def ratio(num: Column, den: Column, exact: bool) -> Column:
+    Every order-based distinct count becomes a count or sum of these rows.
+    The aggregate is partial on the map side, so a group or an order
+    holding a third of all rows shrinks to one row per task before the
+    shuffle.
+    """
+    on_time = F.coalesce((F.col("days_to_ship") <= on_time_max_days).cast("int"), F.lit(0))
+    return f.groupBy(*by, "order_id").agg(
+        F.sum("sales").alias("_sales"),
+        F.sum("profit").alias("_profit"),
+        F.sum("quantity").alias("_quantity"),
+        F.sum("unit_price").alias("_unit_price_sum"), F.count("unit_price").alias("_unit_price_n"),
+        F.sum("days_to_ship").alias("_days_sum"), F.count("days_to_ship").alias("_days_n"),
+        F.sum("discount").alias("_discount_sum"), F.count("discount").alias("_discount_n"),
+        F.sum(F.col("is_returned").cast("int")).alias("_returned_lines"),
+        F.max(F.col("is_returned").cast("int")).alias("_returned_any"),
+        F.max(on_time).alias("_on_time_any"),
+        F.min(on_time).alias("_on_time_all"),
+    )
+
+
+def _final_exprs(numeric: str, horizon: float, order_rule: str) -> dict[str, Column]:
+    """Level 2: the fifteen measures over the unioned level-1 rows."""
+    as_num = (lambda c: c.cast("double")) if numeric == "double" else (lambda c: c)
+    is_order = F.col("order_id").isNotNull()
+    sales = as_num(F.sum("_sales"))
+    profit = as_num(F.sum("_profit"))
+    orders = F.count("order_id")                                   # distinct orders
+    customers = F.count("_customer_id")                            # distinct customers
+    returned = F.sum(F.when(is_order, F.col("_returned_any"))).cast("long")
+    on_time = F.sum(F.when(is_order, F.col("_on_time_all" if order_rule == "all" else "_on_time_any"))).cast("long")
+
+    def zero_if_null(c: Column) -> Column:
+        return F.coalesce(c, F.lit(0).cast("long"))
+
+    def ratio(num: Column, den: Column) -> Column:
         out = num / F.nullif(den, F.lit(0))
-        return out.cast(RESULT_DECIMAL) if exact and numeric != "double" else out
+        return out if numeric == "double" else out.cast(RESULT_DECIMAL)
 
-    def mean(name: str) -> Column:
+    def mean(total: str, n: str) -> Column:
         if numeric == "double":
-            return F.sum(name).cast("double") / F.nullif(F.count(name), F.lit(0))
-        return (F.sum(name) / F.nullif(F.count(name), F.lit(0))).cast(RESULT_DECIMAL)
+            return F.sum(total).cast("double") / F.nullif(F.sum(n), F.lit(0))
+        return (F.sum(total) / F.nullif(F.sum(n), F.lit(0))).cast(RESULT_DECIMAL)
 
     if numeric == "double":
         clv = profit / F.nullif(customers, F.lit(0)) * F.lit(float(horizon))
@@ -80,20 +102,20 @@ def _measure_exprs(numeric: str, horizon: float, order_rule: str,
     return {
         "total_sales": sales,                                                   # M1
         "total_profit": profit,                                                 # M2
-        "profit_margin": ratio(profit, sales, True),                            # M3
+        "profit_margin": ratio(profit, sales),                                  # M3
         "total_orders": orders,                                                 # M4
         "total_customers": customers,                                           # M5
-        "total_returned": returned,                                             # M6
+        "total_returned": zero_if_null(returned),                               # M6
         "clv": clv,                                                             # M7
-        "return_rate": returned / F.nullif(orders, F.lit(0)),                   # M8
-        "average_order_value": ratio(sales, orders, True),                      # M9
-        "average_unit_price": mean("unit_price"),                               # M10
-        "average_shipping_days": F.sum("days_to_ship").cast("double")
-                                 / F.nullif(F.count("days_to_ship"), F.lit(0)),  # M11
-        "total_quantity": F.sum("quantity").cast("long"),                       # M12
-        "average_discount": mean("discount"),                                   # M13
-        "on_time_delivery_pct": on_time / F.nullif(orders, F.lit(0)),           # M14
-        "total_returned_orders": F.sum(F.col("is_returned").cast("int")).cast("long"),  # M15
+        "return_rate": zero_if_null(returned) / F.nullif(orders, F.lit(0)),     # M8
+        "average_order_value": ratio(sales, orders),                            # M9
+        "average_unit_price": mean("_unit_price_sum", "_unit_price_n"),         # M10
+        "average_shipping_days": F.sum("_days_sum").cast("double")
+                                 / F.nullif(F.sum("_days_n"), F.lit(0)),        # M11
+        "total_quantity": F.sum("_quantity").cast("long"),                      # M12
+        "average_discount": mean("_discount_sum", "_discount_n"),               # M13
+        "on_time_delivery_pct": zero_if_null(on_time) / F.nullif(orders, F.lit(0)),  # M14
+        "total_returned_orders": F.sum("_returned_lines").cast("long"),         # M15
     }
 
 
@@ -126,17 +148,33 @@ def measures(gold: Gold, by: Sequence[str] = (), where: str | Column | None = No
     ``filter_attributes``; ``horizon`` is the CLV extrapolation factor
     (unspecified by the source, default 1); ``order_rule`` says whether an
     order is on time when any (default) or all of its lines are.
+
+    Plan: the four distinct counts (orders, customers, returned orders,
+    on-time orders) are not written as COUNT(DISTINCT ...), which Spark
+    would evaluate by expanding every row once per distinct expression.
+    Instead the filtered fact is aggregated per (group, order) and, when
+    customers are asked for, per (group, customer); the two row sets are
+    unioned and one aggregate counts and sums them.  No row is expanded,
+    no distinct is planned, and every stage aggregates partially before
+    its shuffle.
     """
     names = list(names or MEASURE_NAMES)
-    exprs = _measure_exprs(numeric, horizon, order_rule, on_time_max_days)
+    exprs = _final_exprs(numeric, horizon, order_rule)
     unknown = [n for n in names if n not in exprs]
     if unknown:
         raise ValueError(f"unknown measures: {unknown}")
-    attributes = list(by) + list(filter_attributes)
-    if "total_customers" in names or "clv" in names:
-        attributes.append("customer_id")
-    f = enriched_fact(gold, attributes, date_role)
+    by = list(by)
+    f = enriched_fact(gold, by + list(filter_attributes), date_role)
     if where is not None:
         f = f.filter(where)
+    level = _order_level(f, by, on_time_max_days).withColumn("_customer_id", F.lit(None).cast("string"))
+    if "total_customers" in names or "clv" in names:
+        # Distinct customers per group: aggregate by surrogate key first,
+        # map keys to customer ids (one row per group and key), dedupe ids.
+        per_key = f.select(*by, "customer_key").distinct()
+        dim = gold.dim_customer.select("customer_key", "customer_id")
+        ids = lookup(per_key, dim, ["customer_key"], "inner", gold.rows.get("dim_customer"))
+        per_customer = ids.select(*by, F.col("customer_id").alias("_customer_id")).distinct()
+        level = level.unionByName(per_customer, allowMissingColumns=True)
     aggs = [exprs[n].alias(n) for n in names]
-    return f.groupBy(*by).agg(*aggs) if by else f.agg(*aggs)
+    return level.groupBy(*by).agg(*aggs) if by else level.agg(*aggs)

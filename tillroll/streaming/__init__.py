@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The warehouse being rebuilt has no streams, watermarks, event-time windows
+or incremental state: every run is a full, repeatable rebuild of all layers
+(see :mod:`tillroll.plans.pipeline`).  Nothing here is needed to reproduce
+its results, so no streaming operator is provided.
+"""
