@@ -205,3 +205,16 @@ def test_rebuild_is_idempotent(spark, tmp_root):
         cols = [c for c in df.columns if c not in ("fact_key", "dw_load_date")]
         other = b.gold.tables()[name].select(*cols)
         assert df.select(*cols).exceptAll(other).count() == 0 and other.exceptAll(df.select(*cols)).count() == 0, name
+
+
+def test_collation_makes_keys_case_and_trailing_blank_insensitive(spark, tmp_root):
+    rows = [order_row(1, ship_mode="NULL ", order_date=D(1998, 1, 10), ship_date=D(1998, 1, 10)),
+            order_row(2, order_id="O-2", customer_id="c-1 ")]
+    binary = run_pipeline(spark, bronze_frames(spark, rows), root=tmp_root, date_range=RANGE)
+    folded = run_pipeline(spark, bronze_frames(spark, rows), root=tmp_root, date_range=RANGE,
+                          collation="UTF8_LCASE_RTRIM")
+    assert binary.gold.dim_customer.count() == 2 and folded.gold.dim_customer.count() == 1
+    modes = {r.ship_mode for r in folded.silver["orders"].collect()}
+    assert "Same Day" in modes                                   # 'NULL ' counts as 'null'
+    assert "NULL " in {r.ship_mode for r in binary.silver["orders"].collect()}
+    assert folded.gold.fact_sales.count() == 2

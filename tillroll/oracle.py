@@ -15,6 +15,7 @@ Spark's decimal division and cast do.
 
 from __future__ import annotations
 
+from tillroll.schemas import BRONZE_ORDERS, TEXT_LENGTHS
 from tillroll.sources.adapter import FIXTURE_DATE_RANGE, FIXTURE_RULES
 
 _R = FIXTURE_RULES
@@ -379,4 +380,33 @@ def oracle_sql() -> dict[str, str]:
                              for name, cte in counts))
     order = ", ".join(f"{c} NULLS FIRST" for c in SUMMARY_ORDER)
     q["top_n_summary"] = with_ctes(["fact_sales"], f"SELECT * FROM ({SALES_SUMMARY}) ORDER BY {order} LIMIT 10")
+    keys = [("dim_date", "date_key"), ("dim_customer", "customer_key"), ("dim_product", "product_key"),
+            ("dim_location", "location_key"), ("dim_ship_mode", "ship_mode_key"),
+            ("dim_sales_person", "sales_person_key")]
+    q["dq_key_uniqueness"] = with_ctes([t for t, _ in keys], "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS key_column, COUNT(*) AS n_duplicate_keys "
+        f"FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING COUNT(*) > 1)" for t, k in keys))
+    q["dq_text_lengths"] = with_ctes(["bronze_orders"], "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, {n} AS max_length, "
+        f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_too_long FROM bronze_orders"
+        for c, n in TEXT_LENGTHS["orders"].items()))
+    prof = []
+    for f in BRONZE_ORDERS.fields:
+        dtype = "decimal(3,2)" if f.name == "discount" else f.dataType.simpleString()
+        prof.append(f"SELECT '{f.name}' AS column_name, '{dtype}' AS data_type, "
+                    f"COUNT(*) FILTER (WHERE {f.name} IS NULL) AS n_nulls, "
+                    f"CAST(MIN({f.name}) AS VARCHAR) AS min_value, CAST(MAX({f.name}) AS VARCHAR) AS max_value, "
+                    f"COUNT(*) AS n_rows FROM silver_orders")
+    q["profile_silver_orders"] = with_ctes(["silver_orders"], "\nUNION ALL\n".join(prof))
+    q["measures_filtered"] = _measures_sql(
+        "sm.ship_mode,", "WHERE l.region = 'ASIA' GROUP BY sm.ship_mode",
+        "LEFT JOIN dim_location l ON f.location_key = l.location_key "
+        "LEFT JOIN dim_ship_mode sm ON f.ship_mode_key = sm.ship_mode_key")
+    q["dim_customer_first"] = with_ctes(["silver_orders"], """SELECT CAST(row_number() OVER (
+      ORDER BY customer_id NULLS FIRST, customer_name NULLS FIRST, segment NULLS FIRST) AS BIGINT) AS customer_key,
+    customer_id, customer_name, segment
+  FROM (SELECT customer_id, customer_name, segment, row_number() OVER (
+          PARTITION BY customer_id ORDER BY customer_name NULLS FIRST, segment NULLS FIRST) AS rn
+        FROM (SELECT DISTINCT customer_id, customer_name, segment FROM silver_orders))
+  WHERE rn = 1""")
     return q

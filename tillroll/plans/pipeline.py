@@ -149,6 +149,7 @@ def run_pipeline(
     register_views: bool = True,
     broadcast_limit: int | None = None,
     run_id: str | None = None,
+    collation: str | None = None,
 ) -> Warehouse:
     """Run every layer; see the module docstring for the guarantees.
 
@@ -156,6 +157,8 @@ def run_pipeline(
     missing, 'warn' records a warning, 'quarantine' sets those rows aside in
     ``gold/fact_sales_quarantine``.  ``on_error``: 'fail' stops at the first
     failing step, 'continue' records it and skips its dependants.
+    ``collation`` (e.g. 'UTF8_LCASE_RTRIM') makes every text comparison of
+    silver and gold follow it, as a case-insensitive server collation would.
     """
     root = (root or default_root(spark)).rstrip("/")
     run_id = run_id or f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -176,7 +179,7 @@ def run_pipeline(
     # -- silver (R1) -------------------------------------------------------------
     silver_rows: dict[str, int] = {}
     if all(wh.bronze.get(n) is not None for n in ("orders", "people", "returns_order")):
-        built = silver_plan.build_silver(wh.bronze, rules)
+        built = silver_plan.build_silver(wh.bronze, rules, collation=collation)
 
         def clean(name, df):
             def run():

@@ -24,7 +24,9 @@ from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
 from tillroll.plans.measures import measures
 from tillroll.plans.pipeline import Warehouse, run_pipeline
-from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS
+from tillroll.plans.gold import dimension
+from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
+from tillroll.sources.profile import profile
 from tillroll.sources.adapter import FIXTURE_DATE_RANGE, FIXTURE_RULES, bronze_tables
 
 _LOCK = threading.Lock()
@@ -163,6 +165,40 @@ def q_top_n_summary(spark, sf_dir, n: int = 10):
     return summary.orderBy(*[F.col(c).asc_nulls_first() for c in SUMMARY_ORDER]).limit(n)
 
 
+def q_dq_key_uniqueness(spark, sf_dir):
+    """Q3: per gold table, the number of primary-key values used more than once."""
+    gold = warehouse_for(spark, sf_dir).gold
+    keys = {"dim_date": "date_key", **{n: s["key"] for n, s in DIMENSIONS.items()}}
+    parts = [quality.duplicate_keys(getattr(gold, n), [k]).agg(F.count(F.lit(1)).alias("n_duplicate_keys"))
+               .select(F.lit(n).alias("table_name"), F.lit(k).alias("key_column"), "n_duplicate_keys")
+             for n, k in keys.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def q_dq_text_lengths(spark, sf_dir):
+    """Q5: landing values longer than their declared VARCHAR length."""
+    return quality.text_length_violations(warehouse_for(spark, sf_dir).bronze["orders"], TEXT_LENGTHS["orders"])
+
+
+def q_profile_silver_orders(spark, sf_dir):
+    """Per column type, NULLs, min and max of the cleaned orders."""
+    return profile(_silver_orders(warehouse_for(spark, sf_dir)))
+
+
+def q_measures_filtered(spark, sf_dir):
+    """Measures under a report filter on an attribute not grouped by."""
+    return measures(warehouse_for(spark, sf_dir).gold, by=["ship_mode"], where=F.col("region") == "ASIA",
+                    filter_attributes=["region"], numeric="double")
+
+
+def q_dim_customer_first(spark, sf_dir):
+    """G4 option: one customer row per customer_id (lowest name, then segment)."""
+    return dimension(_silver_orders(warehouse_for(spark, sf_dir)), "dim_customer", dedupe="first")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "bronze_orders": q_bronze_orders,
@@ -186,6 +222,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_duplicate_natural_keys": q_dq_duplicate_natural_keys,
         "row_counts": q_row_counts,
         "top_n_summary": q_top_n_summary,
+        "dq_key_uniqueness": q_dq_key_uniqueness,
+        "dq_text_lengths": q_dq_text_lengths,
+        "profile_silver_orders": q_profile_silver_orders,
+        "measures_filtered": q_measures_filtered,
+        "dim_customer_first": q_dim_customer_first,
     })
     return q
 

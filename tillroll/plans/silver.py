@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import cleaning
 from tillroll.operators.dedup import drop_exact_duplicates, first_per_key
@@ -20,6 +21,22 @@ from tillroll.rules import SilverRules
 from tillroll.schemas import ORDERS_DEDUP_COLUMNS
 
 
+def collated(df: DataFrame, collation: str | None) -> DataFrame:
+    """Give every text column a collation (e.g. ``UTF8_LCASE_RTRIM``).
+
+    The original store compared text under its server's collation --
+    usually case-insensitive with trailing blanks ignored -- in every
+    DISTINCT, PARTITION BY, join and IN test.  With a collation on the
+    columns, the same Spark plans compare that way; the collated type is
+    kept in the written layers, so gold joins inherit it.
+    """
+    if not collation:
+        return df
+    return df.select(*[
+        F.collate(F.col(f.name), collation).alias(f.name) if isinstance(f.dataType, T.StringType)
+        else F.col(f.name) for f in df.schema.fields])
+
+
 def dedup_orders(bronze_orders: DataFrame, count_as: str | None = None) -> DataFrame:
     """One row per distinct 20-column tuple, lowest row_id kept."""
     return drop_exact_duplicates(bronze_orders, ORDERS_DEDUP_COLUMNS, "row_id", count_as=count_as)
@@ -54,30 +71,34 @@ def clean_order_columns(rules: SilverRules) -> list:
 
 
 def silver_orders(bronze_orders: DataFrame, rules: SilverRules | None = None,
-                  load_stamp: bool = True) -> DataFrame:
+                  load_stamp: bool = True, collation: str | None = None) -> DataFrame:
     rules = rules or SilverRules()
     cols = clean_order_columns(rules)
     if load_stamp:
         cols.append(F.current_timestamp().alias("dw_load_date"))  # P7
-    return dedup_orders(bronze_orders).select(*cols)
+    return dedup_orders(collated(bronze_orders, collation)).select(*cols)
 
 
-def silver_people(bronze_people: DataFrame, load_stamp: bool = True) -> DataFrame:
+def silver_people(bronze_people: DataFrame, load_stamp: bool = True,
+                  collation: str | None = None) -> DataFrame:
     """One row per person, the lowest region (NULL first)."""
-    out = first_per_key(bronze_people.select("person_name", "region"), ["person_name"], "region")
+    people = collated(bronze_people.select("person_name", "region"), collation)
+    out = first_per_key(people, ["person_name"], "region")
     return out.withColumn("dw_load_date", F.current_timestamp()) if load_stamp else out
 
 
-def silver_returns(bronze_returns: DataFrame, load_stamp: bool = True) -> DataFrame:
+def silver_returns(bronze_returns: DataFrame, load_stamp: bool = True,
+                   collation: str | None = None) -> DataFrame:
     """One row per returned order, the lowest ``returned`` value (NULL first)."""
-    out = first_per_key(bronze_returns.select("returned", "order_id"), ["order_id"], "returned")
+    returns = collated(bronze_returns.select("returned", "order_id"), collation)
+    out = first_per_key(returns, ["order_id"], "returned")
     return out.withColumn("dw_load_date", F.current_timestamp()) if load_stamp else out
 
 
 def build_silver(bronze: dict[str, DataFrame], rules: SilverRules | None = None,
-                 load_stamp: bool = True) -> dict[str, DataFrame]:
+                 load_stamp: bool = True, collation: str | None = None) -> dict[str, DataFrame]:
     return {
-        "orders": silver_orders(bronze["orders"], rules, load_stamp),
-        "people": silver_people(bronze["people"], load_stamp),
-        "returns_order": silver_returns(bronze["returns_order"], load_stamp),
+        "orders": silver_orders(bronze["orders"], rules, load_stamp, collation),
+        "people": silver_people(bronze["people"], load_stamp, collation),
+        "returns_order": silver_returns(bronze["returns_order"], load_stamp, collation),
     }
