@@ -218,3 +218,16 @@ def test_collation_makes_keys_case_and_trailing_blank_insensitive(spark, tmp_roo
     assert "Same Day" in modes                                   # 'NULL ' counts as 'null'
     assert "NULL " in {r.ship_mode for r in binary.silver["orders"].collect()}
     assert folded.gold.fact_sales.count() == 2
+
+
+def test_publish_and_reopen(spark, tmp_root):
+    from tillroll.plans.pipeline import open_published
+    first = run_pipeline(spark, bronze_frames(spark, [order_row(1)]), root=tmp_root, date_range=RANGE, publish=True)
+    second = run_pipeline(spark, bronze_frames(spark, [order_row(1), order_row(2, order_id="O-2")]),
+                          root=tmp_root, date_range=RANGE, publish=True)
+    with pytest.raises(DataQualityError):   # a failing run does not replace the published one
+        run_pipeline(spark, _order_only(spark, postal_code=None), root=tmp_root, date_range=RANGE, publish=True)
+    gold = open_published(spark, tmp_root)
+    assert first.root != second.root
+    assert gold.fact_sales.count() == 2 and gold.rows["fact_sales"] == 2
+    assert views.monthly_trends(gold).count() == 1

@@ -28,6 +28,21 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+# Rows per range partition when numbering; a partition is sorted in one task.
+ROWS_PER_KEY_PARTITION = 2_000_000
+
+
+def partitions_for(df: DataFrame, upper_bound_rows: int | None) -> int | None:
+    """Range partitions for numbering at most ``upper_bound_rows`` rows.
+
+    Between 1 and ``spark.sql.shuffle.partitions``; None when no bound is known.
+    """
+    if upper_bound_rows is None:
+        return None
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, -(-upper_bound_rows // ROWS_PER_KEY_PARTITION)))
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)

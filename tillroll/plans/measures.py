@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.arithmetic import RESULT_DECIMAL
-from tillroll.operators.lookup import lookup
+from tillroll.operators.lookup import fits_broadcast, lookup
 from tillroll.plans.gold import Gold
 from tillroll.rules import ON_TIME_MAX_DAYS
 
@@ -171,9 +171,15 @@ def measures(gold: Gold, by: Sequence[str] = (), where: str | Column | None = No
     if "total_customers" in names or "clv" in names:
         # Distinct customers per group: aggregate by surrogate key first,
         # map keys to customer ids (one row per group and key), dedupe ids.
-        per_key = f.select(*by, "customer_key").distinct()
         dim = gold.dim_customer.select("customer_key", "customer_id")
-        ids = lookup(per_key, dim, ["customer_key"], "inner", gold.rows.get("dim_customer"))
+        dim_rows = gold.rows.get("dim_customer")
+        if fits_broadcast(dim, dim_rows):
+            # Small dimension: map-side lookup, then one distinct.
+            ids = lookup(f.select(*by, "customer_key"), dim, ["customer_key"], "inner", dim_rows)
+        else:
+            # Large dimension: shrink the fact to (group, key) before the join.
+            per_key = f.select(*by, "customer_key").distinct()
+            ids = lookup(per_key, dim, ["customer_key"], "inner", dim_rows)
         per_customer = ids.select(*by, F.col("customer_id").alias("_customer_id")).distinct()
         level = level.unionByName(per_customer, allowMissingColumns=True)
     aggs = [exprs[n].alias(n) for n in names]

@@ -17,6 +17,7 @@ the cluster names.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import time
 import uuid
@@ -26,6 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.keys import partitions_for
 from tillroll.operators.quality import DataQualityError, any_null, null_count_columns
 from tillroll.plans import gold as gold_plan
 from tillroll.plans import silver as silver_plan
@@ -150,6 +152,7 @@ def run_pipeline(
     broadcast_limit: int | None = None,
     run_id: str | None = None,
     collation: str | None = None,
+    publish: bool = False,
 ) -> Warehouse:
     """Run every layer; see the module docstring for the guarantees.
 
@@ -159,6 +162,7 @@ def run_pipeline(
     failing step, 'continue' records it and skips its dependants.
     ``collation`` (e.g. 'UTF8_LCASE_RTRIM') makes every text comparison of
     silver and gold follow it, as a case-insensitive server collation would.
+    ``publish`` points ``<root>/_published`` at this run once it succeeded.
     """
     root = (root or default_root(spark)).rstrip("/")
     run_id = run_id or f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -204,10 +208,13 @@ def run_pipeline(
 
     def build_dim(name):
         def run():
+            # The source's proven row count bounds the dimension's size.
             if name == "dim_sales_person":
-                df = gold_plan.dim_sales_person(wh.silver["people"])
+                parts = partitions_for(wh.silver["people"], silver_rows.get("people"))
+                df = gold_plan.dim_sales_person(wh.silver["people"], parts)
             else:
-                df = gold_plan.dimension(silver_orders, name, dedupe)
+                parts = partitions_for(silver_orders, silver_rows.get("orders"))
+                df = gold_plan.dimension(silver_orders, name, dedupe, parts)
             out, m = runner.persist("gold", name, df)
             rows[name] = m["rows"]
             return out, m["rows"]
@@ -257,4 +264,29 @@ def run_pipeline(
                 register_view(view(wh.gold), f"gold_{name}")
     wh.stage_seconds = dict(runner.stage_seconds)
     wh.steps = sorted(runner.steps, key=lambda r: runner.order.index(r.step))
+    if publish and wh.gold is not None and not runner.failed:
+        publish_run(spark, root, wh)
     return wh
+
+
+def publish_run(spark: SparkSession, root: str, wh: Warehouse) -> None:
+    """Make ``wh`` the run readers open.
+
+    The pointer is one small record (run folder and proven row counts)
+    replaced in a single overwrite; the tables themselves are never
+    rewritten in place, so a reader sees either the old run or the new one.
+    """
+    record = json.dumps({"run": wh.root, "rows": wh.gold.rows,
+                         "published_at": dt.datetime.now(dt.timezone.utc).isoformat()})
+    spark.createDataFrame([(record,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{root.rstrip('/')}/_published")
+
+
+def open_published(spark: SparkSession, root: str | None = None) -> Gold:
+    """Open the gold layer of the last published run, with its row counts."""
+    root = (root or default_root(spark)).rstrip("/")
+    record = json.loads(spark.read.text(f"{root}/_published").first()[0])
+    run = record["run"]
+    tables = {name: spark.read.parquet(f"{run}/gold/{name}")
+              for name in ["dim_date", *gold_plan.DIMENSION_NAMES, "fact_sales"]}
+    return Gold(rows=record["rows"], **tables)
