@@ -74,6 +74,9 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "sf": sf,
+        # Comparable with the published load figure (rows landed per second).
+        "orders_load_rows_per_sec": round(
+            next(s.rows for s in wh.steps if s.step == "bronze.orders") / max(timings["bronze"], 1e-9)),
         "rows": {s.step: s.rows for s in wh.steps},
     }))
     spark.stop()

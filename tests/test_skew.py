@@ -1,0 +1,65 @@
+"""A key holding a third of all rows is split, not sent to one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators.dedup import drop_exact_duplicates
+from tillroll.operators.lookup import lookup
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+def _with_conf(spark, conf, fn):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return fn()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_hot_customer_is_split_by_the_skew_join(spark):
+    n = 30000
+    fact = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("C-HOT")).otherwise(F.concat(F.lit("C-"), (F.col("id") % 997).cast("string")))
+         .alias("customer_id"),
+        F.col("id").alias("row_id"))
+    dim = spark.range(997).select(F.concat(F.lit("C-"), F.col("id").cast("string")).alias("customer_id"),
+                                  (F.col("id") + 1).alias("customer_key"))
+    dim = dim.unionByName(spark.createDataFrame([("C-HOT", 5000)], "customer_id string, customer_key long"))
+
+    def run():
+        out = lookup(fact, dim, ["customer_id"], "left", right_rows=None)
+        rows = out.collect()
+        return rows, out._jdf.queryExecution().executedPlan().toString()
+    rows, plan = _with_conf(spark, SKEW_CONF, run)
+    assert len(rows) == n and sum(1 for r in rows if r.customer_key == 5000) == n // 3
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_hot_duplicate_group_is_collapsed_before_the_shuffle(spark):
+    # A third of the rows are copies of one row: the partial aggregate removes
+    # them on the map side, so the shuffle carries one row per task for them.
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("x"),
+        F.col("id").alias("row_id"))
+    out = drop_exact_duplicates(rows, ["x"], "row_id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
+    assert out.count() == 20001
+    assert out.filter("x = 'same'").first().row_id == 0
