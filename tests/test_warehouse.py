@@ -231,3 +231,13 @@ def test_publish_and_reopen(spark, tmp_root):
     assert first.root != second.root
     assert gold.fact_sales.count() == 2 and gold.rows["fact_sales"] == 2
     assert views.monthly_trends(gold).count() == 1
+
+
+def test_year_filter_prunes_fact_partitions(mixed):
+    g = mixed.gold
+    assert "order_year" in g.fact_sales.columns
+    filtered = views.monthly_trends(g).filter("year = 1998 AND month = 3")
+    rows = filtered.collect()
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == 1 and "dynamicpruning" in plan.lower()
+    assert measures(g, by=["year"], where="year = 1998", names=["total_orders"]).count() == 1

@@ -61,3 +61,20 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str] | Column,
     if fits_broadcast(right, right_rows, limit):
         right = F.broadcast(right)
     return left.join(right, on=list(on) if not isinstance(on, Column) else on, how=how)
+
+
+def order_date_lookup(fact: DataFrame, dim_date: DataFrame, columns: Sequence[str],
+                      how: str = "inner", rows: int | None = None, limit: int | None = None) -> DataFrame:
+    """Join date attributes on the order date key.
+
+    When the fact is the published one, partitioned by ``order_year``, the
+    year is added as a second, redundant join key (``date_key div 10000``):
+    a filter on the date dimension then prunes whole fact partitions through
+    dynamic partition pruning instead of scanning every year.
+    """
+    d = dim_date.select(F.col("date_key").alias("order_date_key"), *columns)
+    keys = ["order_date_key"]
+    if "order_year" in fact.columns:
+        d = d.withColumn("order_year", F.expr("order_date_key div 10000").cast("int"))
+        keys.append("order_year")
+    return lookup(fact, d, keys, how, rows, limit)

@@ -357,6 +357,13 @@ def oracle_sql() -> dict[str, str]:
     COUNT(*) FILTER (WHERE customer_key IS NULL) AS null_customer_key,
     COUNT(*) FILTER (WHERE product_key IS NULL) AS null_product_key,
     COUNT(*) FILTER (WHERE location_key IS NULL) AS null_location_key
+  FROM fact_sales""")
+    q["dq_optional_keys"] = with_ctes(["fact_sales"], """SELECT COUNT(*) AS total_rows,
+    COUNT(*) FILTER (WHERE ship_date_key IS NULL OR ship_mode_key IS NULL OR sales_person_key IS NULL)
+      AS rows_with_missing_key,
+    COUNT(*) FILTER (WHERE ship_date_key IS NULL) AS null_ship_date_key,
+    COUNT(*) FILTER (WHERE ship_mode_key IS NULL) AS null_ship_mode_key,
+    COUNT(*) FILTER (WHERE sales_person_key IS NULL) AS null_sales_person_key
   FROM fact_sales""")
     dup_parts = []
     for dim, keys in [("dim_customer", ["customer_id"]), ("dim_product", ["product_id", "product_name"]),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.arithmetic import RESULT_DECIMAL
-from tillroll.operators.lookup import fits_broadcast, lookup
+from tillroll.operators.lookup import fits_broadcast, lookup, order_date_lookup
 from tillroll.plans.gold import Gold
 from tillroll.rules import ON_TIME_MAX_DAYS
 
@@ -131,7 +131,9 @@ def enriched_fact(gold: Gold, attributes: Sequence[str], date_role: str = "order
             F.col(fk), *[F.col(src).alias(dst) for src, dst in needed.items()])
         f = lookup(f, dim, [fk], "left", gold.rows.get(dim_name))
     date_cols = [c for c in DATE_ATTRIBUTES if c in wanted]
-    if date_cols:
+    if date_cols and date_role == "order":
+        f = order_date_lookup(f, gold.dim_date, date_cols, "left", gold.rows.get("dim_date"))
+    elif date_cols:
         key = DATE_ROLES[date_role]
         d = gold.dim_date.select(F.col("date_key").alias(key), *date_cols)
         f = lookup(f, d, [key], "left", gold.rows.get("dim_date"))

@@ -138,6 +138,12 @@ def q_dq_unmatched_keys(spark, sf_dir):
     return quality.unmatched_keys(warehouse_for(spark, sf_dir).gold.fact_sales, FACT_REQUIRED_KEYS)
 
 
+def q_dq_optional_keys(spark, sf_dir):
+    """Fact rows without a ship date, ship mode or sales person (allowed, reported)."""
+    return quality.unmatched_keys(warehouse_for(spark, sf_dir).gold.fact_sales,
+                                  ["ship_date_key", "ship_mode_key", "sales_person_key"])
+
+
 def q_dq_duplicate_natural_keys(spark, sf_dir):
     gold = warehouse_for(spark, sf_dir).gold
     return quality.natural_key_report(
@@ -219,6 +225,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "measures_by_segment_year": q_measures_by_segment_year,
         "measures_by_ship_month": q_measures_by_ship_month,
         "dq_unmatched_keys": q_dq_unmatched_keys,
+        "dq_optional_keys": q_dq_optional_keys,
         "dq_duplicate_natural_keys": q_dq_duplicate_natural_keys,
         "row_counts": q_row_counts,
         "top_n_summary": q_top_n_summary,

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.arithmetic import RESULT_DECIMAL, int_mean
-from tillroll.operators.lookup import lookup
+from tillroll.operators.lookup import lookup, order_date_lookup
 from tillroll.plans.gold import Gold
 
 
@@ -55,11 +55,10 @@ def _returns() -> Column:
 def sales_summary(gold: Gold) -> DataFrame:
     """V1: the row-level star join (30 columns)."""
     rows = gold.rows
-    d = gold.dim_date.select(
-        F.col("date_key").alias("order_date_key"), "full_date", "year", "quarter_name",
-        "month_name", "month_year_label", "day_name", "is_weekend", "is_business_day", "season")
-    f = gold.fact_sales
-    f = lookup(f, d, ["order_date_key"], "inner", rows.get("dim_date"))
+    f = order_date_lookup(gold.fact_sales, gold.dim_date,
+                          ["full_date", "year", "quarter_name", "month_name", "month_year_label",
+                           "day_name", "is_weekend", "is_business_day", "season"],
+                          "inner", rows.get("dim_date"))
     f = lookup(f, gold.dim_customer, ["customer_key"], "inner", rows.get("dim_customer"))
     f = lookup(f, gold.dim_product, ["product_key"], "inner", rows.get("dim_product"))
     f = lookup(f, gold.dim_location.select("location_key", "city", "state", "region"),
@@ -144,9 +143,9 @@ def shipping_performance(gold: Gold, numeric: str = "decimal") -> DataFrame:
 
 def monthly_trends(gold: Gold, numeric: str = "decimal") -> DataFrame:
     """V6: per calendar month of the order date."""
-    d = gold.dim_date.select(F.col("date_key").alias("order_date_key"), "year", "month",
-                             "month_name", "month_year_label", "quarter_name", "season")
-    f = lookup(gold.fact_sales, d, ["order_date_key"], "inner", gold.rows.get("dim_date"))
+    f = order_date_lookup(gold.fact_sales, gold.dim_date,
+                          ["year", "month", "month_name", "month_year_label", "quarter_name", "season"],
+                          "inner", gold.rows.get("dim_date"))
     g = f.groupBy("year", "month", "month_name", "month_year_label", "quarter_name", "season").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.sum("sales").alias("_sales"),

@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.rules import SilverRules
+from tillroll.rules import PRODUCT_NAME_OVERRIDES, SilverRules
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -31,7 +31,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 FIXTURE_RULES = SilverRules().extended(
     order_date_overrides={"O-100": dt.date(1998, 8, 12)},
     postal_code_fixes={("NATION_7", "ASIA"): "05401"},
-    product_name_overrides={"P-7": "Acco 7-Outlet Masterpiece Power Center, Wihtout Fax/Phone Line Protection"},
+    product_name_overrides={"P-7": PRODUCT_NAME_OVERRIDES["OFF-AP-10002684"]},
 )
 # The default gold range (2016-2020) does not cover the driver data.
 FIXTURE_DATE_RANGE = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
