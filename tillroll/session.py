@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,24 +46,28 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir`` (or an already set
-    SparkContext checkpoint dir).  Only when neither is set -- local runs
-    and tests -- a private folder is created and registered.
+    The folder is ``spark.checkpoint.dir`` as configured -- the stable root,
+    not the per-application sub folder Spark creates inside it, so that runs
+    written by one application can be opened by the next.  Only when nothing
+    is configured -- local runs and tests -- a private folder is created and
+    registered.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:
             configured = None
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    sc.setCheckpointDir(configured)
-    # setCheckpointDir appends a per-application sub folder; keep the root.
-    return configured.rstrip("/") if "://" in configured else os.path.abspath(configured)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    private = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+    sc.setCheckpointDir(private)
+    return private
