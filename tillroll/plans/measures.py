@@ -166,11 +166,20 @@ def measures(gold: Gold, by: Sequence[str] = (), where: str | Column | None = No
     if unknown:
         raise ValueError(f"unknown measures: {unknown}")
     by = list(by)
-    f = enriched_fact(gold, by + list(filter_attributes), date_role)
+    attributes = by + list(filter_attributes)
+    customer_attrs = set(RELATIONSHIPS["customer_key"][1].values())
+    wants_customers = "total_customers" in names or "clv" in names
+    joins_customer = bool(customer_attrs & set(attributes))
+    if wants_customers and joins_customer and "customer_id" not in attributes:
+        attributes.append("customer_id")      # ride along the customer join already planned
+    f = enriched_fact(gold, attributes, date_role)
     if where is not None:
         f = f.filter(where)
     level = _order_level(f, by, on_time_max_days).withColumn("_customer_id", F.lit(None).cast("string"))
-    if "total_customers" in names or "clv" in names:
+    if wants_customers and joins_customer:
+        per_customer = f.select(*by, F.col("customer_id").alias("_customer_id")).distinct()
+        level = level.unionByName(per_customer, allowMissingColumns=True)
+    elif wants_customers:
         # Distinct customers per group: aggregate by surrogate key first,
         # map keys to customer ids (one row per group and key), dedupe ids.
         dim = gold.dim_customer.select("customer_key", "customer_id")
