@@ -16,14 +16,13 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillroll.plans import views  # noqa: E402
 from tillroll.plans.measures import measures  # noqa: E402
-from tillroll.plans.pipeline import run_pipeline  # noqa: E402
+from tillroll.plans.pipeline import default_root, run_pipeline  # noqa: E402
 from tillroll.session import get_session  # noqa: E402
 from tillroll.sources.adapter import FIXTURE_DATE_RANGE, FIXTURE_RULES, bronze_tables  # noqa: E402
 
@@ -46,7 +45,8 @@ def main() -> None:
         f"local[{cpus}]", app_name="tillroll-bench", shuffle_partitions=int(cpus) * 2,
         conf={"spark.ui.enabled": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="tillroll-bench-")
+    # Runs go to <spark.checkpoint.dir>/tillroll (a private folder only when unset).
+    root = default_root(spark)
 
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm_dir) and warm_dir != sf_dir:
