@@ -241,3 +241,18 @@ def test_year_filter_prunes_fact_partitions(mixed):
     plan = filtered._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 1 and "dynamicpruning" in plan.lower()
     assert measures(g, by=["year"], where="year = 1998", names=["total_orders"]).count() == 1
+
+
+def test_required_dimension_columns_and_overlong_text(spark, tmp_root):
+    with pytest.raises(DataQualityError, match="dim_product"):
+        run_pipeline(spark, _order_only(spark, product_name=None), root=tmp_root, date_range=RANGE)
+    wh = run_pipeline(spark, bronze_frames(spark, [order_row(1, product_name=None), order_row(2, order_id="O-2")]),
+                      root=tmp_root, date_range=RANGE, on_unmatched="quarantine")
+    assert wh.gold.dim_product.filter("product_name IS NULL").count() == 0
+    assert wh.quarantine.count() == 1 and wh.gold.fact_sales.count() == 1
+    long_name = "x" * 101
+    warned = run_pipeline(spark, _order_only(spark, customer_name=long_name), root=tmp_root, date_range=RANGE)
+    assert any("customer_name > 100: 1" in w for w in warned.warnings)
+    with pytest.raises(DataQualityError, match="longer than declared"):
+        run_pipeline(spark, _order_only(spark, customer_name=long_name), root=tmp_root, date_range=RANGE,
+                     on_overlong="fail")

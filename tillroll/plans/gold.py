@@ -20,6 +20,7 @@ from tillroll.functions.arithmetic import days_between, profit_margin, unit_pric
 from tillroll.functions.calendar import calendar_columns
 from tillroll.operators.keys import dense_key, unique_key
 from tillroll.operators.lookup import lookup
+from tillroll.operators.quality import any_null
 from tillroll.rules import DEFAULT_DATE_RANGE
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS
 
@@ -75,7 +76,7 @@ def _first_by(df: DataFrame, keys: list[str], rest: list[str]) -> DataFrame:
 
 
 def dimension(silver_orders: DataFrame, name: str, dedupe: str = "distinct",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, drop_missing_required: bool = False) -> DataFrame:
     """A17 + A7: DISTINCT members of one dimension with a dense key.
 
     ``dedupe='distinct'`` keeps every distinct attribute tuple (the fact may
@@ -87,6 +88,8 @@ def dimension(silver_orders: DataFrame, name: str, dedupe: str = "distinct",
     base = silver_orders.select(*cols)
     if name == "dim_ship_mode":
         base = base.filter(F.col("ship_mode").isNotNull())  # P9
+    elif drop_missing_required and spec["required"]:
+        base = base.filter(~any_null(spec["required"]))
     if dedupe == "first":
         rest = [c for c in cols if c not in spec["join_on"]]
         base = _first_by(base, spec["join_on"], rest) if rest else base.distinct()

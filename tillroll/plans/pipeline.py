@@ -34,7 +34,7 @@ from tillroll.plans import silver as silver_plan
 from tillroll.plans.gold import Gold
 from tillroll.plans.views import VIEWS
 from tillroll.rules import DEFAULT_DATE_RANGE, SilverRules
-from tillroll.schemas import FACT_REQUIRED_KEYS
+from tillroll.schemas import DIMENSIONS, FACT_REQUIRED_KEYS, TEXT_LENGTHS
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.sinks import fact_layout, register_view, write_table
 
@@ -153,6 +153,7 @@ def run_pipeline(
     run_id: str | None = None,
     collation: str | None = None,
     publish: bool = False,
+    on_overlong: str = "warn",
 ) -> Warehouse:
     """Run every layer; see the module docstring for the guarantees.
 
@@ -163,6 +164,10 @@ def run_pipeline(
     ``collation`` (e.g. 'UTF8_LCASE_RTRIM') makes every text comparison of
     silver and gold follow it, as a case-insensitive server collation would.
     ``publish`` points ``<root>/_published`` at this run once it succeeded.
+    ``on_overlong``: landing text longer than its declared length is a
+    warning ('warn', default), an error ('fail') or not checked ('ignore').
+    Declared NOT NULL dimension columns follow ``on_unmatched`` ('quarantine'
+    leaves such members out, so their fact rows are set aside with the rest).
     """
     root = (root or default_root(spark)).rstrip("/")
     run_id = run_id or f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -174,7 +179,18 @@ def run_pipeline(
     # -- bronze: land the inputs with their declared types (S7) ---------------
     def land(name, df):
         def run():
-            out, m = runner.persist("bronze", name, df)
+            # Q5: overlong text, counted while landing (no second pass).
+            lengths = {} if on_overlong == "ignore" else TEXT_LENGTHS.get(name, {})
+            present = {c: n for c, n in lengths.items() if c in df.columns}
+            checks = [F.count_if(F.length(c) > n).alias(f"long_{c}") for c, n in present.items()]
+            out, m = runner.persist("bronze", name, df, extra_metrics=checks)
+            long = {c: m[f"long_{c}"] for c in present if m[f"long_{c}"]}
+            if long:
+                detail = ", ".join(f"{c} > {present[c]}: {k}" for c, k in long.items())
+                message = f"bronze.{name}: text longer than declared ({detail})"
+                if on_overlong == "fail":
+                    raise DataQualityError(message)
+                wh.warnings.append(message)
             return out, m["rows"]
         return run
     landed = runner.group("bronze", [(f"bronze.{n}", land(n, df), ()) for n, df in bronze.items()])
@@ -214,8 +230,17 @@ def run_pipeline(
                 df = gold_plan.dim_sales_person(wh.silver["people"], parts)
             else:
                 parts = partitions_for(silver_orders, silver_rows.get("orders"))
-                df = gold_plan.dimension(silver_orders, name, dedupe, parts)
-            out, m = runner.persist("gold", name, df)
+                df = gold_plan.dimension(silver_orders, name, dedupe, parts,
+                                         drop_missing_required=on_unmatched == "quarantine")
+            # Q2: declared NOT NULL natural keys, counted while writing.
+            required = DIMENSIONS[name]["required"]
+            out, m = runner.persist("gold", name, df, extra_metrics=null_count_columns(required))
+            missing = {c: m[f"null_{c}"] for c in required if m[f"null_{c}"]}
+            if missing:
+                message = f"gold.{name}: required columns missing ({missing})"
+                if on_unmatched == "fail":
+                    raise DataQualityError(message)
+                wh.warnings.append(message)
             rows[name] = m["rows"]
             return out, m["rows"]
         return run
