@@ -256,3 +256,14 @@ def test_required_dimension_columns_and_overlong_text(spark, tmp_root):
     with pytest.raises(DataQualityError, match="longer than declared"):
         run_pipeline(spark, _order_only(spark, customer_name=long_name), root=tmp_root, date_range=RANGE,
                      on_overlong="fail")
+
+
+def test_failed_landing_skips_dependants(spark, tmp_root):
+    bad = bronze_frames(spark, [order_row(1)])
+    bad["orders"] = bad["orders"].withColumn("quantity", F.expr("cast('x' as int)"))   # ANSI cast error
+    wh = run_pipeline(spark, bad, root=tmp_root, date_range=RANGE, on_error="continue")
+    status = {s.step: s.status for s in wh.steps}
+    assert status["bronze.orders"] == "failed" and status["bronze.people"] == "ok"
+    assert status["silver.orders"] == "skipped" and status["gold.dim_customer"] == "skipped"
+    assert status["gold.dim_date"] == "ok" and status["gold.fact_sales"] == "skipped"
+    assert wh.step_results(spark).count() == len(wh.steps)

@@ -108,6 +108,14 @@ class _Runner:
         log.info("step %s: %s rows", name, rows)
         return result
 
+    def skip(self, stage: str, names: list[str]) -> None:
+        """Record steps that cannot run because an input is missing."""
+        self.order.extend(names)
+        self.stage_seconds[stage] = 0.0
+        for name in names:
+            self.steps.append(StepResult(name, "skipped", None, 0.0, "input missing"))
+            self.failed.add(name)
+
     def group(self, stage: str, steps: list) -> list:
         start = time.perf_counter()
         try:
@@ -198,7 +206,9 @@ def run_pipeline(
 
     # -- silver (R1) -------------------------------------------------------------
     silver_rows: dict[str, int] = {}
-    if all(wh.bronze.get(n) is not None for n in ("orders", "people", "returns_order")):
+    if not all(wh.bronze.get(n) is not None for n in ("orders", "people", "returns_order")):
+        runner.skip("silver", ["silver.orders", "silver.people", "silver.returns_order"])
+    else:
         built = silver_plan.build_silver(wh.bronze, rules, collation=collation)
 
         def clean(name, df):
