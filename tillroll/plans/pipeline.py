@@ -293,6 +293,10 @@ def run_pipeline(
     if fact is not None:
         wh.gold = Gold(dim_date=dim_date_df, fact_sales=fact, rows=rows, **dims)
         if register_views:
+            for layer in ("bronze", "silver"):
+                for name, df in getattr(wh, layer).items():
+                    if df is not None:
+                        register_view(df, f"{layer}_{name}")
             for name, df in wh.gold.tables().items():
                 register_view(df, f"gold_{name}")
             for name, view in VIEWS.items():
