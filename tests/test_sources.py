@@ -90,3 +90,10 @@ def test_write_table_observes_rows(spark, tmp_root):
 def test_create_schemas(spark):
     create_schemas(spark, names=("tillroll_test_bronze",))
     assert "tillroll_test_bronze" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_empty_table_has_declared_schema(spark):
+    from tillroll.schemas import BRONZE_ORDERS
+    from tillroll.sources.sinks import empty_table
+    df = empty_table(spark, BRONZE_ORDERS)
+    assert df.count() == 0 and df.schema == BRONZE_ORDERS

@@ -267,3 +267,10 @@ def test_failed_landing_skips_dependants(spark, tmp_root):
     assert status["silver.orders"] == "skipped" and status["gold.dim_customer"] == "skipped"
     assert status["gold.dim_date"] == "ok" and status["gold.fact_sales"] == "skipped"
     assert wh.step_results(spark).count() == len(wh.steps)
+
+
+def test_layers_and_views_are_registered_by_name(spark, mixed):
+    assert spark.table("bronze_orders").count() == len(mixed_orders())
+    assert spark.table("silver_orders").count() == len(mixed_orders()) - 1
+    assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == mixed.gold.fact_sales.count()
+    assert spark.table("gold_vw_monthly_trends").count() == 3
