@@ -39,7 +39,7 @@ def _normalise(rows, columns):
         if v is None or (isinstance(v, float) and math.isnan(v)):
             return "None"
         if isinstance(v, float):
-            return repr(round(v, 9))
+            return repr(v)          # exact: both engines divide identical doubles
         if hasattr(v, "item"):
             v = v.item()
         return str(v)
