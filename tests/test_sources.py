@@ -97,3 +97,16 @@ def test_empty_table_has_declared_schema(spark):
     from tillroll.sources.sinks import empty_table
     df = empty_table(spark, BRONZE_ORDERS)
     assert df.count() == 0 and df.schema == BRONZE_ORDERS
+
+
+def test_json_is_matched_by_name_and_parquet_nan_becomes_null(spark, tmp_root):
+    path = _write(tmp_root, "returns.json", ['{"order_id": "CA-9", "returned": "Yes"}'])
+    row = read_landing(spark, "returns_order", path, fmt="json").first()
+    assert (row.returned, row.order_id) == ("Yes", "CA-9")
+    people = spark.createDataFrame([("Ann", "West")], "Person string, Region string")
+    ppath = os.path.join(tmp_root, "people.parquet")
+    people.write.parquet(ppath)
+    assert read_landing(spark, "people", ppath, fmt="parquet").first().person_name == "Ann"
+    from tillroll.sources.readers import nan_to_null
+    nan = spark.createDataFrame([(float("nan"),), (1.5,)], "x double")
+    assert [r.x for r in nan_to_null(nan).collect()] == [None, 1.5]
