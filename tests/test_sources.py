@@ -110,3 +110,9 @@ def test_json_is_matched_by_name_and_parquet_nan_becomes_null(spark, tmp_root):
     from tillroll.sources.readers import nan_to_null
     nan = spark.createDataFrame([(float("nan"),), (1.5,)], "x double")
     assert [r.x for r in nan_to_null(nan).collect()] == [None, 1.5]
+
+
+def test_tolerant_json(spark, tmp_root):
+    path = _write(tmp_root, "people.json", ['{"region": "West", "person_name": "Ann"}'])
+    good, rejected = read_tolerant(spark, "people", path, fmt="json")
+    assert good.first().person_name == "Ann" and rejected.count() == 0
