@@ -95,3 +95,14 @@ def test_quality_checks(spark):
     assert {r.column_name: r.n_too_long for r in long.collect()} == {"s": 1, "t": 0}
     counts = quality.row_counts({"one": fact, "two": fact.limit(1)})
     assert {r.table_name: r.n_rows for r in counts.collect()} == {"one": 3, "two": 1}
+
+
+def test_dense_key_without_exchange_reuse(spark):
+    rows = [(i * 7919 % 1000, f"v{i % 17}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b string").distinct()
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        keyed = dense_key(df, ["a", "b"], "k", num_partitions=5)
+        assert keyed.exceptAll(_global_rank(df, ["a", "b"])).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

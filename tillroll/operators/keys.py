@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import ensure_checkpoint_dir
+
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -58,6 +60,12 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     n = _partitions(df, num_partitions)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     ranged = df.repartitionByRange(n, *order)
+    if str(df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")).lower() == "false":
+        # Without exchange reuse the two branches would each run (and sample)
+        # the range exchange; pin one partitioning in the shared checkpoint
+        # folder instead (a reliable checkpoint, never a local one).
+        ensure_checkpoint_dir(df.sparkSession)
+        ranged = ranged.checkpoint()
     tagged = ranged.sortWithinPartitions(*order).withColumn("_tr_id", F.monotonically_increasing_id())
     part = F.shiftrightunsigned(F.col("_tr_id"), _POS_BITS)
     # Counting needs no sort: the partition id of the same exchange suffices.
