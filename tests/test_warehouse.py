@@ -269,8 +269,11 @@ def test_failed_landing_skips_dependants(spark, tmp_root):
     assert wh.step_results(spark).count() == len(wh.steps)
 
 
-def test_layers_and_views_are_registered_by_name(spark, mixed):
+def test_layers_and_views_are_registered_by_name(spark, tmp_root):
+    # Names are session-wide: each run points them at its own tables.
+    wh = run_pipeline(spark, bronze_frames(spark, mixed_orders(), PEOPLE, RETURNS), root=tmp_root,
+                      rules=RULES, date_range=RANGE)
     assert spark.table("bronze_orders").count() == len(mixed_orders())
     assert spark.table("silver_orders").count() == len(mixed_orders()) - 1
-    assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == mixed.gold.fact_sales.count()
+    assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == wh.gold.fact_sales.count()
     assert spark.table("gold_vw_monthly_trends").count() == 3
