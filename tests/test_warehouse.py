@@ -277,3 +277,25 @@ def test_layers_and_views_are_registered_by_name(spark, tmp_root):
     assert spark.table("silver_orders").count() == len(mixed_orders()) - 1
     assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == wh.gold.fact_sales.count()
     assert spark.table("gold_vw_monthly_trends").count() == 3
+
+
+def test_decimal_and_double_forms_agree(mixed):
+    import math
+    g = mixed.gold
+    cases = {name: (lambda n=name: (views.VIEWS[n](g, "decimal"), views.VIEWS[n](g, "double")))
+             for name in views.VIEWS if name != "vw_sales_summary"}
+    cases["measures"] = lambda: (measures(g, by=["segment"], numeric="decimal"),
+                                 measures(g, by=["segment"], numeric="double"))
+    for name, make in cases.items():
+        exact, approx = make()
+        key = [c for c in exact.columns if dict(exact.dtypes)[c] == "string"]
+        a = {tuple(r[k] for k in key): r for r in exact.collect()}
+        b = {tuple(r[k] for k in key): r for r in approx.collect()}
+        assert a.keys() == b.keys(), name
+        for k, row in a.items():
+            for c in exact.columns:
+                x, y = row[c], b[k][c]
+                if x is None or y is None:
+                    assert x is None and y is None, (name, c)
+                elif not isinstance(x, str):
+                    assert math.isclose(float(x), float(y), rel_tol=1e-9, abs_tol=1e-6), (name, c, x, y)
