@@ -134,6 +134,16 @@ def q_measures_by_ship_month(spark, sf_dir):
                     numeric="double")
 
 
+def q_measures_by_category(spark, sf_dir):
+    """Measures as a product page groups them (product relationship)."""
+    return measures(warehouse_for(spark, sf_dir).gold, by=["category", "sub_category"], numeric="double")
+
+
+def q_measures_by_region_ship_mode(spark, sf_dir):
+    """Measures as an operations page groups them (location and ship-mode relationships)."""
+    return measures(warehouse_for(spark, sf_dir).gold, by=["region", "ship_mode"], numeric="double")
+
+
 def q_dq_unmatched_keys(spark, sf_dir):
     return quality.unmatched_keys(warehouse_for(spark, sf_dir).gold.fact_sales, FACT_REQUIRED_KEYS)
 
@@ -224,6 +234,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "measures_overall": q_measures_overall,
         "measures_by_segment_year": q_measures_by_segment_year,
         "measures_by_ship_month": q_measures_by_ship_month,
+        "measures_by_category": q_measures_by_category,
+        "measures_by_region_ship_mode": q_measures_by_region_ship_mode,
         "dq_unmatched_keys": q_dq_unmatched_keys,
         "dq_optional_keys": q_dq_optional_keys,
         "dq_duplicate_natural_keys": q_dq_duplicate_natural_keys,
