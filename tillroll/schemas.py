@@ -9,6 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# Table names, column names and order, column types, declared
+# text lengths and NOT NULL columns of the original warehouse's tables.
+# ---------------------------------------------------------------------------
+
 # --- bronze -----------------------------------------------------------------
 
 ORDERS_COLUMNS = [
