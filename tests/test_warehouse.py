@@ -299,3 +299,8 @@ def test_decimal_and_double_forms_agree(mixed):
                     assert x is None and y is None, (name, c)
                 elif not isinstance(x, str):
                     assert math.isclose(float(x), float(y), rel_tol=1e-9, abs_tol=1e-6), (name, c, x, y)
+
+
+def test_missing_order_id_fails_the_fact(spark, tmp_root):
+    with pytest.raises(DataQualityError, match="order_id=1"):
+        run_pipeline(spark, _order_only(spark, order_id=None), root=tmp_root, date_range=RANGE)

@@ -34,7 +34,7 @@ from tillroll.plans import silver as silver_plan
 from tillroll.plans.gold import Gold
 from tillroll.plans.views import VIEWS
 from tillroll.rules import DEFAULT_DATE_RANGE, SilverRules
-from tillroll.schemas import DIMENSIONS, FACT_REQUIRED_KEYS, TEXT_LENGTHS
+from tillroll.schemas import DIMENSIONS, FACT_NOT_NULL, TEXT_LENGTHS
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.sinks import fact_layout, register_view, write_table
 
@@ -269,19 +269,19 @@ def run_pipeline(
     def build_fact():
         fact = gold_plan.fact_sales(silver_orders, wh.silver["returns_order"], dim_date_df, dims,
                                     rows, broadcast_limit)
-        checks = [F.count_if(any_null(FACT_REQUIRED_KEYS)).alias("missing"),
-                  *null_count_columns(FACT_REQUIRED_KEYS)]
+        checks = [F.count_if(any_null(FACT_NOT_NULL)).alias("missing"),
+                  *null_count_columns(FACT_NOT_NULL)]
         target = "_staging_fact_sales" if on_unmatched == "quarantine" else "fact_sales"
         out, m = runner.persist("gold", target, fact_layout(fact), partition_by=["order_year"],
                                 extra_metrics=checks)
         if m["missing"]:
-            detail = ", ".join(f"{k}={m['null_' + k]}" for k in FACT_REQUIRED_KEYS if m["null_" + k])
-            message = f"fact_sales: {m['missing']} rows with unmatched dimension keys ({detail})"
+            detail = ", ".join(f"{k}={m['null_' + k]}" for k in FACT_NOT_NULL if m["null_" + k])
+            message = f"fact_sales: {m['missing']} rows with missing required columns (unmatched dimension keys or no order id) ({detail})"
             if on_unmatched == "fail":
                 raise DataQualityError(message)
             wh.warnings.append(message)
         if on_unmatched == "quarantine":
-            bad = any_null(FACT_REQUIRED_KEYS)
+            bad = any_null(FACT_NOT_NULL)
             wh.quarantine, _ = runner.persist("gold", "fact_sales_quarantine", out.filter(bad))
             out, good = runner.persist("gold", "fact_sales", out.filter(~bad), partition_by=["order_year"])
             rows["fact_sales"] = good["rows"]

@@ -98,6 +98,8 @@ FACT_COLUMNS = [
 # Fact keys that must be present (declared NOT NULL).  ship_date_key,
 # ship_mode_key and sales_person_key may be NULL.
 FACT_REQUIRED_KEYS = ["order_date_key", "customer_key", "product_key", "location_key"]
+# All declared NOT NULL fact columns: the keys above and the order id.
+FACT_NOT_NULL = [*FACT_REQUIRED_KEYS, "order_id"]
 
 # Natural keys the dimensions are joined on, and their declared required columns.
 DIMENSIONS = {
