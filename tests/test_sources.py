@@ -51,10 +51,12 @@ def test_bad_value_raises_in_strict_read(spark, tmp_root):
         read_landing(spark, "orders", path).collect()
 
 
-def test_tolerant_read_sets_bad_rows_aside_and_truncates(spark, tmp_root):
+def test_tolerant_read_sets_bad_rows_aside(spark, tmp_root):
     path = _write(tmp_root, "returns.csv", ["Returned,Order ID", "Yes,CA-1", "Yessss,CA-2"])
     good, rejected = read_tolerant(spark, "returns_order", path)
-    assert sorted(r.returned for r in good.collect()) == ["Yes", "Yes"]     # VARCHAR(3) truncation
+    assert sorted(r.returned for r in good.collect()) == ["Yes", "Yessss"]  # whole by default
+    cut, _ = read_tolerant(spark, "returns_order", path, truncate_overlong=True)
+    assert sorted(r.returned for r in cut.collect()) == ["Yes", "Yes"]      # VARCHAR(3) cut, on request
     assert rejected.count() == 0
     opath = _write(tmp_root, "orders_tol.csv", [
         HEADER,

@@ -39,6 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--on-error", default="fail", choices=["fail", "continue"])
     run.add_argument("--collation", default=None)
     run.add_argument("--tolerant", action="store_true")
+    run.add_argument("--truncate-overlong", action="store_true",
+                     help="with --tolerant: cut text to its declared length instead of keeping it whole")
     run.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
@@ -48,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     bronze = {}
     for table, path in sources.items():
         if args.tolerant:
-            good, rejected = read_tolerant(spark, table, path, args.format)
+            good, rejected = read_tolerant(spark, table, path, args.format,
+                                           truncate_overlong=args.truncate_overlong)
             bronze[table] = good
             bronze[f"{table}_rejected"] = rejected
         else:
