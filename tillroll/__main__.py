@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--dedupe", default="distinct", choices=["distinct", "first"])
     run.add_argument("--on-unmatched", default="fail", choices=["fail", "warn", "quarantine"])
     run.add_argument("--on-error", default="fail", choices=["fail", "continue"])
+    run.add_argument("--on-overlong", default="warn", choices=["warn", "fail", "ignore"])
     run.add_argument("--collation", default=None)
     run.add_argument("--tolerant", action="store_true")
     run.add_argument("--truncate-overlong", action="store_true",
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
             bronze[table] = read_landing(spark, table, path, args.format)
     wh = run_pipeline(spark, bronze, root=args.root, date_range=(args.start, args.end),
                       dedupe=args.dedupe, on_unmatched=args.on_unmatched, on_error=args.on_error,
-                      collation=args.collation, publish=True)
+                      collation=args.collation, on_overlong=args.on_overlong, publish=True)
     wh.step_results(spark).show(truncate=False)
     for warning in wh.warnings:
         logging.warning(warning)
