@@ -71,3 +71,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     private = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(private)
     return private
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    * scan splits and shuffle partitions of about ``partition_bytes`` each,
+      so a task's share fits executor memory and spills stay small;
+    * at least two waves of tasks per core, so stragglers even out;
+    * AQE coalesces small shuffle partitions back to the advisory size and
+      splits partitions more than five times the median (hot keys).
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1024 ** 2)}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+    }
