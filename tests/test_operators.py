@@ -106,3 +106,9 @@ def test_dense_key_without_exchange_reuse(spark):
         assert keyed.exceptAll(_global_rank(df, ["a", "b"])).count() == 0
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_size_parsing():
+    from tillroll.operators.lookup import size_in_bytes
+    assert size_in_bytes("10485760b") == 10485760 and size_in_bytes("64MB") == 64 * 1024 ** 2
+    assert size_in_bytes("1g") == 1024 ** 3 and size_in_bytes("-1") == -1

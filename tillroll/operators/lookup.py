@@ -9,6 +9,7 @@ AQE from runtime sizes, with skewed partitions split by AQE's skew join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,12 +37,29 @@ def estimated_row_bytes(schema: T.StructType) -> int:
     return total
 
 
+_UNITS = {"": 1, "b": 1, "k": 1024, "kb": 1024, "m": 1024 ** 2, "mb": 1024 ** 2,
+          "g": 1024 ** 3, "gb": 1024 ** 3, "t": 1024 ** 4, "tb": 1024 ** 4}
+
+
+def size_in_bytes(text: str) -> int:
+    """Spark size text ('10485760b', '64MB', '1g', '-1') as bytes."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
 def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
+    """Bytes a proven dimension may take to be broadcast.
+
+    The session's ``spark.sql.autoBroadcastJoinThreshold``; when that is
+    disabled (-1) proven-small lookups still use 10 MB, since the switch
+    concerns broadcasts chosen from estimates, not from proven counts.
+    """
     if limit is not None:
         return limit
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
     try:
-        value = int(str(raw).lower().replace("b", "")) if raw is not None else -1
+        value = size_in_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "-1"))
     except ValueError:
         value = -1
     return value if value > 0 else DEFAULT_BROADCAST_LIMIT
