@@ -63,3 +63,22 @@ def test_hot_duplicate_group_is_collapsed_before_the_shuffle(spark):
     assert "partial_min" in plan
     assert out.count() == 20001
     assert out.filter("x = 'same'").first().row_id == 0
+
+
+def test_line_numbers_split_a_hot_order(spark):
+    from pyspark.sql import Window
+    from tillroll.sources.adapter import number_lines
+    lines = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("l_orderkey"),
+        (F.col("id") % 5).cast("int").alias("l_linenumber"), F.col("id").alias("l_partkey"),
+        F.lit(1).cast("long").alias("l_suppkey"), F.lit(1.0).alias("l_quantity"),
+        F.lit(2.0).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.lit(None).cast("timestamp_ntz").alias("l_shipdate"), F.lit("R").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"))
+    ranked = number_lines(lines, "ranked")
+    window = number_lines(lines, "window")
+    assert ranked.exceptAll(window).count() == 0 and ranked.count() == 3000
+    hot = ranked.filter("l_orderkey = 7").agg(F.min("_rn"), F.max("_rn")).first()
+    assert (hot[0], hot[1]) == (1, 1001)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number()" not in plan

@@ -8,11 +8,13 @@ spaces, exact duplicate rows, a person listed for two regions, repeated
 return records).  The same expressions are written as DuckDB SQL in
 :mod:`tillroll.oracle` for the side-by-side check.
 
-Plan shape: ``row_id`` is a ``row_number`` over ``l_orderkey``; the window's
-hash exchange on ``l_orderkey`` is reused by the join with orders, so the
-lineitem side is shuffled once.  customer, part, nation and region are joined
-without hints: the planner broadcasts them while their files are under the
-broadcast threshold and uses sort-merge joins beyond it.
+Plan shape: ``row_id`` needs each line's position inside its order.  It is
+computed without gathering an order in one task (:func:`number_lines`): a
+global dense rank over (order key, ordering columns) minus the order's first
+rank.  The join that brings the first rank back is keyed by l_orderkey, and
+the join with orders reuses that partitioning.  customer, part, nation and
+region are joined without hints: the planner broadcasts them while their
+files are under the broadcast threshold and uses sort-merge joins beyond it.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.keys import dense_key
 from tillroll.rules import PRODUCT_NAME_OVERRIDES, SilverRules
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -45,17 +48,35 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     return {name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in DRIVER_TABLES}
 
 
-def _lines_with_orders(t: dict[str, DataFrame]) -> DataFrame:
+def number_lines(lineitem: DataFrame, strategy: str = "ranked") -> DataFrame:
+    """Add ``_rn`` = row_number() per l_orderkey in ``_ROW_ORDER`` (NULLs first).
+
+    ``'ranked'`` (default) never gathers an order in one task: the global
+    rank over (l_orderkey, order columns) comes from the range-partitioned
+    dense key, so an order holding a third of all lines spans many tasks;
+    subtracting the order's first rank (a partial aggregate) gives the
+    position inside the order.  ``'window'`` is the plain per-order window,
+    cheaper by one shuffle but bounded by the largest order.
+    """
+    if strategy == "window":
+        w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in _ROW_ORDER])
+        return lineitem.withColumn("_rn", F.row_number().over(w))
+    ranked = dense_key(lineitem, ["l_orderkey", *_ROW_ORDER], "_g")
+    first = ranked.groupBy("l_orderkey").agg(F.min("_g").alias("_g0"))
+    return (ranked.join(first, "l_orderkey")
+                  .select(*lineitem.columns, (F.col("_g") - F.col("_g0") + 1).cast("int").alias("_rn")))
+
+
+def _lines_with_orders(t: dict[str, DataFrame], strategy: str = "ranked") -> DataFrame:
     lineitem = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", *[c for c in _ROW_ORDER
                                     if c not in ("l_partkey", "l_suppkey")])
-    w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in _ROW_ORDER])
-    numbered = lineitem.withColumn("_rn", F.row_number().over(w))
+    numbered = number_lines(lineitem, strategy)
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey)
 
 
-def bronze_orders(t: dict[str, DataFrame]) -> DataFrame:
-    lo = _lines_with_orders(t)
+def bronze_orders(t: dict[str, DataFrame], row_numbering: str = "ranked") -> DataFrame:
+    lo = _lines_with_orders(t, row_numbering)
     customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
     region = t["region"].select("r_regionkey", "r_name")
