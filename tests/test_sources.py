@@ -118,3 +118,12 @@ def test_tolerant_json(spark, tmp_root):
     path = _write(tmp_root, "people.json", ['{"region": "West", "person_name": "Ann"}'])
     good, rejected = read_tolerant(spark, "people", path, fmt="json")
     assert good.first().person_name == "Ann" and rejected.count() == 0
+
+
+def test_create_schemas_reset_drops_contents(spark):
+    create_schemas(spark, names=("tillroll_test_reset",))
+    spark.sql("CREATE OR REPLACE VIEW tillroll_test_reset.v AS SELECT 1 AS a")
+    assert spark.catalog.tableExists("tillroll_test_reset.v")
+    create_schemas(spark, names=("tillroll_test_reset",), reset=True)
+    assert not spark.catalog.tableExists("tillroll_test_reset.v")
+    assert spark.catalog.databaseExists("tillroll_test_reset")
