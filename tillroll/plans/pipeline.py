@@ -311,20 +311,23 @@ def run_pipeline(
 def publish_run(spark: SparkSession, root: str, wh: Warehouse) -> None:
     """Make ``wh`` the run readers open.
 
-    The pointer is one small record (run folder and proven row counts)
-    replaced in a single overwrite; the tables themselves are never
-    rewritten in place, so a reader sees either the old run or the new one.
+    Publishing appends one small record (run folder, proven row counts,
+    time) to ``<root>/_published``; nothing is deleted or rewritten, so a
+    reader sees either the previous newest record or this one, and a failed
+    publish leaves the previous one in force.
     """
     record = json.dumps({"run": wh.root, "rows": wh.gold.rows,
                          "published_at": dt.datetime.now(dt.timezone.utc).isoformat()})
-    spark.createDataFrame([(record,)], "value string").coalesce(1).write.mode("overwrite").text(
+    spark.createDataFrame([(record,)], "value string").coalesce(1).write.mode("append").text(
         f"{root.rstrip('/')}/_published")
 
 
 def open_published(spark: SparkSession, root: str | None = None) -> Gold:
-    """Open the gold layer of the last published run, with its row counts."""
+    """Open the gold layer of the newest published run, with its row counts."""
     root = (root or default_root(spark)).rstrip("/")
-    record = json.loads(spark.read.text(f"{root}/_published").first()[0])
+    records = spark.read.text(f"{root}/_published").select(
+        F.get_json_object("value", "$.published_at").alias("at"), "value")
+    record = json.loads(records.orderBy(F.col("at").desc()).first()["value"])
     run = record["run"]
     tables = {name: spark.read.parquet(f"{run}/gold/{name}")
               for name in ["dim_date", *gold_plan.DIMENSION_NAMES, "fact_sales"]}
