@@ -324,3 +324,14 @@ def test_measures_equal_naive_distinct_counts(mixed, by):
         m = got[tuple(r[c] for c in by)]
         assert (m.total_orders, m.total_customers, m.total_returned) == (r.orders, r.customers, r.returned)
         assert m.on_time_delivery_pct == r.on_time / r.orders and m.total_sales == r.sales
+
+
+def test_summary_plans_only_the_needed_joins(mixed):
+    g = mixed.gold
+    full = views.sales_summary(g)
+    assert full.columns == views.SUMMARY_COLUMNS
+    narrow = views.sales_summary(g, ["order_id", "segment", "sales"])
+    assert narrow.exceptAll(full.select("order_id", "segment", "sales")).count() == 0
+    assert full.select("order_id", "segment", "sales").exceptAll(narrow).count() == 0
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1

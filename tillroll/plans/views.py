@@ -52,26 +52,49 @@ def _returns() -> Column:
     return F.sum(F.col("is_returned").cast("int")).alias("total_returns")  # A6
 
 
-def sales_summary(gold: Gold) -> DataFrame:
-    """V1: the row-level star join (30 columns)."""
+SUMMARY_COLUMNS = [
+    "full_date", "year", "quarter_name", "month_name", "month_year_label", "day_name",
+    "is_weekend", "is_business_day", "season", "customer_id", "customer_name", "segment",
+    "product_id", "product_name", "category", "sub_category", "city", "state", "region",
+    "ship_mode", "sales_person", "order_id", "sales", "quantity", "discount", "profit",
+    "unit_price", "profit_margin", "days_to_ship", "is_returned"]
+_DATE_ATTRS = SUMMARY_COLUMNS[:9]
+_CUSTOMER_ATTRS = ["customer_id", "customer_name", "segment"]
+_PRODUCT_ATTRS = ["product_id", "product_name", "category", "sub_category"]
+_LOCATION_ATTRS = ["city", "state", "region"]
+
+
+def sales_summary(gold: Gold, columns: list[str] | None = None) -> DataFrame:
+    """V1: the row-level star join (30 columns, or the ``columns`` asked for).
+
+    Only the dimensions that provide requested columns are joined.  An inner
+    join that is left out becomes ``key IS NOT NULL``: the fact's keys come
+    from the dimensions' unique keys, so that is the row set the join keeps.
+    """
+    cols = list(columns or SUMMARY_COLUMNS)
+    wanted = set(cols)
     rows = gold.rows
-    f = order_date_lookup(gold.fact_sales, gold.dim_date,
-                          ["full_date", "year", "quarter_name", "month_name", "month_year_label",
-                           "day_name", "is_weekend", "is_business_day", "season"],
-                          "inner", rows.get("dim_date"))
-    f = lookup(f, gold.dim_customer, ["customer_key"], "inner", rows.get("dim_customer"))
-    f = lookup(f, gold.dim_product, ["product_key"], "inner", rows.get("dim_product"))
-    f = lookup(f, gold.dim_location.select("location_key", "city", "state", "region"),
-               ["location_key"], "inner", rows.get("dim_location"))
-    f = lookup(f, gold.dim_ship_mode, ["ship_mode_key"], "left", rows.get("dim_ship_mode"))
-    f = lookup(f, gold.dim_sales_person.select("sales_person_key", F.col("person_name").alias("sales_person")),
-               ["sales_person_key"], "left", rows.get("dim_sales_person"))
-    return f.select(
-        "full_date", "year", "quarter_name", "month_name", "month_year_label", "day_name",
-        "is_weekend", "is_business_day", "season", "customer_id", "customer_name", "segment",
-        "product_id", "product_name", "category", "sub_category", "city", "state", "region",
-        "ship_mode", "sales_person", "order_id", "sales", "quantity", "discount", "profit",
-        "unit_price", "profit_margin", "days_to_ship", "is_returned")
+    f = gold.fact_sales
+    date_cols = [c for c in _DATE_ATTRS if c in wanted]
+    if date_cols:
+        f = order_date_lookup(f, gold.dim_date, date_cols, "inner", rows.get("dim_date"))
+    else:
+        f = f.filter(F.col("order_date_key").isNotNull())
+    for key, dim_name, attrs in [("customer_key", "dim_customer", _CUSTOMER_ATTRS),
+                                 ("product_key", "dim_product", _PRODUCT_ATTRS),
+                                 ("location_key", "dim_location", _LOCATION_ATTRS)]:
+        needed = [c for c in attrs if c in wanted]
+        if needed:
+            dim = getattr(gold, dim_name).select(key, *needed)
+            f = lookup(f, dim, [key], "inner", rows.get(dim_name))
+        else:
+            f = f.filter(F.col(key).isNotNull())
+    if "ship_mode" in wanted:
+        f = lookup(f, gold.dim_ship_mode, ["ship_mode_key"], "left", rows.get("dim_ship_mode"))
+    if "sales_person" in wanted:
+        f = lookup(f, gold.dim_sales_person.select("sales_person_key", F.col("person_name").alias("sales_person")),
+                   ["sales_person_key"], "left", rows.get("dim_sales_person"))
+    return f.select(*cols)
 
 
 def product_performance(gold: Gold, numeric: str = "decimal") -> DataFrame:
