@@ -39,3 +39,4 @@ def test_cli_run_tolerant(spark, tmp_root):
     assert set(facts) == {"CA-1", "CA-2"} and facts["CA-2"].is_returned == 1
     rejected = spark.read.parquet(f"{gold.fact_sales.inputFiles()[0].split('/gold/')[0]}/bronze/orders_rejected")
     assert rejected.count() == 1
+    assert main(["show", "monthly_trends", "--root", root]) == 0

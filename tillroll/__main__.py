@@ -1,4 +1,4 @@
-"""Command line: ``python -m tillroll run --orders ... --people ... --returns ...``.
+"""Command line: ``python -m tillroll run ...`` and ``python -m tillroll show <view>``.
 
 Loads the three landing files, builds every layer, publishes the run under
 ``--root`` (default: ``<spark.checkpoint.dir>/tillroll``) and prints the step
@@ -13,7 +13,8 @@ import datetime as dt
 import logging
 import sys
 
-from tillroll.plans.pipeline import run_pipeline
+from tillroll.plans import views
+from tillroll.plans.pipeline import open_published, run_pipeline
 from tillroll.rules import DEFAULT_DATE_RANGE
 from tillroll.session import get_session
 from tillroll.sources.readers import read_landing, read_tolerant
@@ -43,7 +44,19 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--truncate-overlong", action="store_true",
                      help="with --tolerant: cut text to its declared length instead of keeping it whole")
     run.add_argument("--master", default=None)
+    show = sub.add_parser("show", help="print a view of the newest published run")
+    show.add_argument("view", choices=sorted(n[len("vw_"):] for n in views.VIEWS))
+    show.add_argument("--root", default=None)
+    show.add_argument("--rows", type=int, default=20)
+    show.add_argument("--master", default=None)
     args = parser.parse_args(argv)
+    if args.command == "show":
+        spark = get_session(args.master)
+        df = views.VIEWS["vw_" + args.view](open_published(spark, args.root))
+        order = [c for c in ("year", "month", "region", "state", "city", "ship_mode", "product_id",
+                             "customer_id", "order_id") if c in df.columns]
+        df.orderBy(*order).show(args.rows, truncate=False)
+        return 0
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(levelname)s - %(message)s")
     spark = get_session(args.master)
