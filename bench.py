@@ -24,7 +24,7 @@ from tillroll.plans import views  # noqa: E402
 from tillroll.plans.measures import measures  # noqa: E402
 from tillroll.plans.pipeline import default_root, run_pipeline  # noqa: E402
 from tillroll.session import get_session  # noqa: E402
-from tillroll.sources.adapter import FIXTURE_DATE_RANGE, FIXTURE_RULES, bronze_tables  # noqa: E402
+from tillroll.sources.adapter import FIXTURE_RULES, bronze_tables  # noqa: E402
 
 
 def _force(df) -> None:
@@ -33,7 +33,7 @@ def _force(df) -> None:
 
 def _build(spark, sf_dir: str, root: str):
     return run_pipeline(spark, bronze_tables(spark, sf_dir), root=root, rules=FIXTURE_RULES,
-                        date_range=FIXTURE_DATE_RANGE, register_views=False)
+                        date_range="data", register_views=False)
 
 
 def main() -> None:

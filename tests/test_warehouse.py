@@ -335,3 +335,12 @@ def test_summary_plans_only_the_needed_joins(mixed):
     assert full.select("order_id", "segment", "sales").exceptAll(narrow).count() == 0
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Join") == 1
+
+
+def test_date_range_from_data(spark, tmp_root):
+    wh = run_pipeline(spark, bronze_frames(spark, mixed_orders(), PEOPLE, RETURNS), root=tmp_root,
+                      rules=RULES, date_range="data")
+    assert wh.gold.dim_date.count() == 730                       # 1998 and 1999 (a ship date in 1999)
+    assert wh.gold.fact_sales.filter("ship_date_key IS NULL").count() == 0
+    empty = run_pipeline(spark, bronze_frames(spark, [], [], []), root=tmp_root, date_range="data")
+    assert empty.gold.dim_date.count() == 1827                   # no dates: the default range

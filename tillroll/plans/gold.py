@@ -52,6 +52,20 @@ def date_range_days(start: dt.date, end: dt.date) -> int:
     return max((end - start).days + 1, 1)
 
 
+def data_date_range(silver_orders: DataFrame) -> tuple[dt.date, dt.date]:
+    """Whole calendar years spanning every order and ship date of the data.
+
+    One aggregate over two columns; only its two values reach the driver.
+    Falls back to the default range when there are no dates.
+    """
+    bounds = silver_orders.agg(
+        F.min(F.least("order_date", "ship_date")).alias("lo"),
+        F.max(F.greatest("order_date", "ship_date")).alias("hi")).first()
+    if bounds is None or bounds["lo"] is None:
+        return DEFAULT_DATE_RANGE
+    return dt.date(bounds["lo"].year, 1, 1), dt.date(bounds["hi"].year, 12, 31)
+
+
 def dim_date(spark: SparkSession, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """U2 + F3-F16: one row per day from start to end.
 

@@ -152,7 +152,7 @@ def run_pipeline(
     bronze: dict[str, DataFrame],
     root: str | None = None,
     rules: SilverRules | None = None,
-    date_range: tuple[dt.date, dt.date] | None = None,
+    date_range: tuple[dt.date, dt.date] | str | None = None,
     dedupe: str = "distinct",
     on_unmatched: str = "fail",
     on_error: str = "fail",
@@ -172,6 +172,8 @@ def run_pipeline(
     ``collation`` (e.g. 'UTF8_LCASE_RTRIM') makes every text comparison of
     silver and gold follow it, as a case-insensitive server collation would.
     ``publish`` points ``<root>/_published`` at this run once it succeeded.
+    ``date_range``: (start, end), None for the default range, or 'data' for
+    the whole calendar years spanned by the silver order and ship dates.
     ``on_overlong``: landing text longer than its declared length is a
     warning ('warn', default), an error ('fail') or not checked ('ignore').
     Declared NOT NULL dimension columns follow ``on_unmatched`` ('quarantine'
@@ -180,7 +182,8 @@ def run_pipeline(
     root = (root or default_root(spark)).rstrip("/")
     run_id = run_id or f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     run_dir = f"{root}/{run_id}"
-    start, end = date_range or DEFAULT_DATE_RANGE
+    derive_range = date_range == "data"
+    start, end = DEFAULT_DATE_RANGE if derive_range or not date_range else date_range
     runner = _Runner(spark, run_dir, on_error)
     wh = Warehouse(root=run_dir, bronze={}, silver={}, gold=None)
 
@@ -221,6 +224,8 @@ def run_pipeline(
         wh.silver = dict(zip(built, cleaned))
 
     # -- gold dimensions (R2) ------------------------------------------------------
+    if derive_range and wh.silver.get("orders") is not None:
+        start, end = gold_plan.data_date_range(wh.silver["orders"])
     rows: dict[str, int] = {"dim_date": gold_plan.date_range_days(start, end)}
     if "returns_order" in silver_rows:
         rows["silver_returns_order"] = silver_rows["returns_order"]
