@@ -36,8 +36,6 @@ FIXTURE_RULES = SilverRules().extended(
     postal_code_fixes={("NATION_7", "ASIA"): "05401"},
     product_name_overrides={"P-7": PRODUCT_NAME_OVERRIDES["OFF-AP-10002684"]},
 )
-# The default gold range (2016-2020) does not cover the driver data.
-FIXTURE_DATE_RANGE = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
 _ROW_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
               "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus"]
