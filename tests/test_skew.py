@@ -66,7 +66,6 @@ def test_hot_duplicate_group_is_collapsed_before_the_shuffle(spark):
 
 
 def test_line_numbers_split_a_hot_order(spark):
-    from pyspark.sql import Window
     from tillroll.sources.adapter import number_lines
     lines = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("l_orderkey"),
