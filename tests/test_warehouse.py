@@ -344,3 +344,17 @@ def test_date_range_from_data(spark, tmp_root):
     assert wh.gold.fact_sales.filter("ship_date_key IS NULL").count() == 0
     empty = run_pipeline(spark, bronze_frames(spark, [], [], []), root=tmp_root, date_range="data")
     assert empty.gold.dim_date.count() == 1827                   # no dates: the default range
+
+
+def test_filters_and_columns_reach_the_fact_scan(spark, mixed):
+    g = mixed.gold
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    q = views.sales_summary(g, ["order_id", "sales"]).filter("order_id = 'O-2'")
+    assert q.count() == 2
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "order_id" in line][0]
+    assert "EqualTo(order_id,O-2)" in scan                         # pushed to Parquet
+    assert "ReadSchema: struct<" in scan and "profit" not in scan.split("ReadSchema:")[1]
