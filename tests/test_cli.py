@@ -40,3 +40,23 @@ def test_cli_run_tolerant(spark, tmp_root):
     rejected = spark.read.parquet(f"{gold.fact_sales.inputFiles()[0].split('/gold/')[0]}/bronze/orders_rejected")
     assert rejected.count() == 1
     assert main(["show", "monthly_trends", "--root", root]) == 0
+
+
+def test_readme_example(spark, tmp_root):
+    from tillroll.plans import views
+    from tillroll.plans.measures import measures
+    from tillroll.plans.pipeline import run_pipeline
+    from tillroll.sources.readers import read_landing
+    landing = {
+        "orders": _write(tmp_root, "orders.csv", [
+            HEADER,
+            "1,CA-1,2016-01-02,2016-01-05,Second Class,C-1,Ann,Consumer,United States,Austin,Texas,73301,"
+            "Central,P-1,Office,Paper,a b,10.5,2,0.2,1.25"]),
+        "people": _write(tmp_root, "people.csv", ["Person,Region", "Ann Rep,Central"]),
+        "returns_order": _write(tmp_root, "returns.csv", ["Returned,Order ID", "Yes,CA-1"]),
+    }
+    bronze = {t: read_landing(spark, t, path) for t, path in landing.items()}
+    wh = run_pipeline(spark, bronze, root=os.path.join(tmp_root, "wh"))
+    assert views.monthly_trends(wh.gold).orderBy("year", "month").count() == 1
+    assert measures(wh.gold, by=["segment", "year"], date_role="ship").first().total_orders == 1
+    assert spark.sql("SELECT * FROM gold_vw_regional_performance").first().sales_person == "Ann Rep"
