@@ -66,28 +66,34 @@ def _silver_orders(wh: Warehouse) -> DataFrame:
 
 
 def q_bronze_orders(spark, sf_dir):
+    """The landed order lines with their declared types."""
     return comparable(warehouse_for(spark, sf_dir).bronze["orders"].select(*ORDERS_COLUMNS))
 
 
 def q_silver_orders_clean(spark, sf_dir):
+    """The cleaned, deduplicated order lines."""
     return comparable(_silver_orders(warehouse_for(spark, sf_dir)))
 
 
 def q_silver_orders_dedup_exact(spark, sf_dir):
+    """Surviving lines of the exact dedup with the number of copies merged."""
     wh = warehouse_for(spark, sf_dir)
     return silver_plan.dedup_orders(wh.bronze["orders"], count_as="n_copies").select(
         "row_id", "order_id", "n_copies")
 
 
 def q_silver_people_first(spark, sf_dir):
+    """One region per person (lowest, NULL first)."""
     return warehouse_for(spark, sf_dir).silver["people"].select("person_name", "region")
 
 
 def q_silver_returns_first(spark, sf_dir):
+    """One return record per order."""
     return warehouse_for(spark, sf_dir).silver["returns_order"].select("returned", "order_id")
 
 
 def q_ship_mode_repair(spark, sf_dir):
+    """Raw ship mode and duration against the repaired ship mode, counted."""
     wh = warehouse_for(spark, sf_dir)
     d = silver_plan.dedup_orders(wh.bronze["orders"])
     c = F.col
@@ -99,6 +105,7 @@ def q_ship_mode_repair(spark, sf_dir):
 
 
 def q_dim_date(spark, sf_dir):
+    """The date dimension over the data's years."""
     return comparable(warehouse_for(spark, sf_dir).gold.dim_date)
 
 
@@ -106,10 +113,12 @@ def _dim_query(name: str):
     def run(spark, sf_dir):
         return getattr(warehouse_for(spark, sf_dir).gold, name)
     run.__name__ = f"q_{name}"
+    run.__doc__ = f"A7, A17: {name} with its dense surrogate key."
     return run
 
 
 def q_fact_sales(spark, sf_dir):
+    """The fact (the unordered fact_key left out)."""
     fact = warehouse_for(spark, sf_dir).gold.fact_sales
     return comparable(fact.select(*[c for c in FACT_COLUMNS if c != "fact_key"]))
 
@@ -121,18 +130,22 @@ def _view_query(name: str):
             return comparable(views.sales_summary(gold))
         return views.VIEWS[name](gold, "double")
     run.__name__ = f"q_{name}"
+    run.__doc__ = f"V1-V6: the {name} view over the built warehouse."
     return run
 
 
 def q_measures_overall(spark, sf_dir):
+    """M1-M15 over the whole fact."""
     return measures(warehouse_for(spark, sf_dir).gold, numeric="double")
 
 
 def q_measures_by_segment_year(spark, sf_dir):
+    """M1-M15 by customer segment and order year."""
     return measures(warehouse_for(spark, sf_dir).gold, by=["segment", "year"], numeric="double")
 
 
 def q_measures_by_ship_month(spark, sf_dir):
+    """M1-M15 by ship year and month (J15: the ship-date role)."""
     return measures(warehouse_for(spark, sf_dir).gold, by=["year", "month"], date_role="ship",
                     numeric="double")
 
@@ -154,6 +167,7 @@ def q_measures_on_time_all_lines(spark, sf_dir):
 
 
 def q_dq_unmatched_keys(spark, sf_dir):
+    """Q1: fact rows whose required dimension keys are missing."""
     return quality.unmatched_keys(warehouse_for(spark, sf_dir).gold.fact_sales, FACT_REQUIRED_KEYS)
 
 
@@ -164,12 +178,14 @@ def q_dq_optional_keys(spark, sf_dir):
 
 
 def q_dq_duplicate_natural_keys(spark, sf_dir):
+    """Q6: dimension members sharing the key the fact joins on."""
     gold = warehouse_for(spark, sf_dir).gold
     return quality.natural_key_report(
         {name: (getattr(gold, name), spec["join_on"]) for name, spec in DIMENSIONS.items()})
 
 
 def q_row_counts(spark, sf_dir):
+    """Rows per table in every layer."""
     wh = warehouse_for(spark, sf_dir)
     tables = {f"bronze_{n}": df for n, df in wh.bronze.items()}
     tables.update({f"silver_{n}": df for n, df in wh.silver.items()})
