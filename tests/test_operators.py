@@ -112,3 +112,26 @@ def test_size_parsing():
     from tillroll.operators.lookup import size_in_bytes
     assert size_in_bytes("10485760b") == 10485760 and size_in_bytes("64MB") == 64 * 1024 ** 2
     assert size_in_bytes("1g") == 1024 ** 3 and size_in_bytes("-1") == -1
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from(["a", "b", "a "]))),
+                min_size=0, max_size=30))
+def test_exact_dedup_equals_row_number_window(spark, values):
+    rows = [(i, x, y) for i, (x, y) in enumerate(values)]
+    df = spark.createDataFrame(rows, "row_id long, x int, y string")
+    w = Window.partitionBy("x", "y").orderBy("row_id")
+    expected = df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
+    got = drop_exact_duplicates(df, ["x", "y"], "row_id")
+    assert sorted(got.collect()) == sorted(expected.collect())
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["p1", "p2", "p3"]), st.one_of(st.none(), st.sampled_from(["E", "W", "N"]))),
+                min_size=0, max_size=20))
+def test_first_per_key_equals_row_number_window(spark, values):
+    df = spark.createDataFrame(values, "person_name string, region string")
+    w = Window.partitionBy("person_name").orderBy(F.col("region").asc_nulls_first())
+    expected = df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
+    got = first_per_key(df, ["person_name"], "region")
+    assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
