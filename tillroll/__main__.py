@@ -12,12 +12,14 @@ import argparse
 import datetime as dt
 import logging
 import sys
+import uuid
 
 from tillroll.plans import views
-from tillroll.plans.pipeline import open_published, run_pipeline
+from tillroll.plans.pipeline import default_root, open_published, run_pipeline
 from tillroll.rules import DEFAULT_DATE_RANGE
 from tillroll.session import get_session
-from tillroll.sources.readers import read_landing, read_tolerant
+from tillroll.sources.readers import read_landing, split_tagged, tolerant_tagged
+from tillroll.sources.sinks import write_table
 
 
 def _date(text: str) -> dt.date:
@@ -62,10 +64,14 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(args.master)
     sources = {"orders": args.orders, "people": args.people, "returns_order": args.returns}
     bronze = {}
+    staging = f"{(args.root or default_root(spark)).rstrip('/')}/_landing/{uuid.uuid4().hex}"
     for table, path in sources.items():
         if args.tolerant:
-            good, rejected = read_tolerant(spark, table, path, args.format,
-                                           truncate_overlong=args.truncate_overlong)
+            # Parse the source once: write the tagged rows, split the written copy.
+            tagged = tolerant_tagged(spark, table, path, args.format,
+                                     truncate_overlong=args.truncate_overlong)
+            write_table(tagged, f"{staging}/{table}")
+            good, rejected = split_tagged(spark.read.parquet(f"{staging}/{table}"), table)
             bronze[table] = good
             bronze[f"{table}_rejected"] = rejected
         else:
