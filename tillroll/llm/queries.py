@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import mixing, quality
+from tillroll.llm import chat, mixing, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat formatting read back, per conversation, with one conversation of control strings."""
+    planted = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+                        "(-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.chat_digest(given.unionByName(planted))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector bin packing of all documents, per piece."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights, per document."""
     return mixing.mix_digest(_table(spark, sf_dir, "documents"))
@@ -25,8 +38,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_mixing": op5_mixing, "op9_quality": op9_quality}
+    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op9_quality": op9_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.ORACLE}
+    return {"op2_chat": chat.oracle(), "op5_mixing": mixing.ORACLE}
