@@ -112,3 +112,31 @@ def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str,
     joined = parts.join(F.broadcast(offsets), on, "left")
     extra = [F.col("_op_row").alias(row_id)] if row_id else []
     return joined.select(*names, (F.col("_op_sum") + F.coalesce("_op_offset", F.lit(0))).alias(out), *extra)
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The words of a batch of lower-cased (A-Z) texts: (text number, word code, words by code).
+
+    Split, flattened and coded in Arrow, without a Python step per word.
+    """
+    import pyarrow.compute as pc
+
+    split = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), SPACE)
+    coded = pc.list_flatten(split).dictionary_encode()
+    at = pc.list_parent_indices(split).to_numpy()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    if "" in words:  # from white space at an end
+        full = codes != words.index("")
+        at, codes = at[full], codes[full]
+    return at, codes, words
+
+
+def pieces_of(batch: pa.RecordBatch, column: int, chars: int = 8_000_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch that hold about ``chars`` bytes of text each, at least one row."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = (np.cumsum(size) - size) // chars if len(size) else size
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(size) else []
+    yield from zip(first, np.r_[first[1:], len(size)] if len(size) else [])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, mixing, packing, quality
+from tillroll.llm import chat, kneser, langid, mixing, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,14 +31,24 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-first backoff language identification, per document."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weak-supervision quality rules, per document."""
     return quality.judge(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interpolated modified Kneser-Ney scores, per document."""
+    return kneser.perplexities(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op9_quality": op9_quality}
+    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
 
 
 def oracle_sql() -> dict[str, str]:
