@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import chat, kneser, langid, mixing, packing, quality
+from tillroll.llm import chat, kneser, langid, mincut, mixing, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, sf_dir, "documents"))
 
 
+def op6_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages by minimum cut."""
+    return mincut.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-first backoff language identification, per document."""
     return langid.identify(_table(spark, sf_dir, "documents"))
@@ -48,7 +53,7 @@ def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
+    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
 
 
 def oracle_sql() -> dict[str, str]:
