@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import chat, kneser, langid, mincut, mixing, packing, quality
+from tillroll.llm import ann, chat, kneser, langid, mincut, mixing, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,11 @@ def op6_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mincut.extract(_table(spark, sf_dir, "pages"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth embedding, searched among all."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-first backoff language identification, per document."""
     return langid.identify(_table(spark, sf_dir, "documents"))
@@ -53,7 +59,7 @@ def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
+    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
 
 
 def oracle_sql() -> dict[str, str]:
