@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, chat, kneser, langid, mincut, mixing, packing, quality
+from tillroll.llm import ann, chat, jaccard, kneser, langid, mincut, mixing, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents: set size and component."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights, per document."""
     return mixing.mix_digest(_table(spark, sf_dir, "documents"))
@@ -59,7 +64,7 @@ def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
+    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op4_jaccard": op4_jaccard, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
 
 
 def oracle_sql() -> dict[str, str]:
