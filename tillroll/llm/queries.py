@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, chat, jaccard, kneser, langid, mincut, mixing, packing, quality
+from tillroll.llm import ann, chat, jaccard, kneser, langid, mincut, mixing, packing, pii, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with private data replaced by surrogates."""
+    return pii.replace(_table(spark, sf_dir, "documents"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat formatting read back, per conversation, with one conversation of control strings."""
     planted = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), "
@@ -64,8 +69,8 @@ def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_chat": op2_chat, "op3_packing": op3_packing, "op4_jaccard": op4_jaccard, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
+    return {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_packing": op3_packing, "op4_jaccard": op4_jaccard, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.oracle(), "op5_mixing": mixing.ORACLE}
+    return {"op1_pii": op1_pii, "op2_chat": chat.oracle(), "op5_mixing": mixing.ORACLE}
