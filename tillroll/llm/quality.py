@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import SPACE, own_columns, text_of, written
 
 SYMBOLS = "#*$%&|<>"
-#: Bounds of EM: a rule is better than chance and never certain.
-ACCURACY = (0.55, 0.99)
-PRIOR = (0.05, 0.95)
+#: Bounds of EM: no rule is certain, nor is the share of good texts.
+GOOD_ACCURACY, BAD_ACCURACY = (0.6, 0.999), (0.02, 0.99)
+PRIOR = (0.05, 0.99)
 
 
 def _let(value: Column, body) -> Column:
@@ -97,7 +97,7 @@ def rules() -> dict[str, Column]:
         "word_length": _vote(mean, (mean >= 3) & (mean <= 9), (mean < 2) | (mean > 14)),
         "symbols": between(share("n_symbols", "word_chars"), 0.01, 0.08),
         "symbols_per_word": between(share("n_symbols", "n_words"), 0.05, 0.4),
-        "dup_lines": between(share("n_dup_lines", "n_lines"), 0.05, 0.3),
+        "dup_lines": between(share("n_dup_lines", "n_lines"), 0.05, 0.5),
         "repeats": between(share("n_repeat_words", "n_words"), 0.1, 0.4),
         "letters": _vote(letters, letters >= 0.85, letters < 0.7),
         "upper": between(upper, 0.15, 0.5),
@@ -105,43 +105,59 @@ def rules() -> dict[str, Column]:
     }
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], iterations: int = 50) -> tuple[float, list[float]]:
-    """EM over (votes, documents): the share of good texts and each rule's accuracy.
+def fit(patterns: list[tuple[tuple[int, ...], int]], iterations: int = 100) -> tuple[float, list[tuple[float, float]]]:
+    """EM over (votes, documents): the share of good texts, and how accurate each rule is on good and on bad texts.
 
-    A voting rule is right with its accuracy whichever class a text has, and
-    abstains without regard to the class.  No documents: the starting values.
+    A rule that votes is right with an accuracy of its own on either class, as
+    a rule that looks for one fault is rarely wrong when it objects and often
+    when it does not; abstaining says nothing.  No documents: the starting values.
     """
-    clamp = lambda x, b: min(max(x, b[0]), b[1])
     k = len(patterns[0][0]) if patterns else 0
-    prior, accuracy = 0.8, [0.8] * k
+    prior, accuracy = 0.85, [(0.97, 0.4)] * k
     for _ in range(iterations):
-        good = total = 0.0
-        right, voted = [0.0] * k, [0.0] * k
+        weights = [0.0, 0.0]
+        right, voted = [[0.0, 0.0] for _ in range(k)], [[0.0, 0.0] for _ in range(k)]
         for votes, n in patterns:
-            p = _posterior(prior, accuracy, votes)
-            good += n * p
-            total += n
-            for j, v in enumerate(votes):
-                if v:
-                    voted[j] += n
-                    right[j] += n * (p if v > 0 else 1 - p)
-        if not total:
+            good = _posterior(prior, accuracy, votes)
+            for c, share in enumerate((good, 1 - good)):
+                weights[c] += n * share
+                for j, v in enumerate(votes):
+                    if v:
+                        voted[j][c] += n * share
+                        right[j][c] += n * share * (v == (1, -1)[c])
+        if not sum(weights):
             break
-        prior = clamp(good / total, PRIOR)
-        accuracy = [clamp(r / v, ACCURACY) if v else a for r, v, a in zip(right, voted, accuracy)]
+        prior = _clamp(weights[0] / sum(weights), PRIOR)
+        accuracy = [(_clamp((r[0] + 1) / (v[0] + 2), GOOD_ACCURACY), _clamp((r[1] + 1) / (v[1] + 2), BAD_ACCURACY))
+                    for r, v in zip(right, voted)]
+        # A rule is never worse than chance: it objects to bad texts at least as often as to good ones.
+        accuracy = [(a, max(b, 1 - a)) for a, b in accuracy]
     return prior, accuracy
 
 
-def _posterior(prior: float, accuracy: list[float], votes: tuple[int, ...]) -> float:
-    x = math.log(prior / (1 - prior)) + sum(v * math.log(a / (1 - a)) for v, a in zip(votes, accuracy))
+def _clamp(x: float, bounds: tuple[float, float]) -> float:
+    return min(max(x, bounds[0]), bounds[1])
+
+
+def _weights(accuracy: tuple[float, float]) -> tuple[float, float]:
+    """What a good and a bad vote add to the log odds of a good text."""
+    a, b = accuracy
+    return math.log(a / (1 - b)), math.log((1 - a) / b)
+
+
+def _posterior(prior: float, accuracy: list[tuple[float, float]], votes: tuple[int, ...]) -> float:
+    x = math.log(prior / (1 - prior))
+    for a, v in zip(accuracy, votes):
+        x += _weights(a)[0] if v > 0 else _weights(a)[1] if v < 0 else 0.0
     return 1 / (1 + math.exp(-x))
 
 
-def posterior(votes: Mapping[str, Column], prior: float, accuracy: list[float]) -> Column:
+def posterior(votes: Mapping[str, Column], prior: float, accuracy: list[tuple[float, float]]) -> Column:
     """The probability of being good as an expression over the votes."""
     x = F.lit(math.log(prior / (1 - prior)))
     for v, a in zip(votes.values(), accuracy):
-        x = x + v * F.lit(math.log(a / (1 - a)))
+        good, bad = _weights(a)
+        x = x + F.when(v > 0, good).when(v < 0, bad).otherwise(0.0)
     return 1 / (1 + F.exp(-x))
 
 
