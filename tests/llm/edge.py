@@ -1,0 +1,70 @@
+"""Small tables with the awkward rows every operator must take."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, n string, node string, row string, word string"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def prose(seed: int, n: int) -> str:
+    return " ".join(f"w{(seed * 7919 + i * i * 31 + i * seed) % 997}" for i in range(n))
+
+
+def rows() -> list[tuple]:
+    long = prose(3, 30_000)
+    texts = [
+        (1, prose(1, 80), "en", "a"), (2, prose(1, 79) + " changed", "en", "a"), (3, prose(2, 60), "en", "b"),
+        (4, None, "en", "a"), (5, "", "de", None), (6, " \t\n\x0b ", None, "a"), (7, "three short words", "en", "b"),
+        (8, "Three  short\nwords", None, "c"), (9, "éß 中文   �\x00 x", "fr", "b"),
+        (None, prose(5, 55), "en", "a"), (None, None, None, None), (10, prose(2, 60), "en", "a"), (10, prose(2, 60), "en", "a"),
+        (11, "same same same same same same same same", "en", "b"), (12, long, "en", "a"), (13, long + " more", "en", "c"),
+        (14, "12345 67890 --", None, "b"), (15, "one\none\n\none\n", "en", "d"),
+    ]
+    return [(i, t, lang, s, None if t is None else len(t), "x", "x", "x", "x", "x") for i, t, lang, s in texts]
+
+
+def docs(spark):
+    """With extra columns whose names the operators use themselves."""
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def lower(text: str | None) -> str:
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+def shingle_set(text: str | None, k: int = 5) -> frozenset:
+    w = WORDS.findall(lower(text))
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(rows: list[tuple]) -> Counter:
+    """(doc_id, n_shingles, component_id) of (doc_id, text) rows, by comparing through an inverted index."""
+    sets = [shingle_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    inverted = defaultdict(list)
+    for i, s in enumerate(sets):
+        shared = Counter(j for x in s for j in inverted[x])
+        for j, n in shared.items():
+            if 100 * n >= 75 * (len(s) + len(sets[j]) - n):
+                parent[find(i)] = find(j)
+        for x in s:
+            inverted[x].append(i)
+    ids = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        ids[find(i)].append(d)
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in ids.items()}
+    return Counter((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows))

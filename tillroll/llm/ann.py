@@ -218,11 +218,12 @@ def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFra
         if left.num_rows and right.num_rows:
             v = _matrix(right.column("embedding").combine_chunks(), dimension)
             ids = right.column("vec_id").to_numpy()
+            repeated = len(np.unique(ids)) < len(ids)
             asked = left.column("query_id").to_numpy()
             for i, q in zip(asked, _matrix(left.column("query").combine_chunks(), dimension)):
                 d = np.sqrt(((v - q) ** 2).sum(1))
                 d[ids == i] = np.inf
-                if len(d) > 4 * k:
+                if len(d) > 4 * k and not repeated:
                     edge = np.partition(d, k - 1)[k - 1]
                     some = np.flatnonzero(d <= edge)
                 else:
