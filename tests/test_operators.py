@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -46,6 +48,17 @@ def test_dense_key_reuses_the_range_exchange(spark):
     assert "ReusedExchange" in plan or plan.count("rangepartitioning") == 1
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_dense_key_of_a_column_that_is_not_sorted_by(spark, reuse):
+    df = spark.range(0, 50_000, 1, 7).select((F.col("id") * 7919 % 50_000).alias("x"), (F.col("id") * 3).alias("payload"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        keyed = dense_key(df, ["x"], "k", num_partitions=9)
+        assert keyed.filter("k <> x + 1").count() == 0 and keyed.select("k").distinct().count() == 50_000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
 def test_unique_key_is_unique(spark):
     df = spark.range(0, 5000, numPartitions=5)
     keyed = unique_key(df, "fk")
@@ -60,6 +73,28 @@ def test_exact_dedup_keeps_lowest_row_id_and_treats_null_equal(spark):
     assert [(r.row_id, r.x, r.y, r.n) for r in out] == [(1, "b", 2, 1), (3, "a", None, 2), (4, "b", 1, 2)]
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 1))), max_size=30))
+def test_exact_dedup_is_the_first_row_with_null_first(spark, rows):
+    df = spark.createDataFrame(rows, "row_id long, x string, y int")
+    want = {}
+    for r, *key in rows:
+        want.setdefault(tuple(key), []).append((r is not None, r or 0, r))
+    got = {(r.x, r.y): r.row_id for r in drop_exact_duplicates(df, ["x", "y"], "row_id").collect()}
+    assert got == {k: min(v)[2] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_collated_dedup_keeps_the_spelling_of_its_row(spark, order):
+    from tillroll.plans.silver import collated
+
+    rows = [(2, "ann", "Bob "), (1, "ANN", "bob"), (None, "cy", "d"), (3, "CY", "D"), (4, "e", None), (4, "E", None)][::order]
+    df = collated(spark.createDataFrame(rows, "row_id long, x string, y string").repartition(3), "UTF8_LCASE_RTRIM")
+    out = drop_exact_duplicates(df, ["x", "y"], "row_id", count_as="n")
+    assert {(r.row_id, r.x, r.y, r.n) for r in out.collect()} == {(1, "ANN", "bob", 2), (None, "cy", "d", 2), (4, "E", None, 2)}
+    assert out.schema["x"].dataType == df.schema["x"].dataType
+
+
 def test_first_per_key_sorts_null_first(spark):
     rows = [("p1", "WEST"), ("p1", "EAST"), ("p2", None), ("p2", "AAA"), ("p3", "Z")]
     df = spark.createDataFrame(rows, "person_name string, region string")
@@ -77,7 +112,8 @@ def test_lookup_broadcasts_only_proven_small_dims(spark):
     try:
         small = lookup(fact, dim, ["k"], right_rows=10)
         unknown = lookup(fact, dim, ["k"], right_rows=None)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in small._jdf.queryExecution().executedPlan().toString()  # -1 is honoured
+        assert "BroadcastHashJoin" in lookup(fact, dim, ["k"], right_rows=10, limit=10_000)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in unknown._jdf.queryExecution().sparkPlan().toString()
         assert small.count() == 100 and unknown.count() == 100
     finally:

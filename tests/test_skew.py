@@ -66,18 +66,28 @@ def test_hot_duplicate_group_is_collapsed_before_the_shuffle(spark):
 
 
 def test_line_numbers_split_a_hot_order(spark):
-    from tillroll.sources.adapter import number_lines
-    lines = spark.range(3000).select(
+    from tillroll.sources.adapter import _ROW_ORDER, lines_with_orders, number_lines
+
+    lines = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("l_orderkey"),
         (F.col("id") % 5).cast("int").alias("l_linenumber"), F.col("id").alias("l_partkey"),
         F.lit(1).cast("long").alias("l_suppkey"), F.lit(1.0).alias("l_quantity"),
         F.lit(2.0).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.0).alias("l_tax"),
         F.lit(None).cast("timestamp_ntz").alias("l_shipdate"), F.lit("R").alias("l_returnflag"),
-        F.lit("F").alias("l_linestatus"))
-    ranked = number_lines(lines, "ranked")
-    window = number_lines(lines, "window")
-    assert ranked.exceptAll(window).count() == 0 and ranked.count() == 3000
-    hot = ranked.filter("l_orderkey = 7").agg(F.min("_rn"), F.max("_rn")).first()
-    assert (hot[0], hot[1]) == (1, 1001)
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert "Window [row_number()" not in plan
+        F.lit("F").alias("l_linestatus")).select("l_orderkey", *_ROW_ORDER)
+    orders = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+
+    joined = lines_with_orders(lines, orders)
+    window = number_lines(lines).select("l_orderkey", "l_partkey", "_rn")
+    assert joined.select("l_orderkey", "l_partkey", "_rn").exceptAll(window).count() == 0 and joined.count() == 30_000
+    conf = {**SKEW_CONF, "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    largest, plan = _with_conf(spark, conf, lambda: _largest_task(lines_with_orders(lines, orders)))
+    assert "skew=true" in plan and largest < 30_000 / 3
+
+
+def _largest_task(df):
+    counted = df.withColumn("_p", F.spark_partition_id()).select("_p", "_rn")
+    rows = {}
+    for r in counted.collect():
+        rows[r["_p"]] = rows.get(r["_p"], 0) + 1
+    return max(rows.values()), counted._jdf.queryExecution().executedPlan().toString()

@@ -13,23 +13,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _collated(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType) and field.dataType != T.StringType()
 
 
 def drop_exact_duplicates(df: DataFrame, columns: Sequence[str], keep_min: str,
                           count_as: str | None = None) -> DataFrame:
-    """One row per distinct ``columns`` tuple, keeping the lowest ``keep_min``.
+    """One row per distinct ``columns`` tuple, keeping the lowest ``keep_min``, NULL first.
 
     NULLs compare equal, as in PARTITION BY.  Output keeps the input column
-    order.  ``count_as`` adds the number of copies that were merged.
+    order.  ``count_as`` adds the number of copies that were merged.  Columns
+    with a collation group by it, and the row that stays keeps its own
+    spelling throughout: that of the lowest ``keep_min``, then of the lowest
+    text byte by byte.  Without one, equal copies are spelt alike and a plain
+    minimum, which aggregates by hash, suffices.
     """
-    aggs = [F.min(keep_min).alias(keep_min)]
-    if count_as:
-        aggs.append(F.count(F.lit(1)).alias(count_as))
-    out = df.groupBy(*columns).agg(*aggs)
+    extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     ordered = [c for c in df.columns if c == keep_min or c in columns]
-    if count_as:
-        ordered.append(count_as)
-    return out.select(*ordered)
+    if any(_collated(df.schema[c]) for c in columns):
+        spelt = [F.collate(c, "UTF8_BINARY").alias(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
+                 for c in columns]
+        first = F.min(F.struct(F.col(keep_min).isNotNull().alias("nn"), F.col(keep_min), *spelt)).alias("_first")
+        out = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)]).agg(first, *extra)
+        back = [F.col(f"_first.{c}").cast(df.schema[c].dataType).alias(c) for c in ordered]
+        return out.select(*back, *([count_as] if count_as else []))
+    # max(IS NULL) then min: NULL counts as the lowest value, as in an ascending sort.
+    lowest = F.when(~F.max(F.col(keep_min).isNull()), F.min(keep_min)).alias(keep_min)
+    out = df.groupBy(*columns).agg(lowest, *extra)
+    return out.select(*ordered, *([count_as] if count_as else []))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

@@ -11,10 +11,13 @@ would pull the whole table into one task.  Instead:
    each partition's offset by a running sum;
 4. key = offset + position + 1, joined through a broadcast of the offsets.
 
-Both branches read the same range exchange, which Spark executes once and
-reuses, so positions and counts always describe the same partitioning.  The
-result is independent of where the range bounds fall, as long as the sort
-columns give a total order -- callers append tie-breaking columns.
+Positions and counts must describe the same partitioning.  Where the sort
+list names every column, both branches read one range exchange, which Spark
+executes once and reuses.  With further columns the optimizer would prune them
+from the counting branch, and each branch would sample range bounds of its
+own; the partitioning is then pinned by a reliable checkpoint.  The result is
+independent of where the range bounds fall, as long as the sort columns give
+a total order -- callers append tie-breaking columns.
 """
 
 from __future__ import annotations
@@ -61,10 +64,12 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     n = _partitions(df, num_partitions)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     ranged = df.repartitionByRange(n, *order)
-    if str(df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")).lower() == "false":
-        # Without exchange reuse the two branches would each run (and sample)
-        # the range exchange; pin one partitioning in the shared checkpoint
-        # folder instead (a reliable checkpoint, never a local one).
+    named = {c for c in order_by if isinstance(c, str)}
+    reuse = str(df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")).lower() == "true"
+    if not reuse or not set(df.columns) <= named:
+        # The two branches would each run (and sample) a range exchange of
+        # their own; pin one partitioning in the shared checkpoint folder
+        # instead (a reliable checkpoint, never a local one).
         ensure_checkpoint_dir(df.sparkSession)
         ranged = ranged.checkpoint()
     tagged = ranged.sortWithinPartitions(*order).withColumn("_tr_id", F.monotonically_increasing_id())

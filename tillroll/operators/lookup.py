@@ -16,12 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Width estimates per type, in bytes (strings: a conservative average).
+from tillroll.schemas import TEXT_LENGTHS
+
+# Widths per type, in bytes.  Text takes its declared length, at two bytes a
+# character on average, where the model declares one, else 255 characters.
 _TYPE_BYTES = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
     T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.DateType: 4,
-    T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 64,
+    T.TimestampType: 8, T.TimestampNTZType: 8,
 }
+_LENGTHS = {c: n for table in TEXT_LENGTHS.values() for c, n in table.items()}
+_DEFAULT_LENGTH, _CHAR_BYTES = 255, 2
 _ROW_OVERHEAD = 16
 DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 
@@ -32,6 +37,8 @@ def estimated_row_bytes(schema: T.StructType) -> int:
         dtype = field.dataType
         if isinstance(dtype, T.DecimalType):
             total += 8 if dtype.precision <= 18 else 16
+        elif isinstance(dtype, T.StringType):
+            total += _CHAR_BYTES * _LENGTHS.get(field.name, _DEFAULT_LENGTH)
         else:
             total += _TYPE_BYTES.get(type(dtype), 64)
     return total
@@ -52,24 +59,23 @@ def size_in_bytes(text: str) -> int:
 def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
     """Bytes a proven dimension may take to be broadcast.
 
-    The session's ``spark.sql.autoBroadcastJoinThreshold``; when that is
-    disabled (-1) proven-small lookups still use 10 MB, since the switch
-    concerns broadcasts chosen from estimates, not from proven counts.
+    The session's ``spark.sql.autoBroadcastJoinThreshold``; -1 switches
+    broadcasts off here too.
     """
     if limit is not None:
         return limit
     try:
-        value = size_in_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "-1"))
+        return size_in_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
     except ValueError:
-        value = -1
-    return value if value > 0 else DEFAULT_BROADCAST_LIMIT
+        return DEFAULT_BROADCAST_LIMIT
 
 
 def fits_broadcast(df: DataFrame, rows: int | None, limit: int | None = None) -> bool:
     """True when a proven row count times the estimated width is under the limit."""
     if rows is None:
         return False
-    return rows * estimated_row_bytes(df.schema) <= broadcast_limit(df, limit)
+    most = broadcast_limit(df, limit)
+    return most > 0 and rows * estimated_row_bytes(df.schema) <= most
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str] | Column,

@@ -51,8 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The folder is ``spark.checkpoint.dir`` as configured -- the stable root,
     not the per-application sub folder Spark creates inside it, so that runs
     written by one application can be opened by the next.  Only when nothing
-    is configured -- local runs and tests -- a private folder is created and
-    registered.
+    is configured on a local master -- tests, small runs -- a private folder is
+    created and registered; on a cluster that raises, as executors would each
+    write to their own disk.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -68,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     private = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(private)
     return private

@@ -9,10 +9,11 @@ return records).  The same expressions are written as DuckDB SQL in
 :mod:`tillroll.oracle` for the side-by-side check.
 
 Plan shape: ``row_id`` needs each line's position inside its order.  It is
-computed without gathering an order in one task (:func:`number_lines`): a
-global dense rank over (order key, ordering columns) minus the order's first
-rank.  The join that brings the first rank back is keyed by l_orderkey, and
-the join with orders reuses that partitioning.  customer, part, nation and
+computed without gathering an order in one task: a global dense rank over
+(order key, ordering columns) minus the order's first rank.  The first ranks
+are joined to orders -- one row per order on both sides -- and checkpointed;
+the lines then join once, to that table, by a join whose large partitions the
+skew rule splits, since nothing else needs its partitioning.  customer, part, nation and
 region are joined without hints: the planner broadcasts them while their
 files are under the broadcast threshold and uses sort-merge joins beyond it.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.keys import dense_key
 from tillroll.rules import PRODUCT_NAME_OVERRIDES, SilverRules
+from tillroll.session import ensure_checkpoint_dir
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -46,35 +48,34 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     return {name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in DRIVER_TABLES}
 
 
-def number_lines(lineitem: DataFrame, strategy: str = "ranked") -> DataFrame:
-    """Add ``_rn`` = row_number() per l_orderkey in ``_ROW_ORDER`` (NULLs first).
+def number_lines(lineitem: DataFrame) -> DataFrame:
+    """Add ``_rn`` = row_number() per l_orderkey in ``_ROW_ORDER`` by a plain per-order window.
 
-    ``'ranked'`` (default) never gathers an order in one task: the global
-    rank over (l_orderkey, order columns) comes from the range-partitioned
-    dense key, so an order holding a third of all lines spans many tasks;
-    subtracting the order's first rank (a partial aggregate) gives the
-    position inside the order.  ``'window'`` is the plain per-order window,
-    cheaper by one shuffle but bounded by the largest order.
+    The definition that :func:`lines_with_orders` is tested against; its
+    largest task is the largest order.
     """
-    if strategy == "window":
-        w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in _ROW_ORDER])
-        return lineitem.withColumn("_rn", F.row_number().over(w))
-    ranked = dense_key(lineitem, ["l_orderkey", *_ROW_ORDER], "_g")
-    first = ranked.groupBy("l_orderkey").agg(F.min("_g").alias("_g0"))
-    return (ranked.join(first, "l_orderkey")
-                  .select(*lineitem.columns, (F.col("_g") - F.col("_g0") + 1).cast("int").alias("_rn")))
+    w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in _ROW_ORDER])
+    return lineitem.withColumn("_rn", F.row_number().over(w))
+
 
+def lines_with_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Each line with its order's columns and ``_rn``, its position inside the order.
 
-def _lines_with_orders(t: dict[str, DataFrame], strategy: str = "ranked") -> DataFrame:
-    lineitem = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", *[c for c in _ROW_ORDER
-                                    if c not in ("l_partkey", "l_suppkey")])
-    numbered = number_lines(lineitem, strategy)
-    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
-    return numbered.join(orders, numbered.l_orderkey == orders.o_orderkey)
+    An order with a third of all lines spans many tasks throughout: the rank
+    is range-partitioned on all ordering columns, the first rank is a partial
+    aggregate, and the one join of the lines is split where it is skewed.
+    """
+    ranked = dense_key(lineitem, ["l_orderkey", *_ROW_ORDER], "_g")
+    first = ranked.groupBy("l_orderkey").agg(F.min("_g").alias("_g0"))
+    ensure_checkpoint_dir(lineitem.sparkSession)
+    heads = first.join(orders, first.l_orderkey == orders.o_orderkey).drop("l_orderkey").checkpoint()
+    joined = ranked.join(heads, ranked.l_orderkey == heads.o_orderkey)
+    return joined.select(*lineitem.columns, *orders.columns, (F.col("_g") - F.col("_g0") + 1).cast("int").alias("_rn"))
 
 
-def bronze_orders(t: dict[str, DataFrame], row_numbering: str = "ranked") -> DataFrame:
-    lo = _lines_with_orders(t, row_numbering)
+def bronze_orders(t: dict[str, DataFrame]) -> DataFrame:
+    lo = lines_with_orders(t["lineitem"].select("l_orderkey", *_ROW_ORDER),
+                           t["orders"].select("o_orderkey", "o_custkey", "o_orderdate"))
     customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
     region = t["region"].select("r_regionkey", "r_name")
