@@ -127,3 +127,41 @@ def test_create_schemas_reset_drops_contents(spark):
     create_schemas(spark, names=("tillroll_test_reset",), reset=True)
     assert not spark.catalog.tableExists("tillroll_test_reset.v")
     assert spark.catalog.databaseExists("tillroll_test_reset")
+
+
+ORDER = "1,CA-1,{d},2016-01-05,First Class,C-1,Ann,Consumer,US,A,B,1,East,P-1,O,P,{n},10.5,2,0.2,1.25"
+
+
+def test_quoted_cells_are_read_whole(spark, tmp_root):
+    path = _write(tmp_root, "quoted.csv", [HEADER, ORDER.format(d="2016-01-02", n='"Acme 8"" Scissors, Blue"'),
+                                           ORDER.format(d="2016-01-02", n='"two\nlines, and ""more"""')])
+    names = sorted(r.product_name for r in read_landing(spark, "orders", path, multiline=True).collect())
+    assert names == ['Acme 8" Scissors, Blue', 'two\nlines, and "more"']
+    good, rejected = read_tolerant(spark, "orders", path, multiline=True)
+    assert good.count() == 2 and rejected.count() == 0
+
+
+def test_rows_of_the_wrong_width_are_not_lost(spark, tmp_root):
+    path = _write(tmp_root, "ragged.csv", ["Person,Region", "Ann,West", "Cid,East,Extra", "Bob"])
+    with pytest.raises(Exception):
+        read_landing(spark, "people", path).collect()
+    good, rejected = read_tolerant(spark, "people", path)
+    assert [tuple(r) for r in good.collect()] == [("Ann", "West")]
+    assert sorted((r.failed_columns, r.raw_line) for r in rejected.collect()) == [
+        ("_corrupt_record", "Bob"), ("_corrupt_record", "Cid,East,Extra")]
+
+
+def test_json_names_must_be_the_declared_ones(spark, tmp_root):
+    path = _write(tmp_root, "wrong.json", ['{"Person": "Ann", "Region": "West"}'])
+    for read in (read_landing, read_tolerant):
+        with pytest.raises(SchemaMismatchError):
+            read(spark, "people", path, fmt="json")
+
+
+def test_date_format(spark, tmp_root):
+    path = _write(tmp_root, "us.csv", [HEADER, ORDER.format(d="11/8/2016", n="x").replace("2016-01-05", "11/11/2016")])
+    row = read_landing(spark, "orders", path, date_format="M/d/yyyy").first()
+    assert (row.order_date, row.ship_date) == (dt.date(2016, 11, 8), dt.date(2016, 11, 11))
+    good, rejected = read_tolerant(spark, "orders", path)
+    assert good.count() == 0 and rejected.first().failed_columns == "order_date,ship_date"
+    assert read_tolerant(spark, "orders", path, date_format="M/d/yyyy")[0].count() == 1

@@ -42,6 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--on-error", default="fail", choices=["fail", "continue"])
     run.add_argument("--on-overlong", default="warn", choices=["warn", "fail", "ignore"])
     run.add_argument("--collation", default=None)
+    run.add_argument("--date-format", default=None, help="dates of text sources, e.g. M/d/yyyy (default: ISO)")
+    run.add_argument("--multiline", action="store_true", help="quoted CSV cells may hold line breaks (one task per file)")
     run.add_argument("--tolerant", action="store_true")
     run.add_argument("--truncate-overlong", action="store_true",
                      help="with --tolerant: cut text to its declared length instead of keeping it whole")
@@ -60,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         df.orderBy(*order).show(args.rows, truncate=False)
         return 0
 
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(levelname)s - %(message)s")
+    logging.basicConfig(level=logging.INFO)
     spark = get_session(args.master)
     sources = {"orders": args.orders, "people": args.people, "returns_order": args.returns}
     bronze = {}
@@ -69,13 +71,15 @@ def main(argv: list[str] | None = None) -> int:
         if args.tolerant:
             # Parse the source once: write the tagged rows, split the written copy.
             tagged = tolerant_tagged(spark, table, path, args.format,
-                                     truncate_overlong=args.truncate_overlong)
+                                     truncate_overlong=args.truncate_overlong, date_format=args.date_format,
+                                     multiline=args.multiline)
             write_table(tagged, f"{staging}/{table}")
             good, rejected = split_tagged(spark.read.parquet(f"{staging}/{table}"), table)
             bronze[table] = good
             bronze[f"{table}_rejected"] = rejected
         else:
-            bronze[table] = read_landing(spark, table, path, args.format)
+            bronze[table] = read_landing(spark, table, path, args.format, date_format=args.date_format,
+                                         multiline=args.multiline)
     wh = run_pipeline(spark, bronze, root=args.root, date_range=(args.start, args.end),
                       dedupe=args.dedupe, on_unmatched=args.on_unmatched, on_error=args.on_error,
                       collation=args.collation, on_overlong=args.on_overlong, publish=True)
