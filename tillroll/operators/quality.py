@@ -74,13 +74,3 @@ def natural_key_report(dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> D
         parts.append(duplicate_keys(df, keys).select(
             F.lit(name).alias("dim_name"), key_text.alias("natural_key"), F.col("n_rows")))
     return reduce(DataFrame.unionByName, parts)
-
-
-def enforce(name: str, offending: int, policy: str) -> str | None:
-    """Apply a fail / warn policy to a count; return a warning text or raise."""
-    if offending == 0:
-        return None
-    message = f"{name}: {offending} offending rows"
-    if policy == "fail":
-        raise DataQualityError(message)
-    return message

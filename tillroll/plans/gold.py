@@ -52,18 +52,17 @@ def date_range_days(start: dt.date, end: dt.date) -> int:
     return max((end - start).days + 1, 1)
 
 
-def data_date_range(silver_orders: DataFrame) -> tuple[dt.date, dt.date]:
-    """Whole calendar years spanning every order and ship date of the data.
+def date_bounds() -> list:
+    """The first and last of all order and ship dates, as aggregates to observe while silver is written."""
+    return [F.min(F.least("order_date", "ship_date")).alias("first_date"),
+            F.max(F.greatest("order_date", "ship_date")).alias("last_date")]
 
-    One aggregate over two columns; only its two values reach the driver.
-    Falls back to the default range when there are no dates.
-    """
-    bounds = silver_orders.agg(
-        F.min(F.least("order_date", "ship_date")).alias("lo"),
-        F.max(F.greatest("order_date", "ship_date")).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
+
+def whole_years(first: dt.date | None, last: dt.date | None) -> tuple[dt.date, dt.date]:
+    """The calendar years that the dates span; the default range where there are none."""
+    if first is None or last is None:
         return DEFAULT_DATE_RANGE
-    return dt.date(bounds["lo"].year, 1, 1), dt.date(bounds["hi"].year, 12, 31)
+    return dt.date(first.year, 1, 1), dt.date(last.year, 12, 31)
 
 
 def dim_date(spark: SparkSession, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
@@ -117,14 +116,6 @@ def dim_sales_person(silver_people: DataFrame, num_partitions: int | None = None
     return dense_key(base, ["person_name", "region"], "sales_person_key", num_partitions)
 
 
-def build_dimensions(silver: dict[str, DataFrame], dedupe: str = "distinct",
-                     num_partitions: int | None = None) -> dict[str, DataFrame]:
-    dims = {name: dimension(silver["orders"], name, dedupe, num_partitions)
-            for name in ["dim_customer", "dim_product", "dim_location", "dim_ship_mode"]}
-    dims["dim_sales_person"] = dim_sales_person(silver["people"], num_partitions)
-    return dims
-
-
 def fact_sales(silver_orders: DataFrame, silver_returns: DataFrame, dim_date_df: DataFrame,
                dims: dict[str, DataFrame], rows: dict | None = None,
                broadcast_limit: int | None = None) -> DataFrame:
@@ -173,16 +164,3 @@ def fact_sales(silver_orders: DataFrame, silver_returns: DataFrame, dim_date_df:
         F.when(F.col("_returned").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("is_returned"),  # P10
     )
     return unique_key(out, "fact_key").select(*FACT_COLUMNS)                          # A8
-
-
-def build_gold(spark: SparkSession, silver: dict[str, DataFrame],
-               date_range: tuple[dt.date, dt.date] | None = None,
-               dedupe: str = "distinct", num_partitions: int | None = None) -> Gold:
-    """Lazy gold layer (no writes); see :mod:`tillroll.plans.pipeline` for the
-    materialised build that writes dimensions before the fact."""
-    start, end = date_range or DEFAULT_DATE_RANGE
-    dd = dim_date(spark, start, end)
-    dims = build_dimensions(silver, dedupe, num_partitions)
-    rows = {"dim_date": date_range_days(start, end)}
-    fact = fact_sales(silver["orders"], silver["returns_order"], dd, dims, rows)
-    return Gold(dim_date=dd, fact_sales=fact, rows=rows, **dims)

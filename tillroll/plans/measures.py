@@ -7,7 +7,7 @@ date dimension plays two roles (J15): ``date_role='order'`` uses the order
 date key, ``'ship'`` the ship date key.  Joins are left joins, so fact rows
 without a member fall into a NULL group rather than disappearing.
 
-All measures of one call are evaluated by a single ``groupBy().agg()``.
+The fact is scanned and joined once per call, whatever the measures.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.arithmetic import RESULT_DECIMAL
-from tillroll.operators.lookup import fits_broadcast, lookup, order_date_lookup
+from tillroll.operators.lookup import lookup, order_date_lookup
 from tillroll.plans.gold import Gold
 from tillroll.rules import ON_TIME_MAX_DAYS
 
@@ -48,16 +48,16 @@ MEASURE_NAMES = [
 ]
 
 
-def _order_level(f: DataFrame, by: Sequence[str], on_time_max_days: int) -> DataFrame:
-    """Level 1: one row per (group, order) with additive partial sums.
+# Measures that need no distinct count: plain sums and counts of lines.
+ADDITIVE = {"total_sales", "total_profit", "profit_margin", "average_unit_price", "average_shipping_days",
+            "total_quantity", "average_discount", "total_returned_orders"}
+CUSTOMER_MEASURES = {"total_customers", "clv"}
 
-    Every order-based distinct count becomes a count or sum of these rows.
-    The aggregate is partial on the map side, so a group or an order
-    holding a third of all rows shrinks to one row per task before the
-    shuffle.
-    """
+
+def _partial_sums(on_time_max_days: int) -> list[Column]:
+    """Additive sums of lines, which add up again over any finer grouping."""
     on_time = F.coalesce((F.col("days_to_ship") <= on_time_max_days).cast("int"), F.lit(0))
-    return f.groupBy(*by, "order_id").agg(
+    return [
         F.sum("sales").alias("_sales"),
         F.sum("profit").alias("_profit"),
         F.sum("quantity").alias("_quantity"),
@@ -68,22 +68,28 @@ def _order_level(f: DataFrame, by: Sequence[str], on_time_max_days: int) -> Data
         F.max(F.col("is_returned").cast("int")).alias("_returned_any"),
         F.max(on_time).alias("_on_time_any"),
         F.min(on_time).alias("_on_time_all"),
-    )
+    ]
 
 
-def _final_exprs(numeric: str, horizon: float, order_rule: str) -> dict[str, Column]:
-    """Level 2: the fifteen measures over the unioned level-1 rows."""
+def _final_exprs(numeric: str, horizon: float, order_rule: str, distinct_orders: bool) -> dict[str, Column]:
+    """The fifteen measures over rows of partial sums.
+
+    ``distinct_orders``: an order may have several rows (one per customer), so
+    orders are counted distinct; otherwise a row is an order.
+    """
     as_num = (lambda c: c.cast("double")) if numeric == "double" else (lambda c: c)
-    is_order = F.col("order_id").isNotNull()
     sales = as_num(F.sum("_sales"))
     profit = as_num(F.sum("_profit"))
-    orders = F.count("order_id")                                   # distinct orders
-    customers = F.count("_customer_id")                            # distinct customers
-    returned = F.sum(F.when(is_order, F.col("_returned_any"))).cast("long")
-    on_time = F.sum(F.when(is_order, F.col("_on_time_all" if order_rule == "all" else "_on_time_any"))).cast("long")
 
-    def zero_if_null(c: Column) -> Column:
-        return F.coalesce(c, F.lit(0).cast("long"))
+    def orders_where(condition: Column | None = None) -> Column:
+        order = F.col("order_id") if condition is None else F.when(condition, F.col("order_id"))
+        return F.count_distinct(order) if distinct_orders else F.count(order)
+
+    orders = orders_where()
+    customers = F.count_distinct("_customer_id")
+    returned = orders_where(F.col("_returned_any") == 1)
+    # All lines on time: the orders less those with a line that is not.
+    on_time = orders - orders_where(F.col("_on_time_all") == 0) if order_rule == "all" else orders_where(F.col("_on_time_any") == 1)
 
     def ratio(num: Column, den: Column) -> Column:
         out = num / F.nullif(den, F.lit(0))
@@ -105,16 +111,16 @@ def _final_exprs(numeric: str, horizon: float, order_rule: str) -> dict[str, Col
         "profit_margin": ratio(profit, sales),                                  # M3
         "total_orders": orders,                                                 # M4
         "total_customers": customers,                                           # M5
-        "total_returned": zero_if_null(returned),                               # M6
+        "total_returned": returned,                                             # M6
         "clv": clv,                                                             # M7
-        "return_rate": zero_if_null(returned) / F.nullif(orders, F.lit(0)),     # M8
+        "return_rate": returned / F.nullif(orders, F.lit(0)),                   # M8
         "average_order_value": ratio(sales, orders),                            # M9
         "average_unit_price": mean("_unit_price_sum", "_unit_price_n"),         # M10
         "average_shipping_days": F.sum("_days_sum").cast("double")
                                  / F.nullif(F.sum("_days_n"), F.lit(0)),        # M11
         "total_quantity": F.sum("_quantity").cast("long"),                      # M12
         "average_discount": mean("_discount_sum", "_discount_n"),               # M13
-        "on_time_delivery_pct": zero_if_null(on_time) / F.nullif(orders, F.lit(0)),  # M14
+        "on_time_delivery_pct": on_time / F.nullif(orders, F.lit(0)),           # M14
         "total_returned_orders": F.sum("_returned_lines").cast("long"),         # M15
     }
 
@@ -151,47 +157,59 @@ def measures(gold: Gold, by: Sequence[str] = (), where: str | Column | None = No
     (unspecified by the source, default 1); ``order_rule`` says whether an
     order is on time when any (default) or all of its lines are.
 
-    Plan: the four distinct counts (orders, customers, returned orders,
-    on-time orders) are not written as COUNT(DISTINCT ...), which Spark
-    would evaluate by expanding every row once per distinct expression.
-    Instead the filtered fact is aggregated per (group, order) and, when
-    customers are asked for, per (group, customer); the two row sets are
-    unioned and one aggregate counts and sums them.  No row is expanded,
-    no distinct is planned, and every stage aggregates partially before
-    its shuffle.
+    Plan: lines are summed once, to the finest grouping that the measures ask
+    for, with a partial aggregate before the shuffle:
+
+    * additive measures alone need no order: the sums go straight to ``by``,
+      one exchange;
+    * order measures sum to (by, order), where an order is one row and counts
+      are plain;
+    * customer measures sum to (by, order, customer), and the distinct counts
+      run over these rows, of which there are about as many as orders.
     """
     names = list(names or MEASURE_NAMES)
-    exprs = _final_exprs(numeric, horizon, order_rule)
-    unknown = [n for n in names if n not in exprs]
+    unknown = [n for n in names if n not in MEASURE_NAMES]
     if unknown:
         raise ValueError(f"unknown measures: {unknown}")
     by = list(by)
     attributes = by + list(filter_attributes)
-    customer_attrs = set(RELATIONSHIPS["customer_key"][1].values())
-    wants_customers = "total_customers" in names or "clv" in names
-    joins_customer = bool(customer_attrs & set(attributes))
-    if wants_customers and joins_customer and "customer_id" not in attributes:
-        attributes.append("customer_id")      # ride along the customer join already planned
+    wants_customers = bool(CUSTOMER_MEASURES & set(names))
+    if wants_customers and "customer_id" not in attributes:
+        attributes.append("customer_id")
     f = enriched_fact(gold, attributes, date_role)
     if where is not None:
         f = f.filter(where)
-    level = _order_level(f, by, on_time_max_days).withColumn("_customer_id", F.lit(None).cast("string"))
-    if wants_customers and joins_customer:
-        per_customer = f.select(*by, F.col("customer_id").alias("_customer_id")).distinct()
-        level = level.unionByName(per_customer, allowMissingColumns=True)
+    sums = _partial_sums(on_time_max_days)
+    if set(names) <= ADDITIVE:
+        level = None
+        exprs = _direct(numeric)
     elif wants_customers:
-        # Distinct customers per group: aggregate by surrogate key first,
-        # map keys to customer ids (one row per group and key), dedupe ids.
-        dim = gold.dim_customer.select("customer_key", "customer_id")
-        dim_rows = gold.rows.get("dim_customer")
-        if fits_broadcast(dim, dim_rows):
-            # Small dimension: map-side lookup, then one distinct.
-            ids = lookup(f.select(*by, "customer_key"), dim, ["customer_key"], "inner", dim_rows)
-        else:
-            # Large dimension: shrink the fact to (group, key) before the join.
-            per_key = f.select(*by, "customer_key").distinct()
-            ids = lookup(per_key, dim, ["customer_key"], "inner", dim_rows)
-        per_customer = ids.select(*by, F.col("customer_id").alias("_customer_id")).distinct()
-        level = level.unionByName(per_customer, allowMissingColumns=True)
+        level = f.withColumn("_customer_id", F.col("customer_id")).groupBy(*by, "order_id", "_customer_id").agg(*sums)
+        exprs = _final_exprs(numeric, horizon, order_rule, distinct_orders=True)
+    else:
+        level = f.groupBy(*by, "order_id").agg(*sums)
+        exprs = _final_exprs(numeric, horizon, order_rule, distinct_orders=False)
+    rows = f if level is None else level
     aggs = [exprs[n].alias(n) for n in names]
-    return level.groupBy(*by).agg(*aggs) if by else level.agg(*aggs)
+    return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
+
+
+def _direct(numeric: str) -> dict[str, Column]:
+    """The additive measures over the lines themselves."""
+    def total(c: str) -> Column:
+        return F.sum(c).cast("double") if numeric == "double" else F.sum(c)
+
+    def ratio(num: Column, den: Column) -> Column:
+        out = num / F.nullif(den, F.lit(0))
+        return out if numeric == "double" else out.cast(RESULT_DECIMAL)
+
+    return {
+        "total_sales": total("sales"),
+        "total_profit": total("profit"),
+        "profit_margin": ratio(total("profit"), total("sales")),
+        "average_unit_price": ratio(total("unit_price"), F.count("unit_price")),
+        "average_shipping_days": F.sum("days_to_ship").cast("double") / F.nullif(F.count("days_to_ship"), F.lit(0)),
+        "total_quantity": F.sum("quantity").cast("long"),
+        "average_discount": ratio(total("discount"), F.count("discount")),
+        "total_returned_orders": F.sum(F.col("is_returned").cast("int")).cast("long"),
+    }

@@ -98,7 +98,7 @@ class _Runner:
         try:
             result, rows = fn()
         except Exception as exc:  # R4: record, then stop or continue
-            self.steps.append(StepResult(name, "failed", None, time.perf_counter() - start, str(exc)[:2000]))
+            self.steps.append(StepResult(name, "failed", None, time.perf_counter() - start, str(exc)))
             self.failed.add(name)
             log.error("step %s failed: %s", name, exc)
             if self.on_error == "fail":
@@ -167,7 +167,7 @@ def run_pipeline(
 
     ``on_unmatched``: 'fail' (default) raises when a required fact key is
     missing, 'warn' records a warning, 'quarantine' sets those rows aside in
-    ``gold/fact_sales_quarantine``.  ``on_error``: 'fail' stops at the first
+    a partition of ``gold/fact_sales`` that readers leave out.  ``on_error``: 'fail' stops at the first
     failing step, 'continue' records it and skips its dependants.
     ``collation`` (e.g. 'UTF8_LCASE_RTRIM') makes every text comparison of
     silver and gold follow it, as a case-insensitive server collation would.
@@ -209,6 +209,7 @@ def run_pipeline(
 
     # -- silver (R1) -------------------------------------------------------------
     silver_rows: dict[str, int] = {}
+    observed: dict = {}
     if not all(wh.bronze.get(n) is not None for n in ("orders", "people", "returns_order")):
         runner.skip("silver", ["silver.orders", "silver.people", "silver.returns_order"])
     else:
@@ -216,8 +217,12 @@ def run_pipeline(
 
         def clean(name, df):
             def run():
-                out, m = runner.persist("silver", name, df)
+                # The date range is observed while writing (no second pass).
+                bounds = gold_plan.date_bounds() if name == "orders" and derive_range else None
+                out, m = runner.persist("silver", name, df, extra_metrics=bounds)
                 silver_rows[name] = m["rows"]
+                if bounds:
+                    observed.update(m)
                 return out, m["rows"]
             return run
         cleaned = runner.group("silver", [(f"silver.{n}", clean(n, df), [f"bronze.{n}"]) for n, df in built.items()])
@@ -225,7 +230,7 @@ def run_pipeline(
 
     # -- gold dimensions (R2) ------------------------------------------------------
     if derive_range and wh.silver.get("orders") is not None:
-        start, end = gold_plan.data_date_range(wh.silver["orders"])
+        start, end = gold_plan.whole_years(observed["first_date"], observed["last_date"])
     rows: dict[str, int] = {"dim_date": gold_plan.date_range_days(start, end)}
     if "returns_order" in silver_rows:
         rows["silver_returns_order"] = silver_rows["returns_order"]
@@ -276,23 +281,24 @@ def run_pipeline(
                                     rows, broadcast_limit)
         checks = [F.count_if(any_null(FACT_NOT_NULL)).alias("missing"),
                   *null_count_columns(FACT_NOT_NULL)]
-        target = "_staging_fact_sales" if on_unmatched == "quarantine" else "fact_sales"
-        out, m = runner.persist("gold", target, fact_layout(fact), partition_by=["order_year"],
-                                extra_metrics=checks)
+        # One write: set-aside rows go to a partition of their own.
+        parts = ["order_year"]
+        laid_out = fact_layout(fact)
+        if on_unmatched == "quarantine":
+            laid_out, parts = laid_out.withColumn("_quarantined", any_null(FACT_NOT_NULL)), ["_quarantined", *parts]
+        out, m = runner.persist("gold", "fact_sales", laid_out, partition_by=parts, extra_metrics=checks)
         if m["missing"]:
             detail = ", ".join(f"{k}={m['null_' + k]}" for k in FACT_NOT_NULL if m["null_" + k])
             message = f"fact_sales: {m['missing']} rows with missing required columns (unmatched dimension keys or no order id) ({detail})"
             if on_unmatched == "fail":
                 raise DataQualityError(message)
             wh.warnings.append(message)
+        kept = m["rows"]
         if on_unmatched == "quarantine":
-            bad = any_null(FACT_NOT_NULL)
-            wh.quarantine, _ = runner.persist("gold", "fact_sales_quarantine", out.filter(bad))
-            out, good = runner.persist("gold", "fact_sales", out.filter(~bad), partition_by=["order_year"])
-            rows["fact_sales"] = good["rows"]
-            return out, good["rows"]
-        rows["fact_sales"] = m["rows"]
-        return out, m["rows"]
+            wh.quarantine = out.filter("_quarantined").drop("_quarantined")
+            out, kept = out.filter("NOT _quarantined").drop("_quarantined"), m["rows"] - m["missing"]
+        rows["fact_sales"] = kept
+        return out, kept
     fact = runner.group("gold_fact", [("gold.fact_sales", build_fact, fact_deps)])[0]
 
     if fact is not None:
@@ -336,4 +342,6 @@ def open_published(spark: SparkSession, root: str | None = None) -> Gold:
     run = record["run"]
     tables = {name: spark.read.parquet(f"{run}/gold/{name}")
               for name in ["dim_date", *gold_plan.DIMENSION_NAMES, "fact_sales"]}
+    if "_quarantined" in tables["fact_sales"].columns:
+        tables["fact_sales"] = tables["fact_sales"].filter("NOT _quarantined").drop("_quarantined")
     return Gold(rows=record["rows"], **tables)
