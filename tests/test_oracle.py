@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 from tests.conftest import sf_dir
+from tillroll.oracle import oracle_sql
+from tillroll.plans.registry import queries
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF = os.environ.get("TILLROLL_ORACLE_SF", "0.001")
@@ -48,14 +50,15 @@ def _normalise(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(ENTRY.queries()) == set(ENTRY.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(ENTRY.queries()) and set(oracle_sql()) <= set(ENTRY.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(ENTRY.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = ENTRY.queries()[name](spark, sf_dir(SF))
+    df = queries()[name](spark, sf_dir(SF))
     got = df.collect()
-    cur = duck.execute(ENTRY.oracle_sql()[name])
+    cur = duck.execute(oracle_sql()[name])
     expected = cur.fetchall()
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
@@ -67,3 +70,25 @@ def test_entry_runs(spark):
     df = ENTRY.entry(spark)
     assert df.count() > 0
     assert "total_orders" in df.columns
+
+
+def test_a_wrong_rule_value_turns_rows_red(spark, duck):
+    from tillroll.plans import silver
+    from tillroll.plans.registry import comparable, warehouse_for
+    from tillroll.sources.adapter import FIXTURE_RULES
+
+    wrong = FIXTURE_RULES.extended(order_date_overrides={"O-100": __import__("datetime").date(1999, 1, 1)})
+    bronze = warehouse_for(spark, sf_dir(SF)).bronze
+    got = comparable(silver.silver_orders(bronze["orders"], wrong, load_stamp=False))
+    cur = duck.execute(oracle_sql()["silver_orders_clean"])
+    expected, cols = cur.fetchall(), [d[0] for d in cur.description]
+    assert _normalise([tuple(r) for r in got.collect()], got.columns) != _normalise(expected, cols)
+
+
+def test_planted_cases_are_there(spark):
+    wh = {n: queries()[n](spark, sf_dir(SF)).collect() for n in (
+        "fact_quarantine", "dq_duplicate_natural_keys", "dq_text_lengths", "dq_key_uniqueness", "dq_unmatched_keys", "dq_optional_keys")}
+    assert wh["fact_quarantine"] and wh["dq_unmatched_keys"][0].null_location_key > 0
+    assert {r.dim_name for r in wh["dq_duplicate_natural_keys"]} >= {"dim_customer", "dim_location", "dim_sales_person"}
+    assert any(r.n_too_long for r in wh["dq_text_lengths"]) and any(r.n_duplicate_keys for r in wh["dq_key_uniqueness"])
+    assert wh["dq_optional_keys"][0].null_sales_person_key > 0

@@ -1,426 +1,346 @@
 """DuckDB SQL for the side-by-side correctness check.
 
-Each registered query has an equivalent SQL statement over the raw driver
-tables.  The layers are restated as CTEs, written the way the original
-warehouse states them (ROW_NUMBER dedup, DISTINCT dimensions numbered by
-ROW_NUMBER, left-join fact), independent of the Spark plans.
-
-Conventions shared with :func:`comparable` on the Spark side: DATE columns
-are compared as ISO text and DECIMAL columns as DOUBLE; sums are exact
-decimals cast to DOUBLE before any division; NULLs sort first.
-DuckDB divides decimals in DOUBLE, so the two DECIMAL(10,4) divisions of
-the fact are done on unscaled integers with half-up rounding, which is what
-Spark's decimal division and cast do.
+Every registered query has a statement over the raw driver tables, built from
+this library's model: the tables' declared columns, the dimensions' keys and
+the relationships give select lists and joins.  Nothing is taken from the
+Spark plans or from the cleansing rules: rule values, text lengths and labels
+stand here as literals, so that a wrong value on either side turns a row red.
+
+Conventions shared with :func:`tillroll.plans.registry.comparable`: dates are
+compared as ISO text and decimals as doubles; sums are exact decimals, cast to
+double before any division; NULL sorts first.  DuckDB divides decimals in
+double, so the fact's two DECIMAL(10,4) quotients are taken on unscaled
+integers and rounded half up.
 """
 
 from __future__ import annotations
 
-from tillroll.schemas import BRONZE_ORDERS, TEXT_LENGTHS
-from tillroll.sources.adapter import FIXTURE_RULES
-
-_R = FIXTURE_RULES
-
-
-def _q(s: str) -> str:
-    return "'" + str(s).replace("'", "''") + "'"
-
-
-def _case(column: str, mapping: dict, otherwise: str, value_sql=_q) -> str:
-    if not mapping:
-        return otherwise
-    whens = " ".join(f"WHEN {column} = {_q(k)} THEN {value_sql(v)}" for k, v in mapping.items())
-    return f"CASE {whens} ELSE {otherwise} END"
-
-
-_ORDER_DATE = _case("b.order_id", _R.order_date_overrides, "b.order_date",
-                    lambda d: f"DATE '{d.isoformat()}'")
-_COUNTRY = _case("b.country_region", _R.country_fixes, "b.country_region")
-_POSTAL = ("CASE " + " ".join(
-    f"WHEN b.city = {_q(c)} AND b.state = {_q(s)} THEN {_q(v)}"
-    for (c, s), v in _R.postal_code_fixes.items()) + " ELSE b.postal_code END")
-_PRODUCT = _case("b.product_id", _R.product_name_overrides,
-                 f"replace(b.product_name, {_q(_R.product_name_search)}, {_q(_R.product_name_replacement)})")
-_INVALID_MODES = ", ".join(_q(m) for m in _R.invalid_ship_modes)
-_DAYS = "date_diff('day', b.order_date, b.ship_date)"
-_SHIP_MODE = (f"CASE WHEN b.ship_mode IS NULL OR b.ship_mode NOT IN ({_INVALID_MODES}) THEN b.ship_mode "
-              f"WHEN {_DAYS} <= {_R.same_day_max_days} THEN {_q(_R.same_day_label)} "
-              f"WHEN {_DAYS} >= {_R.standard_class_days[0]} AND {_DAYS} <= {_R.standard_class_days[1]} "
-              f"THEN {_q(_R.standard_class_label)} ELSE {_q(_R.unknown_label)} END")
-
-_DEDUP_COLS = ("order_id, order_date, ship_date, ship_mode, customer_id, customer_name, segment, "
-               "country_region, city, state, postal_code, region, product_id, category, sub_category, "
-               "product_name, sales, quantity, discount, profit")
-_ROW_ORDER = ", ".join(f"{c} NULLS FIRST" for c in [
-    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-    "l_tax", "l_shipdate", "l_returnflag", "l_linestatus"])
-
-
-def _half_up_div(num: str, den: str, scale_up: int) -> str:
-    """round_half_up(num * 10^scale_up / den) on integers, as DECIMAL(38,4)."""
-    n = f"(CAST({num} AS HUGEINT) * {10 ** scale_up})"
-    d = f"CAST({den} AS HUGEINT)"
-    q = f"((abs({n}) * 2 + abs({d})) // (2 * abs({d})))"
-    return f"(CAST(sign({n}) * sign({d}) * {q} AS DECIMAL(38,0)) * CAST(0.0001 AS DECIMAL(5,4)))"
-
-
-CTES = {
-    "li": f"""li AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ROW_ORDER}) AS rn FROM lineitem)""",
-    "b_rows": """b_rows AS (
-  SELECT CAST(li.l_orderkey * 1000 + li.rn AS BIGINT) AS row_id,
-    'O-' || CAST(o.o_orderkey AS VARCHAR) AS order_id,
-    CAST(o.o_orderdate AS DATE) AS order_date,
-    CAST(o.o_orderdate AS DATE) + CAST((o.o_orderkey + li.l_linenumber) % 9 AS INTEGER) AS ship_date,
-    CASE WHEN li.l_partkey % 50 = 0 THEN 'null' WHEN li.l_partkey % 50 = 1 THEN '0'
-         WHEN li.l_partkey % 50 = 2 THEN NULL
-         ELSE CASE o.o_orderkey % 4 WHEN 0 THEN 'First Class' WHEN 1 THEN 'Second Class'
-                   WHEN 2 THEN 'Standard Class' ELSE 'Same Day' END END AS ship_mode,
-    'C-' || CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS customer_name,
-    c.c_mktsegment AS segment,
-    CASE WHEN li.l_suppkey % 40 = 0 THEN '123' ELSE 'United States' END AS country_region,
-    n.n_name AS city, r.r_name AS state,
-    CASE WHEN n.n_nationkey = 7 THEN NULL ELSE lpad(CAST(n.n_nationkey AS VARCHAR), 5, '0') END AS postal_code,
-    r.r_name AS region,
-    'P-' || CAST(p.p_partkey AS VARCHAR) AS product_id, p.p_brand AS category, p.p_type AS sub_category,
-    CASE WHEN p.p_partkey % 3 = 0 THEN replace(p.p_name, ' ', '  ') ELSE p.p_name END AS product_name,
-    CAST(li.l_extendedprice AS DECIMAL(10,4)) AS sales,
-    CAST(li.l_quantity AS INTEGER) AS quantity,
-    CAST(li.l_discount AS DECIMAL(5,4)) AS discount,
-    CAST(CAST(li.l_extendedprice AS DECIMAL(10,4))
-         * (CAST(0.05 AS DECIMAL(5,4)) - CAST(li.l_discount AS DECIMAL(5,4))) AS DECIMAL(10,4)) AS profit,
-    li.l_orderkey AS ok
-  FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
-  JOIN part p ON li.l_partkey = p.p_partkey)""",
-    "bronze_orders": """bronze_orders AS (
-  SELECT * EXCLUDE (ok) FROM b_rows
-  UNION ALL
-  SELECT row_id + 500 AS row_id, * EXCLUDE (row_id, ok) FROM b_rows WHERE ok % 100 = 0)""",
-    "bronze_people": """bronze_people AS (
-  SELECT 'Rep ' || r_name AS person_name, r_name AS region FROM region
-  UNION ALL
-  SELECT 'Rep ' || r_name AS person_name, 'ZZZ' AS region FROM region WHERE r_name = 'AFRICA')""",
-    "bronze_returns": """bronze_returns AS (
-  SELECT 'Yes' AS returned, 'O-' || CAST(o.o_orderkey AS VARCHAR) AS order_id
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_returnflag = 'R' AND o.o_orderkey % 10 = 0)""",
-    "bronze_ranked": f"""bronze_ranked AS (
-  SELECT *, count(*) OVER copies AS n_copies FROM bronze_orders
-  WINDOW copies AS (PARTITION BY {_DEDUP_COLS})
-  QUALIFY row_number() OVER (copies ORDER BY row_id) = 1)""",
-    "silver_orders": f"""silver_orders AS (
-  SELECT b.row_id, b.order_id, {_ORDER_DATE} AS order_date, b.ship_date,
-    {_SHIP_MODE} AS ship_mode,
-    b.customer_id, b.customer_name, b.segment, {_COUNTRY} AS country_region,
-    b.city, b.state, {_POSTAL} AS postal_code, b.region, b.product_id, b.category,
-    b.sub_category, {_PRODUCT} AS product_name, b.sales, b.quantity,
-    CAST(b.discount AS DECIMAL(3,2)) AS discount, b.profit
-  FROM bronze_ranked b)""",
-    "silver_people": """silver_people AS (
-  SELECT person_name, region FROM bronze_people
-  QUALIFY row_number() OVER (PARTITION BY person_name ORDER BY region ASC NULLS FIRST) = 1)""",
-    "silver_returns": """silver_returns AS (
-  SELECT returned, order_id FROM bronze_returns
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY returned ASC NULLS FIRST) = 1)""",
-    "dim_date": f"""dim_date AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
-    CAST(year(d) AS INTEGER) AS year, 'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_name,
-    CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, left(monthname(d), 3) AS month_short,
-    left(monthname(d), 3) || ' ' || CAST(year(d) AS VARCHAR) AS month_year_label,
-    CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(day(d) AS INTEGER) AS day_of_month,
-    CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, dayname(d) AS day_name,
-    left(dayname(d), 3) AS day_short,
-    CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
-    CASE WHEN dayofweek(d) IN (0, 6) THEN 0 ELSE 1 END AS is_business_day,
-    CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
-         WHEN month(d) IN (6, 7, 8) THEN 'Summer' WHEN month(d) IN (9, 10, 11) THEN 'Fall' END AS season
-  FROM (SELECT CAST(unnest(generate_series(
-                 make_date(CAST(year(min(least(order_date, ship_date))) AS BIGINT), 1, 1),
-                 make_date(CAST(year(max(greatest(order_date, ship_date))) AS BIGINT), 12, 31),
-                 INTERVAL 1 DAY)) AS DATE) AS d
-        FROM silver_orders))""",
-    "dim_customer": """dim_customer AS (
-  SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST, customer_name NULLS FIRST,
-                                          segment NULLS FIRST) AS BIGINT) AS customer_key, *
-  FROM (SELECT DISTINCT customer_id, customer_name, segment FROM silver_orders))""",
-    "dim_product": """dim_product AS (
-  SELECT CAST(row_number() OVER (ORDER BY product_id NULLS FIRST, product_name NULLS FIRST,
-                                          category NULLS FIRST, sub_category NULLS FIRST) AS BIGINT) AS product_key, *
-  FROM (SELECT DISTINCT product_id, product_name, category, sub_category FROM silver_orders))""",
-    "dim_location": """dim_location AS (
-  SELECT CAST(row_number() OVER (ORDER BY city NULLS FIRST, state NULLS FIRST, postal_code NULLS FIRST,
-                                          region NULLS FIRST) AS BIGINT) AS location_key, *
-  FROM (SELECT DISTINCT city, state, postal_code, region FROM silver_orders))""",
-    "dim_ship_mode": """dim_ship_mode AS (
-  SELECT CAST(row_number() OVER (ORDER BY ship_mode NULLS FIRST) AS BIGINT) AS ship_mode_key, *
-  FROM (SELECT DISTINCT ship_mode FROM silver_orders WHERE ship_mode IS NOT NULL))""",
-    "dim_sales_person": """dim_sales_person AS (
-  SELECT CAST(row_number() OVER (ORDER BY person_name NULLS FIRST, region NULLS FIRST) AS BIGINT)
-           AS sales_person_key, person_name, region
-  FROM silver_people)""",
-    "fact_sales": f"""fact_sales AS (
-  SELECT so.order_id, so.sales, so.quantity, so.profit,
-    CAST(so.discount AS DECIMAL(5,4)) AS discount,
-    date_diff('day', so.order_date, so.ship_date) AS days_to_ship,
-    CASE WHEN so.quantity <> 0
-         THEN CAST({_half_up_div('so.sales * 10000', 'so.quantity', 0)} AS DECIMAL(10,4)) END AS unit_price,
-    CASE WHEN so.sales <> 0
-         THEN CAST({_half_up_div('so.profit * 10000', 'so.sales * 10000', 4)} AS DECIMAL(10,4)) END AS profit_margin,
-    CAST(ret.returned_order IS NOT NULL AS INTEGER) AS is_returned,
-    cal_o.date_key AS order_date_key, cal_s.date_key AS ship_date_key,
-    cu.customer_key, pr.product_key, loc.location_key, md.ship_mode_key, rep.sales_person_key
-  FROM silver_orders so
-  LEFT JOIN dim_date cal_o ON so.order_date = cal_o.full_date
-  LEFT JOIN dim_date cal_s ON so.ship_date = cal_s.full_date
-  LEFT JOIN dim_customer cu ON so.customer_id = cu.customer_id
-  LEFT JOIN dim_product pr ON (so.product_id, so.product_name) = (pr.product_id, pr.product_name)
-  LEFT JOIN dim_location loc ON (so.city, so.state, so.postal_code) = (loc.city, loc.state, loc.postal_code)
-  LEFT JOIN dim_ship_mode md ON so.ship_mode = md.ship_mode
-  LEFT JOIN dim_sales_person rep ON so.region = rep.region
-  LEFT JOIN (SELECT order_id AS returned_order FROM silver_returns) ret ON so.order_id = ret.returned_order)""",
+import re
+
+from tillroll.plans.measures import DATE_ATTRIBUTES, RELATIONSHIPS
+from tillroll.plans.views import SUMMARY_COLUMNS
+from tillroll.schemas import BRONZE_ORDERS, DIM_DATE_COLUMNS, DIMENSIONS, FACT_COLUMNS, ORDERS_COLUMNS, ORDERS_DEDUP_COLUMNS
+
+# ---------------------------------------------------------------------------
+# Fixed values, stated again independently of the rules under test.
+# ---------------------------------------------------------------------------
+RULES = {
+    "order_date_rule(order_id, fixed_date)": "('CA-2016-153927', DATE '2016-08-12'), ('O-100', DATE '1998-08-12')",
+    "country_rule(country_region, fixed_country)": "('123', 'United States')",
+    "postal_rule(city, state, fixed_postal)": "('Burlington', 'Vermont', '05401'), ('NATION_7', 'ASIA', '05401')",
+    "product_rule(product_id, fixed_name)":
+        "('OFF-AP-10002684', 'Acco 7-Outlet Masterpiece Power Center, Wihtout Fax/Phone Line Protection'), "
+        "('P-7', 'Acco 7-Outlet Masterpiece Power Center, Wihtout Fax/Phone Line Protection')",
+    # A ship mode that says nothing is told from the days between order and shipping.
+    "ship_mode_rule(ship_mode, first_day, last_day, fixed_mode)": ", ".join(
+        f"('{bad}', {a}, {b}, '{mode}')" for bad in ("null", "0") for a, b, mode in (
+            (-100000, 1, "Same Day"), (2, 2, "Unknown"), (3, 7, "Standard Class"), (8, 100000, "Unknown"))),
+    "season_rule(month, season)": ", ".join(
+        f"({m}, '{s}')" for s, months in (("Winter", (12, 1, 2)), ("Spring", (3, 4, 5)), ("Summer", (6, 7, 8)), ("Fall", (9, 10, 11)))
+        for m in months),
 }
+LENGTHS = {"order_id": 50, "ship_mode": 50, "customer_id": 50, "customer_name": 100, "segment": 50, "country_region": 50,
+           "city": 100, "state": 50, "postal_code": 50, "region": 50, "product_id": 50, "category": 50, "sub_category": 50,
+           "product_name": 255}
+ON_TIME = 5
 
-# CTE dependencies, so each statement carries only what it uses.
-_DEPS = {
-    "li": [], "b_rows": ["li"], "bronze_orders": ["b_rows"], "bronze_people": [],
-    "bronze_returns": [], "bronze_ranked": ["bronze_orders"], "silver_orders": ["bronze_ranked"],
-    "silver_people": ["bronze_people"], "silver_returns": ["bronze_returns"], "dim_date": ["silver_orders"],
-    "dim_customer": ["silver_orders"], "dim_product": ["silver_orders"],
-    "dim_location": ["silver_orders"], "dim_ship_mode": ["silver_orders"],
-    "dim_sales_person": ["silver_people"],
-    "fact_sales": ["silver_orders", "silver_returns", "dim_date", "dim_customer", "dim_product",
-                   "dim_location", "dim_ship_mode", "dim_sales_person"],
+
+def _list(columns, prefix: str = "") -> str:
+    return ", ".join(prefix + c for c in columns)
+
+
+def _shown(columns, schema: dict[str, str]) -> str:
+    """Columns in the form that is compared."""
+    form = {"date": "CAST({0} AS VARCHAR) AS {0}", "decimal": "CAST({0} AS DOUBLE) AS {0}", "int": "CAST({0} AS INTEGER) AS {0}"}
+    return ", ".join(form.get(schema.get(c, ""), "{0}").format(c) for c in columns)
+
+
+_KINDS = {f.name: "decimal" if "decimal" in f.dataType.simpleString() else "date" if f.dataType.simpleString() == "date" else ""
+          for f in BRONZE_ORDERS.fields}
+_KINDS |= {"unit_price": "decimal", "profit_margin": "decimal", "full_date": "date", "days_to_ship": "int"}
+
+
+def _least(column: str) -> str:
+    """The lowest value of a group with NULL below all."""
+    return f"CASE WHEN count(*) = count({column}) THEN min({column}) END"
+
+
+def _quotient(num: str, den: str, digits: int) -> str:
+    """num * 10^digits / den on integers, rounded half up, as a number of four decimals; NULL for a zero divisor."""
+    n, d = f"(CAST({num} AS HUGEINT) * {10 ** digits})", f"CAST({den} AS HUGEINT)"
+    units = f"sign({n}) * sign({d}) * ((2 * abs({n}) + abs({d})) // nullif(2 * abs({d}), 0))"
+    return f"CAST(CAST({units} AS DECIMAL(38,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(10,4))"
+
+
+def _dimension(name: str, source: str, where: str = "") -> str:
+    spec = DIMENSIONS[name]
+    order = ", ".join(f"{c} NULLS FIRST" for c in spec["columns"])
+    return (f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS {spec['key']}, {_list(spec['columns'])} "
+            f"FROM (SELECT DISTINCT {_list(spec['columns'])} FROM {source} {where})")
+
+
+def _fact() -> str:
+    values = {
+        "discount": "CAST(discount AS DECIMAL(5,4))",
+        "days_to_ship": "date_diff('day', order_date, ship_date)",
+        "unit_price": _quotient("sales * 10000", "quantity", 0),
+        "profit_margin": _quotient("profit * 10000", "sales * 10000", 4),
+        "is_returned": "CASE WHEN return_order IS NULL THEN 0 ELSE 1 END",
+    }
+    columns = ", ".join(f"{values[c]} AS {c}" if c in values else c for c in FACT_COLUMNS if c != "fact_key")
+    joins = [f"LEFT JOIN (SELECT date_key AS {role}_key, full_date AS {role} FROM dim_date) USING ({role})"
+             for role in ("order_date", "ship_date")]
+    joins += [f"LEFT JOIN (SELECT {_list([spec['key'], *spec['join_on']])} FROM {name}) USING ({_list(spec['join_on'])})"
+              for name, spec in DIMENSIONS.items()]
+    joins.append("LEFT JOIN (SELECT order_id, order_id AS return_order FROM silver_returns) USING (order_id)")
+    return f"SELECT {columns} FROM silver_orders " + " ".join(joins)
+
+
+_MISSING = "(order_date_key IS NULL OR customer_key IS NULL OR product_key IS NULL OR location_key IS NULL OR order_id IS NULL)"
+_FIXED = {
+    "order_date": "coalesce(fixed_date, order_date)",
+    "ship_mode": "CASE WHEN ship_mode IN ('null', '0') THEN coalesce(fixed_mode, 'Unknown') ELSE ship_mode END",
+    "country_region": "coalesce(fixed_country, country_region)",
+    "postal_code": "coalesce(fixed_postal, postal_code)",
+    "product_name": "coalesce(fixed_name, replace(product_name, '  ', ' '))",
+    "discount": "CAST(discount AS DECIMAL(3,2))",
+}
+_DAYS = "date_diff('day', order_date, ship_date)"
+
+# Each stage once, as a CTE; a statement carries those that it names.
+STAGES: dict[str, str] = {name: f"VALUES {rows}" for name, rows in RULES.items()}
+STAGES |= {
+    "numbered": """SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+    l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+    l_shipdate NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rn FROM lineitem""",
+    "lines": """SELECT *, o_orderkey AS ok, CAST(o_orderdate AS DATE) AS day,
+    CASE WHEN l_partkey % 89 = 7 THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(10,4)) END AS price,
+    CAST(CAST(l_discount AS DECIMAL(5,4)) + CASE WHEN l_linenumber = 4 THEN 0.005 ELSE 0 END AS DECIMAL(5,4)) AS off
+  FROM numbered JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+  JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey JOIN part ON p_partkey = l_partkey""",
+    "landed": """SELECT CAST(ok * 1000 + CASE WHEN ok % 500 = 7 AND rn = 2 THEN 1 ELSE rn END AS BIGINT) AS row_id, 'O-' || ok AS order_id, day AS order_date,
+    day + CAST((ok + l_linenumber) % 9 AS INTEGER) AS ship_date,
+    CASE l_partkey % 50 WHEN 0 THEN 'null' WHEN 1 THEN '0' WHEN 2 THEN NULL
+      ELSE ['First Class', 'Second Class', 'Standard Class', 'Same Day'][CAST(ok % 4 AS INTEGER) + 1] END AS ship_mode,
+    'C-' || c_custkey AS customer_id,
+    c_name || CASE WHEN c_custkey % 200 = 9 THEN repeat('x', 100) ELSE '' END AS customer_name,
+    CASE WHEN c_custkey % 50 = 3 AND ok % 2 = 0 THEN 'DUAL' ELSE c_mktsegment END AS segment,
+    CASE WHEN l_suppkey % 40 = 0 THEN '123' ELSE 'United States' END AS country_region, n_name AS city, r_name AS state,
+    CASE WHEN n_nationkey = 7 OR n_nationkey = 8 AND ok % 11 = 0 THEN NULL ELSE lpad(CAST(n_nationkey AS VARCHAR), 5, '0') END AS postal_code,
+    CASE WHEN n_nationkey IN (5, 6) AND ok % 3 = 0 THEN 'ZONE ' || n_nationkey ELSE r_name END AS region,
+    'P-' || p_partkey AS product_id, p_brand AS category, p_type AS sub_category,
+    replace(p_name, ' ', CASE WHEN p_partkey % 3 = 0 THEN '  ' WHEN p_partkey % 7 = 1 THEN '   ' ELSE ' ' END) AS product_name,
+    price AS sales, CASE WHEN l_partkey % 97 = 5 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity, off AS discount,
+    CAST(price * (CAST(0.05 AS DECIMAL(5,4)) - off) AS DECIMAL(10,4)) AS profit, ok FROM lines""",
+    "bronze_orders": f"""SELECT {_list(ORDERS_COLUMNS)} FROM landed UNION ALL
+  SELECT CASE ok % 300 WHEN 0 THEN NULL WHEN 100 THEN row_id ELSE row_id + 500 END, {_list(ORDERS_COLUMNS[1:])}
+  FROM landed WHERE ok % 100 = 0""",
+    "bronze_people": """SELECT 'Rep ' || r_name AS person_name, r_name AS region FROM region
+  UNION ALL VALUES ('Rep AFRICA', 'ZZZ'), ('Rep NORTH', 'ZONE 5'), ('Rep SOUTH', 'ZONE 5'), ('Rep NOWHERE', NULL), ('Rep NOWHERE', 'ZONE 9')""",
+    "bronze_returns": """SELECT CASE l_linenumber % 3 WHEN 0 THEN NULL WHEN 1 THEN 'Yes' ELSE 'Y' END AS returned, 'O-' || l_orderkey AS order_id
+  FROM lineitem SEMI JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_orderkey % 10 = 0""",
+    "distinct_orders": f"""SELECT {_least('row_id')} AS row_id, {_list(ORDERS_DEDUP_COLUMNS)}, count(*) AS n_copies
+  FROM bronze_orders GROUP BY {_list(ORDERS_DEDUP_COLUMNS)}""",
+    "repaired": f"""SELECT * FROM distinct_orders LEFT JOIN order_date_rule USING (order_id) LEFT JOIN country_rule USING (country_region)
+  LEFT JOIN postal_rule USING (city, state) LEFT JOIN product_rule USING (product_id)
+  LEFT JOIN ship_mode_rule r ON r.ship_mode = distinct_orders.ship_mode AND {_DAYS} BETWEEN first_day AND last_day""",
+    "silver_orders": "SELECT " + ", ".join(f"{_FIXED[c]} AS {c}" if c in _FIXED else c for c in ORDERS_COLUMNS) + " FROM repaired",
+    "silver_people": f"SELECT person_name, {_least('region')} AS region FROM bronze_people GROUP BY person_name",
+    "silver_returns": f"SELECT {_least('returned')} AS returned, order_id FROM bronze_returns GROUP BY order_id",
+    "days": """SELECT CAST(unnest(range(date_trunc('year', min(least(order_date, ship_date))),
+    date_trunc('year', max(greatest(order_date, ship_date))) + INTERVAL 1 YEAR, INTERVAL 1 DAY)) AS DATE) AS d FROM silver_orders""",
+    "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year,
+    'Q' || quarter(d) AS quarter_name, CAST(month(d) AS INTEGER) AS month, strftime(d, '%B') AS month_name,
+    strftime(d, '%b') AS month_short, strftime(d, '%b %Y') AS month_year_label, CAST(strftime(d, '%V') AS INTEGER) AS week_of_year,
+    CAST(day(d) AS INTEGER) AS day_of_month, CAST(strftime(d, '%w') AS INTEGER) + 1 AS day_of_week, strftime(d, '%A') AS day_name,
+    strftime(d, '%a') AS day_short, CAST(isodow(d) > 5 AS INTEGER) AS is_weekend, CAST(isodow(d) < 6 AS INTEGER) AS is_business_day, season
+  FROM days JOIN season_rule ON season_rule.month = month(d)""",
+}
+STAGES |= {name: _dimension(name, "silver_people" if name == "dim_sales_person" else "silver_orders",
+                            "WHERE ship_mode IS NOT NULL" if name == "dim_ship_mode" else "") for name in DIMENSIONS}
+STAGES |= {
+    "fact_all": _fact(),
+    "fact_sales": f"SELECT * FROM fact_all WHERE NOT {_MISSING}",
 }
-_ORDER = list(CTES)
-
-
-def with_ctes(needed: list[str], body: str) -> str:
-    closure: set[str] = set()
-
-    def visit(name: str) -> None:
-        if name not in closure:
-            closure.add(name)
-            for dep in _DEPS[name]:
-                visit(dep)
-    for name in needed:
-        visit(name)
-    parts = [CTES[n] for n in _ORDER if n in closure]
-    return "WITH " + ",\n".join(parts) + "\n" + body
-
-
-def _ddiv(num: str, den: str) -> str:
-    return f"{num} / NULLIF({den}, 0)"
-
-
-def _dsum(col: str) -> str:
-    return f"CAST(SUM({col}) AS DOUBLE)"
-
-
-def _dmean(col: str) -> str:
-    return _ddiv(_dsum(col), f"COUNT({col})")
-
-
-SILVER_ORDER_COLS = ("row_id, order_id, CAST(order_date AS VARCHAR) AS order_date, "
-                     "CAST(ship_date AS VARCHAR) AS ship_date, ship_mode, customer_id, customer_name, "
-                     "segment, country_region, city, state, postal_code, region, product_id, category, "
-                     "sub_category, product_name, CAST(sales AS DOUBLE) AS sales, quantity, "
-                     "CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit")
-DIM_DATE_COLS = ("date_key, CAST(full_date AS VARCHAR) AS full_date, year, quarter_name, month, "
-                 "month_name, month_short, month_year_label, week_of_year, day_of_month, day_of_week, "
-                 "day_name, day_short, is_weekend, is_business_day, season")
-FACT_COLS = ("order_date_key, ship_date_key, customer_key, product_key, location_key, ship_mode_key, "
-             "sales_person_key, order_id, CAST(sales AS DOUBLE) AS sales, quantity, "
-             "CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit, "
-             "CAST(unit_price AS DOUBLE) AS unit_price, CAST(profit_margin AS DOUBLE) AS profit_margin, "
-             "CAST(days_to_ship AS INTEGER) AS days_to_ship, is_returned")
-
-SALES_SUMMARY = """SELECT order_id, CAST(sales AS DOUBLE) AS sales, quantity, CAST(discount AS DOUBLE) AS discount,
-    CAST(profit AS DOUBLE) AS profit, CAST(unit_price AS DOUBLE) AS unit_price,
-    CAST(profit_margin AS DOUBLE) AS profit_margin, CAST(days_to_ship AS INTEGER) AS days_to_ship, is_returned,
-    CAST(full_date AS VARCHAR) AS full_date, year, quarter_name, month_name, month_year_label, day_name,
-    is_weekend, is_business_day, season, customer_id, customer_name, segment, product_id, product_name,
-    category, sub_category, city, state, region, ship_mode, sales_person
-  FROM fact_sales
-  JOIN (SELECT date_key AS order_date_key, full_date, year, quarter_name, month_name, month_year_label,
-               day_name, is_weekend, is_business_day, season FROM dim_date) USING (order_date_key)
-  JOIN dim_customer USING (customer_key)
-  JOIN dim_product USING (product_key)
-  JOIN (SELECT location_key, city, state, region FROM dim_location) USING (location_key)
-  LEFT JOIN dim_ship_mode USING (ship_mode_key)
-  LEFT JOIN (SELECT sales_person_key, person_name AS sales_person FROM dim_sales_person) USING (sales_person_key)"""
-
-SUMMARY_ORDER = ["order_id", "product_id", "full_date", "customer_id", "customer_name", "segment",
-                 "product_name", "category", "sub_category", "city", "state", "region", "ship_mode",
-                 "sales_person", "sales", "quantity", "discount", "profit", "unit_price",
-                 "profit_margin", "days_to_ship", "is_returned", "year", "quarter_name", "month_name",
-                 "month_year_label", "day_name", "is_weekend", "is_business_day", "season"]
-
-
-def _measures_sql(by_select: str, group_by: str, joins: str) -> str:
-    on_time = "COUNT(DISTINCT CASE WHEN fs.days_to_ship <= 5 THEN fs.order_id END)"
-    orders = "COUNT(DISTINCT fs.order_id)"
-    customers = "COUNT(DISTINCT cu.customer_id)"
-    returned = "COUNT(DISTINCT CASE WHEN fs.is_returned = 1 THEN fs.order_id END)"
-    body = f"""SELECT {by_select}
-    {_dsum('fs.sales')} AS total_sales,
-    {_dsum('fs.profit')} AS total_profit,
-    {_ddiv(_dsum('fs.profit'), _dsum('fs.sales'))} AS profit_margin,
-    {orders} AS total_orders,
-    {customers} AS total_customers,
-    {returned} AS total_returned,
-    {_ddiv(_dsum('fs.profit'), customers)} * 1.0 AS clv,
-    {_ddiv(returned, orders)} AS return_rate,
-    {_ddiv(_dsum('fs.sales'), orders)} AS average_order_value,
-    {_dmean('fs.unit_price')} AS average_unit_price,
-    {_dmean('fs.days_to_ship')} AS average_shipping_days,
-    CAST(SUM(fs.quantity) AS BIGINT) AS total_quantity,
-    {_dmean('fs.discount')} AS average_discount,
-    {_ddiv(on_time, orders)} AS on_time_delivery_pct,
-    CAST(SUM(CAST(fs.is_returned AS INTEGER)) AS BIGINT) AS total_returned_orders
-  FROM fact_sales fs LEFT JOIN dim_customer cu ON fs.customer_key = cu.customer_key {joins}
-  {group_by}"""
-    return with_ctes(["fact_sales"], body)
 
 
-def oracle_sql() -> dict[str, str]:
-    q: dict[str, str] = {}
-    q["bronze_orders"] = with_ctes(["bronze_orders"], f"SELECT {SILVER_ORDER_COLS} FROM bronze_orders")
-    q["silver_orders_clean"] = with_ctes(["silver_orders"], f"SELECT {SILVER_ORDER_COLS} FROM silver_orders")
-    q["silver_orders_dedup_exact"] = with_ctes(
-        ["bronze_ranked"], "SELECT row_id, order_id, n_copies FROM bronze_ranked")
-    q["silver_people_first"] = with_ctes(["silver_people"], "SELECT person_name, region FROM silver_people")
-    q["silver_returns_first"] = with_ctes(["silver_returns"], "SELECT returned, order_id FROM silver_returns")
-    q["ship_mode_repair"] = with_ctes(["silver_orders"], f"""SELECT b.ship_mode AS raw_ship_mode,
-    CAST({_DAYS} AS INTEGER) AS raw_days_to_ship, {_SHIP_MODE} AS ship_mode, COUNT(*) AS n_rows
-  FROM bronze_ranked b GROUP BY ALL""")
-    q["dim_date"] = with_ctes(["dim_date"], f"SELECT {DIM_DATE_COLS} FROM dim_date")
-    for name in ["dim_customer", "dim_product", "dim_location", "dim_ship_mode", "dim_sales_person"]:
-        q[name] = with_ctes([name], f"SELECT * FROM {name}")
-    q["fact_sales"] = with_ctes(["fact_sales"], f"SELECT {FACT_COLS} FROM fact_sales")
-    q["view_sales_summary"] = with_ctes(["fact_sales"], SALES_SUMMARY)
-    returns = "CAST(SUM(is_returned) AS BIGINT) AS total_returns"
-    units = "CAST(SUM(quantity) AS BIGINT) AS total_units"
-    q["view_product_performance"] = with_ctes(["fact_sales"], f"""SELECT product_id, product_name,
-    category, sub_category, {units}, {returns}, COUNT(DISTINCT order_id) AS total_orders,
-    {_dsum('sales')} AS total_sales, {_dsum('profit')} AS total_profit,
-    {_dmean('discount')} AS avg_discount, {_dmean('unit_price')} AS avg_unit_price,
-    {_ddiv(_dsum('profit'), _dsum('sales'))} * 100 AS profit_margin_pct
-  FROM fact_sales INNER JOIN dim_product USING (product_key)
-  GROUP BY ALL""")
-    q["view_customer_analysis"] = with_ctes(["fact_sales"], f"""SELECT customer_id, customer_name,
-    segment, {units}, {returns}, COUNT(DISTINCT order_id) AS total_orders,
-    {_dsum('sales')} AS total_spent, {_dsum('profit')} AS total_profit, {_dmean('sales')} AS avg_order_value
-  FROM fact_sales INNER JOIN dim_customer USING (customer_key)
-  GROUP BY ALL""")
-    int_mean = "CAST(SUM(days_to_ship) // NULLIF(COUNT(days_to_ship), 0) AS BIGINT)"
-    q["view_regional_performance"] = with_ctes(["fact_sales"], f"""SELECT region, state, city, sales_person,
-    {units}, {returns}, COUNT(DISTINCT order_id) AS total_orders, {int_mean} AS avg_shipping_days,
-    {_dsum('sales')} AS total_sales, {_dsum('profit')} AS total_profit
-  FROM fact_sales
-  INNER JOIN (SELECT location_key, region, state, city FROM dim_location) USING (location_key)
-  LEFT JOIN (SELECT sales_person_key, person_name AS sales_person FROM dim_sales_person) USING (sales_person_key)
-  GROUP BY ALL""")
-    q["view_shipping_performance"] = with_ctes(["fact_sales"], f"""SELECT ship_mode, {returns},
-    COUNT(DISTINCT order_id) AS total_orders, {int_mean} AS avg_days_to_ship,
-    CAST(MIN(days_to_ship) AS INTEGER) AS min_days, CAST(MAX(days_to_ship) AS INTEGER) AS max_days,
-    {_dsum('sales')} AS total_sales
-  FROM fact_sales LEFT JOIN dim_ship_mode USING (ship_mode_key)
-  GROUP BY ALL""")
-    q["view_monthly_trends"] = with_ctes(["fact_sales"], f"""SELECT year, month, month_name,
-    month_year_label, quarter_name, season, {units}, {returns}, COUNT(DISTINCT order_id) AS total_orders,
-    {_dsum('sales')} AS total_sales, {_dsum('profit')} AS total_profit,
-    {_ddiv(_dsum('sales'), 'COUNT(DISTINCT order_id)')} AS avg_order_value
-  FROM fact_sales
-  INNER JOIN (SELECT date_key AS order_date_key, year, month, month_name, month_year_label, quarter_name,
-                     season FROM dim_date) USING (order_date_key)
-  GROUP BY ALL""")
-    q["measures_overall"] = _measures_sql("", "", "")
-    q["measures_by_segment_year"] = _measures_sql(
-        "cu.segment, cal.year,", "GROUP BY cu.segment, cal.year",
-        "LEFT JOIN dim_date cal ON fs.order_date_key = cal.date_key")
-    q["measures_by_ship_month"] = _measures_sql(
-        "cal.year, cal.month,", "GROUP BY cal.year, cal.month",
-        "LEFT JOIN dim_date cal ON fs.ship_date_key = cal.date_key")
-    q["measures_by_category"] = _measures_sql(
-        "pr.category, pr.sub_category,", "GROUP BY pr.category, pr.sub_category",
-        "LEFT JOIN dim_product pr ON fs.product_key = pr.product_key")
-    q["measures_by_region_ship_mode"] = _measures_sql(
-        "loc.region, md.ship_mode,", "GROUP BY loc.region, md.ship_mode",
-        "LEFT JOIN dim_location loc ON fs.location_key = loc.location_key "
-        "LEFT JOIN dim_ship_mode md ON fs.ship_mode_key = md.ship_mode_key")
-    q["measures_on_time_all_lines"] = with_ctes(["fact_sales"], """SELECT md.ship_mode,
-    COUNT(DISTINCT fs.order_id) AS total_orders,
-    (COUNT(DISTINCT fs.order_id)
-       - COUNT(DISTINCT fs.order_id) FILTER (WHERE fs.days_to_ship IS NULL OR fs.days_to_ship > 5))
-      / NULLIF(COUNT(DISTINCT fs.order_id), 0) AS on_time_delivery_pct
-  FROM fact_sales fs LEFT JOIN dim_ship_mode md ON fs.ship_mode_key = md.ship_mode_key
-  GROUP BY md.ship_mode""")
-    q["dq_unmatched_keys"] = with_ctes(["fact_sales"], """SELECT COUNT(*) AS total_rows,
-    COUNT(*) FILTER (WHERE order_date_key IS NULL OR customer_key IS NULL OR product_key IS NULL
-                     OR location_key IS NULL) AS rows_with_missing_key,
-    COUNT(*) FILTER (WHERE order_date_key IS NULL) AS null_order_date_key,
-    COUNT(*) FILTER (WHERE customer_key IS NULL) AS null_customer_key,
-    COUNT(*) FILTER (WHERE product_key IS NULL) AS null_product_key,
-    COUNT(*) FILTER (WHERE location_key IS NULL) AS null_location_key
-  FROM fact_sales""")
-    q["dq_optional_keys"] = with_ctes(["fact_sales"], """SELECT COUNT(*) AS total_rows,
-    COUNT(*) FILTER (WHERE ship_date_key IS NULL OR ship_mode_key IS NULL OR sales_person_key IS NULL)
-      AS rows_with_missing_key,
-    COUNT(*) FILTER (WHERE ship_date_key IS NULL) AS null_ship_date_key,
-    COUNT(*) FILTER (WHERE ship_mode_key IS NULL) AS null_ship_mode_key,
-    COUNT(*) FILTER (WHERE sales_person_key IS NULL) AS null_sales_person_key
-  FROM fact_sales""")
-    dup_parts = []
-    for dim, keys in [("dim_customer", ["customer_id"]), ("dim_product", ["product_id", "product_name"]),
-                      ("dim_location", ["city", "state", "postal_code"]), ("dim_ship_mode", ["ship_mode"]),
-                      ("dim_sales_person", ["region"])]:
-        text = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '<null>')" for k in keys)
-        dup_parts.append(f"SELECT '{dim}' AS dim_name, concat_ws('|', {text}) AS natural_key, "
-                         f"COUNT(*) AS n_rows FROM {dim} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1")
-    q["dq_duplicate_natural_keys"] = with_ctes(
-        ["dim_customer", "dim_product", "dim_location", "dim_ship_mode", "dim_sales_person"],
-        "\nUNION ALL\n".join(dup_parts))
-    counts = [("bronze_orders", "bronze_orders"), ("bronze_people", "bronze_people"),
-              ("bronze_returns_order", "bronze_returns"), ("silver_orders", "silver_orders"),
-              ("silver_people", "silver_people"), ("silver_returns_order", "silver_returns"),
-              ("dim_date", "dim_date"), ("dim_customer", "dim_customer"), ("dim_product", "dim_product"),
-              ("dim_location", "dim_location"), ("dim_ship_mode", "dim_ship_mode"),
-              ("dim_sales_person", "dim_sales_person"), ("fact_sales", "fact_sales")]
-    q["row_counts"] = with_ctes(
-        [cte for _, cte in counts],
-        "\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows FROM {cte}"
-                             for name, cte in counts))
-    order = ", ".join(f"{c} NULLS FIRST" for c in SUMMARY_ORDER)
-    q["top_n_summary"] = with_ctes(["fact_sales"], f"SELECT * FROM ({SALES_SUMMARY}) ORDER BY {order} LIMIT 10")
-    keys = [("dim_date", "date_key"), ("dim_customer", "customer_key"), ("dim_product", "product_key"),
-            ("dim_location", "location_key"), ("dim_ship_mode", "ship_mode_key"),
-            ("dim_sales_person", "sales_person_key")]
-    q["dq_key_uniqueness"] = with_ctes([t for t, _ in keys], "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, '{k}' AS key_column, COUNT(*) AS n_duplicate_keys "
-        f"FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING COUNT(*) > 1)" for t, k in keys))
-    q["dq_text_lengths"] = with_ctes(["bronze_orders"], "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column_name, {n} AS max_length, "
-        f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_too_long FROM bronze_orders"
-        for c, n in TEXT_LENGTHS["orders"].items()))
-    prof = []
+#: Stages that several others read, or that a wide grouping reads straight from joined dictionaries, which DuckDB can't.
+_KEPT = {"bronze_orders", "distinct_orders", "silver_orders", "fact_all"}
+
+
+def statement(body: str) -> str:
+    """``body`` with the stages that it names, directly or through others, as CTEs in their order."""
+    bare = {name.split("(")[0]: name for name in STAGES}
+    needed: set[str] = set()
+
+    def visit(sql: str) -> None:
+        for word in set(re.findall(r"\w+", sql)) & set(bare):
+            if word not in needed:
+                needed.add(word)
+                visit(STAGES[bare[word]])
+    visit(body)
+    return "WITH " + ",\n".join(f"{full} AS {'MATERIALIZED ' if short in _KEPT else ''}({STAGES[full]})" for short, full in bare.items() if short in needed) + "\n" + body
+
+
+# Metrics of views and measures, as one expression each over fact rows with attributes.
+def _double(column: str) -> str:
+    return f"CAST(sum({column}) AS DOUBLE)"
+
+
+def _per(num: str, den: str) -> str:
+    return f"{num} / nullif({den}, 0)"
+
+
+def _mean(column: str) -> str:
+    return _per(_double(column), f"count({column})")
+
+
+def _whole_mean(column: str) -> str:
+    return f"CAST(sum({column}) // nullif(count({column}), 0) AS BIGINT)"
+
+
+_ORDERS, _CUSTOMERS = "count(DISTINCT order_id)", "count(DISTINCT customer_id)"
+_RETURNED = "count(DISTINCT order_id) FILTER (is_returned = 1)"
+_PUNCTUAL = f"count(DISTINCT order_id) FILTER (days_to_ship <= {ON_TIME})"
+METRICS = {
+    "total_sales": _double("sales"), "total_spent": _double("sales"), "total_profit": _double("profit"),
+    "profit_margin": _per(_double("profit"), _double("sales")),
+    "profit_margin_pct": _per(_double("profit"), _double("sales")) + " * 100",
+    "total_orders": _ORDERS, "total_customers": _CUSTOMERS, "total_returned": _RETURNED,
+    "clv": _per(_double("profit"), _CUSTOMERS), "return_rate": _per(_RETURNED, _ORDERS),
+    "average_order_value": _per(_double("sales"), _ORDERS), "average_unit_price": _mean("unit_price"),
+    "average_shipping_days": _mean("days_to_ship"), "average_discount": _mean("discount"),
+    "avg_unit_price": _mean("unit_price"), "avg_discount": _mean("discount"),
+    "total_quantity": "CAST(sum(quantity) AS BIGINT)", "total_units": "CAST(sum(quantity) AS BIGINT)",
+    "on_time_delivery_pct": _per(_PUNCTUAL, _ORDERS),
+    "total_returned_orders": "CAST(sum(is_returned) AS BIGINT)", "total_returns": "CAST(sum(is_returned) AS BIGINT)",
+    "avg_shipping_days": _whole_mean("days_to_ship"), "avg_days_to_ship": _whole_mean("days_to_ship"),
+    "min_days": "CAST(min(days_to_ship) AS INTEGER)", "max_days": "CAST(max(days_to_ship) AS INTEGER)",
+}
+MEASURES = ["total_sales", "total_profit", "profit_margin", "total_orders", "total_customers", "total_returned", "clv",
+            "return_rate", "average_order_value", "average_unit_price", "average_shipping_days", "total_quantity",
+            "average_discount", "on_time_delivery_pct", "total_returned_orders"]
+
+
+def _with_attributes(wanted, role: str = "order_date", inner=()) -> str:
+    """The fact joined to the dimensions that hold the wanted attributes; ``inner`` names keys that must match."""
+    out = "fact_sales"
+    for key, (dim, exposed) in RELATIONSHIPS.items():
+        if needed := [f"{source} AS {name}" for source, name in exposed.items() if name in wanted]:
+            out += f" {'INNER' if key in inner else 'LEFT'} JOIN (SELECT {key}, {_list(needed)} FROM {dim}) USING ({key})"
+    if needed := [c for c in DATE_ATTRIBUTES if c in wanted]:
+        out += f" {'INNER' if f'{role}_key' in inner else 'LEFT'} JOIN (SELECT date_key AS {role}_key, {_list(needed)} FROM dim_date) USING ({role}_key)"
+    return out
+
+
+def _grouped(by, metrics, role: str = "order_date", inner=(), where: str = "", also=(), **own: str) -> str:
+    """Metrics by attributes; ``own`` states metrics that are not the common ones."""
+    chosen = {**{m: METRICS[m] for m in metrics}, **own}
+    uses = {*by, *also, *(["customer_id"] if _CUSTOMERS in " ".join(chosen.values()) else [])}
+    columns = _list([*by, *(f"{sql} AS {name}" for name, sql in chosen.items())])
+    return statement(f"SELECT {columns} FROM {_with_attributes(uses, role, inner)} {f'WHERE {where}' if where else ''} "
+                     + (f"GROUP BY {_list(by)}" if by else ""))
+
+
+_KEYS = ["order_date_key", "customer_key", "product_key", "location_key"]
+SUMMARY = (f"SELECT {_shown(SUMMARY_COLUMNS, _KINDS)} FROM "
+           + _with_attributes(set(SUMMARY_COLUMNS), inner=_KEYS))
+
+
+def _nulls(keys, table: str = "fact_sales") -> str:
+    counts = _list(f"count(*) FILTER ({k} IS NULL) AS null_{k}" for k in keys)
+    return statement(f"SELECT count(*) AS total_rows, count(*) FILTER ({' OR '.join(f'{k} IS NULL' for k in keys)}) AS rows_with_missing_key, "
+                     f"{counts} FROM {table}")
+
+
+def _union(parts) -> str:
+    return statement(" UNION ALL ".join(parts))
+
+
+def _profile() -> str:
+    parts = []
     for f in BRONZE_ORDERS.fields:
-        dtype = "decimal(3,2)" if f.name == "discount" else f.dataType.simpleString()
-        prof.append(f"SELECT '{f.name}' AS column_name, '{dtype}' AS data_type, "
-                    f"COUNT(*) FILTER (WHERE {f.name} IS NULL) AS n_nulls, "
-                    f"CAST(MIN({f.name}) AS VARCHAR) AS min_value, CAST(MAX({f.name}) AS VARCHAR) AS max_value, "
-                    f"COUNT(*) AS n_rows FROM silver_orders")
-    q["profile_silver_orders"] = with_ctes(["silver_orders"], "\nUNION ALL\n".join(prof))
-    q["measures_filtered"] = _measures_sql(
-        "md.ship_mode,", "WHERE loc.region = 'ASIA' GROUP BY md.ship_mode",
-        "LEFT JOIN dim_location loc ON fs.location_key = loc.location_key "
-        "LEFT JOIN dim_ship_mode md ON fs.ship_mode_key = md.ship_mode_key")
-    q["dim_customer_first"] = with_ctes(["silver_orders"], """SELECT CAST(row_number() OVER (
-      ORDER BY customer_id NULLS FIRST, customer_name NULLS FIRST, segment NULLS FIRST) AS BIGINT) AS customer_key,
-    customer_id, customer_name, segment
-  FROM (SELECT customer_id, customer_name, segment, row_number() OVER (
-          PARTITION BY customer_id ORDER BY customer_name NULLS FIRST, segment NULLS FIRST) AS rn
-        FROM (SELECT DISTINCT customer_id, customer_name, segment FROM silver_orders))
-  WHERE rn = 1""")
-    return q
+        kind = "decimal(3,2)" if f.name == "discount" else f.dataType.simpleString()
+        parts.append(f"SELECT '{f.name}' AS column_name, '{kind}' AS data_type, count(*) - count({f.name}) AS n_nulls, "
+                     f"CAST(min({f.name}) AS VARCHAR) AS min_value, CAST(max({f.name}) AS VARCHAR) AS max_value, "
+                     f"count(*) AS n_rows FROM silver_orders")
+    return _union(parts)
+
+
+def oracle_sql() -> dict[str, str]:
+    orders = _shown(ORDERS_COLUMNS, _KINDS)
+    facts = _shown([c for c in FACT_COLUMNS if c != "fact_key"], _KINDS)
+    first_order = "order_id, product_id, full_date, customer_id, customer_name, segment, product_name, category, sub_category, city, " \
+                  "state, region, ship_mode, sales_person, sales, quantity, discount, profit, unit_price, profit_margin, days_to_ship, " \
+                  "is_returned, year, quarter_name, month_name, month_year_label, day_name, is_weekend, is_business_day, season"
+    return {
+        "bronze_orders": statement(f"SELECT {orders} FROM bronze_orders"),
+        "landing_csv": statement(f"SELECT {orders} FROM (SELECT * REPLACE (product_name || ', 8\"' || chr(10) || 'new' AS product_name) "
+                                 f"FROM bronze_orders)"),
+        "silver_orders_clean": statement(f"SELECT {orders} FROM silver_orders"),
+        "silver_orders_dedup_exact": statement("SELECT row_id, order_id, n_copies FROM distinct_orders"),
+        "silver_people_first": statement("SELECT * FROM silver_people"),
+        "silver_returns_first": statement("SELECT * FROM silver_returns"),
+        "dense_key_payload": statement(f"SELECT row_number() OVER (ORDER BY order_id NULLS FIRST, row_id NULLS FIRST, product_id NULLS FIRST, "
+                                       f"ship_date NULLS FIRST, sales, quantity, discount) AS line_key, {orders} FROM silver_orders"),
+        "ship_mode_repair": statement(f"""SELECT d.ship_mode AS raw_ship_mode, CAST({_DAYS.replace('order_date', 'd.order_date').replace('ship_date', 'd.ship_date')} AS INTEGER) AS raw_days_to_ship,
+    CASE WHEN d.ship_mode IN ('null', '0') THEN coalesce(r.fixed_mode, 'Unknown') ELSE d.ship_mode END AS ship_mode, count(*) AS n_rows
+  FROM distinct_orders d LEFT JOIN ship_mode_rule r ON r.ship_mode = d.ship_mode
+    AND date_diff('day', d.order_date, d.ship_date) BETWEEN r.first_day AND r.last_day GROUP BY ALL"""),
+        "dim_date": statement(f"SELECT {_shown(DIM_DATE_COLUMNS, _KINDS)} FROM dim_date"),
+        **{name: statement(f"SELECT * FROM {name}") for name in DIMENSIONS},
+        "fact_sales": statement(f"SELECT {facts} FROM fact_sales"),
+        "fact_quarantine": statement(f"SELECT {facts} FROM fact_all WHERE {_MISSING}"),
+        "view_sales_summary": statement(SUMMARY),
+        "view_product_performance": _grouped(
+            ["product_id", "product_name", "category", "sub_category"],
+            ["total_orders", "total_sales", "total_profit", "total_units", "avg_discount", "avg_unit_price", "profit_margin_pct",
+             "total_returns"], inner=["product_key"]),
+        "view_customer_analysis": _grouped(
+            ["customer_id", "customer_name", "segment"], ["total_orders", "total_spent", "total_profit", "total_units", "total_returns"],
+            inner=["customer_key"], avg_order_value=_mean("sales")),
+        "view_regional_performance": _grouped(
+            ["region", "state", "city", "sales_person"],
+            ["total_orders", "total_sales", "total_profit", "total_units", "avg_shipping_days", "total_returns"], inner=["location_key"]),
+        "view_shipping_performance": _grouped(
+            ["ship_mode"], ["total_orders", "avg_days_to_ship", "min_days", "max_days", "total_sales", "total_returns"]),
+        "view_monthly_trends": _grouped(
+            ["year", "month", "month_name", "month_year_label", "quarter_name", "season"],
+            ["total_orders", "total_sales", "total_profit", "total_units", "total_returns"], inner=["order_date_key"],
+            avg_order_value=METRICS["average_order_value"]),
+        "measures_overall": _grouped([], MEASURES),
+        "measures_by_segment_year": _grouped(["segment", "year"], MEASURES),
+        "measures_by_ship_month": _grouped(["year", "month"], MEASURES, role="ship_date"),
+        "measures_by_category": _grouped(["category", "sub_category"], MEASURES),
+        "measures_by_region_ship_mode": _grouped(["region", "ship_mode"], MEASURES),
+        "measures_filtered": _grouped(["ship_mode"], MEASURES, where="region = 'ASIA'", also=["region"]),
+        "measures_on_time_all_lines": _grouped(
+            ["ship_mode"], ["total_orders"], on_time_delivery_pct=_per(
+                f"({_ORDERS} - count(DISTINCT order_id) FILTER (days_to_ship IS NULL OR days_to_ship > {ON_TIME}))", _ORDERS)),
+        "measures_additive": _grouped(["region"], ["total_sales", "total_quantity", "average_discount"]),
+        "dq_unmatched_keys": _nulls(_KEYS, "fact_all"),  # the set-aside rows included
+        "dq_optional_keys": _nulls(["ship_date_key", "ship_mode_key", "sales_person_key"]),
+        "dq_duplicate_natural_keys": _union(
+            f"SELECT '{name}' AS dim_name, concat_ws('|', {_list(f'''coalesce(CAST({k} AS VARCHAR), '<null>')''' for k in spec['join_on'])}) "
+            f"AS natural_key, count(*) AS n_rows FROM {name} GROUP BY {_list(spec['join_on'])} HAVING count(*) > 1"
+            for name, spec in DIMENSIONS.items()),
+        "row_counts": _union(
+            f"SELECT '{shown}' AS table_name, count(*) AS n_rows FROM {stage}" for shown, stage in [
+                ("bronze_orders", "bronze_orders"), ("bronze_people", "bronze_people"), ("bronze_returns_order", "bronze_returns"),
+                ("silver_orders", "silver_orders"), ("silver_people", "silver_people"), ("silver_returns_order", "silver_returns"),
+                ("dim_date", "dim_date"), *[(name, name) for name in DIMENSIONS], ("fact_sales", "fact_sales")]),
+        "top_n_summary": statement(f"SELECT * FROM ({SUMMARY}) ORDER BY "
+                                   + _list(f"{c} NULLS FIRST" for c in first_order.split(", ")) + " LIMIT 10"),
+        "dq_key_uniqueness": _union(
+            f"SELECT '{t}' AS table_name, '{k}' AS key_column, count(*) AS n_duplicate_keys "
+            f"FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)" for t, k in [
+                ("dim_date", "date_key"), *[(name, spec["key"]) for name, spec in DIMENSIONS.items()], ("silver_orders", "row_id")]),
+        "dq_text_lengths": _union(
+            f"SELECT '{c}' AS column_name, {n} AS max_length, count(*) FILTER (length({c}) > {n}) AS n_too_long FROM bronze_orders"
+            for c, n in LENGTHS.items()),
+        "profile_silver_orders": _profile(),
+        "dim_customer_first": statement("""SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS BIGINT) AS customer_key,
+    customer_id, customer_name, segment FROM (
+  SELECT DISTINCT ON (customer_id) customer_id, customer_name, segment FROM dim_customer
+  ORDER BY customer_id, customer_name NULLS FIRST, segment NULLS FIRST)"""),
+    }

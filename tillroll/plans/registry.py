@@ -12,6 +12,7 @@ DOUBLE) so they can be compared value for value with another engine.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import cleaning
+from tillroll.operators.keys import dense_key
 from tillroll.operators import quality
 from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
 from tillroll.plans.measures import measures
-from tillroll.plans.pipeline import Warehouse, run_pipeline
+from tillroll.plans.pipeline import Warehouse, default_root, run_pipeline
 from tillroll.plans.gold import dimension
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
 from tillroll.sources.profile import profile
+from tillroll.sources.readers import read_landing
 from tillroll.sources.adapter import FIXTURE_RULES, bronze_tables
 
 _LOCK = threading.Lock()
@@ -55,8 +58,9 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
             # The date range spans the data's years (1995-2001 for the driver
             # tables, the range the fixture prescribes), so the date dimension
             # too is derived from the given tables.
-            wh = run_pipeline(spark, bronze_tables(spark, sf_dir), rules=FIXTURE_RULES,
-                              date_range="data", register_views=False)
+            # Rows without a location are planted, and set aside.
+            wh = run_pipeline(spark, bronze_tables(spark, sf_dir), rules=FIXTURE_RULES, date_range="data",
+                              on_unmatched="quarantine", register_views=False)
             _CACHE[key] = wh
         return wh
 
@@ -123,6 +127,27 @@ def q_fact_sales(spark, sf_dir):
     return comparable(fact.select(*[c for c in FACT_COLUMNS if c != "fact_key"]))
 
 
+def q_fact_quarantine(spark, sf_dir):
+    """Q1: the fact rows set aside because a required key is missing."""
+    rows = warehouse_for(spark, sf_dir).quarantine
+    return comparable(rows.select(*[c for c in FACT_COLUMNS if c != "fact_key"]))
+
+
+def q_dense_key_payload(spark, sf_dir):
+    """Silver lines numbered by some columns with all others kept."""
+    order = ["order_id", "row_id", "product_id", "ship_date", "sales", "quantity", "discount"]
+    return comparable(dense_key(_silver_orders(warehouse_for(spark, sf_dir)), order, "line_key"))
+
+
+def q_landing_csv(spark, sf_dir):
+    """Order lines written as CSV, with commas, quotes and line breaks in a column, and landed again."""
+    lines = warehouse_for(spark, sf_dir).bronze["orders"].select(*ORDERS_COLUMNS).withColumn(
+        "product_name", F.concat("product_name", F.lit(', 8"\nnew')))
+    path = f"{default_root(spark)}/_landing_csv/{uuid.uuid4().hex}"
+    lines.write.options(header="true", quote='"', escape='"', nullValue="", emptyValue="").csv(path)
+    return comparable(read_landing(spark, "orders", path, multiline=True))
+
+
 def _view_query(name: str):
     def run(spark, sf_dir):
         gold = warehouse_for(spark, sf_dir).gold
@@ -166,9 +191,17 @@ def q_measures_on_time_all_lines(spark, sf_dir):
                     names=["total_orders", "on_time_delivery_pct"], numeric="double")
 
 
+def q_measures_additive(spark, sf_dir):
+    """Additive measures alone: one exchange, no orders."""
+    return measures(warehouse_for(spark, sf_dir).gold, by=["region"], names=["total_sales", "total_quantity", "average_discount"],
+                    numeric="double")
+
+
 def q_dq_unmatched_keys(spark, sf_dir):
-    """Q1: fact rows whose required dimension keys are missing."""
-    return quality.unmatched_keys(warehouse_for(spark, sf_dir).gold.fact_sales, FACT_REQUIRED_KEYS)
+    """Q1: fact rows, set-aside ones included, whose required dimension keys are missing."""
+    wh = warehouse_for(spark, sf_dir)
+    keys = wh.gold.fact_sales.select(*FACT_REQUIRED_KEYS).unionByName(wh.quarantine.select(*FACT_REQUIRED_KEYS))
+    return quality.unmatched_keys(keys, FACT_REQUIRED_KEYS)
 
 
 def q_dq_optional_keys(spark, sf_dir):
@@ -207,10 +240,11 @@ def q_top_n_summary(spark, sf_dir, n: int = 10):
 
 
 def q_dq_key_uniqueness(spark, sf_dir):
-    """Q3: per gold table, the number of primary-key values used more than once."""
-    gold = warehouse_for(spark, sf_dir).gold
-    keys = {"dim_date": "date_key", **{n: s["key"] for n, s in DIMENSIONS.items()}}
-    parts = [quality.duplicate_keys(getattr(gold, n), [k]).agg(F.count(F.lit(1)).alias("n_duplicate_keys"))
+    """Q3: per gold table, the number of primary-key values used more than once; and of silver's row_id, which is no key."""
+    wh = warehouse_for(spark, sf_dir)
+    keys = {"dim_date": "date_key", **{n: s["key"] for n, s in DIMENSIONS.items()}, "silver_orders": "row_id"}
+    tables = {**wh.gold.tables(), "silver_orders": wh.silver["orders"]}
+    parts = [quality.duplicate_keys(tables[n], [k]).agg(F.count(F.lit(1)).alias("n_duplicate_keys"))
                .select(F.lit(n).alias("table_name"), F.lit(k).alias("key_column"), "n_duplicate_keys")
              for n, k in keys.items()]
     out = parts[0]
@@ -249,6 +283,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_returns_first": q_silver_returns_first,
         "ship_mode_repair": q_ship_mode_repair,
         "dim_date": q_dim_date,
+        "fact_quarantine": q_fact_quarantine,
+        "dense_key_payload": q_dense_key_payload,
+        "landing_csv": q_landing_csv,
+        "measures_additive": q_measures_additive,
     }
     for name in ["dim_customer", "dim_product", "dim_location", "dim_ship_mode", "dim_sales_person"]:
         q[name] = _dim_query(name)

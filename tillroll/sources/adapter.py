@@ -95,55 +95,67 @@ def bronze_orders(t: dict[str, DataFrame]) -> DataFrame:
     part_mod = F.col("l_partkey") % 50
     mode_by_order = F.element_at(F.array(*[F.lit(m) for m in _SHIP_MODES]),
                                  (F.col("o_orderkey") % 4 + 1).cast("int"))
-    sales = F.col("l_extendedprice").cast("decimal(10,4)")
-    discount = F.col("l_discount").cast("decimal(5,4)")
+    ok, nation_key = F.col("o_orderkey"), F.col("n_nationkey")
+    zero = F.lit(0).cast("decimal(10,4)")
+    sales = F.when(F.col("l_partkey") % 89 == 7, zero).otherwise(F.col("l_extendedprice").cast("decimal(10,4)"))
+    # Three decimals, so that the narrowing to two has something to round.
+    half = F.when(F.col("l_linenumber") == 4, F.lit(0.005).cast("decimal(5,4)")).otherwise(F.lit(0).cast("decimal(5,4)"))
+    discount = (F.col("l_discount").cast("decimal(5,4)") + half).cast("decimal(5,4)")
+    # Lines 1 and 2 of some orders share their row_id; of the copies some have no row_id and some the original's.
+    position = F.when((ok % 500 == 7) & (F.col("_rn") == 2), F.lit(1)).otherwise(F.col("_rn"))
+    row_id = F.when((F.col("_copy") > 0) & (ok % 300 == 0), F.lit(None)).otherwise(
+        ok * 1000 + position + F.when(ok % 300 == 100, F.lit(0)).otherwise(F.col("_copy")))
+    spaces = F.when(F.col("p_partkey") % 3 == 0, F.lit("  ")).when(F.col("p_partkey") % 7 == 1, F.lit("   ")).otherwise(F.lit(" "))
     return j.select(
-        (F.col("l_orderkey") * 1000 + F.col("_rn") + F.col("_copy")).cast("long").alias("row_id"),
+        row_id.cast("long").alias("row_id"),
         F.concat(F.lit("O-"), F.col("o_orderkey").cast("string")).alias("order_id"),
         order_date.alias("order_date"),
         F.date_add(order_date, ((F.col("o_orderkey") + F.col("l_linenumber")) % 9).cast("int")).alias("ship_date"),
         F.when(part_mod == 0, F.lit("null")).when(part_mod == 1, F.lit("0"))
          .when(part_mod == 2, F.lit(None).cast("string")).otherwise(mode_by_order).alias("ship_mode"),
         F.concat(F.lit("C-"), F.col("c_custkey").cast("string")).alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        F.col("c_mktsegment").alias("segment"),
+        # Longer than declared, for some.
+        F.concat(F.col("c_name"), F.when(F.col("c_custkey") % 200 == 9, F.repeat(F.lit("x"), 100)).otherwise("")).alias("customer_name"),
+        # Some customers have two segments, so that the fact fans out.
+        F.when((F.col("c_custkey") % 50 == 3) & (ok % 2 == 0), F.lit("DUAL")).otherwise(F.col("c_mktsegment")).alias("segment"),
         F.when(F.col("l_suppkey") % 40 == 0, F.lit("123")).otherwise(F.lit("United States")).alias("country_region"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("state"),
-        F.when(F.col("n_nationkey") == 7, F.lit(None).cast("string"))
+        # No postal code: in one city a rule adds it, in the other the rows are set aside.
+        F.when((nation_key == 7) | ((nation_key == 8) & (ok % 11 == 0)), F.lit(None).cast("string"))
          .otherwise(F.lpad(F.col("n_nationkey").cast("string"), 5, "0")).alias("postal_code"),
-        F.col("r_name").alias("region"),
+        # Two cities lie in two regions each: one of those has two people, the other none.
+        F.when(nation_key.isin(5, 6) & (ok % 3 == 0), F.concat(F.lit("ZONE "), nation_key.cast("string")))
+         .otherwise(F.col("r_name")).alias("region"),
         F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias("product_id"),
         F.col("p_brand").alias("category"),
         F.col("p_type").alias("sub_category"),
-        F.when(F.col("p_partkey") % 3 == 0, F.replace(F.col("p_name"), F.lit(" "), F.lit("  ")))
-         .otherwise(F.col("p_name")).alias("product_name"),
+        F.replace(F.col("p_name"), F.lit(" "), spaces).alias("product_name"),
         sales.alias("sales"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.when(F.col("l_partkey") % 97 == 5, F.lit(0)).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
         discount.alias("discount"),
         (sales * (F.lit(0.05).cast("decimal(5,4)") - discount)).cast("decimal(10,4)").alias("profit"),
     )
 
 
 def bronze_people(t: dict[str, DataFrame]) -> DataFrame:
-    """One person per region, plus one person listed for a second region."""
+    """One person per region; two in a further one; two people listed twice, one of them once without a region."""
     region = t["region"]
-    people = region.select(F.concat(F.lit("Rep "), F.col("r_name")).alias("person_name"),
-                           F.col("r_name").alias("region"))
-    extra = (region.filter(F.col("r_name") == "AFRICA")
-                   .select(F.concat(F.lit("Rep "), F.col("r_name")).alias("person_name"),
-                           F.lit("ZZZ").alias("region")))
+    people = region.select(F.concat(F.lit("Rep "), F.col("r_name")).alias("person_name"), F.col("r_name").alias("region"))
+    extra = region.sparkSession.sql(
+        "SELECT * FROM VALUES ('Rep AFRICA', 'ZZZ'), ('Rep NORTH', 'ZONE 5'), ('Rep SOUTH', 'ZONE 5'), "
+        "('Rep NOWHERE', CAST(NULL AS STRING)), ('Rep NOWHERE', 'ZONE 9') AS p(person_name, region)")
     return people.unionByName(extra)
 
 
 def bronze_returns(t: dict[str, DataFrame]) -> DataFrame:
-    """A return record per returned line of every tenth order (repeats kept)."""
-    lines = t["lineitem"].select("l_orderkey", "l_returnflag")
+    """A return record per returned line of every tenth order, repeats kept, said in several ways or not at all."""
+    lines = t["lineitem"].select("l_orderkey", "l_returnflag", "l_linenumber")
     orders = t["orders"].select("o_orderkey")
-    j = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return (j.filter((F.col("l_returnflag") == "R") & (F.col("o_orderkey") % 10 == 0))
-             .select(F.lit("Yes").alias("returned"),
-                     F.concat(F.lit("O-"), F.col("o_orderkey").cast("string")).alias("order_id")))
+    j = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_semi")
+    said = F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string")).when(F.col("l_linenumber") % 3 == 1, F.lit("Yes")).otherwise(F.lit("Y"))
+    return (j.filter((F.col("l_returnflag") == "R") & (F.col("l_orderkey") % 10 == 0))
+             .select(said.alias("returned"), F.concat(F.lit("O-"), F.col("l_orderkey").cast("string")).alias("order_id")))
 
 
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
