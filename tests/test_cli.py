@@ -60,3 +60,26 @@ def test_readme_example(spark, tmp_root):
     assert views.monthly_trends(wh.gold).orderBy("year", "month").count() == 1
     assert measures(wh.gold, by=["segment", "year"], date_role="ship").first().total_orders == 1
     assert spark.sql("SELECT * FROM gold_vw_regional_performance").first().sales_person == "Ann Rep"
+
+
+def test_names_are_published_and_old_runs_pruned(spark, tmp_root):
+    import os
+
+    from tests.conftest import bronze_frames, order_row
+    from tillroll.plans import views
+    from tillroll.plans.pipeline import prune_runs, run_pipeline
+
+    root = os.path.join(tmp_root, "warehouse")
+    range_ = (__import__("datetime").date(1998, 1, 1), __import__("datetime").date(1998, 12, 31))
+    runs = [run_pipeline(spark, bronze_frames(spark, [order_row(i), order_row(i + 1, order_id="O-2", postal_code=None)]), root=root,
+                         date_range=range_, on_unmatched="quarantine", publish=i == 1) for i in range(4)]
+    assert spark.sql("SELECT * FROM gold.vw_monthly_trends ORDER BY year, month").first().total_orders == 1
+    assert spark.table("gold.fact_sales").count() == 1 and spark.table("bronze.orders").count() == 2
+    published = runs[1].gold
+    for name, make in views.VIEWS.items():
+        by_name, made = spark.table(f"gold.{name}"), make(published)
+        assert by_name.select(made.columns).exceptAll(made).count() == 0 == made.exceptAll(by_name.select(made.columns)).count()
+    gone = prune_runs(spark, root, keep=1)
+    assert sorted(gone) == sorted([runs[0].root, runs[2].root])
+    assert spark.table("gold.fact_sales").count() == 1 and runs[3].gold.fact_sales.count() == 1
+    assert prune_runs(spark, root, keep=1) == []

@@ -15,7 +15,7 @@ import sys
 import uuid
 
 from tillroll.plans import views
-from tillroll.plans.pipeline import default_root, open_published, run_pipeline
+from tillroll.plans.pipeline import default_root, open_published, prune_runs, run_pipeline
 from tillroll.rules import DEFAULT_DATE_RANGE
 from tillroll.session import get_session
 from tillroll.sources.readers import read_landing, split_tagged, tolerant_tagged
@@ -53,7 +53,15 @@ def main(argv: list[str] | None = None) -> int:
     show.add_argument("--root", default=None)
     show.add_argument("--rows", type=int, default=20)
     show.add_argument("--master", default=None)
+    prune = sub.add_parser("prune", help="delete old runs, never the published one")
+    prune.add_argument("--root", default=None)
+    prune.add_argument("--keep", type=int, default=3)
+    prune.add_argument("--master", default=None)
     args = parser.parse_args(argv)
+    if args.command == "prune":
+        for run in prune_runs(get_session(args.master), args.root, args.keep):
+            print(run)
+        return 0
     if args.command == "show":
         spark = get_session(args.master)
         df = views.VIEWS["vw_" + args.view](open_published(spark, args.root))

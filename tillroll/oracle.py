@@ -242,6 +242,16 @@ def _grouped(by, metrics, role: str = "order_date", inner=(), where: str = "", a
                      + (f"GROUP BY {_list(by)}" if by else ""))
 
 
+def _six(num: str, den: str) -> str:
+    """num / den on integers, rounded half up to six decimals, as a double."""
+    n, d = f"(CAST({num} AS HUGEINT) * 1000000)", f"CAST({den} AS HUGEINT)"
+    return f"CAST(sign({n}) * sign({d}) * ((2 * abs({n}) + abs({d})) // nullif(2 * abs({d}), 0)) AS DOUBLE) / 1000000"
+
+
+def _six_mean(column: str) -> str:
+    return _six(f"sum({column}) * 10000", f"count({column}) * 10000")
+
+
 _KEYS = ["order_date_key", "customer_key", "product_key", "location_key"]
 SUMMARY = (f"SELECT {_shown(SUMMARY_COLUMNS, _KINDS)} FROM "
            + _with_attributes(set(SUMMARY_COLUMNS), inner=_KEYS))
@@ -308,6 +318,24 @@ def oracle_sql() -> dict[str, str]:
             ["year", "month", "month_name", "month_year_label", "quarter_name", "season"],
             ["total_orders", "total_sales", "total_profit", "total_units", "total_returns"], inner=["order_date_key"],
             avg_order_value=METRICS["average_order_value"]),
+        # The views by name, in decimals: quotients are rounded once, half up, after the factor of a percentage.
+        "vw_sales_summary": statement(SUMMARY),
+        "vw_product_performance": _grouped(
+            ["product_id", "product_name", "category", "sub_category"], ["total_orders", "total_sales", "total_profit", "total_units", "total_returns"],
+            inner=["product_key"], avg_discount=_six_mean("discount"), avg_unit_price=_six_mean("unit_price"),
+            profit_margin_pct=_six("sum(profit) * 1000000", "sum(sales) * 10000")),
+        "vw_customer_analysis": _grouped(
+            ["customer_id", "customer_name", "segment"], ["total_orders", "total_spent", "total_profit", "total_units", "total_returns"],
+            inner=["customer_key"], avg_order_value=_six_mean("sales")),
+        "vw_regional_performance": _grouped(
+            ["region", "state", "city", "sales_person"],
+            ["total_orders", "total_sales", "total_profit", "total_units", "avg_shipping_days", "total_returns"], inner=["location_key"]),
+        "vw_shipping_performance": _grouped(
+            ["ship_mode"], ["total_orders", "avg_days_to_ship", "min_days", "max_days", "total_sales", "total_returns"]),
+        "vw_monthly_trends": _grouped(
+            ["year", "month", "month_name", "month_year_label", "quarter_name", "season"],
+            ["total_orders", "total_sales", "total_profit", "total_units", "total_returns"], inner=["order_date_key"],
+            avg_order_value=_six("sum(sales) * 10000", f"{_ORDERS} * 10000")),
         "measures_overall": _grouped([], MEASURES),
         "measures_by_segment_year": _grouped(["segment", "year"], MEASURES),
         "measures_by_ship_month": _grouped(["year", "month"], MEASURES, role="ship_date"),

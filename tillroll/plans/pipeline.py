@@ -31,6 +31,7 @@ from tillroll.operators.keys import partitions_for
 from tillroll.operators.quality import DataQualityError, any_null, null_count_columns
 from tillroll.plans import gold as gold_plan
 from tillroll.plans import silver as silver_plan
+from tillroll.plans.catalog import publish_catalog
 from tillroll.plans.gold import Gold
 from tillroll.plans.views import VIEWS
 from tillroll.rules import DEFAULT_DATE_RANGE, SilverRules
@@ -171,7 +172,8 @@ def run_pipeline(
     failing step, 'continue' records it and skips its dependants.
     ``collation`` (e.g. 'UTF8_LCASE_RTRIM') makes every text comparison of
     silver and gold follow it, as a case-insensitive server collation would.
-    ``publish`` points ``<root>/_published`` at this run once it succeeded.
+    ``publish`` points ``<root>/_published`` and the catalog's names at this run
+    once it succeeded.
     ``date_range``: (start, end), None for the default range, or 'data' for
     the whole calendar years spanned by the silver order and ship dates.
     ``on_overlong``: landing text longer than its declared length is a
@@ -316,9 +318,49 @@ def run_pipeline(
     wh.steps = sorted(runner.steps, key=lambda r: runner.order.index(r.step))
     if publish and wh.gold is not None and not runner.failed:
         publish_run(spark, root, wh)
+        publish_names(spark, wh)
     return wh
 
 
+def publish_names(spark: SparkSession, wh: Warehouse) -> None:
+    """The run's tables and views under the schemas bronze, silver and gold."""
+    publish_catalog(spark, wh.root, {
+        "bronze": [n for n, df in wh.bronze.items() if df is not None],
+        "silver": [n for n, df in wh.silver.items() if df is not None],
+        "gold": list(wh.gold.tables())})
+
+
+def prune_runs(spark: SparkSession, root: str | None = None, keep: int = 3) -> list[str]:
+    """Delete all but the newest ``keep`` runs below ``root`` and return the deleted folders.
+
+    The published run is never deleted, whatever its age, nor is anything that
+    is not a run folder.  Run ids begin with the time they started, so their
+    order by name is their order in time.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one run")
+    root = (root or default_root(spark)).rstrip("/")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(conf)
+    if not fs.exists(folder):
+        return []
+    runs = sorted(s.getPath().getName() for s in fs.listStatus(folder)
+                  if s.isDirectory() and s.getPath().getName().startswith("run-"))
+    published = {_published_record(spark, root)["run"].rstrip("/").rpartition("/")[2]} if fs.exists(
+        jvm.org.apache.hadoop.fs.Path(f"{root}/_published")) else set()
+    gone = [r for r in runs[:-keep] if r not in published]
+    for run in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{run}"), True)
+    return [f"{root}/{r}" for r in gone]
+
+
+def _published_record(spark: SparkSession, root: str) -> dict:
+    records = spark.read.text(f"{root}/_published").select(
+        F.get_json_object("value", "$.published_at").alias("at"), "value")
+    return json.loads(records.orderBy(F.col("at").desc()).first()["value"])
+
+
 def publish_run(spark: SparkSession, root: str, wh: Warehouse) -> None:
     """Make ``wh`` the run readers open.
 
@@ -336,9 +378,7 @@ def publish_run(spark: SparkSession, root: str, wh: Warehouse) -> None:
 def open_published(spark: SparkSession, root: str | None = None) -> Gold:
     """Open the gold layer of the newest published run, with its row counts."""
     root = (root or default_root(spark)).rstrip("/")
-    records = spark.read.text(f"{root}/_published").select(
-        F.get_json_object("value", "$.published_at").alias("at"), "value")
-    record = json.loads(records.orderBy(F.col("at").desc()).first()["value"])
+    record = _published_record(spark, root)
     run = record["run"]
     tables = {name: spark.read.parquet(f"{run}/gold/{name}")
               for name in ["dim_date", *gold_plan.DIMENSION_NAMES, "fact_sales"]}

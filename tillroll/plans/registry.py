@@ -25,7 +25,7 @@ from tillroll.operators import quality
 from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
 from tillroll.plans.measures import measures
-from tillroll.plans.pipeline import Warehouse, default_root, run_pipeline
+from tillroll.plans.pipeline import Warehouse, default_root, publish_names, run_pipeline
 from tillroll.plans.gold import dimension
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
 from tillroll.sources.profile import profile
@@ -127,6 +127,16 @@ def q_fact_sales(spark, sf_dir):
     return comparable(fact.select(*[c for c in FACT_COLUMNS if c != "fact_key"]))
 
 
+def _named_view_query(name: str):
+    def run(spark, sf_dir):
+        wh = warehouse_for(spark, sf_dir)
+        publish_names(spark, wh)
+        return comparable(spark.sql(f"SELECT * FROM gold.{name}"))
+    run.__name__ = f"q_{name}_by_name"
+    run.__doc__ = f"S13, V1-V6: SELECT * FROM gold.{name}, in the warehouse's decimal form."
+    return run
+
+
 def q_fact_quarantine(spark, sf_dir):
     """Q1: the fact rows set aside because a required key is missing."""
     rows = warehouse_for(spark, sf_dir).quarantine
@@ -293,6 +303,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["fact_sales"] = q_fact_sales
     for name in views.VIEWS:
         q["view_" + name[len("vw_"):]] = _view_query(name)
+        q[name] = _named_view_query(name)
     q.update({
         "measures_overall": q_measures_overall,
         "measures_by_segment_year": q_measures_by_segment_year,
