@@ -358,3 +358,53 @@ def test_filters_and_columns_reach_the_fact_scan(spark, mixed):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "order_id" in line][0]
     assert "EqualTo(order_id,O-2)" in scan                         # pushed to Parquet
     assert "ReadSchema: struct<" in scan and "profit" not in scan.split("ReadSchema:")[1]
+
+
+def test_measures_scan_the_fact_once(spark):
+    from tests.conftest import sf_dir
+    from tillroll.plans.registry import warehouse_for
+
+    gold = warehouse_for(spark, sf_dir("0.001")).gold
+
+    def final_plan(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+    def fact_scans(plan):
+        return sum("FileScan parquet" in line and "sales#" in line.split("Batched")[0] for line in plan.splitlines())
+
+    for by in ([], ["segment", "year"], ["category", "sub_category"]):
+        assert fact_scans(final_plan(measures(gold, by=by))) == 1
+    additive = final_plan(measures(gold, by=["region"], names=["total_sales", "average_discount"]))
+    assert fact_scans(additive) == 1 and additive.count("Exchange hashpartitioning") == 1
+
+
+def test_fact_files_are_narrow_in_the_order_date(spark, tmp_root):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from tillroll.sources.sinks import fact_layout, write_table
+
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        day = F.date_add(F.lit("1998-01-01").cast("date"), (F.col("id") * 7919 % 730).cast("int"))
+        fact = spark.range(0, 20_000, 1, 8).select(
+            F.col("id").alias("fact_key"), F.date_format(day, "yyyyMMdd").cast("int").alias("order_date_key"),
+            F.concat(F.lit("O-"), F.col("id")).alias("order_id"))
+        path = os.path.join(tmp_root, "fact")
+        write_table(fact_layout(fact), path, partition_by=["order_year"])
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files = glob.glob(f"{path}/order_year=*/*.parquet")
+    assert 16 <= len(files) <= 16 + 1  # one a range, and one more where a range spans the turn of the year
+    for f in files:
+        stats = pq.ParquetFile(f).metadata.row_group(0).column(1).statistics
+        assert (stats.max // 100 % 100) - (stats.min // 100 % 100) <= 2  # months, of twelve
+    assert spark.read.parquet(path).select("fact_key").distinct().count() == 20_000
