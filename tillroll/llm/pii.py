@@ -51,11 +51,12 @@ PATTERNS = {
     "iban": rf"(?<!{_WU})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WU})",
     "secret": rf"(?<!{_WU})(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}})(?!{_WU})"
               rf"|(?<!{_WU})(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!{_WU})|(?<!{_WU})(?:sk|ghp|gho|xoxb|xoxp)[-_][A-Za-z0-9_-]{{20,}}",
-    "name": rf"(?<!{_WU})(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?<!{_WU})(?:{_KNOWN}) {_NAME}",
+    "name": rf"(?<!{_WU})(?=\p{{Lu}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_KNOWN}) {_NAME})",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: An entity begins where no letter or digit stands before, which spares trying every pattern within words.
+ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: What a text with an entity holds at least; the whole patterns run on such texts only.
-HINT = rf"[0-9@]|(?:{_TITLE})\.? \p{{Lu}}|(?:{_KNOWN}) \p{{Lu}}"
+HINT = rf"[0-9@]|(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.?|{_KNOWN}) \p{{Lu}}"
 DEFAULT_KEY = "surrogates-1"
 #: Draws before the corpus is taken to have run out of surrogates of some kind.
 DRAWS = 40
