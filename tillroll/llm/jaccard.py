@@ -23,6 +23,7 @@ Steps, each a Spark job over written tables:
 
 from __future__ import annotations
 
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -217,8 +218,10 @@ def _release(spark: SparkSession) -> None:
     """Let the driver collect its garbage, upon which Spark removes the shuffle files of finished steps."""
     import gc
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,16 +266,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     prefixes = table.select("row", "prefix").join(classes.select(F.col("node").alias("row"), "n", "matches"), "row")
     tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("row").alias("node"),
                              F.col("n").cast("int").alias("n"), F.col("matches").cast("int").alias("matches"))
-    count = F.count(F.lit(1)).over(Window.partitionBy("token"))
-    index = written(tokens.withColumn("_n", count).where("_n > 1").drop("_n"), "index")
+    group = Window.partitionBy("token")
+    index = tokens.withColumn("_n", F.count(F.lit(1)).over(group)).withColumn("least", F.min("matches").over(group))
+    index = written(index.where("_n > 1").drop("_n"), "index")
     _release(spark)
-    # Only classes that share a prefix token can be in a pair; their texts are fetched once.
-    doubtful = index.select("node").distinct()
-    wanted = classes.join(doubtful, "node").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"))
-    keyed = given.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).withColumn("_h", F.xxhash64("text"))
-    texts = keyed.join(wanted, (F.col("_h") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id"))) \
-        .select("node", "text").dropDuplicates(["node"])
-    texts = written(texts, "texts")
+    # A class can only be in a pair if it shares as many tokens as it asks for, or as the least that one it meets asks for.
+    # The texts of such classes are fetched once; a text is found by its id and hash, so repeated rows give one.
+    doubtful = index.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.first("matches").alias("_m"), F.min("least").alias("_l"))
+    doubtful = doubtful.where(F.col("_n") >= F.least("_m", "_l")).select("node")
+    same_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    wanted = classes.join(doubtful, "node").select("node", same_id.alias("_i"), F.col("text_hash").alias("_h"))
+    keyed = given.select(same_id.alias("_i"), text_of("text").alias("text")).withColumn("_h", F.xxhash64("text"))
+    texts = written(keyed.join(wanted, ["_h", "_i"]).dropDuplicates(["_h", "_i"]).select("node", "text"), "texts")
     _release(spark)
 
     links: list[DataFrame] = []
@@ -293,6 +298,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             F.count(F.lit(1)).alias("c"), F.first(F.least("matches", "hub.matches")).alias("m")).where("c >= m")
         best = met.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
         found = written(_verified(best, texts, words, percent), "links")
+        _release(spark)
         links.append(found)
         if not found.limit(1).count():
             break
