@@ -185,7 +185,7 @@ def fit(docs: DataFrame, order: int = 2) -> Model:
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces_of(batch, 0, 32_000_000):
+            for a, b in pieces_of(batch, 0, 12_000_000):
                 _, codes, words = words_of(batch.column(0).slice(a, b - a))
                 keys = np.r_[hashes(words), -1]  # -1: the texts, each of which has an end
                 n = np.r_[np.bincount(codes, minlength=len(words)), b - a]
@@ -201,7 +201,7 @@ def fit(docs: DataFrame, order: int = 2) -> Model:
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in pieces_of(batch, 0, 32_000_000):
+            for a, b in pieces_of(batch, 0, 12_000_000):
                 doc, tokens, _ = _numbers(vocabulary, batch.column(0).slice(a, b - a))
                 context = _contexts(doc, tokens, order - 1)
                 if order == 2:
