@@ -15,9 +15,10 @@ Steps, each a Spark job over written tables:
 3. the classes' prefix tokens are shuffled by token; tokens of one class go;
 4. hub rounds: each class is verified against the hub of its tokens that it
    shares most with, which joins a group of n near copies by about n checks;
-5. all remaining pairs that share enough tokens, are of similar size and are
-   not yet known to be connected are verified, so no link between different
-   components is lost;
+5. all remaining pairs that can still be similar and are not yet known to be
+   connected are verified, so no link between different components is lost.
+   Pairs fall out unmade where a set has too many tokens that no other set
+   has, and unverified where they share too few prefix tokens;
 6. connected components of the verified links.
 """
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import own_columns, pieces_of, text_of, words_of, written
@@ -188,8 +189,24 @@ def _sets_table(docs: DataFrame, levels: np.ndarray, words: int, percent: int) -
     return given.mapInArrow(run, "row long, doc_id long, text_hash long, n long, digest binary, matches int, prefix array<long>")
 
 
-def _similar_size(a: str, b: str, percent: int):
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+def _overlap(n: str, n2: str, percent: int) -> Column:
+    """The tokens that sets of these sizes must share."""
+    return F.expr(f"({percent} * ({n} + {n2}) + {99 + percent}) div {100 + percent}")
+
+
+def _possible(percent: int, n: str, n2: str, bound: str, bound2: str) -> Column:
+    """Whether two sets can be similar enough, by the most tokens that each can share with any other set."""
+    return _overlap(n, n2, percent) <= F.least(bound, bound2)
+
+
+def _enough(percent: int) -> Column:
+    """Whether sets a and b share as many prefix tokens as similar sets must.
+
+    Of a's prefix at most ``n - overlap`` tokens are missing in b, and the other
+    way round; the first shared tokens in the global order lie in both prefixes.
+    """
+    need = lambda n: F.expr(f"({percent} * {n} + 99) div 100")
+    return F.col("c") >= F.greatest(F.least("m", "m2"), _overlap("n", "n2", percent) - F.greatest(need("n") - F.col("m"), need("n2") - F.col("m2")))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -264,16 +281,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = classes.select("digest", "node", "least_id", F.col("first.doc_id").alias("doc_id"),
                              F.col("first.text_hash").alias("text_hash"), F.col("first.n").alias("n"), F.col("first.matches").alias("matches"))
     prefixes = table.select("row", "prefix").join(classes.select(F.col("node").alias("row"), "n", "matches"), "row")
-    tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("row").alias("node"),
-                             F.col("n").cast("int").alias("n"), F.col("matches").cast("int").alias("matches"))
+    tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("row").alias("node"), F.col("n").cast("int").alias("n"),
+                             F.col("matches").cast("int").alias("m"), (F.col("n") - F.size("prefix")).cast("int").alias("rest"))
     group = Window.partitionBy("token")
-    index = tokens.withColumn("_n", F.count(F.lit(1)).over(group)).withColumn("least", F.min("matches").over(group))
-    index = written(index.where("_n > 1").drop("_n"), "index")
+    index = tokens.withColumn("_n", F.count(F.lit(1)).over(group)).withColumn("least", F.min("m").over(group))
+    index = written(index.where("_n > 1").drop("_n"), "tokens")
     _release(spark)
     # A class can only be in a pair if it shares as many tokens as it asks for, or as the least that one it meets asks for.
     # The texts of such classes are fetched once; a text is found by its id and hash, so repeated rows give one.
-    doubtful = index.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.first("matches").alias("_m"), F.min("least").alias("_l"))
-    doubtful = doubtful.where(F.col("_n") >= F.least("_m", "_l")).select("node")
+    doubtful = index.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.first("m").alias("_m"), F.min("least").alias("_l"))
+    doubtful = doubtful.where(F.col("_n") >= F.least("_m", "_l"))
+    # A set's prefix tokens that no other prefix holds are in no other set: the rest bounds what it can share.
+    index = written(index.drop("least").join(doubtful, "node").select(
+        "token", "node", "n", "m", (F.col("rest") + F.col("_n")).cast("int").alias("bound")), "index")
+    doubtful = index.select("node").distinct()
     same_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     wanted = classes.join(doubtful, "node").select("node", same_id.alias("_i"), F.col("text_hash").alias("_h"))
     keyed = given.select(same_id.alias("_i"), text_of("text").alias("text")).withColumn("_h", F.xxhash64("text"))
@@ -288,14 +309,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             return rows.withColumn("known", F.col("node"))
         return rows.join(known, "node", "left").withColumn("known", F.coalesce("label", "node")).drop("label")
 
-    shared = ["node", "known", "n", "matches"]
+    shared = ["node", "known", "n", "m", "bound"]
     for r in range(HUB_ROUNDS):
         rows = with_known(index)
-        order = F.col("node") if r == 0 else F.xxhash64(F.lit(r), "node")
+        # First the set that can share the largest part of itself, next to the original of a group; then others.
+        order = [F.col("bound") / -F.col("n"), F.lit(0), F.xxhash64(F.lit(r), "node")][r % 3]
         hub = F.min(F.struct(order.alias("o"), *shared)).over(Window.partitionBy("token"))
-        met = rows.withColumn("hub", hub).where((F.col("hub.known") != F.col("known")) & _similar_size("n", "hub.n", percent))
+        met = rows.withColumn("hub", hub).where((F.col("hub.known") != F.col("known")) & _possible(percent, "n", "hub.n", "bound", "hub.bound"))
         met = met.groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.first(F.least("matches", "hub.matches")).alias("m")).where("c >= m")
+            F.count(F.lit(1)).alias("c"), F.first(F.least("m", "hub.m")).alias("m")).where("c >= m")
         best = met.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
         found = written(_verified(best, texts, words, percent), "links")
         _release(spark)
@@ -305,10 +327,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         known = components(_all(links))
     left = with_known(index)
     right = left.select("token", *[F.col(c).alias(f"{c}2") for c in shared])
-    pairs = left.join(right, "token").where(
-        (F.col("node") < F.col("node2")) & (F.col("known") != F.col("known2")) & _similar_size("n", "n2", percent))
+    pairs = left.join(right, (left.token == right.token) & (F.col("node") < F.col("node2")) & (F.col("known") != F.col("known2"))
+                      & _possible(percent, "n", "n2", "bound", "bound2"))
     pairs = pairs.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.first(F.least("matches", "matches2")).alias("m")).where("c >= m")
+        F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("n", "n2", "m", "m2")]).where(_enough(percent))
     links.append(written(_verified(pairs, texts, words, percent), "links"))
     labels = components(_all(links))
 
