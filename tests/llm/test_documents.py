@@ -105,6 +105,21 @@ def test_near_duplicates_lose_no_link(spark, monkeypatch, seed):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == edge.brute_components(rows)
 
 
+def test_near_duplicates_find_isolated_containment(spark):
+    rng = random.Random(5)
+    rows = []
+    for g in range(120):
+        short = [f"g{g}w{rng.randrange(10 ** 9)}" for _ in range(rng.choice([30, 60, 104, 250]))]
+        share = rng.uniform(0.75, 0.85)
+        extra = int((len(short) - 4) / share) - (len(short) - 4)
+        rows += [" ".join(short), " ".join(short + [f"g{g}x{i}" for i in range(extra)])]
+    rows = list(enumerate(rows))
+    want = edge.brute_components(rows)
+    assert sum(1 for d, _, c in want if d != c) == 120
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_one_of_each_group_stays(spark):
     docs = edge.docs(spark)
     kept = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs).collect()]

@@ -17,8 +17,9 @@ Steps, each a Spark job over written tables:
    shares most with, which joins a group of n near copies by about n checks;
 5. all remaining pairs that can still be similar and are not yet known to be
    connected are verified, so no link between different components is lost.
-   Pairs fall out unmade where a set has too many tokens that no other set
-   has, and unverified where they share too few prefix tokens;
+   Pairs fall out unmade where the set whose prefix ends first has too many
+   prefix tokens that no other prefix has, and unverified where they share too
+   few prefix tokens;
 6. connected components of the verified links.
 """
 
@@ -44,6 +45,8 @@ HEAVY, OVER_MEAN = 64, 4
 #: The largest l, and what verifying a pair costs in index rows.
 MOST_MATCHES, VERIFY_COST = 4, 16
 HUB_ROUNDS = 3
+#: A place in the global order, in an int: the token's level and so many leading bits of its hash.
+PLACE_BITS = 25
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -149,7 +152,7 @@ def matches(levels: np.ndarray, n: int, need: int) -> int:
 
 
 def _sets_table(docs: DataFrame, levels: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Per row: a row number, the set's size and 128-bit digest, and its prefix in the global order."""
+    """Per row: a row number, the set's size and 128-bit digest, its prefix in the global order and the place where that ends."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # one byte per bucket
     shift = np.uint64(64 - SKETCH_BITS)
 
@@ -161,7 +164,7 @@ def _sets_table(docs: DataFrame, levels: np.ndarray, words: int, percent: int) -
         for batch in batches:
             for a, b in pieces_of(batch, 2):
                 k = b - a
-                prefix, most, digest = [], [], []
+                prefix, most, last, digest = [], [], [], []
                 found = sets(batch.column(2).slice(a, k), words)
                 for s in found:
                     n = len(s)
@@ -169,6 +172,7 @@ def _sets_table(docs: DataFrame, levels: np.ndarray, words: int, percent: int) -
                     if not n:
                         prefix.append(s[:0].view(np.int64))
                         most.append(0)
+                        last.append(0)
                         continue
                     need = -(-percent * n // 100)
                     lv = level[(s >> shift).astype(np.int64)]
@@ -176,17 +180,19 @@ def _sets_table(docs: DataFrame, levels: np.ndarray, words: int, percent: int) -
                     m = matches(lv[order], n, need)
                     prefix.append(s[order[: n - need + m]].view(np.int64))
                     most.append(m)
+                    end = order[n - need + m - 1]
+                    last.append(int(lv[end]) << PLACE_BITS | int(s[end]) >> (64 - PLACE_BITS))
                 offsets = np.r_[0, np.cumsum([len(p) for p in prefix])].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + k)), batch.column(0).slice(a, k), batch.column(1).slice(a, k),
                      pa.array([len(s) for s in found], pa.int64()), pa.array(digest, pa.binary()), pa.array(most, pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix)))],
-                    names=["row", "doc_id", "text_hash", "n", "digest", "matches", "prefix"])
+                     pa.array(last, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefix)))],
+                    names=["row", "doc_id", "text_hash", "n", "digest", "matches", "last", "prefix"])
                 row += k
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of("text")).alias("text_hash"),
                         text_of("text").alias("text"))
-    return given.mapInArrow(run, "row long, doc_id long, text_hash long, n long, digest binary, matches int, prefix array<long>")
+    return given.mapInArrow(run, "row long, doc_id long, text_hash long, n long, digest binary, matches int, last int, prefix array<long>")
 
 
 def _overlap(n: str, n2: str, percent: int) -> Column:
@@ -194,19 +200,29 @@ def _overlap(n: str, n2: str, percent: int) -> Column:
     return F.expr(f"({percent} * ({n} + {n2}) + {99 + percent}) div {100 + percent}")
 
 
-def _possible(percent: int, n: str, n2: str, bound: str, bound2: str) -> Column:
-    """Whether two sets can be similar enough, by the most tokens that each can share with any other set."""
-    return _overlap(n, n2, percent) <= F.least(bound, bound2)
+def _of_first(last: str, last2: str, value: Column, value2: Column) -> Column:
+    """The value of the set whose prefix ends first in the global order; the greater one if their ends are too near to tell."""
+    return F.when(F.col(last) < F.col(last2), value).when(F.col(last) > F.col(last2), value2).otherwise(F.greatest(value, value2))
+
+
+def _possible(percent: int, n: str, n2: str, bound: str, bound2: str, last: str, last2: str) -> Column:
+    """Whether two sets can be similar enough, by the most tokens that they can share.
+
+    Where a's prefix ends first, its prefix tokens that are in b are in b's
+    prefix too: they are among those that some other prefix holds, and a's rest
+    is all that b can share beyond.  The other way round this does not hold.
+    """
+    return _overlap(n, n2, percent) <= _of_first(last, last2, F.col(bound), F.col(bound2))
 
 
 def _enough(percent: int) -> Column:
     """Whether sets a and b share as many prefix tokens as similar sets must.
 
-    Of a's prefix at most ``n - overlap`` tokens are missing in b, and the other
-    way round; the first shared tokens in the global order lie in both prefixes.
+    Of the set whose prefix ends first, all shared prefix tokens are in both
+    prefixes, so what they must share beyond these lies in its rest.
     """
-    need = lambda n: F.expr(f"({percent} * {n} + 99) div 100")
-    return F.col("c") >= F.greatest(F.least("m", "m2"), _overlap("n", "n2", percent) - F.greatest(need("n") - F.col("m"), need("n2") - F.col("m2")))
+    rest = lambda n, m: F.expr(f"({percent} * {n} + 99) div 100") - F.col(m)
+    return F.col("c") >= F.greatest(F.least("m", "m2"), _overlap("n", "n2", percent) - _of_first("last", "last2", rest("n", "m"), rest("n2", "m2")))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -280,9 +296,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.min(F.struct("row", "doc_id", "text_hash", "n", "matches")).alias("first")), "classes")
     classes = classes.select("digest", "node", "least_id", F.col("first.doc_id").alias("doc_id"),
                              F.col("first.text_hash").alias("text_hash"), F.col("first.n").alias("n"), F.col("first.matches").alias("matches"))
-    prefixes = table.select("row", "prefix").join(classes.select(F.col("node").alias("row"), "n", "matches"), "row")
+    prefixes = table.select("row", "last", "prefix").join(classes.select(F.col("node").alias("row"), "n", "matches"), "row")
     tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("row").alias("node"), F.col("n").cast("int").alias("n"),
-                             F.col("matches").cast("int").alias("m"), (F.col("n") - F.size("prefix")).cast("int").alias("rest"))
+                             F.col("matches").cast("int").alias("m"), (F.col("n") - F.size("prefix")).cast("int").alias("rest"), "last")
     group = Window.partitionBy("token")
     index = tokens.withColumn("_n", F.count(F.lit(1)).over(group)).withColumn("least", F.min("m").over(group))
     index = written(index.where("_n > 1").drop("_n"), "tokens")
@@ -291,9 +307,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # The texts of such classes are fetched once; a text is found by its id and hash, so repeated rows give one.
     doubtful = index.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.first("m").alias("_m"), F.min("least").alias("_l"))
     doubtful = doubtful.where(F.col("_n") >= F.least("_m", "_l"))
-    # A set's prefix tokens that no other prefix holds are in no other set: the rest bounds what it can share.
+    # What a set can share with one whose prefix ends later: its rest and its prefix tokens that some other prefix holds.
     index = written(index.drop("least").join(doubtful, "node").select(
-        "token", "node", "n", "m", (F.col("rest") + F.col("_n")).cast("int").alias("bound")), "index")
+        "token", "node", "n", "m", "last", (F.col("rest") + F.col("_n")).cast("int").alias("bound")), "index")
     doubtful = index.select("node").distinct()
     same_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     wanted = classes.join(doubtful, "node").select("node", same_id.alias("_i"), F.col("text_hash").alias("_h"))
@@ -309,13 +325,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             return rows.withColumn("known", F.col("node"))
         return rows.join(known, "node", "left").withColumn("known", F.coalesce("label", "node")).drop("label")
 
-    shared = ["node", "known", "n", "m", "bound"]
+    shared = ["node", "known", "n", "m", "bound", "last"]
     for r in range(HUB_ROUNDS):
         rows = with_known(index)
         # First the set that can share the largest part of itself, next to the original of a group; then others.
         order = [F.col("bound") / -F.col("n"), F.lit(0), F.xxhash64(F.lit(r), "node")][r % 3]
         hub = F.min(F.struct(order.alias("o"), *shared)).over(Window.partitionBy("token"))
-        met = rows.withColumn("hub", hub).where((F.col("hub.known") != F.col("known")) & _possible(percent, "n", "hub.n", "bound", "hub.bound"))
+        met = rows.withColumn("hub", hub).where((F.col("hub.known") != F.col("known")) & _possible(
+            percent, "n", "hub.n", "bound", "hub.bound", "last", "hub.last"))
         met = met.groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(
             F.count(F.lit(1)).alias("c"), F.first(F.least("m", "hub.m")).alias("m")).where("c >= m")
         best = met.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
@@ -328,9 +345,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     left = with_known(index)
     right = left.select("token", *[F.col(c).alias(f"{c}2") for c in shared])
     pairs = left.join(right, (left.token == right.token) & (F.col("node") < F.col("node2")) & (F.col("known") != F.col("known2"))
-                      & _possible(percent, "n", "n2", "bound", "bound2"))
+                      & _possible(percent, "n", "n2", "bound", "bound2", "last", "last2"))
     pairs = pairs.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("n", "n2", "m", "m2")]).where(_enough(percent))
+        F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("n", "n2", "m", "m2", "last", "last2")]).where(_enough(percent))
     links.append(written(_verified(pairs, texts, words, percent), "links"))
     labels = components(_all(links))
 
