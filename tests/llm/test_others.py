@@ -155,6 +155,34 @@ def test_nearest_recall(spark):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def test_no_list_within_the_ratio_is_left_out():
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(9000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    index = ann.Index(ann.balanced_centroids(v, 300, rounds=3))
+    index.posted[:] = 30
+    d = np.sqrt(ann.squared(v[:100], index.centres))
+    near = d <= (1 + ann.RATIO) * d.min(1)[:, None]
+    assert near.sum(1).max() > 96
+    for read, all_of in zip(index.probes(v[:100]), near):
+        assert set(np.flatnonzero(all_of)) <= set(read.tolist())
+
+
+def test_nearest_recall_over_hundreds_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_SIZE", 32)
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(10_000, 64))
+    v = (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.vec_id) for r in ann.search(df, F.col("vec_id") % 100 == 0).collect()}
+    want = set()
+    for q in range(0, len(v), 100):
+        d = ((v - v[q]).astype(float) ** 2).sum(1)
+        d[q] = np.inf
+        want |= {(q, int(i)) for i in np.argsort(d, kind="stable")[:10]}
+    assert got == want
+
+
 def test_lists_are_balanced():
     rng = np.random.default_rng(2)
     crowded = np.concatenate([rng.normal(size=(3000, 8)) * 0.05, rng.normal(size=(1000, 8))])

@@ -2,14 +2,15 @@
 
 Centroids are fitted on a bounded sample and kept balanced by splitting large
 clusters.  Every vector is posted to its nearest centroid's list and, near a
-boundary, to several.  A query finds centroids by walking an in-memory graph
-of them, keeps the lists whose centroid is not much farther than the nearest
-one, and is compared with every vector of those lists, in blocks.
+boundary, to several.  A query is compared with all centroids, keeps every list
+whose centroid is not much farther than the nearest one, however many these
+are, and is compared with every vector of those lists, in blocks.  A second
+round reads every other list that can hold a vector as near as the k-th found,
+by the triangle inequality, so the answer is exact whatever the table's size.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,9 @@ SAMPLE = 20_000
 LIST_SIZE, MAX_LISTS = 256, 4096
 #: A vector is posted to at most so many lists, those whose centroid is at most so much farther than the nearest.
 REPLICAS, BOUNDARY = 4, 0.1
-#: A query reads the lists within this ratio of its nearest centroid, at most so many beyond what MIN_POSTED needs.
-RATIO, MAX_PROBES = 0.13, 64
+#: A query reads all lists within this ratio of its nearest centroid, and as many as hold MIN_POSTED vectors.
+RATIO = 0.13
 MIN_POSTED = 64
-LINKS, WIDTH = 16, 96
 #: Vectors of a list that one group holds; a longer list is dealt over several groups.
 BLOCK = 4096
 NEAREST = 10
@@ -74,49 +74,30 @@ def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 8, seed: in
 
 
 class Index:
-    """The centroids, their graph, and how many vectors each list is the nearest of."""
+    """The centroids, and how many vectors each list is the nearest of and how far from it the last of these is."""
 
     def __init__(self, centres: np.ndarray):
         self.centres = centres
         self.posted = np.zeros(len(centres), np.int64)
-        # Built by insertion: each centroid links both ways to its nearest among those before it, so all connect.
-        links: list[set[int]] = [set() for _ in centres]
-        for i in range(1, len(centres)):
-            d = ((centres[:i] - centres[i]) ** 2).sum(1)
-            for j in np.argsort(d, kind="stable")[:LINKS]:
-                links[i].add(int(j))
-                links[int(j)].add(i)
-        self.links = [np.array(sorted(x), np.int64) for x in links]
-
-    def walk(self, q: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-        """Best-first search of the graph: (squared distance, centroid) of the nearest found, nearest first."""
-        first = float(((self.centres[0] - q) ** 2).sum())
-        seen = np.zeros(len(self.centres), bool)
-        seen[0] = True
-        ahead, best = [(first, 0)], [(-first, 0)]
-        while ahead:
-            d, c = heapq.heappop(ahead)
-            if len(best) >= width and d > -best[0][0]:
-                break
-            new = self.links[c][~seen[self.links[c]]]
-            seen[new] = True
-            for e, k in zip(((self.centres[new] - q) ** 2).sum(1).tolist(), new.tolist()):
-                if len(best) < width or e < -best[0][0]:
-                    heapq.heappush(ahead, (e, k))
-                    heapq.heappush(best, (-e, k))
-                    if len(best) > width:
-                        heapq.heappop(best)
-        found = sorted((-d, c) for d, c in best)
-        return np.array([x[0] for x in found]), np.array([x[1] for x in found])
-
-    def probes(self, q: np.ndarray) -> np.ndarray:
-        """Lists to read: within the ratio, and enough to hold ``MIN_POSTED`` vectors, all lists if need be."""
-        d, c = self.walk(q)
-        before = np.cumsum(self.posted[c]) - self.posted[c]
-        wanted = ((np.sqrt(d) <= (1 + RATIO) * np.sqrt(d[0])) & (np.arange(len(c)) < MAX_PROBES)) | (before < MIN_POSTED)
-        if before[-1] + self.posted[c[-1]] < MIN_POSTED and len(c) < len(self.centres):
-            return np.arange(len(self.centres))
-        return c[wanted]
+        self.radius = np.zeros(len(centres))
+
+    def probes(self, queries: np.ndarray) -> list[np.ndarray]:
+        """Lists that each query reads, nearest first: all within the ratio, and enough to hold ``MIN_POSTED`` vectors."""
+        d = np.sqrt(squared(queries, self.centres))
+        order = np.argsort(d, axis=1, kind="stable")
+        d = np.take_along_axis(d, order, 1)
+        before = np.cumsum(self.posted[order], axis=1) - self.posted[order]
+        wanted = (d <= (1 + RATIO) * d[:, :1]) | (before < MIN_POSTED)
+        return [c[w] for c, w in zip(order, wanted)]
+
+    def unproven(self, queries: np.ndarray, kth: np.ndarray) -> list[np.ndarray]:
+        """Lists that ``probes`` leaves out and that can hold a vector of their own as near as the query's k-th found."""
+        d = np.sqrt(squared(queries, self.centres))
+        slack = 1e-6 * (d + self.radius + np.sqrt((queries * queries).sum(1))[:, None])  # more than rounding
+        can = (d - self.radius - slack <= kth[:, None]) & (self.posted > 0)
+        for row, read in zip(can, self.probes(queries)):
+            row[read] = False
+        return [np.flatnonzero(row) for row in can]
 
     def lists(self, vectors: np.ndarray) -> list[np.ndarray]:
         """Lists to post each vector to, nearest first."""
@@ -129,7 +110,7 @@ class Index:
 
 
 def build(vectors: DataFrame, dimension: int) -> tuple[Index, DataFrame] | None:
-    """The index and the postings ``list, vec_id, embedding, nearest`` of all vectors; None without vectors."""
+    """The index and the postings ``list, vec_id, embedding, nearest, far`` of all vectors; None without vectors."""
     spark = vectors.sparkSession
     n = vectors.count()
     if not n:
@@ -146,17 +127,19 @@ def build(vectors: DataFrame, dimension: int) -> tuple[Index, DataFrame] | None:
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part = batch.slice(a, 2048)
-                chosen = sent.value.lists(_matrix(part.column(1), dimension))
+                given = _matrix(part.column(1), dimension)
+                chosen = sent.value.lists(given)
                 at = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
                 first = np.concatenate([np.arange(len(c)) == 0 for c in chosen])
+                far = np.linalg.norm(given[at] - sent.value.centres[np.concatenate(chosen)], axis=1)
                 copied = part.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(chosen).astype(np.int32)), copied.column(0), copied.column(1), pa.array(first)],
-                    names=["list", "vec_id", "embedding", "nearest"])
+                    [pa.array(np.concatenate(chosen).astype(np.int32)), copied.column(0), copied.column(1), pa.array(first), pa.array(far)],
+                    names=["list", "vec_id", "embedding", "nearest", "far"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     postings = written(vectors.select("vec_id", "embedding").mapInArrow(
-        post, f"list int, vec_id long, embedding {kind}, nearest boolean"), "postings")
+        post, f"list int, vec_id long, embedding {kind}, nearest boolean, far double"), "postings")
     return index, postings
 
 
@@ -184,34 +167,36 @@ def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFra
         return spark.createDataFrame([], schema)
     index, postings = built
     # A row per list: at most MAX_LISTS.
-    filled = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("nearest"), 1)).alias("own"))
-    filled = {r["list"]: (r["n"], r["own"]) for r in filled.collect()}
-    for c, (_, own) in filled.items():
-        index.posted[c] = own
-    blocks = np.array([max(1, -(-filled.get(c, (0, 0))[0] // BLOCK)) for c in range(len(index.centres))])
+    filled = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("nearest"), 1)).alias("own"),
+                                          F.max(F.when(F.col("nearest"), F.col("far"))).alias("radius"))
+    filled = {r["list"]: (r["n"], r["own"], r["radius"] or 0.0) for r in filled.collect()}
+    for c, (_, own, radius) in filled.items():
+        index.posted[c], index.radius[c] = own, radius
+    blocks = np.array([max(1, -(-filled.get(c, (0,))[0] // BLOCK)) for c in range(len(index.centres))])
     sent = spark.sparkContext.broadcast((index, blocks))
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per query, list and block of the list."""
+    def route(batches: Iterator[pa.RecordBatch], again: bool) -> Iterator[pa.RecordBatch]:
+        """A row per query, list and block of the list; in the second round, of the lists that the k-th distance leaves."""
         index, blocks = sent.value
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                found = [index.probes(q) for q in _matrix(part.column(1), dimension)]
+                asked = _matrix(part.column(1), dimension)
+                found = index.unproven(asked, part.column(2).to_numpy(zero_copy_only=False)) if again else index.probes(asked)
                 cells = [(i, c, b) for i, f in enumerate(found) for c in f for b in range(blocks[c])]
                 if cells:
                     at, lists, inside = map(np.array, zip(*cells))
                     copied = part.take(pa.array(at))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(lists.astype(np.int32)), pa.array(inside.astype(np.int32)), copied.column(0), copied.column(1)],
-                        names=["list", "block", "query_id", "query"])
+                        [pa.array(lists.astype(np.int32)), pa.array(inside.astype(np.int32)), copied.column(0), copied.column(1), copied.column(2)],
+                        names=["list", "block", "query_id", "query", "most"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     queries = vectors.where("_op_q").dropDuplicates(["vec_id", "embedding"]).select("vec_id", "embedding")
-    routed = queries.mapInArrow(route, f"list int, block int, query_id long, query {kind}")
+    routed = f"list int, block int, query_id long, query {kind}, most double"
     table = spark.createDataFrame([(c, int(b)) for c, b in enumerate(blocks)], "list int, _op_blocks int")
     dealt = postings.join(F.broadcast(table), "list")  # a row per list: at most MAX_LISTS
-    dealt = dealt.select("list", F.pmod(F.xxhash64("vec_id"), F.col("_op_blocks")).cast("int").alias("block"), "vec_id", "embedding")
+    dealt = dealt.select("list", F.pmod(F.xxhash64("vec_id"), F.col("_op_blocks")).cast("int").alias("block"), "vec_id", "embedding", "nearest")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
@@ -220,9 +205,10 @@ def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFra
             ids = right.column("vec_id").to_numpy()
             repeated = len(np.unique(ids)) < len(ids)
             asked = left.column("query_id").to_numpy()
-            for i, q in zip(asked, _matrix(left.column("query").combine_chunks(), dimension)):
+            most = left.column("most").to_numpy()
+            for i, q, m in zip(asked, _matrix(left.column("query").combine_chunks(), dimension), most):
                 d = np.sqrt(((v - q) ** 2).sum(1))
-                d[ids == i] = np.inf
+                d[(ids == i) | (d > m)] = np.inf  # farther than the k-th found changes nothing
                 if len(d) > 4 * k and not repeated:
                     edge = np.partition(d, k - 1)[k - 1]
                     some = np.flatnonzero(d <= edge)
@@ -236,8 +222,19 @@ def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFra
         return pa.table({"query_id": pa.array(columns[0].astype(np.int64)), "vec_id": pa.array(columns[1].astype(np.int64)),
                          "score": pa.array(columns[2].astype(np.float64))})
 
-    near = routed.groupBy("list", "block").cogroup(dealt.groupBy("list", "block")).applyInArrow(
-        compare, "query_id long, vec_id long, score double")
-    near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def nearest(asked: DataFrame, among: DataFrame, again: bool) -> DataFrame:
+        return asked.mapInArrow(lambda batches: route(batches, again), routed).groupBy("list", "block").cogroup(
+            among.select("list", "block", "vec_id", "embedding").groupBy("list", "block")).applyInArrow(
+            compare, "query_id long, vec_id long, score double")
+
+    def ranked(near: DataFrame) -> DataFrame:
+        near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+        return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    no_most = F.lit(float("inf")).alias("_op_k")
+    first = written(ranked(nearest(queries.select("vec_id", "embedding", no_most), dealt, False)), "nearest")
+    kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("_op_k"))
+    left = queries.join(kth, "vec_id", "left").select("vec_id", "embedding", F.coalesce("_op_k", F.lit(float("inf"))).alias("_op_k"))
+    # Every vector is in the list of its nearest centroid, so only these need be read.
+    return ranked(first.select("query_id", "vec_id", "score").unionByName(nearest(left, dealt.where("nearest"), True)))
