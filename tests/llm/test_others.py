@@ -103,6 +103,30 @@ def test_pages_on_edges(spark):
     assert mincut.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+LONG = [f"Paragraph {i} of the article, which is long enough to be told from a menu and ends as sentences do." for i in range(4)]
+
+
+@pytest.mark.parametrize("wrap", ["content-sidebar-wrap", "site-content sidebar-right", "has-related", "widget"])
+@pytest.mark.parametrize("tag", ["article", "main", 'div role="main"', 'div role="main" class="has-related"'])
+def test_a_wrappers_word_does_not_silence_the_article(wrap, tag):
+    body = "".join(f"<p>{t}</p>" for t in LONG)
+    page = f'<body><nav><a href=x>Home</a></nav><div class="{wrap}"><{tag}>{body}</{tag.split()[0]}></div><footer><p>Imprint.</p></footer></body>'
+    assert mincut.main_text(page).split("\n\n") == LONG
+
+
+@pytest.mark.parametrize("word", ["text-muted", "text-center", "post-date", "body-small"])
+def test_one_inside_word_does_not_silence_the_others(word):
+    body = "".join(f"<p>{t}</p>" for t in LONG)
+    found = mincut.main_text(f'<body><div class="wrap"><p class="{word}">Monday.</p>{body}</div><nav><a href=x>Home</a></nav></body>')
+    assert [t for t in found.split("\n\n") if t in LONG] == LONG and "Home" not in found
+
+
+def test_words_within_the_article_still_count():
+    body = "".join(f"<p>{t}</p>" for t in LONG)
+    comments = f'<div class="comments"><p>{"I do not agree with a word of this. " * 9}</p></div>'
+    assert mincut.main_text(f'<body><div class="has-related"><article>{body}{comments}</article></div></body>').split("\n\n") == LONG
+
+
 def test_pages_give_back_their_documents(spark):
     docs = {" ".join((r.text or "").split()) for r in spark.read.parquet(f"{sf_dir('0.01')}/documents.parquet").select("text").collect()}
     got = mincut.extract(spark.read.parquet(f"{sf_dir('0.01')}/pages.parquet")).collect()

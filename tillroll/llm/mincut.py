@@ -25,7 +25,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table "
                   "tbody td tfoot th thead tr ul".split())
-#: Elements, roles and words of a class or id that are never the article.
+#: Elements and roles that are never the article; words of a class or id that speak against it or for it.
 OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar "
                           "toolbar tablist note status".split())
@@ -41,7 +41,7 @@ INSIDE_WORDS = frozenset("article content main post entry story text body prose
 HEADER = frozenset("header".split())
 #: Capacities: weights of the classifier and of the smoothness edges.
 WEIGHTS = {"bias": -0.4, "inside": 3.0, "heading": 0.9, "paragraph": 1.0, "length": 1.6, "sentences": 0.7, "links": -4.0,
-           "list": -0.5, "top": -0.6, "legal": -2.5}
+           "list": -0.5, "top": -0.6, "legal": -2.5, "word": -4.5, "header": -4.5}
 ADJACENT, SIBLING, NEAR = 0.5, 0.8, 0.5
 HARD = 10 ** 9
 SCALE = 1000
@@ -49,11 +49,11 @@ LEGAL = re.compile(r"©|\(c\) ?\d{4}|all rights reserved|\bcookies?\b.{0,80}\b(a
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "path", "outside", "inside", "header")
+    __slots__ = ("text", "linked", "tag", "path", "outside", "inside", "header", "word")
 
-    def __init__(self, text: str, linked: int, tag: str, path: tuple[int, ...], outside: bool, inside: bool, header: bool):
+    def __init__(self, text: str, linked: int, tag: str, path: tuple[int, ...], outside: bool, inside: bool, header: bool, word: bool):
         self.text, self.linked, self.tag, self.path = text, linked, tag, path
-        self.outside, self.inside, self.header = outside, inside, header
+        self.outside, self.inside, self.header, self.word = outside, inside, header, word
 
 
 def _words(value: str) -> set[str]:
@@ -66,8 +66,8 @@ class Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # Open elements: (tag, number, outside, inside, header, silent, linked)
-        self.open: list[tuple[str, int, bool, bool, bool, bool, bool]] = [("", 0, False, False, False, False, False)]
+        # Open elements: (tag, number, outside, inside, header, silent, linked, word)
+        self.open: list[tuple[str, int, bool, bool, bool, bool, bool, bool]] = [("", 0, False, False, False, False, False, False)]
         self.number, self.parts, self.linked = 0, [], 0
 
     def flush(self) -> None:
@@ -76,7 +76,8 @@ class Blocks(HTMLParser):
             if text:
                 holder = next(x for x in reversed(self.open) if x[0] in BLOCK or not x[0])
                 path = tuple(x[1] for x in self.open if x[0] in BLOCK)
-                self.blocks.append(Block(text, self.linked, holder[0], path, self.open[-1][2], self.open[-1][3], self.open[-1][4]))
+                _, _, outside, inside, header, _, _, word = self.open[-1]
+                self.blocks.append(Block(text, self.linked, holder[0], path, outside, inside, header, word))
             self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -91,24 +92,27 @@ class Blocks(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        _, _, outside, inside, header, silent, linked = self.open[-1]
+        _, _, outside, inside, header, silent, linked, word = self.open[-1]
         words: set[str] = set()
+        main = tag in ("article", "main")
         for k, v in attrs:
             if k in ("class", "id") and v:
                 words |= _words(v)
             elif k == "role" and v:
                 outside = outside or v.strip().lower() in OUTSIDE_ROLES
-                inside = inside or v.strip().lower() in ("main", "article")
+                main = main or v.strip().lower() in ("main", "article")
             elif k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and re.search(r"display\s*:\s*none", v):
                 outside = True
         if tag in OUTSIDE:
             outside = True
-        elif words and tag not in ("html", "body", "article", "main"):
-            outside = outside or bool(words & OUTSIDE_WORDS)
-        inside = inside or tag in ("article", "main") or bool(words & INSIDE_WORDS)
+        if main:
+            word = False  # whatever the classes of its wrappers say
+        elif tag not in ("html", "body") and words & OUTSIDE_WORDS:
+            inside, word = False, True  # such as comments within the article
+        inside = inside or main or bool(words & INSIDE_WORDS)
         header = header or tag in HEADER or bool(words & HEADER) and tag not in ("html", "body", "article", "main")
         self.number += 1
-        self.open.append((tag, self.number, outside, inside, header, silent or tag in SILENT, linked or tag == "a"))
+        self.open.append((tag, self.number, outside, inside, header, silent or tag in SILENT, linked or tag == "a", word))
 
     def _implied(self, tag: str, by: str) -> None:
         """A new block ends an open element of the kinds it can't stand in, unless a container lies between."""
@@ -151,11 +155,10 @@ def blocks(html: str) -> list[Block]:
 
 def costs(found: list[Block]) -> list[int]:
     """The classifier: positive is the cost of calling the block boilerplate, negative of calling it content."""
-    any_inside = any(b.inside and not b.outside for b in found)
     out = []
     for b in found:
         heading = len(b.tag) == 2 and b.tag[0] == "h" and b.tag[1].isdigit()
-        if b.outside or b.header and not (b.inside and b.tag == "h1") or any_inside and not b.inside:
+        if b.outside:
             out.append(-HARD)
             continue
         n = len(b.text)
@@ -163,6 +166,7 @@ def costs(found: list[Block]) -> list[int]:
         x += WEIGHTS["heading"] * heading + WEIGHTS["paragraph"] * (b.tag in ("p", "blockquote", "pre"))
         x += WEIGHTS["length"] * min(1.0, n / 200) + WEIGHTS["sentences"] * (b.text[-1] in ".!?…:\"”»")
         x += WEIGHTS["list"] * (b.tag == "li") + WEIGHTS["top"] * (len(b.path) <= 2 and not b.inside)
+        x += WEIGHTS["word"] * b.word + WEIGHTS["header"] * (b.header and not (b.inside and b.tag == "h1"))
         x += WEIGHTS["legal"] * bool(LEGAL.search(b.text) and n < 300 and not b.inside)
         out.append(round(SCALE * x))
     return out
