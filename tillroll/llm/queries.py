@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline."""
+"""The registered queries of the operators and of the pipeline."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, chat, jaccard, kneser, langid, mincut, mixing, packing, pii, quality
+from tillroll.llm import ann, chat, jaccard, kneser, langid, mincut, mixing, packing, pii, quality, resample
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,8 +68,14 @@ def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.perplexities(_table(spark, sf_dir, "documents"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance resampling of all documents towards the benchmark texts, per document."""
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_packing": op3_packing, "op4_jaccard": op4_jaccard, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser}
+    return {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_packing": op3_packing, "op4_jaccard": op4_jaccard, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser,
+            "op11_resample": op11_resample}
 
 
 def oracle_sql() -> dict[str, str]:
