@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, chat, jaccard, kneser, langid, mincut, mixing, packing, pii, quality, resample
+from tillroll.llm import ann, chat, divergence, jaccard, kneser, langid, licensing, mincut, mixing, packing, pii, quality, resample
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,10 +73,21 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents, per document."""
+    return licensing.licenses(_table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, over all documents."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_packing": op3_packing, "op4_jaccard": op4_jaccard, "op5_mixing": op5_mixing, "op6_mincut": op6_mincut, "op7_ann": op7_ann, "op8_langid": op8_langid, "op9_quality": op9_quality, "op10_kneser": op10_kneser,
-            "op11_resample": op11_resample}
+            "op11_resample": op11_resample, "op12_license": op12_license, "op13_divergence": op13_divergence}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.oracle(), "op5_mixing": mixing.ORACLE}
+    return {"op2_chat": chat.oracle(), "op5_mixing": mixing.ORACLE, "op12_license": licensing.oracle(),
+            "op13_divergence": divergence.ORACLE}
