@@ -20,7 +20,8 @@ import duckdb  # noqa: E402
 
 from tillroll.session import get_session  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations"]
 
 
 def _entry():
