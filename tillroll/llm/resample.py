@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import own_columns, pieces_of, running_total, text_of
+from tillroll.llm.common import own_columns, pieces_of, running_total, text_of, written
 from tillroll.llm.ngrams import Words, byte_class, crc32, intern, runs, words, xxhash64
 
 BUCKETS = 10_000
@@ -133,7 +133,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
     """
     gain = gains(bucket_counts(docs, buckets, most), bucket_counts(target, buckets, most))
     given = docs.select(F.col("doc_id").cast("long").alias("_op_id"), text_of("text").alias("_op_text"))
-    out = _ranked(_weighed(given, "_op_text", gain, most), percent, min_words, seed)
+    # Written first, as a range partitioning reads its input twice.
+    out = _ranked(written(_weighed(given, "_op_text", gain, most), "weighed"), percent, min_words, seed)
     return out.select(F.col("_op_id").alias("doc_id"), F.col("_op_features").alias("n_features"), F.col("_op_weight").alias("weight"),
                       F.col("_op_score").alias("score"), F.col("_op_rank").alias("rank"))
 
@@ -147,10 +148,10 @@ def drawn(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_words:
     own_columns(docs)
     gain = gains(bucket_counts(docs, buckets, most), bucket_counts(target, buckets, most))
     narrow = docs.select(F.col("doc_id").cast("long").alias("_op_id"), text_of("text").alias("_op_text"))
-    ranks = _ranked(_weighed(narrow, "_op_text", gain, most), percent, min_words, seed)
+    ranks = _ranked(written(_weighed(narrow, "_op_text", gain, most), "weighed"), percent, min_words, seed)
     last = ranks.agg(F.min(F.when(F.col("_op_rank").isNotNull(), F.col("_op_score"))).alias("s"), F.count("_op_rank").alias("n")).first()
     wide = docs.select("*", F.col("doc_id").cast("long").alias("_op_id"), text_of("text").alias("_op_text"))
     able = _weighed(wide, "_op_text", gain, most).where(F.col("_op_words") >= min_words).withColumn("_op_score", _score(seed))
-    able = able.where(F.col("_op_score") >= (last["s"] if last["n"] else 0)).withColumn("_op_one", F.lit(1).cast("long"))
+    able = written(able.where(F.col("_op_score") >= (last["s"] if last["n"] else 0)).withColumn("_op_one", F.lit(1).cast("long")), "drawn")
     order = [F.col("_op_score").desc(), F.col("_op_id").asc_nulls_last(), F.col("_op_number")]
     return running_total(able, order, "_op_one", "_op_before").where(F.col("_op_before") < last["n"]).select(*docs.columns)
