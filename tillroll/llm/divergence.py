@@ -44,7 +44,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = byte_class(digits=False)
         for batch in batches:
-            for a, b in pieces_of(batch, 2, 16_000_000):
+            for a, b in pieces_of(batch, 2, 8_000_000):
                 part = batch.slice(a, b - a)
                 found = words(part.column(2), letters)
                 lang, source = part.column(0).dictionary_encode(), part.column(1).dictionary_encode()
@@ -115,19 +115,23 @@ def _tile(table: pa.Table) -> pa.Table:
     """Part sums of all pairs of groups between two chunks over one block of terms, and the first terms of each group."""
     lang, one, two = table.column("lang")[0].as_py(), table.column("c1")[0].as_py(), table.column("c2")[0].as_py()
     is_group = pc.is_null(table.column("term"))
-    groups = table.filter(is_group)
+    groups, terms = table.filter(is_group), table.filter(pc.invert(is_group)).combine_chunks()
     names = groups.column("source").to_pylist()  # of two chunks
     order = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] or ""))  # the language itself first
     names = [names[i] for i in order]
     total, chunk = ([groups.column(c)[i].as_py() for i in order] for c in ("total", "chunk"))
-    kept = groups.column("kept")[0].as_py()
-    cells = table.filter(pc.invert(is_group))
-    ids, column = np.unique(cells.column("id").to_numpy(), return_inverse=True)
-    at = {name: i for i, name in enumerate(names)}
-    coded = cells.column("source").combine_chunks().dictionary_encode(null_encoding="encode")
-    row = np.array([at[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()] if len(cells) else np.zeros(0, np.int64)
-    counts = np.zeros((len(names), len(ids)), np.int64)
-    counts[row, column] = cells.column("n").to_numpy()
+    kept, width = groups.column("kept")[0].as_py(), len(terms)
+    counts = np.zeros((len(names), width), np.int64)
+    if width:
+        cells = terms.column("cells").combine_chunks()
+        flat = pc.list_flatten(cells)
+        column = pc.list_parent_indices(cells).to_numpy()
+        coded = flat.field("source").dictionary_encode()
+        at = {name: i for i, name in enumerate(names)}
+        row = np.array([at[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+        counts[row, column] = flat.field("n").to_numpy()
+        if one == two:
+            counts[0] = terms.column("n").to_numpy()
     trees = Trees(counts)
     p = np.array([shares(trees.values, t, kept) for t in total]).reshape(len(names), len(trees.values))
     sources, parts, items, values = [], [], [], []
@@ -136,20 +140,18 @@ def _tile(table: pa.Table) -> pa.Table:
         others = np.array([j for j in own if j > i and {chunk[i], chunk[j]} == {one, two}], np.int64)
         if len(others):
             of, a, b, often = trees.pairs(i, others)
-            for mine, theirs in ((True, False), (False, True)):
-                # The group's share against the other's, and the other way round.
-                x, y = p[i, a], p[others[of], b]
+            x, y = p[i, a], p[others[of], b]
+            # The group's share against the other's, and the other way round.
+            for left, right, price in (([names[i]] * len(others), [names[j] for j in others], _price(x, y)),
+                                       ([names[j] for j in others], [names[i]] * len(others), _price(y, x))):
                 value = np.zeros(len(others), np.int64)
-                np.add.at(value, of, often * (_price(x, y) if mine else _price(y, x)))
-                left, right = [names[i]] * len(others), [names[j] for j in others]
-                sources += left if mine else right
-                items += right if mine else left
+                np.add.at(value, of, often * price)
+                sources += left
+                items += right
                 parts += ["pair"] * len(others)
                 values += value.tolist()
-    if one == two and len(ids):
-        term_of = np.zeros(len(ids), np.int64)
-        term_of[column] = np.arange(len(cells))
-        terms = cells.column("term").combine_chunks().take(pa.array(term_of))
+    if one == two and width:
+        name = terms.column("term").combine_chunks()
         leaf = np.searchsorted(trees.values, counts)
         for i in own:
             some = np.flatnonzero(counts[i] > 0)
@@ -157,7 +159,7 @@ def _tile(table: pa.Table) -> pa.Table:
             pair, back = np.unique(leaf[i, some] * len(trees.values) + leaf[0, some], return_inverse=True)
             x, q = p[i, pair // len(trees.values)], p[0, pair % len(trees.values)]
             more, value = (x > q)[back], _price(x, q)[back]
-            listed = pa.table({"v": value[more], "t": terms.take(pa.array(some[more]))})
+            listed = pa.table({"v": value[more], "t": name.take(pa.array(some[more]))})
             listed = listed.take(pc.sort_indices(listed, [("v", "descending"), ("t", "ascending")])[:LISTED])
             sources += [names[i]] * len(listed)
             parts += ["term"] * len(listed)
@@ -187,36 +189,39 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
     are ignored, whatever their names.
     """
     given = docs.select(text_of("lang").alias("lang"), text_of("source").alias("source"), text_of("text").alias("text"))
-    counts = written(term_counts(given), "terms")
-    kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).where(F.col("d") >= least_documents)
-    kept = kept.select("lang", "term", "n", F.lit(1).cast("long").alias("one"))
+    # A row per kept term, with its count in each source that has it.
+    kept = term_counts(given).groupBy("lang", "term").agg(
+        F.sum("n").alias("n"), F.sum("d").alias("d"), F.collect_list(F.struct("source", "n")).alias("cells"))
+    kept = written(kept.where(F.col("d") >= least_documents).select("lang", "term", "n", "cells", F.lit(1).cast("long").alias("one")), "kept")
+    # Written: the sums over it are taken apart from the tiles.
     numbered = running_total(kept, [F.col("lang"), F.col("n").desc(), F.col("term")], "one", "id")
-    numbered = numbered.select("lang", "term", "n", "id", F.expr(f"id div {BLOCK}").alias("block"))
-    cells = counts.select("lang", "source", "term", "n").join(numbered.select("lang", "term", "id", "block"), ["lang", "term"])
+    numbered = numbered.select("lang", "term", "n", "cells", F.expr(f"id div {BLOCK}").alias("block"))
 
-    groups = written(given.select("lang", "source").distinct(), "groups")
+    groups = given.select("lang", "source").distinct()
+    totals = kept.select("lang", F.explode("cells").alias("c")).groupBy("lang", "c.source").agg(F.sum("c.n").alias("total"))
+    groups = written(groups.join(totals, ["lang", "source"], "left").select("lang", "source", F.coalesce("total", F.lit(0)).alias("total")), "groups")
     langs = groups.groupBy("lang").agg(F.expr(f"CAST((count(*) + {CHUNK - 1}) div {CHUNK} AS int)").alias("chunks"))
-    langs = langs.join(numbered.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("n").alias("lang_total")), "lang", "left")
+    langs = langs.join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("n").alias("lang_total")), "lang", "left")
     langs = written(langs.select("lang", "chunks", F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("lang_total", F.lit(0)).alias("lang_total")), "langs")
     n_langs = langs.count()
-    chunk = F.pmod(F.xxhash64("source"), F.col("chunks")).cast("int")
 
-    totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    totals = groups.join(totals, ["lang", "source"], "left").select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"))
-    members = lookup(totals, langs, ["lang"], "inner", n_langs).select("lang", "source", "total", "kept", "chunks", chunk.alias("chunk"))
+    def chunk(source: Column) -> Column:
+        return F.pmod(F.xxhash64(source), F.col("chunks")).cast("int")
+    members = lookup(groups, langs, ["lang"], "inner", n_langs).select("lang", "source", "total", "kept", "chunks", chunk(F.col("source")).alias("chunk"))
     itself = langs.select("lang", F.lit(None).cast("string").alias("source"), F.col("lang_total").alias("total"), "kept", "chunks", F.lit(None).cast("int").alias("chunk"))
     # The block -1 has no terms; it gives the pairs of languages without any.
     blocks = numbered.select("lang", "block").distinct().unionByName(langs.select("lang", F.lit(-1).cast("long").alias("block")))
     key = ["lang", "block", "c.c1", "c.c2"]
     heads = members.unionByName(itself).select("*", _tiles(F.col("chunk"), F.col("chunks")).alias("c")).join(blocks, "lang")
-    heads = heads.select(*key, "source", F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("id"),
-                         F.lit(None).cast("long").alias("n"), "total", "kept", "chunk")
-    all_cells = cells.unionByName(numbered.select("lang", F.lit(None).cast("string").alias("source"), "term", "n", "id", "block"))
-    placed = lookup(all_cells, langs.select("lang", "chunks"), ["lang"], "inner", n_langs)
-    placed = placed.withColumn("chunk", F.when(F.col("source").isNotNull(), chunk))
-    none = F.lit(None).cast("long")
-    placed = placed.select("*", _tiles(F.col("chunk"), F.col("chunks")).alias("c")).select(
-        *key, "source", "term", "id", "n", none.alias("total"), none.alias("kept"), "chunk")
+    null = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    heads = heads.select(*key, "source", "total", "kept", "chunk", null("term", "string"), null("n", "long"), null("cells", "array<struct<source:string,n:bigint>>"))
+    # A term goes to every pair of chunks, with the cells of their sources.
+    every = F.sequence(F.lit(0), F.col("chunks") - 1)
+    both = F.flatten(F.transform(every, lambda a: F.transform(F.sequence(a, F.col("chunks") - 1), lambda b: F.struct(a.alias("c1"), b.alias("c2")))))
+    placed = lookup(numbered, langs.select("lang", "chunks"), ["lang"], "inner", n_langs).select("*", F.explode(both).alias("c"))
+    own = F.when(F.col("chunks") == 1, F.col("cells")).otherwise(
+        F.filter("cells", lambda x: (chunk(x["source"]) == F.col("c.c1")) | (chunk(x["source"]) == F.col("c.c2"))))
+    placed = placed.select(*key, null("source", "string"), null("total", "long"), null("kept", "long"), null("chunk", "int"), "term", "n", own.alias("cells"))
     tiles = heads.unionByName(placed).groupBy("lang", "block", "c1", "c2").applyInArrow(
         _tile, "lang string, source string, part string, item string, value long")
     tiles = written(tiles, "tiles")
