@@ -300,6 +300,10 @@ def oracle_sql() -> dict[str, str]:
         "dim_date": statement(f"SELECT {_shown(DIM_DATE_COLUMNS, _KINDS)} FROM dim_date"),
         **{name: statement(f"SELECT * FROM {name}") for name in DIMENSIONS},
         "fact_sales": statement(f"SELECT {facts} FROM fact_sales"),
+        **{f"fact_by_{name}": statement(
+            f"SELECT {facts} FROM fact_sales WHERE {name}_key = (SELECT {name}_key FROM fact_sales GROUP BY 1 ORDER BY count(*) DESC, 1 NULLS FIRST LIMIT 1)")
+           for name in ("customer", "product", "location", "ship_date")},
+        "fact_by_month": statement(f"SELECT {facts} FROM fact_sales WHERE order_date_key // 100 = (SELECT max(order_date_key) // 100 FROM fact_sales)"),
         "fact_quarantine": statement(f"SELECT {facts} FROM fact_all WHERE {_MISSING}"),
         "view_sales_summary": statement(SUMMARY),
         "view_product_performance": _grouped(

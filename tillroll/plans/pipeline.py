@@ -37,6 +37,7 @@ from tillroll.plans.views import VIEWS
 from tillroll.rules import DEFAULT_DATE_RANGE, SilverRules
 from tillroll.schemas import DIMENSIONS, FACT_NOT_NULL, TEXT_LENGTHS
 from tillroll.session import ensure_checkpoint_dir
+from tillroll.sources.layout import Layout, file_statistics, write_by_key
 from tillroll.sources.sinks import fact_layout, register_view, write_table
 
 log = logging.getLogger("tillroll.pipeline")
@@ -61,6 +62,7 @@ class Warehouse:
     warnings: list = field(default_factory=list)
     quarantine: DataFrame | None = None
     stage_seconds: dict = field(default_factory=dict)
+    layouts: list = field(default_factory=list)
 
     def step_results(self, spark: SparkSession) -> DataFrame:
         """One row per step (bounded by the number of steps)."""
@@ -322,6 +324,21 @@ def run_pipeline(
     return wh
 
 
+def index_fact(spark: SparkSession, wh: Warehouse) -> list[Layout]:
+    """The fact's layouts for :func:`tillroll.sources.layout.read_where`, by order date and by the other keys.
+
+    Written once per run, below the run's folder; the copy by key costs the
+    fact's size in storage, as a covering index does.
+    """
+    if not wh.layouts:
+        good = [f"{wh.root}/gold/fact_sales"]
+        schema = wh.gold.fact_sales.schema
+        if wh.quarantine is not None:
+            good = [f"{good[0]}/_quarantined=false"]
+        wh.layouts = [file_statistics(spark, good[0], schema), write_by_key(wh.gold.fact_sales, f"{wh.root}/gold/fact_sales_by_key")]
+    return wh.layouts
+
+
 def publish_names(spark: SparkSession, wh: Warehouse) -> None:
     """The run's tables and views under the schemas bronze, silver and gold."""
     publish_catalog(spark, wh.root, {

@@ -25,9 +25,10 @@ from tillroll.operators import quality
 from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
 from tillroll.plans.measures import measures
-from tillroll.plans.pipeline import Warehouse, default_root, publish_names, run_pipeline
+from tillroll.plans.pipeline import Warehouse, default_root, index_fact, publish_names, run_pipeline
 from tillroll.plans.gold import dimension
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
+from tillroll.sources.layout import read_where
 from tillroll.sources.profile import profile
 from tillroll.sources.readers import read_landing
 from tillroll.sources.adapter import FIXTURE_RULES, bronze_tables
@@ -137,6 +138,29 @@ def _named_view_query(name: str):
     return run
 
 
+def _fact_by_query(key: str):
+    def run(spark, sf_dir):
+        wh = warehouse_for(spark, sf_dir)
+        with _LOCK:
+            layouts = index_fact(spark, wh)
+        busiest = wh.gold.fact_sales.groupBy(key).count().orderBy(F.col("count").desc(), key).first()
+        rows = read_where(spark, layouts, {key: [busiest[key]] if busiest else []})
+        return comparable(rows.select(*[c for c in FACT_COLUMNS if c != "fact_key"]))
+    run.__name__ = f"q_fact_by_{key}"
+    run.__doc__ = f"S17: the fact rows of the member of {key} with the most rows, from the files that can hold it."
+    return run
+
+
+def q_fact_by_month(spark, sf_dir):
+    """The fact rows of the last month that has any, from the files that can hold it."""
+    wh = warehouse_for(spark, sf_dir)
+    with _LOCK:
+        layouts = index_fact(spark, wh)
+    last = (wh.gold.fact_sales.agg(F.max("order_date_key").alias("k")).first()["k"] or 0) // 100
+    rows = read_where(spark, layouts, {"order_date_key": (last * 100, last * 100 + 99)})
+    return comparable(rows.select(*[c for c in FACT_COLUMNS if c != "fact_key"]))
+
+
 def q_fact_quarantine(spark, sf_dir):
     """Q1: the fact rows set aside because a required key is missing."""
     rows = warehouse_for(spark, sf_dir).quarantine
@@ -301,6 +325,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ["dim_customer", "dim_product", "dim_location", "dim_ship_mode", "dim_sales_person"]:
         q[name] = _dim_query(name)
     q["fact_sales"] = q_fact_sales
+    for name in ("customer", "product", "location", "ship_date"):
+        q[f"fact_by_{name}"] = _fact_by_query(f"{name}_key")
+    q["fact_by_month"] = q_fact_by_month
     for name in views.VIEWS:
         q["view_" + name[len("vw_"):]] = _view_query(name)
         q[name] = _named_view_query(name)
