@@ -277,6 +277,33 @@ def _profile() -> str:
     return _union(parts)
 
 
+def _many_groupings() -> str:
+    """Eight groupings, one statement each, with their attributes as text."""
+    every = ["category", "city", "month", "region", "sales_person", "season", "segment", "ship_mode", "state", "sub_category", "year"]
+    groupings = ["", "segment,year", "year,month", "category,sub_category", "region,ship_mode", "ship_mode", "region,state,city,sales_person", "season"]
+    fact = f"fact AS MATERIALIZED (SELECT * FROM {_with_attributes({*every, 'customer_id'})})"
+    parts = []
+    for name in groupings:
+        by = [c for c in name.split(",") if c]
+        texts = _list(f"CAST({c if c in by else 'NULL'} AS VARCHAR) AS {c}" for c in every)
+        parts.append(f"SELECT '{name}' AS grouping, {texts}, {_list(f'{METRICS[m]} AS {m}' for m in MEASURES)} FROM fact "
+                     + (f"GROUP BY {_list(f'fact.{c}' for c in by)}" if by else ""))
+    head, _, _ = statement(f"SELECT * FROM {_with_attributes({*every, 'customer_id'})}").rpartition("\nSELECT")
+    return f"{head},\n{fact}\n" + " UNION ALL ".join(parts)
+
+
+def _view_counts() -> str:
+    groups = {"vw_product_performance": "product_id, product_name, category, sub_category", "vw_customer_analysis": "customer_id, customer_name, segment",
+              "vw_regional_performance": "region, state, city, sales_person", "vw_shipping_performance": "ship_mode",
+              "vw_monthly_trends": "year, month, month_name, month_year_label, quarter_name, season"}
+    parts = []
+    for view, by in groups.items():
+        texts = _list(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in by.split(", "))
+        parts.append(f"SELECT '{view}' AS view_name, concat_ws('|', {texts}) AS group_key, count(DISTINCT order_id) AS total_orders "
+                     f"FROM {_with_attributes(set(by.split(', ')))} GROUP BY {by}")
+    return _union(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     orders = _shown(ORDERS_COLUMNS, _KINDS)
     facts = _shown([c for c in FACT_COLUMNS if c != "fact_key"], _KINDS)
@@ -350,6 +377,8 @@ def oracle_sql() -> dict[str, str]:
             ["ship_mode"], ["total_orders"], on_time_delivery_pct=_per(
                 f"({_ORDERS} - count(DISTINCT order_id) FILTER (days_to_ship IS NULL OR days_to_ship > {ON_TIME}))", _ORDERS)),
         "measures_additive": _grouped(["region"], ["total_sales", "total_quantity", "average_discount"]),
+        "measures_lattice": _many_groupings(),
+        "lattice_order_counts": _view_counts(),
         "dq_unmatched_keys": _nulls(_KEYS, "fact_all"),  # the set-aside rows included
         "dq_optional_keys": _nulls(["ship_date_key", "ship_mode_key", "sales_person_key"]),
         "dq_duplicate_natural_keys": _union(

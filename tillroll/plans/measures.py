@@ -12,7 +12,7 @@ The fact is scanned and joined once per call, whatever the measures.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -54,7 +54,7 @@ ADDITIVE = {"total_sales", "total_profit", "profit_margin", "average_unit_price"
 CUSTOMER_MEASURES = {"total_customers", "clv"}
 
 
-def _partial_sums(on_time_max_days: int) -> list[Column]:
+def partial_sums(on_time_max_days: int) -> list[Column]:
     """Additive sums of lines, which add up again over any finer grouping."""
     on_time = F.coalesce((F.col("days_to_ship") <= on_time_max_days).cast("int"), F.lit(0))
     return [
@@ -77,28 +77,30 @@ def _final_exprs(numeric: str, horizon: float, order_rule: str, distinct_orders:
     ``distinct_orders``: an order may have several rows (one per customer), so
     orders are counted distinct; otherwise a row is an order.
     """
-    as_num = (lambda c: c.cast("double")) if numeric == "double" else (lambda c: c)
-    sales = as_num(F.sum("_sales"))
-    profit = as_num(F.sum("_profit"))
-
     def orders_where(condition: Column | None = None) -> Column:
         order = F.col("order_id") if condition is None else F.when(condition, F.col("order_id"))
         return F.count_distinct(order) if distinct_orders else F.count(order)
 
     orders = orders_where()
-    customers = F.count_distinct("_customer_id")
-    returned = orders_where(F.col("_returned_any") == 1)
     # All lines on time: the orders less those with a line that is not.
     on_time = orders - orders_where(F.col("_on_time_all") == 0) if order_rule == "all" else orders_where(F.col("_on_time_any") == 1)
+    return combine(numeric, horizon, F.sum, orders, F.count_distinct("_customer_id"), orders_where(F.col("_returned_any") == 1), on_time)
+
+
+def combine(numeric: str, horizon: float, total: Callable[[str], Column], orders: Column, customers: Column, returned: Column,
+            on_time: Column) -> dict[str, Column]:
+    """The fifteen measures from the totals of partial sums (``total`` of a partial's name) and from distinct counts."""
+    as_num = (lambda c: c.cast("double")) if numeric == "double" else (lambda c: c)
+    sales, profit = as_num(total("_sales")), as_num(total("_profit"))
 
     def ratio(num: Column, den: Column) -> Column:
         out = num / F.nullif(den, F.lit(0))
         return out if numeric == "double" else out.cast(RESULT_DECIMAL)
 
-    def mean(total: str, n: str) -> Column:
+    def mean(of: str, n: str) -> Column:
         if numeric == "double":
-            return F.sum(total).cast("double") / F.nullif(F.sum(n), F.lit(0))
-        return (F.sum(total) / F.nullif(F.sum(n), F.lit(0))).cast(RESULT_DECIMAL)
+            return total(of).cast("double") / F.nullif(total(n), F.lit(0))
+        return (total(of) / F.nullif(total(n), F.lit(0))).cast(RESULT_DECIMAL)
 
     if numeric == "double":
         clv = profit / F.nullif(customers, F.lit(0)) * F.lit(float(horizon))
@@ -116,12 +118,12 @@ def _final_exprs(numeric: str, horizon: float, order_rule: str, distinct_orders:
         "return_rate": returned / F.nullif(orders, F.lit(0)),                   # M8
         "average_order_value": ratio(sales, orders),                            # M9
         "average_unit_price": mean("_unit_price_sum", "_unit_price_n"),         # M10
-        "average_shipping_days": F.sum("_days_sum").cast("double")
-                                 / F.nullif(F.sum("_days_n"), F.lit(0)),        # M11
-        "total_quantity": F.sum("_quantity").cast("long"),                      # M12
+        "average_shipping_days": total("_days_sum").cast("double")
+                                 / F.nullif(total("_days_n"), F.lit(0)),        # M11
+        "total_quantity": total("_quantity").cast("long"),                      # M12
         "average_discount": mean("_discount_sum", "_discount_n"),               # M13
         "on_time_delivery_pct": on_time / F.nullif(orders, F.lit(0)),           # M14
-        "total_returned_orders": F.sum("_returned_lines").cast("long"),         # M15
+        "total_returned_orders": total("_returned_lines").cast("long"),         # M15
     }
 
 
@@ -179,7 +181,7 @@ def measures(gold: Gold, by: Sequence[str] = (), where: str | Column | None = No
     f = enriched_fact(gold, attributes, date_role)
     if where is not None:
         f = f.filter(where)
-    sums = _partial_sums(on_time_max_days)
+    sums = partial_sums(on_time_max_days)
     if set(names) <= ADDITIVE:
         level = None
         exprs = _direct(numeric)

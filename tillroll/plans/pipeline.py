@@ -63,6 +63,7 @@ class Warehouse:
     quarantine: DataFrame | None = None
     stage_seconds: dict = field(default_factory=dict)
     layouts: list = field(default_factory=list)
+    lattice: object = None
 
     def step_results(self, spark: SparkSession) -> DataFrame:
         """One row per step (bounded by the number of steps)."""

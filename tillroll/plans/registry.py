@@ -24,6 +24,7 @@ from tillroll.operators.keys import dense_key
 from tillroll.operators import quality
 from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
+from tillroll.plans import lattice as lattice_plan
 from tillroll.plans.measures import measures
 from tillroll.plans.pipeline import Warehouse, default_root, index_fact, publish_names, run_pipeline
 from tillroll.plans.gold import dimension
@@ -231,6 +232,45 @@ def q_measures_additive(spark, sf_dir):
                     numeric="double")
 
 
+#: The groupings that are stored, and the eight of one report.
+STORED = [["product_id", "product_name", "category", "sub_category"], ["customer_id", "customer_name", "segment", "year"],
+          ["region", "state", "city", "sales_person", "ship_mode"],
+          ["year", "month", "month_name", "month_year_label", "quarter_name", "season", "ship_mode"]]
+REPORT = [[], ["segment", "year"], ["year", "month"], ["category", "sub_category"], ["region", "ship_mode"], ["ship_mode"],
+          ["region", "state", "city", "sales_person"], ["season"]]
+#: The groupings of the views V2 to V6.
+VIEW_GROUPS = {"vw_product_performance": STORED[0], "vw_customer_analysis": STORED[1][:3], "vw_regional_performance": STORED[2][:4],
+               "vw_shipping_performance": ["ship_mode"], "vw_monthly_trends": STORED[3][:6]}
+
+
+def lattice_for(spark, sf_dir):
+    """The stored aggregates of a warehouse, built once per run."""
+    wh = warehouse_for(spark, sf_dir)
+    with _LOCK:
+        if wh.lattice is None:
+            wh.lattice = lattice_plan.build(wh.gold, STORED, f"{wh.root}/lattice")
+    return wh.lattice
+
+
+def q_measures_lattice(spark, sf_dir):
+    """M1-M15 by eight groupings at once, from stored aggregates made in one pass over the fact."""
+    return lattice_plan.report(lattice_for(spark, sf_dir), REPORT, numeric="double")
+
+
+def q_lattice_order_counts(spark, sf_dir):
+    """A2: the order counts of V2-V6, exact, from stored sets instead of the fact's lines."""
+    found = lattice_for(spark, sf_dir)
+    parts = []
+    for name, by in VIEW_GROUPS.items():
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in by]
+        parts.append(lattice_plan.answer(found, by, ["total_orders"]).select(
+            F.lit(name).alias("view_name"), F.concat_ws("|", *texts).alias("group_key"), "total_orders"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def q_dq_unmatched_keys(spark, sf_dir):
     """Q1: fact rows, set-aside ones included, whose required dimension keys are missing."""
     wh = warehouse_for(spark, sf_dir)
@@ -338,6 +378,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "measures_by_category": q_measures_by_category,
         "measures_by_region_ship_mode": q_measures_by_region_ship_mode,
         "measures_on_time_all_lines": q_measures_on_time_all_lines,
+        "measures_lattice": q_measures_lattice,
+        "lattice_order_counts": q_lattice_order_counts,
         "dq_unmatched_keys": q_dq_unmatched_keys,
         "dq_optional_keys": q_dq_optional_keys,
         "dq_duplicate_natural_keys": q_dq_duplicate_natural_keys,
