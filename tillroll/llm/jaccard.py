@@ -17,9 +17,12 @@ Steps, each a Spark job over written tables:
    shares most with, which joins a group of n near copies by about n checks;
 5. all remaining pairs that can still be similar and are not yet known to be
    connected are verified, so no link between different components is lost.
-   Pairs fall out unmade where the set whose prefix ends first has too many
-   prefix tokens that no other prefix has, and unverified where they share too
-   few prefix tokens;
+   A pair is made at a shared token only if enough of both sets lies from
+   there on, as it does at the first token that similar sets share, and falls
+   out unmade where the set whose prefix ends first has too many prefix tokens
+   that no other prefix has.  Pairs, of which there is then about one per link,
+   count their shared prefix tokens on the prefixes themselves and fall out
+   unverified where these are too few;
 6. connected components of the verified links.
 """
 
@@ -297,7 +300,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = classes.select("digest", "node", "least_id", F.col("first.doc_id").alias("doc_id"),
                              F.col("first.text_hash").alias("text_hash"), F.col("first.n").alias("n"), F.col("first.matches").alias("matches"))
     prefixes = table.select("row", "last", "prefix").join(classes.select(F.col("node").alias("row"), "n", "matches"), "row")
-    tokens = prefixes.select(F.explode("prefix").alias("token"), F.col("row").alias("node"), F.col("n").cast("int").alias("n"),
+    tokens = prefixes.select(F.posexplode("prefix").alias("pos", "token"), F.col("row").alias("node"), F.col("n").cast("int").alias("n"),
                              F.col("matches").cast("int").alias("m"), (F.col("n") - F.size("prefix")).cast("int").alias("rest"), "last")
     group = Window.partitionBy("token")
     index = tokens.withColumn("_n", F.count(F.lit(1)).over(group)).withColumn("least", F.min("m").over(group))
@@ -309,7 +312,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     doubtful = doubtful.where(F.col("_n") >= F.least("_m", "_l"))
     # What a set can share with one whose prefix ends later: its rest and its prefix tokens that some other prefix holds.
     index = written(index.drop("least").join(doubtful, "node").select(
-        "token", "node", "n", "m", "last", (F.col("rest") + F.col("_n")).cast("int").alias("bound")), "index")
+        "token", "pos", "node", "n", "m", "last", (F.col("rest") + F.col("_n")).cast("int").alias("bound")), "index")
     doubtful = index.select("node").distinct()
     same_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     wanted = classes.join(doubtful, "node").select("node", same_id.alias("_i"), F.col("text_hash").alias("_h"))
@@ -330,8 +333,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         rows = with_known(index)
         # First the set that can share the largest part of itself, next to the original of a group; then others.
         order = [F.col("bound") / -F.col("n"), F.lit(0), F.xxhash64(F.lit(r), "node")][r % 3]
-        hub = F.min(F.struct(order.alias("o"), *shared)).over(Window.partitionBy("token"))
-        met = rows.withColumn("hub", hub).where((F.col("hub.known") != F.col("known")) & _possible(
+        # Partial minima before the shuffle; a token that many classes hold is split in the join.
+        hubs = rows.groupBy("token").agg(F.min(F.struct(order.alias("o"), *shared)).alias("hub"))
+        met = rows.join(hubs, "token").where((F.col("hub.known") != F.col("known")) & _possible(
             percent, "n", "hub.n", "bound", "hub.bound", "last", "hub.last"))
         met = met.groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(
             F.count(F.lit(1)).alias("c"), F.first(F.least("m", "hub.m")).alias("m")).where("c >= m")
@@ -342,12 +346,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         if not found.limit(1).count():
             break
         known = components(_all(links))
+    shared.append("pos")
     left = with_known(index)
     right = left.select("token", *[F.col(c).alias(f"{c}2") for c in shared])
+    # Similar sets share nothing before their first shared token, so all that they must share lies from its places on.
+    room = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
     pairs = left.join(right, (left.token == right.token) & (F.col("node") < F.col("node2")) & (F.col("known") != F.col("known2"))
-                      & _possible(percent, "n", "n2", "bound", "bound2", "last", "last2"))
-    pairs = pairs.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("n", "n2", "m", "m2", "last", "last2")]).where(_enough(percent))
+                      & (_overlap("n", "n2", percent) <= room) & _possible(percent, "n", "n2", "bound", "bound2", "last", "last2"))
+    pairs = written(pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"), "n", "n2", "m", "m2", "last", "last2").distinct(), "pairs")
+    sides = table.select("row", "prefix")
+    counted = pairs.join(sides.withColumnRenamed("row", "a"), "a").join(sides.select(F.col("row").alias("b"), F.col("prefix").alias("prefix2")), "b")
+    pairs = counted.withColumn("c", F.size(F.array_intersect("prefix", "prefix2"))).where(_enough(percent))
     links.append(written(_verified(pairs, texts, words, percent), "links"))
     labels = components(_all(links))
 
