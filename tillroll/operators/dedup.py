@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.session import ensure_checkpoint_dir
+
 
 def _collated(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.StringType) and field.dataType != T.StringType()
@@ -46,6 +48,66 @@ def drop_exact_duplicates(df: DataFrame, columns: Sequence[str], keep_min: str,
     return out.select(*ordered, *([count_as] if count_as else []))
 
 
+#: Bits of the filter per repeated digest, and the most that is broadcast (in stretches of 32,768 bits, 4 KB each).
+FILTER_BITS, MOST_STRETCHES = 16, 1 << 14
+
+
+def digests(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row; equal rows have equal ones, and others may."""
+    return [F.xxhash64(F.lit(seed), *columns) for seed in (1, 2)]
+
+
+def _stretch(digest: Column, stretches: int) -> tuple[Column, Column]:
+    """The stretch of the filter and the place in it, as the bitmap functions number them."""
+    place = F.pmod(digest, F.lit(stretches * 32768))
+    return F.bitmap_bucket_number(place + 1), F.bitmap_bit_position(place + 1)
+
+
+def _bit(bits: Column, position: Column) -> Column:
+    """Whether a bit of a stretch is set; a missing stretch has none."""
+    byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), position % 8).cast("int")) > 0, F.lit(False))
+
+
+def suspected(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``_suspected``: false only for rows whose like occurs once.
+
+    The digests of all rows are shuffled, 16 bytes each, and those that occur
+    more than once set a bit in a filter that every task gets.  Its size
+    follows their number up to a fixed bound, beyond which more rows are
+    suspected for nothing.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    one, two = digests(columns)
+    counted = df.select(one.alias("_d1"), two.alias("_d2")).groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counted.where("_n > 1").select("_d1").checkpoint()
+    stretches = min(max(repeated.count() * FILTER_BITS // 32768 + 1, 1), MOST_STRETCHES)
+    stretch, position = _stretch(F.col("_d1"), stretches)
+    bits = repeated.groupBy(stretch.alias("_stretch")).agg(F.bitmap_construct_agg(position).alias("_bits"))
+    stretch, position = _stretch(one, stretches)
+    placed = df.withColumn("_stretch", stretch).withColumn("_position", position)
+    # At most MOST_STRETCHES rows of 4 KB.
+    marked = placed.join(F.broadcast(bits), "_stretch", "left").withColumn("_suspected", _bit(F.col("_bits"), F.col("_position")))
+    return marked.select(*df.columns, "_suspected")
+
+
+def drop_exact_duplicates_by_digest(df: DataFrame, columns: Sequence[str], keep_min: str, count_as: str | None = None) -> DataFrame:
+    """W1 as :func:`drop_exact_duplicates`, without moving rows that have no like.
+
+    Only suspected rows go through the exact comparison, on all columns, so
+    digests that clash merge nothing.  Worth it where copies are few and ``df``
+    is a stored table, as it is read three times.  Columns with a collation
+    hash by their bytes, so these take the plain way.
+    """
+    if any(_collated(df.schema[c]) for c in columns):
+        return drop_exact_duplicates(df, columns, keep_min, count_as)
+    marked = suspected(df, columns)
+    exact = drop_exact_duplicates(marked.where("_suspected").drop("_suspected"), columns, keep_min, count_as)
+    ordered = [c for c in df.columns if c == keep_min or c in columns]
+    alone = marked.where("NOT _suspected").select(*ordered, *([F.lit(1).cast("long").alias(count_as)] if count_as else []))
+    return alone.unionByName(exact)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Per key, the lowest ``order_col`` with NULL sorting first.
 

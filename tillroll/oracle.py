@@ -316,6 +316,7 @@ def oracle_sql() -> dict[str, str]:
                                  f"FROM bronze_orders)"),
         "silver_orders_clean": statement(f"SELECT {orders} FROM silver_orders"),
         "silver_orders_dedup_exact": statement("SELECT row_id, order_id, n_copies FROM distinct_orders"),
+        "silver_orders_dedup_digest": statement("SELECT row_id, order_id, n_copies FROM distinct_orders"),
         "silver_people_first": statement("SELECT * FROM silver_people"),
         "silver_returns_first": statement("SELECT * FROM silver_returns"),
         "dense_key_payload": statement(f"SELECT row_number() OVER (ORDER BY order_id NULLS FIRST, row_id NULLS FIRST, product_id NULLS FIRST, "

@@ -88,6 +88,13 @@ def q_silver_orders_dedup_exact(spark, sf_dir):
         "row_id", "order_id", "n_copies")
 
 
+def q_silver_orders_dedup_digest(spark, sf_dir):
+    """The same, with only the rows moved whole whose digest repeats."""
+    wh = warehouse_for(spark, sf_dir)
+    return silver_plan.dedup_orders(wh.bronze["orders"], count_as="n_copies", by_digest=True).select(
+        "row_id", "order_id", "n_copies")
+
+
 def q_silver_people_first(spark, sf_dir):
     """One region per person (lowest, NULL first)."""
     return warehouse_for(spark, sf_dir).silver["people"].select("person_name", "region")
@@ -353,6 +360,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_orders": q_bronze_orders,
         "silver_orders_clean": q_silver_orders_clean,
         "silver_orders_dedup_exact": q_silver_orders_dedup_exact,
+        "silver_orders_dedup_digest": q_silver_orders_dedup_digest,
         "silver_people_first": q_silver_people_first,
         "silver_returns_first": q_silver_returns_first,
         "ship_mode_repair": q_ship_mode_repair,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import cleaning
-from tillroll.operators.dedup import drop_exact_duplicates, first_per_key
+from tillroll.operators.dedup import drop_exact_duplicates, drop_exact_duplicates_by_digest, first_per_key
 from tillroll.rules import SilverRules
 from tillroll.schemas import ORDERS_DEDUP_COLUMNS
 
@@ -37,9 +37,14 @@ def collated(df: DataFrame, collation: str | None) -> DataFrame:
         else F.col(f.name) for f in df.schema.fields])
 
 
-def dedup_orders(bronze_orders: DataFrame, count_as: str | None = None) -> DataFrame:
-    """One row per distinct 20-column tuple, lowest row_id kept."""
-    return drop_exact_duplicates(bronze_orders, ORDERS_DEDUP_COLUMNS, "row_id", count_as=count_as)
+def dedup_orders(bronze_orders: DataFrame, count_as: str | None = None, by_digest: bool = False) -> DataFrame:
+    """One row per distinct 20-column tuple, lowest row_id kept.
+
+    ``by_digest`` moves 16 bytes of every row and only the rows that may have a
+    copy whole, at the price of reading the table three times.
+    """
+    drop = drop_exact_duplicates_by_digest if by_digest else drop_exact_duplicates
+    return drop(bronze_orders, ORDERS_DEDUP_COLUMNS, "row_id", count_as=count_as)
 
 
 def clean_order_columns(rules: SilverRules) -> list:
