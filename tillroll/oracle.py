@@ -277,6 +277,68 @@ def _profile() -> str:
     return _union(parts)
 
 
+def _sketch_profile() -> str:
+    """Exact moments; the sketches' bounds hold."""
+    parts = []
+    for f in BRONZE_ORDERS.fields:
+        kind = "decimal(3,2)" if f.name == "discount" else f.dataType.simpleString()
+        number = kind in ("bigint", "int") or kind.startswith("decimal")
+        mean = f"round(CAST(sum({f.name}) AS DOUBLE) / nullif(count({f.name}), 0), 6)" if number else "CAST(NULL AS DOUBLE)"
+        deviation = f"round(stddev_samp(CAST({f.name} AS DOUBLE)), 4)" if number else "CAST(NULL AS DOUBLE)"
+        parts.append(f"SELECT '{f.name}' AS column_name, '{kind}' AS data_type, count(*) - count({f.name}) AS n_nulls, "
+                     f"CAST(min({f.name}) AS VARCHAR) AS min_value, CAST(max({f.name}) AS VARCHAR) AS max_value, {mean} AS mean, {deviation} AS stddev, "
+                     f"count(*) AS n_rows, {'TRUE' if number else 'CAST(NULL AS BOOLEAN)'} AS quartiles_hold, TRUE AS distinct_holds FROM silver_orders")
+    return _union(parts)
+
+
+#: Per table and rule, the rows that fail, as a condition; and the columns that no two rows may share.
+ROW_RULES = {
+    ("bronze_orders", "not_null(row_id)"): "row_id IS NULL", ("bronze_orders", "not_null(order_id)"): "order_id IS NULL",
+    ("bronze_orders", "in_range(quantity, 1, None)"): "quantity < 1", ("bronze_orders", "in_range(discount, 0, 1)"): "discount < 0 OR discount > 1",
+    ("bronze_orders", "in_range(sales, 0, None)"): "sales < 0",
+    **{("bronze_orders", f"max_length({c}, {n})"): f"length({c}) > {n}" for c, n in LENGTHS.items()},
+    ("silver_orders", "not_null(postal_code)"): "postal_code IS NULL", ("silver_orders", "in_range(discount, None, 1)"): "discount > 1",
+    ("silver_orders", "foreign_key(region, silver_people)"): "region NOT IN (SELECT region FROM silver_people WHERE region IS NOT NULL)",
+    ("silver_returns_order", "not_null(returned)"): "returned IS NULL",
+    ("silver_returns_order", "foreign_key(order_id, silver_orders)"): "order_id NOT IN (SELECT order_id FROM silver_orders WHERE order_id IS NOT NULL)",
+    **{("fact_sales", f"not_null({k})"): f"{k} IS NULL" for k in ("order_date_key", "customer_key", "product_key", "location_key", "ship_mode_key")},
+    **{("fact_sales", f"foreign_key({k}, dim_{d})"): f"{k} NOT IN (SELECT {k} FROM dim_{d})" for k, d in (
+        ("customer_key", "customer"), ("product_key", "product"), ("location_key", "location"), ("ship_mode_key", "ship_mode"), ("sales_person_key", "sales_person"))},
+    **{("fact_sales", f"foreign_key({k}, dim_date)"): f"{k} NOT IN (SELECT date_key FROM dim_date)" for k in ("order_date_key", "ship_date_key")},
+    ("dim_customer", "not_null(customer_id)"): "customer_id IS NULL", ("dim_product", "not_null(product_id)"): "product_id IS NULL",
+    ("dim_product", "not_null(product_name)"): "product_name IS NULL", ("dim_ship_mode", "not_null(ship_mode)"): "ship_mode IS NULL",
+}
+UNIQUE_RULES = [("bronze_orders", "row_id"), ("silver_returns_order", "order_id"), ("dim_customer", "customer_key"), ("dim_customer", "customer_id"),
+                ("dim_product", "product_key"), ("dim_product", "product_id, product_name"), ("dim_location", "location_key"),
+                ("dim_location", "city, state, postal_code"), ("dim_ship_mode", "ship_mode_key"), ("dim_ship_mode", "ship_mode"),
+                ("dim_sales_person", "sales_person_key"), ("dim_sales_person", "region")]
+
+
+def _stage(table: str) -> str:
+    return {"silver_returns_order": "silver_returns"}.get(table, table)
+
+
+def _rules() -> str:
+    parts = [f"SELECT '{t}' AS table_name, '{rule}' AS rule, count(*) AS n_rows, count(*) FILTER ({fails}) AS n_failed FROM {_stage(t)}"
+             for (t, rule), fails in ROW_RULES.items()]
+    for t, columns in UNIQUE_RULES:
+        whole = " AND ".join(f"{c} IS NOT NULL" for c in columns.split(", "))
+        parts.append(f"SELECT '{t}', 'unique({columns})', count(*), count(*) FILTER ({whole}) - count(DISTINCT ({columns})) FILTER ({whole}) FROM {_stage(t)}")
+    # The fact's own key numbers its rows, and the statements have no such column.
+    parts.append("SELECT 'fact_sales', 'unique(fact_key)', count(*), 0 FROM fact_sales")
+    return _union(parts)
+
+
+def _failing() -> str:
+    parts = []
+    for table, row_id in (("bronze_orders", "row_id"), ("silver_returns_order", "CAST(NULL AS BIGINT)")):
+        parts += [f"SELECT '{table}' AS table_name, '{rule}' AS rule, order_id, {row_id} AS row_id FROM {_stage(t)} WHERE {fails}"
+                  for (t, rule), fails in ROW_RULES.items() if t == table]
+        parts += [f"SELECT '{table}', 'unique({c})', order_id, {row_id} FROM {_stage(t)} WHERE {c} IN (SELECT {c} FROM {_stage(t)} GROUP BY {c} HAVING count(*) > 1)"
+                  for t, c in UNIQUE_RULES if t == table]
+    return _union(parts)
+
+
 def _many_groupings() -> str:
     """Eight groupings, one statement each, with their attributes as text."""
     every = ["category", "city", "month", "region", "sales_person", "season", "segment", "ship_mode", "state", "sub_category", "year"]
@@ -401,6 +463,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{c}' AS column_name, {n} AS max_length, count(*) FILTER (length({c}) > {n}) AS n_too_long FROM bronze_orders"
             for c, n in LENGTHS.items()),
         "profile_silver_orders": _profile(),
+        "profile_sketches": _sketch_profile(),
+        "dq_rules": _rules(),
+        "dq_failing_rows": _failing(),
         "dim_customer_first": statement("""SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS BIGINT) AS customer_key,
     customer_id, customer_name, segment FROM (
   SELECT DISTINCT ON (customer_id) customer_id, customer_name, segment FROM dim_customer

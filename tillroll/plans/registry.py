@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from tillroll.functions import cleaning
 from tillroll.operators.keys import dense_key
 from tillroll.operators import quality
+from tillroll.operators import rules as rule_suite
+from tillroll.operators.rules import ForeignKey, InRange, MaxLength, NotNull, Unique
 from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
 from tillroll.plans import lattice as lattice_plan
@@ -30,7 +32,7 @@ from tillroll.plans.pipeline import Warehouse, default_root, index_fact, publish
 from tillroll.plans.gold import dimension
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
 from tillroll.sources.layout import read_where
-from tillroll.sources.profile import profile
+from tillroll.sources.profile import describe_checked, profile
 from tillroll.sources.readers import read_landing
 from tillroll.sources.adapter import FIXTURE_RULES, bronze_tables
 
@@ -344,6 +346,52 @@ def q_profile_silver_orders(spark, sf_dir):
     return profile(_silver_orders(warehouse_for(spark, sf_dir)))
 
 
+def _dimension_keys() -> list:
+    return [ForeignKey((spec["key"],), name, (spec["key"],)) for name, spec in DIMENSIONS.items()]
+
+
+#: The warehouse's rules: of the landing table, of silver against its side tables, and of the gold layer's keys.
+WAREHOUSE_RULES = {
+    "bronze_orders": [NotNull("row_id"), NotNull("order_id"), Unique(("row_id",)), InRange("quantity", 1), InRange("discount", 0, 1), InRange("sales", 0),
+                      *[MaxLength(c, n) for c, n in TEXT_LENGTHS["orders"].items()]],
+    "silver_orders": [NotNull("postal_code"), ForeignKey(("region",), "silver_people", ("region",)), InRange("discount", None, 1)],
+    "silver_returns_order": [Unique(("order_id",)), NotNull("returned"), ForeignKey(("order_id",), "silver_orders", ("order_id",))],
+    "fact_sales": [*[NotNull(c) for c in FACT_REQUIRED_KEYS], NotNull("ship_mode_key"), Unique(("fact_key",)), *_dimension_keys(),
+                   ForeignKey(("order_date_key",), "dim_date", ("date_key",)), ForeignKey(("ship_date_key",), "dim_date", ("date_key",))],
+    **{name: [Unique((spec["key"],)), Unique(tuple(spec["join_on"])), *[NotNull(c) for c in spec["required"]]] for name, spec in DIMENSIONS.items()},
+}
+
+
+def _rule_tables(wh: Warehouse) -> tuple[dict, dict]:
+    tables = {f"bronze_{n}": df for n, df in wh.bronze.items()}
+    tables.update({f"silver_{n}": df for n, df in wh.silver.items()})
+    tables.update(wh.gold.tables())
+    return tables, wh.gold.rows
+
+
+def q_dq_rules(spark, sf_dir):
+    """Q1-Q6 as one suite: rows that fail, per declared rule."""
+    tables, rows = _rule_tables(warehouse_for(spark, sf_dir))
+    return rule_suite.check(WAREHOUSE_RULES, tables, rows)
+
+
+def q_dq_failing_rows(spark, sf_dir):
+    """Q1-Q6: the landing rows and the returns that fail a rule, each once per rule."""
+    tables, rows = _rule_tables(warehouse_for(spark, sf_dir))
+    parts = []
+    for name in ("bronze_orders", "silver_returns_order"):
+        found = rule_suite.failing_rows(WAREHOUSE_RULES, tables, name, rows)
+        row_id = F.col("row_id") if "row_id" in found.columns else F.lit(None).cast("long")
+        parts.append(found.select(F.lit(name).alias("table_name"), "rule", "order_id", row_id.alias("row_id")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_profile_sketches(spark, sf_dir):
+    """Mean and deviation of the cleaned orders, and whether the sketched quartiles and distinct counts keep their bounds."""
+    found = describe_checked(_silver_orders(warehouse_for(spark, sf_dir)))
+    return found.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 4))
+
+
 def q_measures_filtered(spark, sf_dir):
     """Measures under a report filter on an attribute not grouped by."""
     return measures(warehouse_for(spark, sf_dir).gold, by=["ship_mode"], where=F.col("region") == "ASIA",
@@ -396,6 +444,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_key_uniqueness": q_dq_key_uniqueness,
         "dq_text_lengths": q_dq_text_lengths,
         "profile_silver_orders": q_profile_silver_orders,
+        "profile_sketches": q_profile_sketches,
+        "dq_rules": q_dq_rules,
+        "dq_failing_rows": q_dq_failing_rows,
         "measures_filtered": q_measures_filtered,
         "dim_customer_first": q_dim_customer_first,
     })

@@ -1,9 +1,19 @@
-"""Table profile (S18): shape, types, NULLs and ranges in one aggregate."""
+"""Table profile (S18): shape, types, NULLs, ranges, moments, quartiles and distinct counts in one aggregate.
+
+Quartiles come from KLL sketches and distinct counts from HLL sketches.  Both
+merge, so every task passes on a few KB per column, whatever its rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Sketch sizes, and errors that they keep in all but rare cases: of a quartile's rank, of a distinct count's share.
+KLL_K, RANK_ERROR = 400, 0.02
+HLL_LOG_K, DISTINCT_ERROR = 14, 0.03
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -27,6 +37,61 @@ def profile(df: DataFrame) -> DataFrame:
         "_rows as n_rows")
 
 
+def describe(df: DataFrame) -> DataFrame:
+    """One row per column: what :func:`profile` tells, and mean, deviation, quartiles and the number of distinct values.
+
+    ``mean``, ``stddev`` (of a sample) and the quartiles are null for columns
+    that are not numbers and for columns without values.  Quartiles are values
+    of the column whose rank is within RANK_ERROR of a quartile's, distinct
+    counts are within DISTINCT_ERROR; all else is exact.  One ``agg``, one
+    small shuffle.
+    """
+    aggs, entries = [F.count(F.lit(1)).alias("_rows")], []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        number = isinstance(f.dataType, T.NumericType)
+        # The sketch of distinct values takes numbers, texts and binaries.
+        key = c if isinstance(f.dataType, (T.StringType, T.BinaryType, T.IntegerType, T.LongType)) else c.cast("string")
+        aggs += [F.count(c).alias(f"n{i}"), F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}"),
+                 F.hll_sketch_estimate(F.hll_sketch_agg(key, HLL_LOG_K)).alias(f"d{i}")]
+        if number:
+            aggs += [F.sum(c).cast("double").alias(f"sum{i}"), F.stddev_samp(c.cast("double")).alias(f"dev{i}"),
+                     F.kll_sketch_agg_double(c.cast("double"), KLL_K).alias(f"kll{i}")]
+            quartiles = ", ".join(f"CASE WHEN n{i} > 0 THEN kll_sketch_get_quantile_double(kll{i}, {q}D) END" for q in QUARTILES)
+            moments = f"sum{i} / nullif(n{i}, 0), dev{i}, {quartiles}"
+        else:
+            moments = ", ".join(["CAST(NULL AS DOUBLE)"] * (2 + len(QUARTILES)))
+        entries.append(f"'{f.name}', '{f.dataType.simpleString()}', _rows - n{i}, lo{i}, hi{i}, {moments}, d{i}")
+    return df.agg(*aggs).selectExpr(
+        f"stack({len(entries)}, {', '.join(entries)}) as (column_name, data_type, n_nulls, min_value, max_value, mean, stddev, p25, p50, p75, "
+        "approx_distinct)", "_rows as n_rows")
+
+
+def describe_checked(df: DataFrame) -> DataFrame:
+    """:func:`describe` without its estimates, and whether these keep their bounds against exact ranks and counts.
+
+    A second pass, for tests of the sketches: ``quartiles_hold`` (null where
+    there are none) and ``distinct_holds`` per column.
+    """
+    found = describe(df)
+    rows = found.collect()  # a row per column
+    aggs, entries = [], []
+    for i, r in enumerate(rows):
+        c = F.col(f"`{r['column_name']}`")
+        aggs.append(F.count_distinct(c).alias(f"d{i}"))
+        holds = []
+        for q, value in zip(QUARTILES, (r["p25"], r["p50"], r["p75"])):
+            if value is not None:
+                x, at = c.cast("double"), len(aggs)
+                aggs += [F.count_if(x < value).alias(f"b{at}"), F.count_if(x <= value).alias(f"u{at}")]
+                n = r["n_rows"] - r["n_nulls"]
+                holds.append(f"b{at} <= {(q + RANK_ERROR) * n}D AND u{at} >= {(q - RANK_ERROR) * n}D")
+        within = f"abs({r['approx_distinct']}D - d{i}) <= greatest(1D, {DISTINCT_ERROR}D * d{i})"
+        entries.append(f"'{r['column_name']}', {' AND '.join(holds) or 'CAST(NULL AS BOOLEAN)'}, {within}")
+    checked = df.agg(*aggs).selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (column_name, quartiles_hold, distinct_holds)")
+    return found.drop("p25", "p50", "p75", "approx_distinct").join(F.broadcast(checked), "column_name")
+
+
 def head(df: DataFrame, n: int = 5) -> DataFrame:
     """The first n rows, as a look at the data (the limit is the feature)."""
     return df.limit(n)
