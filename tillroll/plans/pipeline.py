@@ -33,6 +33,7 @@ from tillroll.plans import gold as gold_plan
 from tillroll.plans import silver as silver_plan
 from tillroll.plans.catalog import publish_catalog
 from tillroll.plans.gold import Gold
+from tillroll.plans.manifest import Manifest, earlier_run, register_run, run_digest
 from tillroll.plans.views import VIEWS
 from tillroll.rules import DEFAULT_DATE_RANGE, SilverRules
 from tillroll.schemas import DIMENSIONS, FACT_NOT_NULL, TEXT_LENGTHS
@@ -77,8 +78,10 @@ def default_root(spark: SparkSession) -> str:
 
 
 class _Runner:
-    def __init__(self, spark: SparkSession, run_dir: str, on_error: str):
+    def __init__(self, spark: SparkSession, run_dir: str, on_error: str, resume: bool = False):
         self.spark = spark
+        self.manifest = Manifest(spark, run_dir) if resume else None
+        self.resumed: set[str] = set()
         self.run_dir = run_dir
         self.on_error = on_error
         self.steps: list[StepResult] = []
@@ -86,9 +89,19 @@ class _Runner:
         self.order: list[str] = []
         self.stage_seconds: dict[str, float] = {}
 
-    def persist(self, layer: str, name: str, df: DataFrame, **kw) -> tuple[DataFrame, dict]:
-        path = f"{self.run_dir}/{layer}/{name}"
+    def persist(self, layer: str, name: str, make, **kw) -> tuple[DataFrame, dict]:
+        """Write a table and read it back; with a manifest, a table that an earlier attempt finished is only read.
+
+        ``make`` is the table or, where planning it already runs jobs, a function that gives it.
+        """
+        path, step = f"{self.run_dir}/{layer}/{name}", f"{layer}.{name}"
+        if self.manifest and (done := self.manifest.done(step)):
+            self.resumed.add(step)
+            return self.spark.read.schema(done[0]).parquet(path), done[1]
+        df = make() if callable(make) else make
         metrics = write_table(df, path, **kw)
+        if self.manifest:
+            self.manifest.add(step, df.schema, metrics)
         # Read back with the written schema: an empty partitioned table has
         # no files to infer it from.
         return self.spark.read.schema(df.schema).parquet(path), metrics
@@ -108,7 +121,8 @@ class _Runner:
             if self.on_error == "fail":
                 raise
             return None
-        self.steps.append(StepResult(name, "ok", rows, time.perf_counter() - start))
+        status = "resumed" if name in self.resumed else "ok"
+        self.steps.append(StepResult(name, status, rows, time.perf_counter() - start))
         log.info("step %s: %s rows", name, rows)
         return result
 
@@ -166,6 +180,7 @@ def run_pipeline(
     collation: str | None = None,
     publish: bool = False,
     on_overlong: str = "warn",
+    resume: bool = False,
 ) -> Warehouse:
     """Run every layer; see the module docstring for the guarantees.
 
@@ -183,13 +198,20 @@ def run_pipeline(
     warning ('warn', default), an error ('fail') or not checked ('ignore').
     Declared NOT NULL dimension columns follow ``on_unmatched`` ('quarantine'
     leaves such members out, so their fact rows are set aside with the rest).
+    ``resume`` goes on with the newest run of equal inputs, rules and options:
+    steps that it finished are read, the others run (see
+    :mod:`tillroll.plans.manifest`).
     """
     root = (root or default_root(spark)).rstrip("/")
+    if resume and not run_id:
+        run_id = earlier_run(spark, root, run_digest(bronze, rules, date_range, dedupe, on_unmatched, collation, on_overlong, broadcast_limit))
     run_id = run_id or f"run-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     run_dir = f"{root}/{run_id}"
     derive_range = date_range == "data"
     start, end = DEFAULT_DATE_RANGE if derive_range or not date_range else date_range
-    runner = _Runner(spark, run_dir, on_error)
+    runner = _Runner(spark, run_dir, on_error, resume)
+    if resume:
+        register_run(spark, root, run_id, run_digest(bronze, rules, date_range, dedupe, on_unmatched, collation, on_overlong, broadcast_limit))
     wh = Warehouse(root=run_dir, bronze={}, silver={}, gold=None)
 
     # -- bronze: land the inputs with their declared types (S7) ---------------
@@ -252,14 +274,14 @@ def run_pipeline(
             # The source's proven row count bounds the dimension's size.
             if name == "dim_sales_person":
                 parts = partitions_for(wh.silver["people"], silver_rows.get("people"))
-                df = gold_plan.dim_sales_person(wh.silver["people"], parts)
+                make = lambda: gold_plan.dim_sales_person(wh.silver["people"], parts)
             else:
                 parts = partitions_for(silver_orders, silver_rows.get("orders"))
-                df = gold_plan.dimension(silver_orders, name, dedupe, parts,
-                                         drop_missing_required=on_unmatched == "quarantine")
+                make = lambda: gold_plan.dimension(silver_orders, name, dedupe, parts,
+                                                   drop_missing_required=on_unmatched == "quarantine")
             # Q2: declared NOT NULL natural keys, counted while writing.
             required = DIMENSIONS[name]["required"]
-            out, m = runner.persist("gold", name, df, extra_metrics=null_count_columns(required))
+            out, m = runner.persist("gold", name, make, extra_metrics=null_count_columns(required))
             missing = {c: m[f"null_{c}"] for c in required if m[f"null_{c}"]}
             if missing:
                 message = f"gold.{name}: required columns missing ({missing})"
@@ -282,15 +304,15 @@ def run_pipeline(
                  *[f"gold.{n}" for n in gold_plan.DIMENSION_NAMES]]
 
     def build_fact():
-        fact = gold_plan.fact_sales(silver_orders, wh.silver["returns_order"], dim_date_df, dims,
-                                    rows, broadcast_limit)
         checks = [F.count_if(any_null(FACT_NOT_NULL)).alias("missing"),
                   *null_count_columns(FACT_NOT_NULL)]
         # One write: set-aside rows go to a partition of their own.
-        parts = ["order_year"]
-        laid_out = fact_layout(fact)
-        if on_unmatched == "quarantine":
-            laid_out, parts = laid_out.withColumn("_quarantined", any_null(FACT_NOT_NULL)), ["_quarantined", *parts]
+        parts = ["_quarantined", "order_year"] if on_unmatched == "quarantine" else ["order_year"]
+
+        def laid_out():
+            fact = gold_plan.fact_sales(silver_orders, wh.silver["returns_order"], dim_date_df, dims, rows, broadcast_limit)
+            out = fact_layout(fact)
+            return out.withColumn("_quarantined", any_null(FACT_NOT_NULL)) if on_unmatched == "quarantine" else out
         out, m = runner.persist("gold", "fact_sales", laid_out, partition_by=parts, extra_metrics=checks)
         if m["missing"]:
             detail = ", ".join(f"{k}={m['null_' + k]}" for k in FACT_NOT_NULL if m["null_" + k])
