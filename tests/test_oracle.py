@@ -85,6 +85,28 @@ def test_a_wrong_rule_value_turns_rows_red(spark, duck):
     assert _normalise([tuple(r) for r in got.collect()], got.columns) != _normalise(expected, cols)
 
 
+def test_a_wrong_dimension_column_or_attribute_turns_rows_red(spark, duck, monkeypatch):
+    """The statements state the dimensions and the relationships on their own."""
+    from tillroll.plans import gold, measures
+    from tillroll.plans.registry import warehouse_for
+
+    wh = warehouse_for(spark, sf_dir(SF))
+
+    def red(got, name):
+        cur = duck.execute(oracle_sql()[name])
+        expected, cols = cur.fetchall(), [d[0] for d in cur.description]
+        return _normalise([tuple(r) for r in got.collect()], got.columns) != _normalise(expected, cols)
+    spec = dict(gold.DIMENSIONS["dim_customer"], columns=["customer_id", "segment"])
+    monkeypatch.setitem(gold.DIMENSIONS, "dim_customer", spec)
+    assert red(gold.dimension(wh.silver["orders"], "dim_customer"), "dim_customer")
+    monkeypatch.undo()
+    wrong = {**measures.RELATIONSHIPS, "location_key": ("dim_location", {"state": "region"})}
+    monkeypatch.setattr(measures, "RELATIONSHIPS", wrong)
+    assert red(measures.measures(wh.gold, by=["region"], names=["total_sales", "total_quantity", "average_discount"], numeric="double"), "measures_additive")
+    monkeypatch.undo()
+    assert not red(gold.dimension(wh.silver["orders"], "dim_customer"), "dim_customer")
+
+
 def test_planted_cases_are_there(spark):
     wh = {n: queries()[n](spark, sf_dir(SF)).collect() for n in (
         "fact_quarantine", "dq_duplicate_natural_keys", "dq_text_lengths", "dq_key_uniqueness", "dq_unmatched_keys", "dq_optional_keys")}

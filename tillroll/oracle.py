@@ -1,10 +1,11 @@
 """DuckDB SQL for the side-by-side correctness check.
 
-Every registered query has a statement over the raw driver tables, built from
-this library's model: the tables' declared columns, the dimensions' keys and
-the relationships give select lists and joins.  Nothing is taken from the
-Spark plans or from the cleansing rules: rule values, text lengths and labels
-stand here as literals, so that a wrong value on either side turns a row red.
+Every registered query has a statement over the raw driver tables.  Of the
+library's model only the landing and fact tables' declared columns are shared.
+Nothing is taken from the Spark plans or from the cleansing rules: rule values,
+text lengths, labels, the dimensions' columns and keys and the attributes that
+the relationships expose stand here as literals, so that a wrong value on
+either side turns a row red.
 
 Conventions shared with :func:`tillroll.plans.registry.comparable`: dates are
 compared as ISO text and decimals as doubles; sums are exact decimals, cast to
@@ -17,9 +18,7 @@ from __future__ import annotations
 
 import re
 
-from tillroll.plans.measures import DATE_ATTRIBUTES, RELATIONSHIPS
-from tillroll.plans.views import SUMMARY_COLUMNS
-from tillroll.schemas import BRONZE_ORDERS, DIM_DATE_COLUMNS, DIMENSIONS, FACT_COLUMNS, ORDERS_COLUMNS, ORDERS_DEDUP_COLUMNS
+from tillroll.schemas import BRONZE_ORDERS, DIM_DATE_COLUMNS, FACT_COLUMNS, ORDERS_COLUMNS, ORDERS_DEDUP_COLUMNS
 
 # ---------------------------------------------------------------------------
 # Fixed values, stated again independently of the rules under test.
@@ -45,6 +44,32 @@ LENGTHS = {"order_id": 50, "ship_mode": 50, "customer_id": 50, "customer_name":
 ON_TIME = 5
 
 
+def _dim(key: str, columns: str, join_on: str) -> dict:
+    return {"key": key, "columns": columns.split(), "join_on": join_on.split()}
+
+
+DIMENSIONS = {
+    "dim_customer": _dim("customer_key", "customer_id customer_name segment", "customer_id"),
+    "dim_product": _dim("product_key", "product_id product_name category sub_category", "product_id product_name"),
+    "dim_location": _dim("location_key", "city state postal_code region", "city state postal_code"),
+    "dim_ship_mode": _dim("ship_mode_key", "ship_mode", "ship_mode"),
+    "dim_sales_person": _dim("sales_person_key", "person_name region", "region"),
+}
+#: Fact key to dimension and, per attribute of a report, the dimension's column.
+RELATIONSHIPS = {
+    "customer_key": ("dim_customer", {"customer_id": "customer_id", "customer_name": "customer_name", "segment": "segment"}),
+    "product_key": ("dim_product", {c: c for c in ("product_id", "product_name", "category", "sub_category")}),
+    "location_key": ("dim_location", {c: c for c in ("city", "state", "postal_code", "region")}),
+    "ship_mode_key": ("dim_ship_mode", {"ship_mode": "ship_mode"}),
+    "sales_person_key": ("dim_sales_person", {"person_name": "sales_person", "region": "sales_person_region"}),
+}
+DATE_ATTRIBUTES = ["full_date", "year", "quarter_name", "month", "month_name", "month_short", "month_year_label", "week_of_year",
+                   "day_of_month", "day_of_week", "day_name", "day_short", "is_weekend", "is_business_day", "season"]
+SUMMARY_COLUMNS = ("full_date year quarter_name month_name month_year_label day_name is_weekend is_business_day season customer_id customer_name "
+                   "segment product_id product_name category sub_category city state region ship_mode sales_person order_id sales quantity "
+                   "discount profit unit_price profit_margin days_to_ship is_returned").split()
+
+
 def _list(columns, prefix: str = "") -> str:
     return ", ".join(prefix + c for c in columns)
 
@@ -339,6 +364,31 @@ def _failing() -> str:
     return _union(parts)
 
 
+#: Faults planted in a landing file: rows by order number (row_id // 1000) modulo 50, the text written, and the columns that then fail.
+FAULTS = {1: ({"quantity": "many"}, "quantity"), 2: ({"ship_date": "1998-13-45"}, "ship_date"), 3: ({"discount": "12.5"}, "discount"),
+          4: ({"sales": "1.2.3", "quantity": "2.5x"}, "sales,quantity")}
+
+
+def _faulty(good: bool) -> str:
+    planted = f"coalesce(row_id // 1000 % 50 IN ({_list(map(str, FAULTS))}), FALSE)"
+    if good:
+        return statement(f"SELECT {_shown(ORDERS_COLUMNS, _KINDS)} FROM bronze_orders WHERE NOT {planted}")
+
+    def text(column: str) -> str:
+        cases = " ".join(f"WHEN {k} THEN '{v[0][column]}'" for k, v in FAULTS.items() if column in v[0])
+        return f"CASE row_id // 1000 % 50 {cases} ELSE CAST({column} AS VARCHAR) END AS {column}"
+    failed = " ".join(f"WHEN {k} THEN '{v[1]}'" for k, v in FAULTS.items())
+    return statement(f"SELECT CAST(row_id AS VARCHAR) AS row_id, order_id, {text('quantity')}, {text('ship_date')}, {text('discount')}, {text('sales')}, "
+                     f"CASE row_id // 1000 % 50 {failed} END AS failed_columns FROM bronze_orders WHERE {planted}")
+
+
+def _steps() -> str:
+    tables = [("bronze.orders", "bronze_orders"), ("bronze.people", "bronze_people"), ("bronze.returns_order", "bronze_returns"),
+              ("silver.orders", "silver_orders"), ("silver.people", "silver_people"), ("silver.returns_order", "silver_returns"),
+              ("gold.dim_date", "dim_date"), *[(f"gold.{name}", name) for name in DIMENSIONS], ("gold.fact_sales", "fact_sales")]
+    return _union(f"SELECT '{step}' AS step, 'ok' AS status, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM {stage}" for step, stage in tables)
+
+
 def _many_groupings() -> str:
     """Eight groupings, one statement each, with their attributes as text."""
     every = ["category", "city", "month", "region", "sales_person", "season", "segment", "ship_mode", "state", "sub_category", "year"]
@@ -464,6 +514,13 @@ def oracle_sql() -> dict[str, str]:
             for c, n in LENGTHS.items()),
         "profile_silver_orders": _profile(),
         "profile_sketches": _sketch_profile(),
+        "landing_tolerant_good": _faulty(True),
+        "landing_tolerant_rejected": _faulty(False),
+        "step_results": _steps(),
+        "monthly_trends_ordered": statement(
+            "SELECT CAST(row_number() OVER (ORDER BY year, month) AS BIGINT) AS row_no, year, month, total_orders FROM ("
+            + "SELECT year, month, count(DISTINCT order_id) AS total_orders FROM " + _with_attributes({"year", "month"}, inner=["order_date_key"])
+            + " GROUP BY year, month)"),
         "dq_rules": _rules(),
         "dq_failing_rows": _failing(),
         "dim_customer_first": statement("""SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS BIGINT) AS customer_key,

@@ -33,7 +33,7 @@ from tillroll.plans.gold import dimension
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
 from tillroll.sources.layout import read_where
 from tillroll.sources.profile import describe_checked, profile
-from tillroll.sources.readers import read_landing
+from tillroll.sources.readers import read_landing, split_tagged, tolerant_tagged
 from tillroll.sources.adapter import FIXTURE_RULES, bronze_tables
 
 _LOCK = threading.Lock()
@@ -192,6 +192,48 @@ def q_landing_csv(spark, sf_dir):
     return comparable(read_landing(spark, "orders", path, multiline=True))
 
 
+#: Faults planted in a landing file, by order number (row_id div 1000) modulo 50: values that cannot be typed, one of them only too wide.
+FAULTS = {1: {"quantity": "many"}, 2: {"ship_date": "1998-13-45"}, 3: {"discount": "12.5"}, 4: {"sales": "1.2.3", "quantity": "2.5x"}}
+
+
+def _tolerant(spark, sf_dir):
+    """The landed order lines written as CSV with planted faults and read tolerantly, once, to a written copy."""
+    lines = warehouse_for(spark, sf_dir).bronze["orders"].select(*ORDERS_COLUMNS)
+
+    def text(column: str):
+        out = F.col(column).cast("string")
+        for k, faults in FAULTS.items():
+            if column in faults:
+                out = F.when(F.expr("row_id div 1000") % 50 == k, F.lit(faults[column])).otherwise(out)
+        return out.alias(column)
+    path = f"{default_root(spark)}/_landing_csv/{uuid.uuid4().hex}"
+    lines.select(*[text(c) for c in ORDERS_COLUMNS]).write.options(header="true", quote='"', escape='"', nullValue="", emptyValue="").csv(f"{path}/in")
+    tagged = tolerant_tagged(spark, "orders", f"{path}/in")
+    tagged.write.parquet(f"{path}/tagged")
+    return split_tagged(spark.read.schema(tagged.schema).parquet(f"{path}/tagged"), "orders")
+
+
+def q_landing_tolerant_good(spark, sf_dir):
+    """The rows of a faulty landing file that can be typed."""
+    return comparable(_tolerant(spark, sf_dir)[0])
+
+
+def q_landing_tolerant_rejected(spark, sf_dir):
+    """The rows of a faulty landing file that cannot be typed, as text, with the columns that fail."""
+    return _tolerant(spark, sf_dir)[1].select("row_id", "order_id", "quantity", "ship_date", "discount", "sales", "failed_columns")
+
+
+def q_step_results(spark, sf_dir):
+    """Each step of the build with its status and rows written."""
+    return warehouse_for(spark, sf_dir).step_results(spark).drop("seconds")
+
+
+def q_monthly_trends_ordered(spark, sf_dir):
+    """O2: the monthly report's rows numbered in report order."""
+    trends = views.monthly_trends(warehouse_for(spark, sf_dir).gold, "double").select("year", "month", "total_orders")
+    return dense_key(trends, ["year", "month"], "row_no")
+
+
 def _view_query(name: str):
     def run(spark, sf_dir):
         gold = warehouse_for(spark, sf_dir).gold
@@ -417,6 +459,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dense_key_payload": q_dense_key_payload,
         "landing_csv": q_landing_csv,
         "measures_additive": q_measures_additive,
+        "landing_tolerant_good": q_landing_tolerant_good,
+        "landing_tolerant_rejected": q_landing_tolerant_rejected,
+        "step_results": q_step_results,
+        "monthly_trends_ordered": q_monthly_trends_ordered,
     }
     for name in ["dim_customer", "dim_product", "dim_location", "dim_ship_mode", "dim_sales_person"]:
         q[name] = _dim_query(name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  Cluster-level values (executor sizing,
@@ -40,8 +41,9 @@ def get_session(
         if not key.startswith("spark.driver") and not key.startswith("spark.executor"):
             try:
                 spark.conf.set(key, value)
-            except Exception:  # static conf of an already running session
-                pass
+            except AnalysisException as e:  # static setting of an already running session
+                if "CANNOT_MODIFY" not in str(e.getCondition()):
+                    raise
     return spark
 
 
@@ -58,10 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:
-            configured = None
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)

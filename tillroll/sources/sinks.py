@@ -32,7 +32,8 @@ def fact_layout(fact: DataFrame) -> DataFrame:
     range, paid once and read many times; the order id splits a hot day, and
     AQE merges small ranges, so the number of files follows the data's size
     and not tasks times years.  The unique key is numbered last, after the
-    shuffle, so that a repeated task numbers its rows alike.
+    shuffle; it is unique in the written table, and another write may number
+    the rows otherwise.
     """
     with_year = fact.withColumn("order_year", F.expr("order_date_key div 10000").cast("int"))
     ranged = with_year.repartitionByRange("order_date_key", "order_id").sortWithinPartitions("order_year", "order_date_key")
