@@ -439,6 +439,7 @@ def oracle_sql() -> dict[str, str]:
     AND date_diff('day', d.order_date, d.ship_date) BETWEEN r.first_day AND r.last_day GROUP BY ALL"""),
         "dim_date": statement(f"SELECT {_shown(DIM_DATE_COLUMNS, _KINDS)} FROM dim_date"),
         **{name: statement(f"SELECT * FROM {name}") for name in DIMENSIONS},
+        "dim_product_refreshed": statement("SELECT * FROM dim_product"),
         "fact_sales": statement(f"SELECT {facts} FROM fact_sales"),
         **{f"fact_by_{name}": statement(
             f"SELECT {facts} FROM fact_sales WHERE {name}_key = (SELECT {name}_key FROM fact_sales GROUP BY 1 ORDER BY count(*) DESC, 1 NULLS FIRST LIMIT 1)")

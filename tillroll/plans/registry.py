@@ -28,6 +28,7 @@ from tillroll.plans import silver as silver_plan
 from tillroll.plans import views
 from tillroll.plans import lattice as lattice_plan
 from tillroll.plans.measures import measures
+from tillroll.plans.refresh import refresh
 from tillroll.plans.pipeline import Warehouse, default_root, index_fact, publish_names, run_pipeline
 from tillroll.plans.gold import dimension
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS, FACT_REQUIRED_KEYS, ORDERS_COLUMNS, TEXT_LENGTHS
@@ -132,6 +133,14 @@ def _dim_query(name: str):
     return run
 
 
+def q_dim_product_refreshed(spark, sf_dir):
+    """The product dimension, first of the lines of one half of the orders, then brought up to all of them."""
+    orders = _silver_orders(warehouse_for(spark, sf_dir))
+    spec, path = DIMENSIONS["dim_product"], f"{default_root(spark)}/_dimensions/{uuid.uuid4().hex}"
+    refresh(orders.where(F.crc32("order_id") % 2 == 0), spec["columns"], spec["key"], path)
+    return refresh(orders, spec["columns"], spec["key"], path).rows
+
+
 def q_fact_sales(spark, sf_dir):
     """The fact (the unordered fact_key left out)."""
     fact = warehouse_for(spark, sf_dir).gold.fact_sales
@@ -466,6 +475,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name in ["dim_customer", "dim_product", "dim_location", "dim_ship_mode", "dim_sales_person"]:
         q[name] = _dim_query(name)
+    q["dim_product_refreshed"] = q_dim_product_refreshed
     q["fact_sales"] = q_fact_sales
     for name in ("customer", "product", "location", "ship_date"):
         q[f"fact_by_{name}"] = _fact_by_query(f"{name}_key")
