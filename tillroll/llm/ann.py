@@ -2,15 +2,18 @@
 
 Centroids are fitted on a bounded sample and kept balanced by splitting large
 clusters.  Every vector is posted to its nearest centroid's list and, near a
-boundary, to several.  A query is compared with all centroids, keeps every list
-whose centroid is not much farther than the nearest one, however many these
-are, and is compared with every vector of those lists, in blocks.  A second
-round reads every other list that can hold a vector as near as the k-th found,
-by the triangle inequality, so the answer is exact whatever the table's size.
+boundary, to several.  A query walks an in-memory graph of the centroids from
+near to nearer until all that is left is too far, keeps every list whose
+centroid is not much farther than the nearest one, however many these are, and
+is compared with every vector of those lists, in blocks.
+
+``exact`` adds a second round, which reads every other list that can hold a
+vector as near as the k-th found, by the triangle inequality.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +29,12 @@ SAMPLE = 20_000
 LIST_SIZE, MAX_LISTS = 256, 4096
 #: A vector is posted to at most so many lists, those whose centroid is at most so much farther than the nearest.
 REPLICAS, BOUNDARY = 4, 0.1
-#: A query reads all lists within this ratio of its nearest centroid, and as many as hold MIN_POSTED vectors.
-RATIO = 0.13
+#: A query reads all lists within a ratio of its nearest centroid, and as many as hold MIN_POSTED vectors.  The ratio
+#: is that with which so many of the sample's vectors find this share of their nearest in the sample; RATIO without one.
+RATIO, TARGET, CALIBRATION, HELD_OUT = 0.13, 0.95, 256, 5
 MIN_POSTED = 64
+#: Links that a centroid makes in the graph, and how much farther than the lists it wants a walk looks for a way on.
+LINKS, MARGIN = 24, 0.06
 #: Vectors of a list that one group holds; a longer list is dealt over several groups.
 BLOCK = 4096
 NEAREST = 10
@@ -74,21 +80,55 @@ def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 8, seed: in
 
 
 class Index:
-    """The centroids, and how many vectors each list is the nearest of and how far from it the last of these is."""
+    """The centroids, their graph, and how many vectors each list is the nearest of and how far from it the last of these is."""
 
-    def __init__(self, centres: np.ndarray):
-        self.centres = centres
+    def __init__(self, centres: np.ndarray, ratio: float | None = None):
+        self.centres, self.ratio = centres, RATIO if ratio is None else ratio
         self.posted = np.zeros(len(centres), np.int64)
         self.radius = np.zeros(len(centres))
+        # Built by insertion: each centroid links both ways to its nearest among those before it, so all connect.
+        links: list[set[int]] = [set() for _ in centres]
+        for i in range(1, len(centres)):
+            d = ((centres[:i] - centres[i]) ** 2).sum(1)
+            for j in (np.argpartition(d, LINKS)[:LINKS] if i > LINKS else range(i)):
+                links[i].add(int(j))
+                links[int(j)].add(i)
+        self.links = [np.array(sorted(x), np.int64) for x in links]
+
+    def walk(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best-first search of the graph: (distance, centroid) of those met, nearest first.
+
+        It ends when the nearest centroid not yet left is beyond the ratio and
+        its margin, and those before it hold ``MIN_POSTED`` vectors.
+        """
+        seen = np.zeros(len(self.centres), bool)
+        seen[0] = True
+        ahead = [(float(np.sqrt(((self.centres[0] - q) ** 2).sum())), 0)]
+        met, nearest, held = [], ahead[0][0], 0
+        while ahead:
+            d, c = heapq.heappop(ahead)
+            if d > (1 + self.ratio + MARGIN) * nearest and held >= MIN_POSTED:
+                break
+            met.append((d, c))
+            held += int(self.posted[c])
+            new = self.links[c][~seen[self.links[c]]]
+            if len(new):
+                seen[new] = True
+                e = np.sqrt(((self.centres[new] - q) ** 2).sum(1))
+                nearest = min(nearest, float(e.min()))
+                for x in zip(e.tolist(), new.tolist()):
+                    heapq.heappush(ahead, x)
+        found = sorted(met)
+        return np.array([x[0] for x in found]), np.array([x[1] for x in found], np.int64)
 
     def probes(self, queries: np.ndarray) -> list[np.ndarray]:
-        """Lists that each query reads, nearest first: all within the ratio, and enough to hold ``MIN_POSTED`` vectors."""
-        d = np.sqrt(squared(queries, self.centres))
-        order = np.argsort(d, axis=1, kind="stable")
-        d = np.take_along_axis(d, order, 1)
-        before = np.cumsum(self.posted[order], axis=1) - self.posted[order]
-        wanted = (d <= (1 + RATIO) * d[:, :1]) | (before < MIN_POSTED)
-        return [c[w] for c, w in zip(order, wanted)]
+        """Lists that each query reads, nearest first: all met within the ratio, and enough to hold ``MIN_POSTED`` vectors."""
+        out = []
+        for q in queries:
+            d, c = self.walk(q)
+            before = np.cumsum(self.posted[c]) - self.posted[c]
+            out.append(c[(d <= (1 + self.ratio) * d[0]) | (before < MIN_POSTED)])
+        return out
 
     def unproven(self, queries: np.ndarray, kth: np.ndarray) -> list[np.ndarray]:
         """Lists that ``probes`` leaves out and that can hold a vector of their own as near as the query's k-th found."""
@@ -109,6 +149,26 @@ class Index:
         return [n[x <= (1 + BOUNDARY) * x[0]] for n, x in zip(near, far)]
 
 
+def fitted_ratio(index: Index, sample: np.ndarray, share: float = 1.0, k: int = NEAREST, target: float = TARGET) -> float:
+    """The ratio within which a list of a share ``target`` of the sample's neighbours lies.
+
+    Of the table's ``k`` nearest the sample, a share of it, holds so many less;
+    beyond that, neighbours in the table are nearer and easier to find.
+    """
+    k = max(1, round(k * share))
+    asked = np.unique(np.linspace(0, len(sample) - 1, CALIBRATION).astype(int))
+    needed = []
+    for i in asked:
+        d = squared(sample[i:i + 1], sample)[0]
+        d[i] = np.inf
+        near = np.argpartition(d, min(k, len(d) - 1))[:k]
+        near = near[np.isfinite(d[near])]
+        if len(near):
+            to = np.sqrt(squared(sample[i:i + 1], index.centres)[0])
+            needed += [to[c].min() / max(to.min(), 1e-300) - 1 for c in index.lists(sample[near])]
+    return float(np.quantile(needed, target)) if needed else RATIO
+
+
 def build(vectors: DataFrame, dimension: int) -> tuple[Index, DataFrame] | None:
     """The index and the postings ``list, vec_id, embedding, nearest, far`` of all vectors; None without vectors."""
     spark = vectors.sparkSession
@@ -120,7 +180,11 @@ def build(vectors: DataFrame, dimension: int) -> tuple[Index, DataFrame] | None:
     # About SAMPLE vectors of any number; the limit only guards the driver.
     rows = vectors.where(hashed <= int(share * (1 << 30))).select("vec_id", "embedding").limit(2 * SAMPLE).collect()
     sample = np.array([r["embedding"] for r in sorted(rows, key=lambda r: r["vec_id"])], np.float64)
-    index = Index(balanced_centroids(sample, int(min(MAX_LISTS, max(1, -(-n // LIST_SIZE))))))
+    # Of a table beyond the sample, the ratio is fitted on vectors that the centroids have not seen, as most of its own are.
+    held = sample[::HELD_OUT] if share < 1 else sample
+    fitted = np.delete(sample, np.s_[::HELD_OUT], axis=0) if share < 1 else sample
+    index = Index(balanced_centroids(fitted, int(min(MAX_LISTS, max(1, -(-n // LIST_SIZE))))))
+    index.ratio = fitted_ratio(index, held, len(held) / n)
     sent = spark.sparkContext.broadcast(index)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +207,7 @@ def build(vectors: DataFrame, dimension: int) -> tuple[Index, DataFrame] | None:
     return index, postings
 
 
-def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
+def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST, exact: bool = False) -> DataFrame:
     """The ``k`` nearest other rows of each query row: ``query_id, rank, vec_id, score`` (Euclidean distance).
 
     Vectors that are null or zero, that hold null or non-finite components, or
@@ -151,7 +215,8 @@ def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFra
     null ids.  A row is known by its id: a query's own id is no candidate of
     it, and of repeated ids the nearest counts.  Ties go to the smaller id.  A
     query with fewer than ``k`` candidates gets them all; an empty table gives
-    no rows.  Other columns are ignored.
+    no rows.  Other columns are ignored.  ``exact`` finds the true nearest, at
+    the price of reading most lists where vectors lie evenly in many dimensions.
     """
     spark = embeddings.sparkSession
     given = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("_op_q"))
@@ -233,7 +298,10 @@ def search(embeddings: DataFrame, is_query: Column, k: int = NEAREST) -> DataFra
         return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
     no_most = F.lit(float("inf")).alias("_op_k")
-    first = written(ranked(nearest(queries.select("vec_id", "embedding", no_most), dealt, False)), "nearest")
+    found = ranked(nearest(queries.select("vec_id", "embedding", no_most), dealt, False))
+    if not exact:
+        return found
+    first = written(found, "nearest")
     kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("_op_k"))
     left = queries.join(kth, "vec_id", "left").select("vec_id", "embedding", F.coalesce("_op_k", F.lit(float("inf"))).alias("_op_k"))
     # Every vector is in the list of its nearest centroid, so only these need be read.
