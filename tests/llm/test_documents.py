@@ -283,7 +283,6 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got = packing.pack_documents(edge.docs(spark)).collect()
     ids = [(r[0], tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [0]) for r in edge.rows()]
     want = Counter()
@@ -300,9 +299,18 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(edge.empty(spark)).collect() == []
 
 
-def test_special_strings_are_text(spark):
-    docs = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
-    assert packing.pack_documents(docs).collect()[0].doc_tokens > 4
+def test_special_strings_have_the_ids_of_the_plain_call(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endoftext", "a <|endoftext|> b\n\n", "<|ENDOFTEXT|>", "<<|endoftext|>>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack_documents(docs).collect()}
+    for i, t in enumerate(texts):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [0]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+    assert got[0][0] == 4
 
 
 def test_fill_keeps_every_limit_and_item():

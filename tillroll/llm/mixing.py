@@ -113,8 +113,14 @@ def mix_digest(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mixture, with the columns of ``docs``: once for each epoch that takes any of its words.
 
-    A document cut at the budget keeps its first ``taken`` words.  Rows with the
-    same id share what their ids were given: the most taken in each epoch.
+    A document cut at the budget keeps its first ``taken`` words and the white
+    space before each.  Rows with the same id share what their ids were given:
+    the most taken in each epoch.  The rows come unordered; their order in the
+    mixture is that of ``finish`` in :func:`mix`.  Null, empty and blank texts
+    have no words and so no place in the mixture; a null id or source is a value
+    of its own; very long texts are counted and cut like others; an empty table
+    gives no rows; other columns come along, columns beginning with ``_op_`` are
+    refused.
     """
     own_columns(docs)
     items = mix(docs).groupBy("doc_id", "source", "size", "epoch").agg(F.max("taken").alias("_op_taken"))
@@ -123,9 +129,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     on = (F.col("_op_n") == F.col("_op_size")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_op_id")) \
         & F.col("source").cast("string").eqNullSafe(F.col("_op_src"))
     joined = docs.withColumn("_op_n", size).join(items, on)
-    first = F.regexp_extract(F.col("text"), rf"^[\x20\x09-\x0D]*", 0)
-    words = F.slice(F.array_remove(F.split(F.col("text"), r"[\x20\x09-\x0D]+", -1), ""), F.lit(1), F.col("_op_taken").cast("int"))
-    cut = F.when(F.col("_op_taken") < F.col("_op_n"), F.concat(first, F.array_join(words, " "))).otherwise(F.col("text"))
+    # The text is gaps and words by turns; the first words stay with the white space before each.
+    some = F.col("_op_taken").cast("int")
+    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), some)
+    gaps = F.slice(F.split(F.col("text"), WORD, -1), F.lit(1), some)
+    cut = F.when(F.col("_op_taken") < F.col("_op_n"), F.array_join(F.zip_with(gaps, words, F.concat), "")).otherwise(F.col("text"))
     columns = [cut.alias("text") if c == "text" else
                F.when(F.col("_op_taken") < F.col("_op_n"), F.length(cut)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else F.col(c) for c in docs.columns]

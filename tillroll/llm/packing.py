@@ -25,6 +25,8 @@ MAX_SEGMENTS = 128
 #: A piece's first token has nothing before it to predict it from; the others bear loss.
 MAX_LOSS = 1023
 END_ID = 0
+#: Fixed value: the vocabulary's special token, whose id follows the ranks.
+SPECIAL = "<|endoftext|>"
 BLOCK = 65_536
 #: A bin filled to less than this share waits for the next block.
 FULL = 0.995
@@ -34,7 +36,10 @@ PACKED = PIECES + ", sequence_id long, offset long"
 
 
 def encoder(vocabulary: str | None = None):
-    """The byte-level BPE over its rank file; its ids are those of the tokenizer file of the same vocabulary."""
+    """Text to ids: the byte-level BPE over its rank file, with the ids of the tokenizer file of the same vocabulary.
+
+    As with that file, its special token's text, wherever it stands, is that token's id.
+    """
     import base64
 
     import public_tokenizers
@@ -42,7 +47,11 @@ def encoder(vocabulary: str | None = None):
 
     with open(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
+
+    def encode(text: str) -> list[int]:
+        return encoding.encode(text, allowed_special="all") if SPECIAL in text else encoding.encode_ordinary(text)
+    return encode
 
 
 def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, vocabulary: str | None = None) -> DataFrame:
@@ -51,7 +60,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, vocabulary: str | None
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = None
         for batch in batches:
-            encode = encode or encoder(vocabulary).encode_ordinary
+            encode = encode or encoder(vocabulary)
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = encode(text.as_py() or "")

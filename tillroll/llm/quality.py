@@ -184,10 +184,14 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, whose text is kept."""
+    """The rows of ``docs``, columns unchanged, whose text is kept.
+
+    Rows travel with their counts, so nothing is joined or shuffled but the
+    counts per combination of votes.  Null, empty and blank texts go; repeated
+    rows are judged alike and each stays or goes; null ids and other columns
+    change nothing; an empty table gives no rows; very long texts are one row's
+    arrays of words and lines.
+    """
     own_columns(docs)
-    # A text's verdict depends on the text alone; equal texts share one row here, so a hot copy can't multiply.
-    key = F.struct(F.xxhash64(text_of("text")), F.md5(text_of("text")))
-    measured = written(measures(docs.withColumn("_op_key", key), ("_op_key",)), "quality")
-    verdicts = _scored(measured, threshold).where("kept").select(F.col("_op_key").alias("_op_good")).distinct()
-    return docs.withColumn("_op_key", key).join(verdicts, F.col("_op_key") == F.col("_op_good"), "left_semi").select(*docs.columns)
+    measured = written(measures(docs.withColumn("_op_all", F.struct(*docs.columns)), ("_op_all",)), "quality")
+    return _scored(measured, threshold).where("kept").select("_op_all.*")
