@@ -1,0 +1,67 @@
+"""Surrogates of every kind: distinct, consistent, of the same form, and never another's real value."""
+
+from __future__ import annotations
+
+import random
+import re
+import string
+
+from tillroll.llm import pii
+
+
+def generated(n=300):
+    rng = random.Random(5)
+    pick = lambda letters, k: "".join(rng.choice(letters) for _ in range(k))
+    low, num = string.ascii_lowercase, string.digits
+
+    def iban():
+        country, account = rng.choice(["DE", "FR", "GB"]), pick(num, 18)
+        rest = int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
+        return f"{country}{98 - rest:02d}{account}"
+    kinds = {
+        "email": lambda: f"{pick(low, 5)}.{pick(low, 4)}@{pick(low, 6)}.org", "ip": lambda: f"{rng.randrange(1, 224)}.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(1, 255)}",
+        "ssn": lambda: f"{pick(num, 3)}-{pick(num, 2)}-{pick(num, 4)}", "card": lambda: f"{rng.randrange(3, 7)}{pick(num, 3)} {pick(num, 4)} {pick(num, 4)} {pick(num, 4)}",
+        "amex": lambda: f"37{pick(num, 2)} {pick(num, 6)} {pick(num, 5)}", "phone": lambda: f"+1 ({pick(num, 3)}) {pick(num, 3)}-{pick(num, 4)}",
+        "toll": lambda: f"1-800-{pick(num, 3)}-{pick(num, 4)}", "iban": iban, "key": lambda: "AKIA" + pick(string.ascii_uppercase + num, 16),
+        "token": lambda: "ghp_" + pick(string.ascii_letters + num, 24), "hex": lambda: pick("0123456789ABCDEF", 32),
+        "name": lambda: f"{rng.choice(['Mr.', 'Mrs.', 'Dr.'])} {rng.choice('ABCDEFG')}{pick(low, 6)}", "pair": lambda: f"{rng.choice(['John', 'Maria', 'Anna'])} {rng.choice('HIJKL')}{pick(low, 6)}",
+    }
+    return [(k, make()) for k, make in kinds.items() for _ in range(n)]
+
+
+def test_distinct_consistent_and_of_one_form(spark):
+    found = generated()
+    rows = [(i, f"see {e} and again {e}, end") for i, (_, e) in enumerate(found)]
+    out = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    real, drawn = {e for _, e in found}, {}
+    shape = lambda t: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "0", t)))
+    for i, (kind, e) in enumerate(found):
+        m = re.fullmatch(r"see (.+) and again (.+), end", out[i])
+        assert m and m[1] == m[2] and m[1] not in real, (kind, e, out[i])
+        assert drawn.setdefault(m[1], e) == e, (kind, e, drawn[m[1]], m[1])
+        if kind not in ("name", "pair", "ip", "hex"):
+            assert shape(m[1]) == shape(e), (kind, e, m[1])
+        if kind == "hex":
+            assert re.fullmatch(r"[0-9A-F]{32}", m[1])
+        if kind == "iban":
+            assert int("".join(str(int(c, 36)) for c in m[1][4:] + m[1][:4])) % 97 == 1
+        if kind == "pair":
+            given = m[1].split()[0]
+            assert given in pii.GIVEN["latin", "m" if e.startswith("John") else "f"]
+    assert len(drawn) == len(real)
+
+
+def test_case_tells_secrets_apart_and_open_genders_stay_open(spark):
+    texts = ["ghp_AbCdEfGhIjKlMnOpQrStUv12", "ghp_abcdefghijklmnopqrstuv12", "Dr. Noel Weber"]
+    a, b, c = [r.text for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert a != b and a.lower() != b.lower() and re.fullmatch(r"ghp_([A-Z][a-z]){11}\d\d", a) and b == b.lower()
+    assert c.split()[1] in pii.GIVEN["latin", "x"]
+
+
+def test_a_crowded_form_grows(spark):
+    """All 676 addresses of a form are taken, so surrogates must be longer."""
+    every = [f"{a}@{b}.co" for a in string.ascii_lowercase for b in string.ascii_lowercase]
+    rows = [(i, e) for i, e in enumerate(every)]
+    out = [r.text for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(out)) == len(every) and not set(out) & set(every)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.co", t) for t in out)

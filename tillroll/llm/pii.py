@@ -11,6 +11,7 @@ with each other or with a value that really occurs, are drawn again.
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,9 +25,20 @@ GIVEN = {
                      "Margaret", "Nathalie", "Ottilie", "Patricia", "Rosalind", "Sabrina", "Theodora", "Ursula", "Veronica", "Wilhelmina"),
     ("latin", "m"): ("Ambrose", "Bernard", "Christoph", "Dominic", "Ferdinand", "Gregory", "Humphrey", "Jonathan", "Konstantin", "Leopold",
                      "Matthew", "Nicholas", "Oswald", "Patrick", "Reginald", "Sebastian", "Thaddeus", "Ulrich", "Vincent", "Wolfgang"),
+    ("latin", "x"): ("Alexis", "Blair", "Cameron", "Dakota", "Emerson", "Finley", "Harper", "Jordan", "Kendall", "Logan", "Morgan", "Noel",
+                     "Parker", "Quinn", "Reese", "Riley", "Rowan", "Sidney", "Taylor", "Winter"),
     ("cyrillic", "f"): ("Алевтина", "Варвара", "Галина", "Евгения", "Людмила", "Маргарита", "Надежда", "Полина", "Светлана", "Тамара"),
     ("cyrillic", "m"): ("Аркадий", "Валентин", "Геннадий", "Дмитрий", "Константин", "Леонид", "Николай", "Родион", "Станислав", "Тимофей"),
 }
+#: Further given names that announce a name, by gender.
+COMMON = {
+    "f": ("Alice", "Ana", "Anna", "Barbara", "Carmen", "Charlotte", "Claire", "Elena", "Elizabeth", "Emily", "Emma", "Eva", "Hannah", "Helen",
+          "Ingrid", "Isabel", "Jane", "Jennifer", "Jessica", "Julia", "Karen", "Laura", "Linda", "Lisa", "Lucia", "Maria", "Marie", "Mary",
+          "Monika", "Olivia", "Petra", "Rosa", "Sandra", "Sarah", "Sofia", "Sophie", "Susan", "Анна", "Елена", "Мария", "Ольга", "Татьяна"),
+    "m": ("Alexander", "Andreas", "Antonio", "Benjamin", "Carlos", "Charles", "Daniel", "David", "Diego", "Edward", "Emil", "Felix", "François",
+          "Frank", "George", "Hans", "Henry", "Jacques", "James", "Jean", "John", "José", "Juan", "Klaus", "Louis", "Luis", "Michael", "Michel",
+          "Miguel", "Pablo", "Paul", "Peter", "Pierre", "Richard", "Robert", "Stefan", "Thomas", "William", "Алексей", "Иван", "Михаил", "Сергей"),
+}
 FAMILY = {
     "latin": ("Ashdown", "Bramwell", "Castellan", "Dunmore", "Eastbrook", "Falkner", "Greenhalgh", "Hollings", "Inverness", "Jardine",
               "Kingsley", "Lockhart", "Merriman", "Northcote", "Oakhurst", "Pemberton", "Quennell", "Ravenscroft", "Stanwick", "Thornbury"),
@@ -39,27 +51,27 @@ TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Господ
 _W, _WU = r"[\p{L}\p{N}]", r"[\p{L}\p{N}_]"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = "|".join(TITLES)
-_KNOWN = "|".join(n for names in GIVEN.values() for n in names)
+_KNOWN = "|".join(n for names in (*GIVEN.values(), *COMMON.values()) for n in names)
 #: Kind to pattern, in order of precedence where they begin at one place.
 PATTERNS = {
     "email": rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*@(?:[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}-]*[\p{{L}}\p{{N}}])?\.)+\p{{L}}{{2,24}}(?!{_W})",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": rf"(?<![\p{{N}}\p{{L}}-])\d{{3}}-\d{{2}}-\d{{4}}(?![\p{{N}}\p{{L}}]|-\d)",
-    "card": rf"(?<![\p{{N}}\p{{L}}.-])(?:\d{{4}}[ -]){{3}}\d{{4}}(?![\p{{N}}\p{{L}}]|-\d)|(?<![\p{{N}}\p{{L}}.-])\d{{13,19}}(?![\p{{N}}\p{{L}}]|[.-]\d)",
+    "card": rf"(?<![\p{{N}}\p{{L}}.-])(?:(?:\d{{4}}[ -]){{3}}\d{{4}}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}})(?![\p{{N}}\p{{L}}]|-\d)|(?<![\p{{N}}\p{{L}}.-])\d{{13,19}}(?![\p{{N}}\p{{L}}]|[.-]\d)",
     "phone": rf"(?<!{_WU})\+\d{{1,3}}(?:[ .-]?\(\d{{1,4}}\)|[ .-]\d{{1,4}})(?:[ .-]?\d{{2,4}}){{1,4}}(?!{_WU})"
-             rf"|(?<!{_WU})\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}(?!{_WU})|(?<![\p{{L}}\p{{N}}_.-])\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?![\p{{L}}\p{{N}}_]|[.-]\d)",
-    "iban": rf"(?<!{_WU})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WU})",
+             rf"|(?<!{_WU})\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}(?!{_WU})|(?<![\p{{L}}\p{{N}}_.-])(?:1[.-])?\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?![\p{{L}}\p{{N}}_]|[.-]\d)",
     "secret": rf"(?<!{_WU})(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}})(?!{_WU})"
               rf"|(?<!{_WU})(?:AKIA|ASIA)[A-Z0-9]{{16}}(?!{_WU})|(?<!{_WU})(?:sk|ghp|gho|xoxb|xoxp)[-_][A-Za-z0-9_-]{{20,}}",
+    "iban": rf"(?<!{_WU})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WU})",
     "name": rf"(?<!{_WU})(?=\p{{Lu}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_KNOWN}) {_NAME})",
 }
 #: An entity begins where no letter or digit stands before, which spares trying every pattern within words.
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
 #: What a text with an entity holds at least; the whole patterns run on such texts only.
-HINT = rf"[0-9@]|(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.?|{_KNOWN}) \p{{Lu}}"
+HINT = rf"[0-9@]|(?:sk|ghp|gho|xoxb|xoxp)[-_]|A[KS]IA|[a-f]{{32}}|[A-F]{{32}}|(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.?|{_KNOWN}) \p{{Lu}}"
 DEFAULT_KEY = "surrogates-1"
-#: Draws before the corpus is taken to have run out of surrogates of some kind.
-DRAWS = 40
+#: From this draw on a surrogate that is still taken grows by a character a draw, where its kind allows.
+LENGTHEN = 8
 
 
 def entities(text: Column) -> Column:
@@ -84,6 +96,7 @@ def canonical(kind: Column, entity: Column) -> Column:
     return (F.when(kind.isin("card", "ssn"), F.regexp_replace(entity, r"\D", ""))
             .when(kind == "phone", F.regexp_replace(F.regexp_replace(entity, r"\A\+(\d{1,3})", "$1|"), r"[^\d|]", ""))
             .when(kind == "name", F.regexp_replace(entity, title, ""))
+            .when(kind == "secret", entity)  # case tells secrets apart
             .otherwise(F.lower(F.regexp_replace(entity, r"\s", ""))))
 
 
@@ -111,6 +124,7 @@ def _like(value: Column, stream: Column) -> Column:
                 .when(c.rlike(r"\A\p{IsGreek}\z"), pick("αβγδεζηθικλμνξοπρστυφχψω"))
                 .when(c.rlike(r"\A\p{IsCyrillic}\z"), pick("абвгдежзиклмнопрстуфхцчшэюя"))
                 .when(c.rlike(r"\A[\p{L}&&\P{IsLatin}]\z"), c)
+                .when(c.rlike(r"\A\p{Lu}\z"), F.upper(pick("abcdefghijklmnopqrstuvwxyz")))
                 .when(c.rlike(r"\A\p{L}\z"), pick("abcdefghijklmnopqrstuvwxyz"))
                 .otherwise(c))
     return F.array_join(F.transform(_chars(value), one), "")
@@ -136,9 +150,20 @@ def _card(value: Column, stream: Column) -> Column:
 def _hex(value: Column, stream: Column) -> Column:
     """A hexadecimal value of the same length; other secrets keep their prefix and form."""
     digits = lambda c, i: F.substring(F.lit("0123456789abcdef"), _at(stream, i, 16) + 1, F.lit(1))
-    prefix = F.regexp_extract(value, r"\A(akia|asia|(?:sk|ghp|gho|xoxb|xoxp)[-_])", 1)
-    rest = _like(F.expr("substring(_op_value, length(regexp_extract(_op_value, '^(akia|asia|(?:sk|ghp|gho|xoxb|xoxp)[-_])', 1)) + 1)"), stream)
-    return F.when(value.rlike(r"\A[0-9a-f]+\z"), F.array_join(F.transform(_chars(value), digits), "")).otherwise(F.concat(prefix, rest))
+    prefix = F.regexp_extract(value, r"\A(AKIA|ASIA|(?:sk|ghp|gho|xoxb|xoxp)[-_])", 1)
+    rest = _like(F.expr("substring(_op_value, length(regexp_extract(_op_value, '^(AKIA|ASIA|(?:sk|ghp|gho|xoxb|xoxp)[-_])', 1)) + 1)"), stream)
+    hexadecimal = F.array_join(F.transform(_chars(value), digits), "")
+    return (F.when(value.rlike(r"\A[0-9a-f]+\z"), hexadecimal).when(value.rlike(r"\A[0-9A-F]+\z"), F.upper(hexadecimal))
+            .otherwise(F.concat(prefix, rest)))
+
+
+def _iban(country: Column, account: Column) -> Column:
+    """Country, check digits and account: the remainder of account, country and 00 by 97 gives the check digits."""
+    def add(acc: Column, c: Column) -> Column:
+        d = F.ascii(c) - F.when(c.rlike(r"\A[0-9]\z"), 48).otherwise(55)
+        return (acc * F.when(d > 9, 100).otherwise(10) + d) % 97
+    rest = F.aggregate(_chars(F.concat(account, country, F.lit("00"))), F.lit(0), add)
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account)
 
 
 def _pick(names: tuple[str, ...], stream: Column, place: int) -> Column:
@@ -152,7 +177,8 @@ def _name(value: Column, gender: Column, stream: Column, draw: Column) -> Column
     names are few.
     """
     def person(script: str) -> Column:
-        given = F.when(gender == "f", _pick(GIVEN[script, "f"], stream, 0)).otherwise(_pick(GIVEN[script, "m"], stream, 0))
+        given = F.when(gender == "f", _pick(GIVEN[script, "f"], stream, 0)).when(gender == "m", _pick(GIVEN[script, "m"], stream, 0)).otherwise(
+            _pick(GIVEN.get((script, "x"), GIVEN[script, "m"]), stream, 0))
         ending = F.when((gender == "f") & F.lit(script == "cyrillic"), "а").otherwise("")
         family = F.concat(_pick(FAMILY[script], stream, 1), ending)
         second = F.concat(_pick(FAMILY[script], stream, 2), ending)
@@ -169,15 +195,18 @@ def surrogate(key: str, kind: Column, value: Column, gender: Column, draw: Colum
     """The canonical surrogate of a canonical value; reads the column ``_op_value`` as the value."""
     s = _stream(key, kind, value, draw)
     octets = F.transform(F.split(value, r"\."), lambda c, i: F.when(i == 0, _at(s, i, 223) + 1).otherwise(_at(s, i, 254) + 1).cast("string"))
+    more = F.repeat(F.lit("0"), F.greatest(draw - LENGTHEN + 1, F.lit(0)))
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    local = F.concat(local, F.translate(more, "0", "a"))
     host = F.concat(_like(F.regexp_replace(domain, r"\.[^.]*\z", ""), F.reverse(s)), F.lit("."), F.regexp_extract(domain, r"[^.]*\z", 0))
     return (F.when(kind == "ip", F.array_join(octets, "."))
             .when(kind == "email", F.concat(_like(local, s), F.lit("@"), host))
             .when(kind == "card", _card(value, s))
             .when(kind == "secret", _hex(value, s))
             .when(kind == "name", _name(value, gender, s, draw))
-            .when(kind == "phone", F.concat(F.regexp_extract(value, r"\A(\d*)\|", 1), _like(F.regexp_replace(value, r"\A\d*\|", ""), s)))
-            .when(kind == "iban", F.upper(F.concat(F.substring(value, 1, 2), _like(F.expr("substring(_op_value, 3)"), s))))
+            .when(kind == "phone", F.concat(F.regexp_extract(value, r"\A(\d*)\|", 1), _like(F.concat(F.regexp_replace(value, r"\A\d*\|", ""), more), s)))
+            .when(kind == "iban", _iban(F.upper(F.substring(value, 1, 2)), F.upper(_like(F.expr("substring(_op_value, 5)"), s))))
+            .when(kind == "ssn", _like(F.concat(value, more), s))
             .otherwise(_like(value, s)))
 
 
@@ -187,8 +216,9 @@ def _gender(entity: Column) -> Column:
     given = F.regexp_extract(entity, rf"({_KNOWN})(?!\p{{L}})", 1)
     said = reduce(lambda c, t: c.when(title == t, TITLES[t]), TITLES, F.when(F.lit(False), ""))
     known = reduce(lambda c, g: c.when(given.isin(*GIVEN[g]), g[1]), GIVEN, F.when(F.lit(False), ""))
+    known = reduce(lambda c, g: c.when(given.isin(*COMMON[g]), g), COMMON, known)
     russian = F.when(entity.rlike(r"(?:ова|ева|ина|ая)\z"), "f").when(entity.rlike(r"(?:ов|ев|ин|ий)\z"), "m")
-    return F.coalesce(F.nullif(said, F.lit("x")), known, russian, F.lit("x"))
+    return F.coalesce(F.nullif(said, F.lit("x")), F.nullif(known, F.lit("x")), russian, F.lit("x"))
 
 
 def poured(kind: Column, entity: Column, drawn: Column) -> Column:
@@ -200,10 +230,12 @@ def poured(kind: Column, entity: Column, drawn: Column) -> Column:
     spaced = F.array_join(F.transform(letters, lambda c, i: F.when(
         c.rlike(r"\A\S\z"), F.substring(drawn, place(i, r"\s"), F.lit(1))).otherwise(c)), "")
     title = F.regexp_extract(entity, rf"\A(?:{_TITLE})\.? ", 0)
+    # A surrogate that had to grow has digits left over.
+    digits = F.concat(digits, F.substring(drawn, F.length(F.regexp_replace(entity, r"\D", "")) + 1, F.length(drawn)))
     return (F.when(kind.isin("card", "phone", "ssn"), digits)
             .when(kind == "name", F.concat(title, drawn))
             .when(kind == "iban", spaced)
-            .when((F.upper(entity) == entity) & (F.lower(entity) != entity), F.upper(drawn))
+            .when((kind != "secret") & (F.upper(entity) == entity) & (F.lower(entity) != entity), F.upper(drawn))
             .otherwise(drawn))
 
 
@@ -212,12 +244,13 @@ def assign(values: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 
     Every value draws; a surrogate that several drew stays with the smallest
     value, one that occurs as a value stays with nobody; the others draw again,
-    until all have one.  Surrogates that differ only in what pouring hides do
+    until all have one: from the LENGTHEN-th draw on surrogates of a crowded form
+    grow, so that it does not run out.  Surrogates that differ only in what pouring hides do
     not occur, as pouring keeps all digits and letters.
     """
     waiting = values.withColumn("_op_value", F.col("value"))
     done: list[DataFrame] = []
-    for draw in range(DRAWS):
+    for draw in itertools.count():
         drawn = waiting.withColumn("drawn", surrogate(key, F.col("kind"), F.col("_op_value"), F.col("gender"), F.lit(draw)))
         drawn = written(drawn, "draw")
         winner = drawn.groupBy("kind", "drawn").agg(F.min("value").alias("value"))
@@ -228,8 +261,6 @@ def assign(values: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         waiting = written(drawn.drop("drawn").join(winner, ["kind", "value"], "left_anti"), "waiting")
         if not waiting.limit(1).count():
             break
-    else:
-        raise ValueError(f"no distinct surrogates after {DRAWS} draws")
     return reduce(DataFrame.unionByName, done)
 
 
