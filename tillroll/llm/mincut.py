@@ -10,9 +10,10 @@ cost of labelling them differently.  The minimum cut is the cheapest labelling.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,9 +27,11 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table "
                   "tbody td tfoot th thead tr ul".split())
 #: Elements and roles that are never the article; words of a class or id that speak against it or for it.
-OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
-OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar "
-                          "toolbar tablist note status".split())
+OUTSIDE = frozenset("nav footer aside menu dialog".split())
+OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
+                          "toolbar tablist".split())
+#: Elements and roles that speak against the article as such words do; some pages wrap all they have in one.
+DOUBTED, DOUBTED_ROLES = frozenset("form fieldset".split()), frozenset("form note status".split())
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored sponsors promo promos promotion promoted "
     "nav navbar navigation menu menus submenu topbar toolbar breadcrumb breadcrumbs crumbs pagination pager tabs "
@@ -39,6 +42,12 @@ OUTSIDE_WORDS = frozenset(
     "share sharing social follow related recommended recommendations trending popular teaser teasers copyright legal".split())
 INSIDE_WORDS = frozenset("article content main post entry story text body prose story-body articlebody".split())
 HEADER = frozenset("header".split())
+COMMENT_WORDS = frozenset("comment comments commentlist commenter respond reply replies discussion disqus".split())
+#: An element with more than this share of a page's text is a wrapper: what its class, id or form says is no sign.
+#: Comments never are, however many there are.
+WRAPPER = 0.6
+#: Marking elements that a text remembers, the nearest.
+NESTED = 8
 #: Capacities: weights of the classifier and of the smoothness edges.
 WEIGHTS = {"bias": -0.4, "inside": 3.0, "heading": 0.9, "paragraph": 1.0, "length": 1.6, "sentences": 0.7, "links": -4.0,
            "list": -0.5, "top": -0.6, "legal": -2.5, "word": -4.5, "header": -4.5}
@@ -49,11 +58,29 @@ LEGAL = re.compile(r"©|\(c\) ?\d{4}|all rights reserved|\bcookies?\b.{0,80}\b(a
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "path", "outside", "inside", "header", "word")
-
-    def __init__(self, text: str, linked: int, tag: str, path: tuple[int, ...], outside: bool, inside: bool, header: bool, word: bool):
-        self.text, self.linked, self.tag, self.path = text, linked, tag, path
-        self.outside, self.inside, self.header, self.word = outside, inside, header, word
+    """A text with its place: the numbers of its holder's parent and grandparent, and the elements whose words mark it."""
+    __slots__ = ("text", "linked", "tag", "depth", "parent", "grand", "outside", "inside", "header", "marks")
+
+    def __init__(self, text: str, linked: int, tag: str, depth: int, parent: int, grand: int, outside: bool, inside: bool, header: bool, marks: tuple):
+        self.text, self.linked, self.tag, self.depth, self.parent, self.grand = text, linked, tag, depth, parent, grand
+        self.outside, self.inside, self.header, self.marks = outside, inside, header, marks
+
+
+class Open(NamedTuple):
+    """An open element with what its texts inherit; ``holder`` is the nearest block element."""
+    tag: str
+    holder: str = ""
+    number: int = 0
+    parent: int = 0
+    grand: int = 0
+    depth: int = 0
+    outside: bool = False
+    inside: bool = False
+    header: bool = False
+    silent: bool = False
+    linked: bool = False
+    #: (kind, number) of the nearest elements around that words speak against.
+    marks: tuple = ()
 
 
 def _words(value: str) -> set[str]:
@@ -61,23 +88,29 @@ def _words(value: str) -> set[str]:
 
 
 class Blocks(HTMLParser):
-    """Text blocks of a page in order, with the element numbers of their ancestors."""
+    """Text blocks of a page in order, with the numbers of their nearest ancestors."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # Open elements: (tag, number, outside, inside, header, silent, linked, word)
-        self.open: list[tuple[str, int, bool, bool, bool, bool, bool, bool]] = [("", 0, False, False, False, False, False, False)]
+        self.open: list[Open] = [Open("")]
         self.number, self.parts, self.linked = 0, [], 0
+        self.tags: Counter[str] = Counter()
+        #: Per marking element the characters of text without links in it, and the page's.
+        self.prose: Counter[int] = Counter()
+        self.all_prose = 0
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                holder = next(x for x in reversed(self.open) if x[0] in BLOCK or not x[0])
-                path = tuple(x[1] for x in self.open if x[0] in BLOCK)
-                _, _, outside, inside, header, _, _, word = self.open[-1]
-                self.blocks.append(Block(text, self.linked, holder[0], path, outside, inside, header, word))
+                top = self.open[-1]
+                self.blocks.append(Block(text, self.linked, top.holder, top.depth, top.parent, top.grand, top.outside, top.inside, top.header, top.marks))
+                if not top.outside:
+                    plain = max(len(text) - self.linked, 0)
+                    self.all_prose += plain
+                    for _, number in top.marks:
+                        self.prose[number] += plain
             self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -87,39 +120,55 @@ class Blocks(HTMLParser):
             closes = {"dd": ("p", "dt", "dd"), "dt": ("p", "dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
                       "tr": ("td", "th", "tr")}.get(tag, closes)
             for c in closes:
-                self._implied(c, tag)
+                if self.tags[c]:
+                    self._implied(c, tag)
         elif tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        _, _, outside, inside, header, silent, linked, word = self.open[-1]
+        top = self.open[-1]
+        outside, inside, header, marks = top.outside, top.inside, top.header, top.marks
         words: set[str] = set()
-        main = tag in ("article", "main")
+        main, doubted = tag in ("article", "main"), tag in DOUBTED
         for k, v in attrs:
             if k in ("class", "id") and v:
                 words |= _words(v)
             elif k == "role" and v:
                 outside = outside or v.strip().lower() in OUTSIDE_ROLES
+                doubted = doubted or v.strip().lower() in DOUBTED_ROLES
                 main = main or v.strip().lower() in ("main", "article")
             elif k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and re.search(r"display\s*:\s*none", v):
                 outside = True
         if tag in OUTSIDE:
             outside = True
+        self.number += 1
         if main:
-            word = False  # whatever the classes of its wrappers say
-        elif tag not in ("html", "body") and words & OUTSIDE_WORDS:
-            inside, word = False, True  # such as comments within the article
+            marks = ()  # whatever its wrappers say
+        elif tag not in ("html", "body") and (doubted or words & OUTSIDE_WORDS):
+            inside = False  # such as comments within the article
+            kind = "comment" if words & COMMENT_WORDS else "word"
+            marks = (*marks, (kind, self.number))[-NESTED:]
         inside = inside or main or bool(words & INSIDE_WORDS)
-        header = header or tag in HEADER or bool(words & HEADER) and tag not in ("html", "body", "article", "main")
-        self.number += 1
-        self.open.append((tag, self.number, outside, inside, header, silent or tag in SILENT, linked or tag == "a", word))
+        header = header or tag in HEADER
+        if words & HEADER and tag not in ("html", "body", "article", "main") and tag not in HEADER:
+            marks = (*marks, ("header", self.number))[-NESTED:]
+        holder, parent, grand, depth, own = top.holder, top.parent, top.grand, top.depth, top.number
+        if tag in BLOCK:
+            holder, parent, grand, depth, own = tag, top.number, top.parent, depth + 1, self.number
+        self.open.append(Open(tag, holder, own, parent, grand, depth, outside, inside, header, top.silent or tag in SILENT, top.linked or tag == "a", marks))
+        self.tags[tag] += 1
+
+    def _close(self, i: int) -> None:
+        for x in self.open[i:]:
+            self.tags[x.tag] -= 1
+        del self.open[i:]
 
     def _implied(self, tag: str, by: str) -> None:
         """A new block ends an open element of the kinds it can't stand in, unless a container lies between."""
         for i in range(len(self.open) - 1, 0, -1):
-            t = self.open[i][0]
+            t = self.open[i].tag
             if t == tag:
-                del self.open[i:]
+                self._close(i)
                 return
             if t in BLOCK and t not in ("p", "dt", "dd", "td", "th", "li") or t in ("ul", "ol") and by == "li":
                 return
@@ -129,18 +178,20 @@ class Blocks(HTMLParser):
             self.flush()
         elif tag == "br":
             self.parts.append(" ")
+        if not self.tags[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
+            if self.open[i].tag == tag:
+                self._close(i)
                 return
-            if self.open[i][0] in BLOCK and tag not in BLOCK:
+            if self.open[i].tag in BLOCK and tag not in BLOCK:
                 return  # an inline end tag does not close a block
 
     def handle_data(self, data: str) -> None:
         top = self.open[-1]
-        if not top[5]:
+        if not top.silent:
             self.parts.append(data)
-            if top[6]:
+            if top.linked:
                 self.linked += len(data.strip())
 
 
@@ -150,6 +201,9 @@ def blocks(html: str) -> list[Block]:
     parser.feed(re.sub(r"<[A-Za-z/!][^<>]*\Z", "", html))
     parser.close()
     parser.flush()
+    wrappers = {n for n, size in parser.prose.items() if size > WRAPPER * parser.all_prose}
+    for b in parser.blocks:
+        b.marks = tuple(m for m in b.marks if m[0] == "comment" or m[1] not in wrappers)
     return parser.blocks
 
 
@@ -165,8 +219,9 @@ def costs(found: list[Block]) -> list[int]:
         x = WEIGHTS["bias"] + WEIGHTS["inside"] * b.inside + WEIGHTS["links"] * min(1.0, b.linked / n)
         x += WEIGHTS["heading"] * heading + WEIGHTS["paragraph"] * (b.tag in ("p", "blockquote", "pre"))
         x += WEIGHTS["length"] * min(1.0, n / 200) + WEIGHTS["sentences"] * (b.text[-1] in ".!?…:\"”»")
-        x += WEIGHTS["list"] * (b.tag == "li") + WEIGHTS["top"] * (len(b.path) <= 2 and not b.inside)
-        x += WEIGHTS["word"] * b.word + WEIGHTS["header"] * (b.header and not (b.inside and b.tag == "h1"))
+        x += WEIGHTS["list"] * (b.tag == "li") + WEIGHTS["top"] * (b.depth <= 2 and not b.inside)
+        kinds = {kind for kind, _ in b.marks}
+        x += WEIGHTS["word"] * bool(kinds & {"word", "comment"}) + WEIGHTS["header"] * ((b.header or "header" in kinds) and not (b.inside and b.tag == "h1"))
         x += WEIGHTS["legal"] * bool(LEGAL.search(b.text) and n < 300 and not b.inside)
         out.append(round(SCALE * x))
     return out
@@ -177,9 +232,9 @@ def edges(found: list[Block]) -> list[tuple[int, int, int]]:
     out, last = [], {}
     for i, b in enumerate(found):
         if i:
-            same = found[i - 1].path[:-1] == b.path[:-1]
+            same = found[i - 1].parent == b.parent
             out.append((i - 1, i, round(SCALE * (SIBLING if same else ADJACENT))))
-        near = b.path[:-2] if b.tag in ("li", "td", "th", "dd", "dt") else b.path[:-1]
+        near = b.grand if b.tag in ("li", "td", "th", "dd", "dt") else b.parent
         if near in last and last[near] < i - 1:
             out.append((last[near], i, round(SCALE * NEAR)))
         last[near] = i
