@@ -35,7 +35,7 @@ MOST = 3
 SEED = 42
 PERCENT, MIN_WORDS = 5, 20
 #: Bytes of text whose n-grams are interned together.
-BATCH = 4_000_000
+BATCH = 2_000_000
 
 
 def _slots(found: Words, most: int, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
