@@ -258,6 +258,16 @@ def test_mixed_documents_follow_what_is_taken(spark):
     assert {k: v for k, v in taken.items() if v} == {k: v for k, v in have.items() if v}
 
 
+def test_cut_texts_keep_their_white_space(spark):
+    text = " \n".join(f"a{i}" for i in range(40)) + "\t\tend "
+    docs = spark.createDataFrame([(1, "x", text), (2, "y", "b b"), (3, "z", "  c\n\nd\te  ")], "doc_id long, source string, text string")
+    for r in mixing.mixed_documents(docs).collect():
+        whole = next(x["text"] for x in docs.collect() if x["doc_id"] == r.doc_id)
+        assert whole.startswith(r.text)
+    cut = [r.text for r in mixing.mixed_documents(docs).collect() if r.doc_id == 1]
+    assert any(len(t) < len(text) for t in cut)
+
+
 def test_mix_empty(spark):
     assert mixing.mix_digest(edge.empty(spark)).collect() == []
     assert mixing.mixed_documents(edge.empty(spark)).collect() == []

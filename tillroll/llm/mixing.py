@@ -133,7 +133,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     some = F.col("_op_taken").cast("int")
     words = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), some)
     gaps = F.slice(F.split(F.col("text"), WORD, -1), F.lit(1), some)
-    cut = F.when(F.col("_op_taken") < F.col("_op_n"), F.array_join(F.zip_with(gaps, words, F.concat), "")).otherwise(F.col("text"))
+    cut = F.when(F.col("_op_taken") < F.col("_op_n"), F.array_join(F.zip_with(gaps, words, lambda g, w: F.concat(g, w)), "")).otherwise(F.col("text"))
     columns = [cut.alias("text") if c == "text" else
                F.when(F.col("_op_taken") < F.col("_op_n"), F.length(cut)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else F.col(c) for c in docs.columns]
