@@ -186,12 +186,12 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def good_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, columns unchanged, whose text is kept.
 
-    Rows travel with their counts, so nothing is joined or shuffled but the
-    counts per combination of votes.  Null, empty and blank texts go; repeated
+    Two scans: one for the documents per combination of votes, one that judges
+    each row where it is read, so that no text is shuffled, joined or copied.  Null, empty and blank texts go; repeated
     rows are judged alike and each stays or goes; null ids and other columns
     change nothing; an empty table gives no rows; very long texts are one row's
     arrays of words and lines.
     """
     own_columns(docs)
-    measured = written(measures(docs.withColumn("_op_all", F.struct(*docs.columns)), ("_op_all",)), "quality")
+    measured = measures(docs.withColumn("_op_all", F.struct(*docs.columns)), ("_op_all",))
     return _scored(measured, threshold).where("kept").select("_op_all.*")
