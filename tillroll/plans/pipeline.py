@@ -358,7 +358,8 @@ def index_fact(spark: SparkSession, wh: Warehouse) -> list[Layout]:
         schema = wh.gold.fact_sales.schema
         if wh.quarantine is not None:
             good = [f"{good[0]}/_quarantined=false"]
-        wh.layouts = [file_statistics(spark, good[0], schema), write_by_key(wh.gold.fact_sales, f"{wh.root}/gold/fact_sales_by_key")]
+        wh.layouts = [file_statistics(spark, good[0], schema, to=f"{wh.root}/layouts/fact_sales_files"),
+                      write_by_key(wh.gold.fact_sales, f"{wh.root}/layouts/fact_sales_by_key")]
     return wh.layouts
 
 

@@ -76,16 +76,17 @@ def write_by_key(fact: DataFrame, path: str) -> Layout:
     return file_statistics(fact.sparkSession, path, fact.schema)
 
 
-def file_statistics(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = KEYS) -> Layout:
-    """Write ``<path>_files``: per file its size, rows and the least and greatest value of each key.
+def file_statistics(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = KEYS, to: str | None = None) -> Layout:
+    """Write, to ``to`` or else ``<path>_files``, per file its size, rows and the least and greatest value of each key.
 
-    Only the key columns are read, and combined per file before the shuffle.
+    ``to`` must not lie within a partitioned table's folder.  Only the key columns are read, and combined per file before the shuffle.
     """
     rows = spark.read.schema(schema).parquet(path)
     found = rows.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(
         F.count(F.lit(1)).alias("rows"), *[f(k).alias(f"{n}_{k}") for k in keys for n, f in (("least", F.min), ("most", F.max))])
-    found.coalesce(1).write.mode("overwrite").parquet(f"{path}_files")
-    return Layout(path, f"{path}_files", schema)
+    to = to or f"{path}_files"
+    found.coalesce(1).write.mode("overwrite").parquet(to)
+    return Layout(path, to, schema)
 
 
 def _can_hold(where: Mapping[str, object]) -> Column:
