@@ -21,11 +21,14 @@ Plan choices:
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.arithmetic import RESULT_DECIMAL, int_mean
-from tillroll.operators.lookup import lookup, order_date_lookup
+from tillroll.operators.lookup import fits_broadcast, lookup, order_date_lookup
+from tillroll.operators.quality import any_null
 from tillroll.plans.gold import Gold
 
 
@@ -97,6 +100,29 @@ def sales_summary(gold: Gold, columns: list[str] | None = None) -> DataFrame:
     return f.select(*cols)
 
 
+def first_orders(gold: Gold, n: int) -> Gold:
+    """``gold`` with the fact's rows that can be among the first ``n`` of the summary under any order that starts with the order id.
+
+    Those are the rows of the orders that hold the n lowest order ids, NULL
+    first, among the rows that the summary's joins keep.  Dimensions keep the
+    members that these rows have, of which there are at most as many as rows;
+    so the joins meet n rows and the lines of their orders, not the fact.
+    """
+    fact = gold.fact_sales.filter(~any_null(["order_date_key", "customer_key", "product_key", "location_key"]))
+    last = fact.select("order_id").orderBy(F.col("order_id").asc_nulls_first()).limit(n).agg(F.max("order_id").alias("last"))
+    # No value: the n first ids are all missing, or there are no rows.
+    last = last.first()["last"]
+    kept = fact.filter(F.col("order_id").isNull() if last is None else F.col("order_id").isNull() | (F.col("order_id") <= F.lit(last)))
+    n_kept = kept.count()
+    changed, rows = {"fact_sales": kept}, {**gold.rows, "fact_sales": n_kept}
+    for key, name in (("customer_key", "dim_customer"), ("product_key", "dim_product")):
+        members = kept.select(key).distinct()
+        if fits_broadcast(members, n_kept):
+            changed[name] = getattr(gold, name).join(F.broadcast(members), key, "left_semi")
+            rows[name] = min(n_kept, gold.rows.get(name, n_kept))
+    return replace(gold, rows=rows, **changed)
+
+
 def product_performance(gold: Gold, numeric: str = "decimal") -> DataFrame:
     """V2: per product."""
     per_key = gold.fact_sales.groupBy("product_key").agg(
