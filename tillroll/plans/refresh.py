@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.session import ensure_checkpoint_dir
+
 STATE = "range int, version int, n long, one long, two long"
 
 
@@ -73,7 +75,9 @@ def refresh(members: DataFrame, columns: Sequence[str], key: str, path: str, ran
     members give an empty dimension.
     """
     spark, columns = members.sparkSession, list(columns)
-    members = members.select(*columns).distinct()
+    ensure_checkpoint_dir(spark)
+    # Bounds, digests and rows all read the members: found once among the lines, then kept, a row per member.
+    members = members.select(*columns).distinct().checkpoint()
     bounds = _bounds(members, columns, ranges, path)
     # At most ``ranges`` bounds, in every row's plan as one array.
     firsts = bounds.agg(F.collect_list("first").alias("firsts"))
