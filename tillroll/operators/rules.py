@@ -1,10 +1,10 @@
-"""Q1-Q6 as a suite: declared rules compiled to one aggregate per table.
+"""Q1-Q6 as a suite: declared rules compiled to aggregates.
 
-Rules on single rows and foreign keys become flags, uniqueness a distinct
-count, all in the one aggregate over one scan of the checked table.  A foreign
-key adds one join with the parent's distinct keys, broadcast only when the
-parent is proven small.  Rows that fail are set aside by :func:`failing_rows`,
-one row per failed rule, found by the same flags.
+Rules on single rows become flags in one aggregate over one scan of the checked
+table.  Uniqueness and foreign keys each count the table by key, reading the
+key columns alone; a foreign key joins these counts, a row per key, with the
+parent's distinct keys, broadcast only when the parent is proven small.  Rows
+that fail are set aside by :func:`failing_rows`, one row per failed rule.
 """
 
 from __future__ import annotations
@@ -101,6 +101,19 @@ def _flagged(name: str, rules: Rules, tables: Mapping[str, DataFrame], rows: Map
     return df, flags
 
 
+def _keys_failed(rule: ForeignKey | Unique, tables: Mapping[str, DataFrame], name: str, rows: Mapping[str, int]) -> DataFrame:
+    """``n_rows, n_failed`` of one rule on keys: the table is counted by key first, so that a join or a sum meets a row per key."""
+    counted = tables[name].groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_n"))
+    whole, n = Unique(rule.columns).whole(), F.col("_n")
+    if isinstance(rule, ForeignKey):
+        keys = tables[rule.parent].select(*[F.col(p).alias(c) for p, c in zip(rule.parent_columns, rule.columns)]).distinct()
+        counted = lookup(counted, keys.withColumn("_parent", F.lit(True)), list(rule.columns), "left", rows.get(rule.parent))
+        failed = F.when(whole & F.col("_parent").isNull(), n)
+    else:
+        failed = F.when(whole, n - 1)
+    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(a) for a, c in (("n_rows", n), ("n_failed", failed))])
+
+
 def check(rules: Rules, tables: Mapping[str, DataFrame], rows: Mapping[str, int] | None = None) -> DataFrame:
     """One row per rule: ``table_name, rule, n_rows, n_failed``.
 
@@ -109,18 +122,13 @@ def check(rules: Rules, tables: Mapping[str, DataFrame], rows: Mapping[str, int]
     """
     parts = []
     for name, declared in rules.items():
-        df, flags = _flagged(name, rules, tables, rows or {})
-        aggs, entries = [F.count(F.lit(1)).alias("_rows")], []
-        for i, rule in enumerate(declared):
-            if isinstance(rule, Unique):
-                whole = rule.whole()
-                key = F.when(whole, F.struct(*rule.columns))
-                aggs += [F.count_if(whole).alias(f"k{i}"), F.count_distinct(key).alias(f"u{i}")]
-                entries.append(f"'{rule.name()}', k{i} - u{i}")
-            else:
-                aggs.append(F.count_if(flags[rule.name()]).alias(f"f{i}"))
-                entries.append(f"'{rule.name()}', f{i}")
-        parts.append(df.agg(*aggs).selectExpr(f"'{name}' AS table_name", f"stack({len(entries)}, {', '.join(entries)}) AS (rule, n_failed)", "_rows AS n_rows"))
+        on_rows = [r for r in declared if not isinstance(r, ForeignKey | Unique)]
+        if on_rows:
+            aggs = [F.count(F.lit(1)).alias("_rows"), *[F.count_if(r.fails()).alias(f"f{i}") for i, r in enumerate(on_rows)]]
+            entries = ", ".join(f"'{r.name()}', f{i}" for i, r in enumerate(on_rows))
+            parts.append(tables[name].agg(*aggs).selectExpr(f"'{name}' AS table_name", f"stack({len(on_rows)}, {entries}) AS (rule, n_failed)", "_rows AS n_rows"))
+        parts += [_keys_failed(r, tables, name, rows or {}).select(F.lit(name).alias("table_name"), F.lit(r.name()).alias("rule"), "n_rows", "n_failed")
+                  for r in declared if isinstance(r, ForeignKey | Unique)]
     return reduce(DataFrame.unionByName, parts).select("table_name", "rule", "n_rows", "n_failed")
 
 
