@@ -80,7 +80,13 @@ def dim_date(spark: SparkSession, start: dt.date | None = None, end: dt.date | N
 
 
 def _first_by(df: DataFrame, keys: list[str], rest: list[str]) -> DataFrame:
-    """One row per key, the lowest ``rest`` tuple (NULL first), as an aggregate."""
+    """One row per key, the lowest ``rest`` tuple (NULL first), as an aggregate.
+
+    Distinct rows come first, by hash: the minimum of a struct of texts
+    aggregates by sort, which then meets a row per member and not every line.
+    They are counted, as the optimizer drops a plain DISTINCT below a minimum.
+    """
+    df = df.groupBy(*keys, *rest).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
     parts = []
     for c in rest:
         parts += [F.col(c).isNotNull().alias(f"{c}__nn"), F.col(c).alias(c)]
