@@ -85,9 +85,9 @@ def q_silver_orders_clean(spark, sf_dir):
 
 
 def q_silver_orders_dedup_exact(spark, sf_dir):
-    """Surviving lines of the exact dedup with the number of copies merged."""
+    """Surviving lines of the exact dedup with the number of copies merged; the landed table is stored, so only possible copies move whole."""
     wh = warehouse_for(spark, sf_dir)
-    return silver_plan.dedup_orders(wh.bronze["orders"], count_as="n_copies").select(
+    return silver_plan.dedup_orders(wh.bronze["orders"], count_as="n_copies", by_digest=True).select(
         "row_id", "order_id", "n_copies")
 
 
