@@ -6,6 +6,8 @@ merge, so every task passes on a few KB per column, whatever its rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,14 +73,17 @@ def describe_checked(df: DataFrame) -> DataFrame:
     """:func:`describe` without its estimates, and whether these keep their bounds against exact ranks and counts.
 
     A second pass, for tests of the sketches: ``quartiles_hold`` (null where
-    there are none) and ``distinct_holds`` per column.
+    there are none) and ``distinct_holds`` per column.  Ranks are one aggregate;
+    distinct values are counted column by column, each over a scan of its
+    column alone, so no row is copied once per column.
     """
     found = describe(df)
     rows = found.collect()  # a row per column
-    aggs, entries = [], []
-    for i, r in enumerate(rows):
+    aggs, entries, counts = [F.count(F.lit(1)).alias("_rows")], [], []
+    for r in rows:
         c = F.col(f"`{r['column_name']}`")
-        aggs.append(F.count_distinct(c).alias(f"d{i}"))
+        counts.append(df.where(c.isNotNull()).select(c.alias("v")).distinct().agg(F.count(F.lit(1)).alias("_distinct")).select(
+            F.lit(r["column_name"]).alias("column_name"), "_distinct"))
         holds = []
         for q, value in zip(QUARTILES, (r["p25"], r["p50"], r["p75"])):
             if value is not None:
@@ -86,10 +91,13 @@ def describe_checked(df: DataFrame) -> DataFrame:
                 aggs += [F.count_if(x < value).alias(f"b{at}"), F.count_if(x <= value).alias(f"u{at}")]
                 n = r["n_rows"] - r["n_nulls"]
                 holds.append(f"b{at} <= {(q + RANK_ERROR) * n}D AND u{at} >= {(q - RANK_ERROR) * n}D")
-        within = f"abs({r['approx_distinct']}D - d{i}) <= greatest(1D, {DISTINCT_ERROR}D * d{i})"
-        entries.append(f"'{r['column_name']}', {' AND '.join(holds) or 'CAST(NULL AS BOOLEAN)'}, {within}")
-    checked = df.agg(*aggs).selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (column_name, quartiles_hold, distinct_holds)")
-    return found.drop("p25", "p50", "p75", "approx_distinct").join(F.broadcast(checked), "column_name")
+        entries.append(f"'{r['column_name']}', {' AND '.join(holds) or 'CAST(NULL AS BOOLEAN)'}")
+    ranks = df.agg(*aggs).selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (column_name, quartiles_hold)")
+    distinct = reduce(DataFrame.unionByName, counts)
+    once = df.sparkSession.createDataFrame(rows, found.schema)
+    joined = once.join(F.broadcast(ranks), "column_name").join(F.broadcast(distinct), "column_name")
+    within = F.abs(F.col("approx_distinct").cast("double") - F.col("_distinct")) <= F.greatest(F.lit(1.0), F.lit(DISTINCT_ERROR) * F.col("_distinct"))
+    return joined.withColumn("distinct_holds", within).drop("p25", "p50", "p75", "approx_distinct", "_distinct")
 
 
 def head(df: DataFrame, n: int = 5) -> DataFrame:
