@@ -111,7 +111,7 @@ def q_silver_returns_first(spark, sf_dir):
 def q_ship_mode_repair(spark, sf_dir):
     """Raw ship mode and duration against the repaired ship mode, counted."""
     wh = warehouse_for(spark, sf_dir)
-    d = silver_plan.dedup_orders(wh.bronze["orders"])
+    d = silver_plan.dedup_orders(wh.bronze["orders"], by_digest=True)
     c = F.col
     return d.groupBy(
         c("ship_mode").alias("raw_ship_mode"),
