@@ -78,11 +78,8 @@ def sales_summary(gold: Gold, columns: list[str] | None = None) -> DataFrame:
     wanted = set(cols)
     rows = gold.rows
     f = gold.fact_sales
-    date_cols = [c for c in _DATE_ATTRS if c in wanted]
-    if date_cols:
-        f = order_date_lookup(f, gold.dim_date, date_cols, "inner", rows.get("dim_date"))
-    else:
-        f = f.filter(F.col("order_date_key").isNotNull())
+    # Dimensions that grow with the input come first: where they are too large to broadcast, the rows that move are
+    # narrow, and the bounded ones add their texts afterwards.
     for key, dim_name, attrs in [("customer_key", "dim_customer", _CUSTOMER_ATTRS),
                                  ("product_key", "dim_product", _PRODUCT_ATTRS),
                                  ("location_key", "dim_location", _LOCATION_ATTRS)]:
@@ -92,6 +89,11 @@ def sales_summary(gold: Gold, columns: list[str] | None = None) -> DataFrame:
             f = lookup(f, dim, [key], "inner", rows.get(dim_name))
         else:
             f = f.filter(F.col(key).isNotNull())
+    date_cols = [c for c in _DATE_ATTRS if c in wanted]
+    if date_cols:
+        f = order_date_lookup(f, gold.dim_date, date_cols, "inner", rows.get("dim_date"))
+    else:
+        f = f.filter(F.col("order_date_key").isNotNull())
     if "ship_mode" in wanted:
         f = lookup(f, gold.dim_ship_mode, ["ship_mode_key"], "left", rows.get("dim_ship_mode"))
     if "sales_person" in wanted:
