@@ -7,7 +7,8 @@ date dimension plays two roles (J15): ``date_role='order'`` uses the order
 date key, ``'ship'`` the ship date key.  Joins are left joins, so fact rows
 without a member fall into a NULL group rather than disappearing.
 
-The fact is scanned and joined once per call, whatever the measures.
+The fact's values are scanned once per call, whatever the measures; the counts
+of orders and of customers scan its keys once more each.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.arithmetic import RESULT_DECIMAL
-from tillroll.operators.lookup import lookup, order_date_lookup
+from tillroll.operators.lookup import fits_broadcast, lookup, order_date_lookup
 from tillroll.plans.gold import Gold
 from tillroll.rules import ON_TIME_MAX_DAYS
 
@@ -52,6 +53,9 @@ MEASURE_NAMES = [
 ADDITIVE = {"total_sales", "total_profit", "profit_margin", "average_unit_price", "average_shipping_days",
             "total_quantity", "average_discount", "total_returned_orders"}
 CUSTOMER_MEASURES = {"total_customers", "clv"}
+# Measures without a sum of the lines' values.
+COUNTS = {"total_orders", "total_customers", "total_returned", "return_rate", "on_time_delivery_pct"}
+ORDER_MEASURES = {"total_orders", "total_returned", "return_rate", "average_order_value", "on_time_delivery_pct"}
 
 
 def partial_sums(on_time_max_days: int) -> list[Column]:
@@ -71,22 +75,6 @@ def partial_sums(on_time_max_days: int) -> list[Column]:
     ]
 
 
-def _final_exprs(numeric: str, horizon: float, order_rule: str, distinct_orders: bool) -> dict[str, Column]:
-    """The fifteen measures over rows of partial sums.
-
-    ``distinct_orders``: an order may have several rows (one per customer), so
-    orders are counted distinct; otherwise a row is an order.
-    """
-    def orders_where(condition: Column | None = None) -> Column:
-        order = F.col("order_id") if condition is None else F.when(condition, F.col("order_id"))
-        return F.count_distinct(order) if distinct_orders else F.count(order)
-
-    orders = orders_where()
-    # All lines on time: the orders less those with a line that is not.
-    on_time = orders - orders_where(F.col("_on_time_all") == 0) if order_rule == "all" else orders_where(F.col("_on_time_any") == 1)
-    return combine(numeric, horizon, F.sum, orders, F.count_distinct("_customer_id"), orders_where(F.col("_returned_any") == 1), on_time)
-
-
 def combine(numeric: str, horizon: float, total: Callable[[str], Column], orders: Column, customers: Column, returned: Column,
             on_time: Column) -> dict[str, Column]:
     """The fifteen measures from the totals of partial sums (``total`` of a partial's name) and from distinct counts."""
@@ -159,41 +147,87 @@ def measures(gold: Gold, by: Sequence[str] = (), where: str | Column | None = No
     (unspecified by the source, default 1); ``order_rule`` says whether an
     order is on time when any (default) or all of its lines are.
 
-    Plan: lines are summed once, to the finest grouping that the measures ask
-    for, with a partial aggregate before the shuffle:
+    Plan: three narrow aggregates, each with a partial aggregate before its
+    shuffle, meet in one row per group:
 
-    * additive measures alone need no order: the sums go straight to ``by``,
-      one exchange;
-    * order measures sum to (by, order), where an order is one row and counts
-      are plain;
-    * customer measures sum to (by, order, customer), and the distinct counts
-      run over these rows, of which there are about as many as orders.
+    * the additive sums go straight to ``by``;
+    * the order counts go to (by, order), where an order is one row of two
+      flags and counts are plain;
+    * the customer count goes to (by, customer).
+
+    So no sum moves once per order, and no row is copied per distinct count.
+    Attributes of a dimension too large to broadcast are looked up for the
+    sums by its key, not for the lines.
     """
     names = list(names or MEASURE_NAMES)
     unknown = [n for n in names if n not in MEASURE_NAMES]
     if unknown:
         raise ValueError(f"unknown measures: {unknown}")
     by = list(by)
-    attributes = by + list(filter_attributes)
-    wants_customers = bool(CUSTOMER_MEASURES & set(names))
-    if wants_customers and "customer_id" not in attributes:
-        attributes.append("customer_id")
-    f = enriched_fact(gold, attributes, date_role)
-    if where is not None:
-        f = f.filter(where)
-    sums = partial_sums(on_time_max_days)
     if set(names) <= ADDITIVE:
-        level = None
+        f = enriched_fact(gold, by + list(filter_attributes), date_role)
+        f = f if where is None else f.filter(where)
         exprs = _direct(numeric)
-    elif wants_customers:
-        level = f.withColumn("_customer_id", F.col("customer_id")).groupBy(*by, "order_id", "_customer_id").agg(*sums)
-        exprs = _final_exprs(numeric, horizon, order_rule, distinct_orders=True)
-    else:
-        level = f.groupBy(*by, "order_id").agg(*sums)
-        exprs = _final_exprs(numeric, horizon, order_rule, distinct_orders=False)
-    rows = f if level is None else level
-    aggs = [exprs[n].alias(n) for n in names]
-    return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
+        aggs = [exprs[n].alias(n) for n in names]
+        return f.groupBy(*by).agg(*aggs) if by else f.agg(*aggs)
+
+    # A filter needs its attributes on the lines.
+    on_lines = by + list(filter_attributes) if where is not None else []
+
+    def summed(attributes: Sequence[str], own: Sequence[str], sums: Sequence[Column]) -> DataFrame:
+        """Rows of ``attributes``, the fact's ``own`` columns and ``sums`` of lines; several rows of a cell where a large dimension was looked up last."""
+        late = _large_dimensions(gold, attributes, on_lines)
+        held = {a for dim in late.values() for a in dim.columns}
+        early = [a for a in attributes if a not in held]
+        f = enriched_fact(gold, early + on_lines, date_role)
+        f = f if where is None else f.filter(where)
+        cells = f.select(*early, *late, *own).distinct() if not sums else f.groupBy(*early, *late, *own).agg(*sums)
+        for key, dim in late.items():
+            cells = lookup(cells, dim, [key], "left", gold.rows.get(RELATIONSHIPS[key][0]))
+        return cells
+
+    def grouped(rows: DataFrame, aggs: Sequence[Column]) -> DataFrame:
+        return rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
+
+    sums = partial_sums(on_time_max_days)
+    flags, sums = sums[-3:], sums[:-3]
+    parts = []
+    if not set(names) <= COUNTS:
+        rows = summed(by, [], sums)
+        parts.append(grouped(rows, [F.sum(c).alias(c) for c in rows.columns if c.startswith("_")]))
+    if ORDER_MEASURES & set(names):
+        rows = summed(by, ["order_id"], flags)
+        orders = rows.groupBy(*by, "order_id").agg(F.max("_returned_any").alias("_returned_any"), F.max("_on_time_any").alias("_on_time_any"),
+                                                   F.min("_on_time_all").alias("_on_time_all"))
+        parts.append(grouped(orders, [
+            F.count("order_id").alias("_orders"), F.count(F.when(F.col("_returned_any") == 1, F.col("order_id"))).alias("_returned"),
+            F.count(F.when(F.col("_on_time_any") == 1, F.col("order_id"))).alias("_on_time"),
+            F.count(F.when(F.col("_on_time_all") == 0, F.col("order_id"))).alias("_late")]))
+    if CUSTOMER_MEASURES & set(names):
+        rows = summed([*by, *({"customer_id"} - set(by))], [], [])
+        people = rows.select(*by, F.col("customer_id").alias("_customer_id")).distinct()
+        parts.append(grouped(people, [F.count("_customer_id").alias("_customers")]))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part, allowMissingColumns=True)
+    # Each part has one row per group, so the greatest value of a column is its value.
+    orders = F.max("_orders")
+    # All lines on time: the orders less those with a line that is not.
+    on_time = orders - F.max("_late") if order_rule == "all" else F.max("_on_time")
+    exprs = combine(numeric, horizon, F.max, orders, F.max("_customers"), F.max("_returned"), on_time)
+    return grouped(found, [exprs[n].alias(n) for n in names])
+
+
+def _large_dimensions(gold: Gold, attributes: Sequence[str], on_lines: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """By fact key, the asked attributes of each dimension that is too large to broadcast and not needed on the lines."""
+    found = {}
+    for key, (name, exposed) in RELATIONSHIPS.items():
+        held = [F.col(source).alias(a) for source, a in exposed.items() if a in attributes]
+        if held and not set(exposed.values()) & set(on_lines):
+            dim = getattr(gold, name).select(F.col(key), *held)
+            if not fits_broadcast(dim, gold.rows.get(name)):
+                found[key] = dim
+    return found
 
 
 def _direct(numeric: str) -> dict[str, Column]:
