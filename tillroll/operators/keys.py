@@ -15,16 +15,18 @@ Positions and counts must describe the same partitioning.  Where the sort
 list names every column, both branches read one range exchange, which Spark
 executes once and reuses.  With further columns the optimizer would prune them
 from the counting branch, and each branch would sample range bounds of its
-own; the partitioning is then pinned by a reliable checkpoint.  The result is
+own; the sorted rows are then written with their positions, compressed, to the
+shared folder, and the counts read that one column.  The result is
 independent of where the range bounds fall, as long as the sort columns give
 a total order -- callers append tie-breaking columns.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.session import ensure_checkpoint_dir
@@ -49,6 +51,13 @@ def partitions_for(df: DataFrame, upper_bound_rows: int | None) -> int | None:
     return max(1, min(cap, -(-upper_bound_rows // ROWS_PER_KEY_PARTITION)))
 
 
+def ranges_for(spark: SparkSession, rows: int | None) -> int | None:
+    """Ranges for sorting ``rows`` rows: at least ``spark.sql.shuffle.partitions``, more where a range would hold too many rows; None when unknown."""
+    if rows is None:
+        return None
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_KEY_PARTITION))
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
@@ -66,17 +75,21 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     ranged = df.repartitionByRange(n, *order)
     named = {c for c in order_by if isinstance(c, str)}
     reuse = str(df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")).lower() == "true"
-    if not reuse or not set(df.columns) <= named:
-        # The two branches would each run (and sample) a range exchange of
-        # their own; pin one partitioning in the shared checkpoint folder
-        # instead (a reliable checkpoint, never a local one).
-        ensure_checkpoint_dir(df.sparkSession)
-        ranged = ranged.checkpoint()
     tagged = ranged.sortWithinPartitions(*order).withColumn("_tr_id", F.monotonically_increasing_id())
     part = F.shiftrightunsigned(F.col("_tr_id"), _POS_BITS)
     # Counting needs no sort: the partition id of the same exchange suffices.
-    counts = ranged.groupBy(F.spark_partition_id().alias("_tr_part")).agg(
-        F.count(F.lit(1)).alias("_tr_n"))
+    counted, by_part = ranged, F.spark_partition_id()
+    if not reuse or not set(df.columns) <= named:
+        # The two branches would each run (and sample) a range exchange of
+        # their own; pin one partitioning in the shared folder instead.
+        path = f"{ensure_checkpoint_dir(df.sparkSession)}/tillroll/_ranked/{uuid.uuid4().hex}"
+        # By place, as names may differ in case alone.
+        names = [f"c{i}" for i in range(len(df.columns))]
+        placed = tagged.toDF(*names, "_tr_id")
+        placed.write.parquet(path)
+        counted = df.sparkSession.read.schema(placed.schema).parquet(path)
+        tagged, by_part = counted.toDF(*df.columns, "_tr_id"), part
+    counts = counted.groupBy(by_part.alias("_tr_part")).agg(F.count(F.lit(1)).alias("_tr_n"))
     before = Window.orderBy("_tr_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_tr_part", F.coalesce(F.sum("_tr_n").over(before), F.lit(0)).alias("_tr_offset"))

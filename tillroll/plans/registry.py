@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import cleaning
-from tillroll.operators.keys import dense_key
+from tillroll.operators.keys import dense_key, ranges_for
 from tillroll.operators import quality
 from tillroll.operators import rules as rule_suite
 from tillroll.operators.rules import ForeignKey, InRange, MaxLength, NotNull, Unique
@@ -189,7 +189,9 @@ def q_fact_quarantine(spark, sf_dir):
 def q_dense_key_payload(spark, sf_dir):
     """Silver lines numbered by some columns with all others kept."""
     order = ["order_id", "row_id", "product_id", "ship_date", "sales", "quantity", "discount"]
-    return comparable(dense_key(_silver_orders(warehouse_for(spark, sf_dir)), order, "line_key"))
+    wh = warehouse_for(spark, sf_dir)
+    n = next((s.rows for s in wh.steps if s.step == "silver.orders"), None)
+    return comparable(dense_key(_silver_orders(wh), order, "line_key", ranges_for(spark, n)))
 
 
 def q_landing_csv(spark, sf_dir):
