@@ -194,12 +194,17 @@ def q_dense_key_payload(spark, sf_dir):
     return comparable(dense_key(_silver_orders(wh), order, "line_key", ranges_for(spark, n)))
 
 
+#: Lines of a landing file, about 200 bytes each.
+LINES_PER_FILE = 250_000
+
+
 def q_landing_csv(spark, sf_dir):
     """Order lines written as CSV, with commas, quotes and line breaks in a column, and landed again."""
     lines = warehouse_for(spark, sf_dir).bronze["orders"].select(*ORDERS_COLUMNS).withColumn(
         "product_name", F.concat("product_name", F.lit(', 8"\nnew')))
     path = f"{default_root(spark)}/_landing_csv/{uuid.uuid4().hex}"
-    lines.write.options(header="true", quote='"', escape='"', nullValue="", emptyValue="").csv(path)
+    # A file of quoted line breaks is one task's.
+    lines.write.options(header="true", quote='"', escape='"', nullValue="", emptyValue="", maxRecordsPerFile=LINES_PER_FILE).csv(path)
     return comparable(read_landing(spark, "orders", path, multiline=True))
 
 
