@@ -359,7 +359,7 @@ def index_fact(spark: SparkSession, wh: Warehouse) -> list[Layout]:
         if wh.quarantine is not None:
             good = [f"{good[0]}/_quarantined=false"]
         wh.layouts = [file_statistics(spark, good[0], schema, to=f"{wh.root}/layouts/fact_sales_files"),
-                      write_by_key(wh.gold.fact_sales, f"{wh.root}/layouts/fact_sales_by_key")]
+                      write_by_key(wh.gold.fact_sales, f"{wh.root}/layouts/fact_sales_by_key", wh.gold.rows.get("fact_sales"))]
     return wh.layouts
 
 

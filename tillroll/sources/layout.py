@@ -28,6 +28,8 @@ CURVE = {"location_key": 0, "customer_key": 0, "product_key": 0, "order_date_key
 #: Bits of a key's rank.
 BITS = 10
 KEYS = [*CURVE, "ship_date_key"]
+#: Rows of a range along the curve: at most as many as a task sorts in memory, and not so few that files are tiny.
+ROWS_PER_RANGE, FEW_ROWS = 1_000_000, 100_000
 
 
 @dataclass
@@ -52,24 +54,33 @@ def curve(bounds: Mapping[str, tuple[int, int]], offsets: Mapping[str, int] = CU
     return out
 
 
-def along_curve(fact: DataFrame, offsets: Mapping[str, int] = CURVE) -> DataFrame:
+def curve_ranges(spark: SparkSession, rows: int) -> int:
+    """Ranges of ``rows`` rows: few enough rows to sort in memory, and no more ranges than small data needs."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, -(-rows // FEW_ROWS)), -(-rows // ROWS_PER_RANGE))
+
+
+def along_curve(fact: DataFrame, offsets: Mapping[str, int] = CURVE, rows: int | None = None) -> DataFrame:
     """The fact's rows ranged and sorted along the curve; a hot member's rows are split by order.
 
     One aggregate of the key columns gives the bands; surrogate keys are dense,
-    so equal bands need no quantiles, and the ranges follow the rows' number.
+    so equal bands need no quantiles.  With the fact's number of ``rows`` the
+    ranges follow it; without, they are merged by their compressed size, which
+    for repetitive rows is far below what a sort holds.
     """
     ends = fact.agg(*[f(F.col(k)).alias(f"{n}_{k}") for k in offsets for n, f in (("least", F.min), ("most", F.max))]).first()
     bounds = {k: (ends[f"least_{k}"], ends[f"most_{k}"]) for k in offsets if ends[f"least_{k}"] is not None}
     ranked = fact.select("*", *[_rank(k, *b).alias(f"_rank_{k}") for k, b in bounds.items()])
     placed = ranked.withColumn("_curve", curve(bounds, offsets))
-    ranged = placed.repartitionByRange("_curve", "order_id").sortWithinPartitions("_curve")
+    number = [curve_ranges(fact.sparkSession, rows)] if rows is not None else []
+    ranged = placed.repartitionByRange(*number, "_curve", "order_id").sortWithinPartitions("_curve")
     return ranged.select(*fact.columns)
 
 
-def write_by_key(fact: DataFrame, path: str) -> Layout:
+def write_by_key(fact: DataFrame, path: str, rows: int | None = None) -> Layout:
     """Write the copy of ``fact`` along the curve, with Bloom filters on its keys, and its table of files."""
     # Sized by the members that a row group turns out to hold, not by the largest size allowed.
-    writer = along_curve(fact).write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer = along_curve(fact, rows=rows).write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
     for key in CURVE:
         writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
     writer.parquet(path)
