@@ -49,7 +49,7 @@ def drop_exact_duplicates(df: DataFrame, columns: Sequence[str], keep_min: str,
 
 
 #: Bits of the filter per repeated digest, and the most that is broadcast (in stretches of 32,768 bits, 4 KB each).
-FILTER_BITS, MOST_STRETCHES = 16, 1 << 14
+FILTER_BITS, MOST_STRETCHES = 64, 1 << 14
 
 
 def digests(columns: Sequence[str]) -> list[Column]:
@@ -69,28 +69,35 @@ def _bit(bits: Column, position: Column) -> Column:
     return F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), position % 8).cast("int")) > 0, F.lit(False))
 
 
-def suspected(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` with ``_suspected``: false only for rows whose like occurs once.
+def marked_by(df: DataFrame, digest: Column, sought: DataFrame, n: int) -> DataFrame:
+    """``df`` with ``_suspected``: false only for rows whose ``digest`` is none of the ``n`` in the column ``_d1`` of ``sought``.
 
-    The digests of all rows are shuffled, 16 bytes each, and those that occur
-    more than once set a bit in a filter that every task gets.  Its size
-    follows their number up to a fixed bound, beyond which more rows are
-    suspected for nothing.
+    Those set a bit in a filter that every task gets.  Its size follows their
+    number up to a fixed bound, beyond which more rows are suspected for nothing.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    one, two = digests(columns)
-    counted = df.select(one.alias("_d1"), two.alias("_d2")).groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counted.where("_n > 1").select("_d1").checkpoint()
-    stretches = min(max(repeated.count() * FILTER_BITS // 32768 + 1, 1), MOST_STRETCHES)
+    stretches = min(max(n * FILTER_BITS // 32768 + 1, 1), MOST_STRETCHES)
     stretch, position = _stretch(F.col("_d1"), stretches)
-    bits = repeated.groupBy(stretch.alias("_stretch")).agg(F.bitmap_construct_agg(position).alias("_bits"))
-    stretch, position = _stretch(one, stretches)
+    bits = sought.groupBy(stretch.alias("_stretch")).agg(F.bitmap_construct_agg(position).alias("_bits"))
+    stretch, position = _stretch(digest, stretches)
     placed = df.withColumn("_stretch", stretch).withColumn("_position", position)
     # At most MOST_STRETCHES rows of 4 KB.
     marked = placed.join(F.broadcast(bits), "_stretch", "left").withColumn("_suspected", _bit(F.col("_bits"), F.col("_position")))
     return marked.select(*df.columns, "_suspected")
 
 
+def suspected(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``_suspected``: false only for rows whose like occurs once.
+
+    One digest of all rows is shuffled, 8 bytes each, and those that occur
+    more than once mark the rows; a clash only suspects two rows more.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    one = digests(columns)[0]
+    counted = df.select(one.alias("_d1")).groupBy("_d1").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counted.where("_n > 1").select("_d1").checkpoint()
+    return marked_by(df, one, repeated, repeated.count())
+
+
 def drop_exact_duplicates_by_digest(df: DataFrame, columns: Sequence[str], keep_min: str, count_as: str | None = None) -> DataFrame:
     """W1 as :func:`drop_exact_duplicates`, without moving rows that have no like.
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.operators.dedup import marked_by
 from tillroll.schemas import TEXT_LENGTHS
 
 # Widths per type, in bytes.  Text takes its declared length, at two bytes a
@@ -87,6 +88,21 @@ def lookup(left: DataFrame, right: DataFrame, on: Sequence[str] | Column,
     return left.join(right, on=list(on) if not isinstance(on, Column) else on, how=how)
 
 
+def sparse_lookup(left: DataFrame, right: DataFrame, on: str, right_rows: int | None = None,
+                  limit: int | None = None) -> DataFrame:
+    """Left join of a table that matches few rows of ``left``: where it is not broadcast, only rows that can match move.
+
+    ``left`` is read twice.  Keys with a collation take the plain way, as they hash by their bytes.
+    """
+    if right_rows is None or fits_broadcast(right, right_rows, limit) or any(
+            isinstance(df.schema[on].dataType, T.StringType) and df.schema[on].dataType != T.StringType() for df in (left, right)):
+        return lookup(left, right, [on], "left", right_rows, limit)
+    marked = marked_by(left, F.xxhash64(on), right.select(F.xxhash64(on).alias("_d1")), right_rows)
+    met = marked.where("_suspected").drop("_suspected").join(right, [on], "left")
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != on]
+    return marked.where("NOT _suspected").select(*left.columns, *added).unionByName(met)
+
+
 def order_date_lookup(fact: DataFrame, dim_date: DataFrame, columns: Sequence[str],
                       how: str = "inner", rows: int | None = None, limit: int | None = None) -> DataFrame:
     """Join date attributes on the order date key.

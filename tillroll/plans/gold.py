@@ -11,6 +11,7 @@ re-plan and whose skewed partitions AQE splits.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.arithmetic import days_between, profit_margin, unit_price
 from tillroll.functions.calendar import calendar_columns
 from tillroll.operators.keys import dense_key, unique_key
-from tillroll.operators.lookup import lookup
+from tillroll.operators.lookup import lookup, sparse_lookup
 from tillroll.operators.quality import any_null
 from tillroll.rules import DEFAULT_DATE_RANGE
 from tillroll.schemas import DIMENSIONS, FACT_COLUMNS
@@ -123,13 +124,14 @@ def dim_sales_person(silver_people: DataFrame, num_partitions: int | None = None
 
 
 def fact_sales(silver_orders: DataFrame, silver_returns: DataFrame, dim_date_df: DataFrame,
-               dims: dict[str, DataFrame], rows: dict | None = None,
-               broadcast_limit: int | None = None) -> DataFrame:
+               dims: dict[str, DataFrame], rows: dict | None = None, broadcast_limit: int | None = None,
+               arrange: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The fact at the grain of a silver row (times any dimension fan-out).
 
     Keys that do not match stay NULL here; the required-key check runs on
     the result before it is published.  ``rows`` holds proven row counts
-    used to size broadcasts.
+    used to size broadcasts.  ``arrange`` lays out the joined lines and may add
+    columns; what is computed from a line alone comes after it, so as not to move.
     """
     rows = rows or {}
     o = silver_orders.select(
@@ -140,33 +142,43 @@ def fact_sales(silver_orders: DataFrame, silver_returns: DataFrame, dim_date_df:
     def join(left, right, on, name):
         return lookup(left, right, on, "left", rows.get(name), broadcast_limit)
 
-    # Small, bounded dimensions first: map-side lookups, no shuffle.
-    od = dim_date_df.select(F.col("full_date").alias("order_date"), F.col("date_key").alias("order_date_key"))
-    sd = dim_date_df.select(F.col("full_date").alias("ship_date"), F.col("date_key").alias("ship_date_key"))
-    f = join(o, od, ["order_date"], "dim_date")                                   # J1
-    f = join(f, sd, ["ship_date"], "dim_date")                                    # J2
-    f = join(f, dims["dim_ship_mode"].select("ship_mode_key", "ship_mode"),
+    # Small, bounded dimensions whose key is narrower than their texts: map-side lookups, no shuffle.
+    f = join(o, dims["dim_ship_mode"].select("ship_mode_key", "ship_mode"),
              ["ship_mode"], "dim_ship_mode")                                      # J6
     f = join(f, dims["dim_sales_person"].select("sales_person_key", "region"),
              ["region"], "dim_sales_person")                                      # J7
     f = join(f, dims["dim_location"].select("location_key", "city", "state", "postal_code"),
              ["city", "state", "postal_code"], "dim_location")                    # J5
-    # Possibly large dimensions: broadcast only when proven small.
-    f = join(f, dims["dim_customer"].select("customer_key", "customer_id"),
-             ["customer_id"], "dim_customer")                                     # J3
+    # Few orders are returned, and the lines that are not need not move.
+    f = sparse_lookup(f, silver_returns.select("order_id", F.lit(1).alias("_returned")), "order_id",
+                      rows.get("silver_returns_order"), broadcast_limit)         # J8
+    # Possibly large dimensions: broadcast only when proven small.  The longer texts leave first.
     f = join(f, dims["dim_product"].select("product_key", "product_id", "product_name"),
              ["product_id", "product_name"], "dim_product")                       # J4
-    returned = silver_returns.select("order_id", F.lit(1).alias("_returned"))
-    f = join(f, returned, ["order_id"], "silver_returns_order")                   # J8
+    f = join(f, dims["dim_customer"].select("customer_key", "customer_id"),
+             ["customer_id"], "dim_customer")                                     # J3
+    # A date is no wider than its key.
+    od = dim_date_df.select(F.col("full_date").alias("order_date"), F.col("date_key").alias("order_date_key"))
+    sd = dim_date_df.select(F.col("full_date").alias("ship_date"), F.col("date_key").alias("ship_date_key"))
+    f = join(f, od, ["order_date"], "dim_date")                                   # J1
+    f = join(f, sd, ["ship_date"], "dim_date")                                    # J2
 
-    out = f.select(
+    lines = f.select(
+        "order_date_key", "ship_date_key", "customer_key", "product_key", "location_key",
+        "ship_mode_key", "sales_person_key", "order_id", "sales", "quantity", "discount", "profit",
+        days_between(F.col("order_date"), F.col("ship_date")).alias("days_to_ship"),  # P13
+        "_returned")
+    laid = arrange(lines) if arrange else lines
+    more = [c for c in laid.columns if c not in lines.columns]
+    out = laid.select(
         "order_date_key", "ship_date_key", "customer_key", "product_key", "location_key",
         "ship_mode_key", "sales_person_key", "order_id", "sales", "quantity",
         F.col("discount").cast("decimal(5,4)").alias("discount"),
         "profit",
         unit_price(F.col("sales"), F.col("quantity")).alias("unit_price"),          # P11
         profit_margin(F.col("profit"), F.col("sales")).alias("profit_margin"),      # P12
-        days_between(F.col("order_date"), F.col("ship_date")).alias("days_to_ship"),  # P13
+        "days_to_ship",
         F.when(F.col("_returned").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("is_returned"),  # P10
+        *more,
     )
-    return unique_key(out, "fact_key").select(*FACT_COLUMNS)                          # A8
+    return unique_key(out, "fact_key").select(*FACT_COLUMNS, *more)                   # A8

@@ -99,7 +99,8 @@ class _Runner:
             self.resumed.add(step)
             return self.spark.read.schema(done[0]).parquet(path), done[1]
         df = make() if callable(make) else make
-        metrics = write_table(df, path, **kw)
+        # The tables of lines; a smaller file of a dimension would only have the planner take it for a smaller table.
+        metrics = write_table(df, path, compression="zstd" if name in ("orders", "fact_sales") else None, **kw)
         if self.manifest:
             self.manifest.add(step, df.schema, metrics)
         # Read back with the written schema: an empty partitioned table has
@@ -242,17 +243,17 @@ def run_pipeline(
     else:
         built = silver_plan.build_silver(wh.bronze, rules, collation=collation)
 
-        def clean(name, df):
+        def clean(name, make):
             def run():
                 # The date range is observed while writing (no second pass).
                 bounds = gold_plan.date_bounds() if name == "orders" and derive_range else None
-                out, m = runner.persist("silver", name, df, extra_metrics=bounds)
+                out, m = runner.persist("silver", name, make, extra_metrics=bounds)
                 silver_rows[name] = m["rows"]
                 if bounds:
                     observed.update(m)
                 return out, m["rows"]
             return run
-        cleaned = runner.group("silver", [(f"silver.{n}", clean(n, df), [f"bronze.{n}"]) for n, df in built.items()])
+        cleaned = runner.group("silver", [(f"silver.{n}", clean(n, make), [f"bronze.{n}"]) for n, make in built.items()])
         wh.silver = dict(zip(built, cleaned))
 
     # -- gold dimensions (R2) ------------------------------------------------------
@@ -309,10 +310,12 @@ def run_pipeline(
         # One write: set-aside rows go to a partition of their own.
         parts = ["_quarantined", "order_year"] if on_unmatched == "quarantine" else ["order_year"]
 
-        def laid_out():
-            fact = gold_plan.fact_sales(silver_orders, wh.silver["returns_order"], dim_date_df, dims, rows, broadcast_limit)
-            out = fact_layout(fact)
+        def arranged(lines):
+            out = fact_layout(lines)
             return out.withColumn("_quarantined", any_null(FACT_NOT_NULL)) if on_unmatched == "quarantine" else out
+
+        def laid_out():
+            return gold_plan.fact_sales(silver_orders, wh.silver["returns_order"], dim_date_df, dims, rows, broadcast_limit, arranged)
         out, m = runner.persist("gold", "fact_sales", laid_out, partition_by=parts, extra_metrics=checks)
         if m["missing"]:
             detail = ", ".join(f"{k}={m['null_' + k]}" for k in FACT_NOT_NULL if m["null_" + k])

@@ -12,11 +12,13 @@ from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                extra_metrics: list | None = None, fmt: str = "parquet") -> dict:
+                extra_metrics: list | None = None, fmt: str = "parquet", compression: str | None = None) -> dict:
     """Overwrite ``path`` with ``df``; return observed metrics (``rows`` and extras)."""
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(extra_metrics or []))
     writer = observed.write.mode("overwrite").format(fmt)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -35,8 +37,8 @@ def fact_layout(fact: DataFrame) -> DataFrame:
     shuffle; it is unique in the written table, and another write may number
     the rows otherwise.
     """
-    with_year = fact.withColumn("order_year", F.expr("order_date_key div 10000").cast("int"))
-    ranged = with_year.repartitionByRange("order_date_key", "order_id").sortWithinPartitions("order_year", "order_date_key")
+    ranged = fact.repartitionByRange("order_date_key", "order_id").withColumn(
+        "order_year", F.expr("order_date_key div 10000").cast("int")).sortWithinPartitions("order_year", "order_date_key")
     if "fact_key" in fact.columns:
         ranged = ranged.withColumn("fact_key", F.monotonically_increasing_id() + 1)
     return ranged
