@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import ensure_checkpoint_dir, shuffles_dropped
 
 
 def _collated(field: T.StructField) -> bool:
@@ -94,8 +94,10 @@ def suspected(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     one = digests(columns)[0]
     counted = df.select(one.alias("_d1")).groupBy("_d1").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counted.where("_n > 1").select("_d1").checkpoint()
-    return marked_by(df, one, repeated, repeated.count())
+    with shuffles_dropped(df.sparkSession):
+        repeated = counted.where("_n > 1").select("_d1").checkpoint()
+        n = repeated.count()
+    return marked_by(df, one, repeated, n)
 
 
 def drop_exact_duplicates_by_digest(df: DataFrame, columns: Sequence[str], keep_min: str, count_as: str | None = None) -> DataFrame:

@@ -123,6 +123,17 @@ def dim_sales_person(silver_people: DataFrame, num_partitions: int | None = None
     return dense_key(base, ["person_name", "region"], "sales_person_key", num_partitions)
 
 
+def date_slices(silver_orders: DataFrame, n: int) -> list[DataFrame]:
+    """The lines in at most ``n`` stretches of order dates of about as many lines each; missing dates are in the first."""
+    shares = [i / n for i in range(1, n)]
+    cuts = silver_orders.agg(F.percentile_approx("order_date", shares, 1000).alias("at")).first()["at"] if shares else None
+    cuts, day = sorted(set(cuts or [])), F.col("order_date")
+    if not cuts:
+        return [silver_orders]
+    between = [(day >= a) & (day < b) for a, b in zip(cuts, cuts[1:])]
+    return [silver_orders.where(w) for w in (day.isNull() | (day < cuts[0]), *between, day >= cuts[-1])]
+
+
 def fact_sales(silver_orders: DataFrame, silver_returns: DataFrame, dim_date_df: DataFrame,
                dims: dict[str, DataFrame], rows: dict | None = None, broadcast_limit: int | None = None,
                arrange: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

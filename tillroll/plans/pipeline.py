@@ -39,10 +39,13 @@ from tillroll.rules import DEFAULT_DATE_RANGE, SilverRules
 from tillroll.schemas import DIMENSIONS, FACT_NOT_NULL, TEXT_LENGTHS
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.layout import Layout, file_statistics, write_by_key
-from tillroll.sources.sinks import fact_layout, register_view, write_table
+from tillroll.sources.sinks import fact_layout, passes_for, register_view, write_passes, write_table
 
 log = logging.getLogger("tillroll.pipeline")
 
+#: Bits of the fact's key below the number of its pass: a place within a task and the task.
+KEY_BITS = 60
+
 
 @dataclass
 class StepResult:
@@ -92,7 +95,7 @@ class _Runner:
     def persist(self, layer: str, name: str, make, **kw) -> tuple[DataFrame, dict]:
         """Write a table and read it back; with a manifest, a table that an earlier attempt finished is only read.
 
-        ``make`` is the table or, where planning it already runs jobs, a function that gives it.
+        ``make`` is the table or, where planning it already runs jobs, a function that gives it, or its parts to be written in turn.
         """
         path, step = f"{self.run_dir}/{layer}/{name}", f"{layer}.{name}"
         if self.manifest and (done := self.manifest.done(step)):
@@ -100,7 +103,11 @@ class _Runner:
             return self.spark.read.schema(done[0]).parquet(path), done[1]
         df = make() if callable(make) else make
         # The tables of lines; a smaller file of a dimension would only have the planner take it for a smaller table.
-        metrics = write_table(df, path, compression="zstd" if name in ("orders", "fact_sales") else None, **kw)
+        kw["compression"] = "zstd" if name in ("orders", "fact_sales") else None
+        if isinstance(df, list):
+            metrics, df = write_passes(df, path, **kw), df[0]
+        else:
+            metrics = write_table(df, path, **kw)
         if self.manifest:
             self.manifest.add(step, df.schema, metrics)
         # Read back with the written schema: an empty partitioned table has
@@ -315,7 +322,10 @@ def run_pipeline(
             return out.withColumn("_quarantined", any_null(FACT_NOT_NULL)) if on_unmatched == "quarantine" else out
 
         def laid_out():
-            return gold_plan.fact_sales(silver_orders, wh.silver["returns_order"], dim_date_df, dims, rows, broadcast_limit, arranged)
+            # By stretches of dates, so that files stay narrow in the order date; their keys are numbered apart.
+            slices = gold_plan.date_slices(silver_orders, passes_for(silver_rows.get("orders")))
+            made = [gold_plan.fact_sales(lines, wh.silver["returns_order"], dim_date_df, dims, rows, broadcast_limit, arranged) for lines in slices]
+            return [df.withColumn("fact_key", F.col("fact_key") + F.lit(i << KEY_BITS)) for i, df in enumerate(made)]
         out, m = runner.persist("gold", "fact_sales", laid_out, partition_by=parts, extra_metrics=checks)
         if m["missing"]:
             detail = ", ".join(f"{k}={m['null_' + k]}" for k in FACT_NOT_NULL if m["null_" + k])

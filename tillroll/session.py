@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -75,6 +79,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return private
 
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANUP_LOCK = threading.Lock()
+_CLEANUP_DEPTH: Counter[str] = Counter()
+_CLEANUP_BEFORE: dict[str, str | None] = {}
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query ends, and not when the driver next collects its garbage.
+
+    For work of several steps, each of which is written and read back: its disk
+    is that of the largest step, not the sum.  A DataFrame made here and run
+    twice shuffles again.  Calls may be nested and overlap in threads; the
+    session's own setting is put back after the last.
+    """
+    app = spark.sparkContext.applicationId
+    with _CLEANUP_LOCK:
+        if not _CLEANUP_DEPTH[app]:
+            _CLEANUP_BEFORE[app] = spark.conf.get(FILE_CLEANUP, None)
+            spark.conf.set(FILE_CLEANUP, "true")
+        _CLEANUP_DEPTH[app] += 1
+    try:
+        yield
+    finally:
+        with _CLEANUP_LOCK:
+            _CLEANUP_DEPTH[app] -= 1
+            if not _CLEANUP_DEPTH[app]:
+                before = _CLEANUP_BEFORE.pop(app)
+                spark.conf.unset(FILE_CLEANUP) if before is None else spark.conf.set(FILE_CLEANUP, before)
+
+
 def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Settings sized for a run over ``input_bytes`` on ``total_cores`` cores.
 

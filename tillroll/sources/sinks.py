@@ -6,25 +6,61 @@ rows written, observed while the write runs (no second pass).
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.session import shuffles_dropped
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                extra_metrics: list | None = None, fmt: str = "parquet", compression: str | None = None) -> dict:
-    """Overwrite ``path`` with ``df``; return observed metrics (``rows`` and extras)."""
+                extra_metrics: list | None = None, fmt: str = "parquet", compression: str | None = None,
+                mode: str = "overwrite") -> dict:
+    """Overwrite ``path`` with ``df`` (or append to it); return observed metrics (``rows`` and extras).
+
+    The shuffle files of the write go with its end.
+    """
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(extra_metrics or []))
-    writer = observed.write.mode("overwrite").format(fmt)
+    writer = observed.write.mode(mode).format(fmt)
     if compression:
         writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    with shuffles_dropped(df.sparkSession):
+        writer.save(path)
     return dict(obs.get)
 
 
+#: Rows whose shuffles a pass may hold on disk, and the most passes, as each reads its input again.
+ROWS_PER_PASS, MOST_PASSES = 50_000_000, 4
+
+
+def passes_for(rows: int | None) -> int:
+    """Passes for a table made of ``rows`` rows."""
+    return max(1, min(MOST_PASSES, -(-(rows or 0) // ROWS_PER_PASS)))
+
+
+def shares(df: DataFrame, columns: Sequence[str], n: int) -> list[DataFrame]:
+    """``df`` in ``n`` parts by the hash of ``columns``; rows alike in these, missing values included, share a part."""
+    place = F.pmod(F.xxhash64(*columns), F.lit(n))
+    return [df.where(place == i) for i in range(n)] if n > 1 else [df]
+
+
+def write_passes(parts: Sequence[DataFrame], path: str, **kw) -> dict:
+    """:func:`write_table` of the rows of all ``parts``, one after the other, so that the shuffle files of one are gone before the next.
+
+    Returns the sums of the observed metrics, which must be counts.
+    """
+    found: Counter[str] = Counter()
+    for i, part in enumerate(parts):
+        found.update(write_table(part, path, mode="append" if i else "overwrite", **kw))
+    return dict(found)
+
+
 def fact_layout(fact: DataFrame) -> DataFrame:
     """Order-year folders holding files that are narrow in the order date.
 
