@@ -17,6 +17,7 @@ from tillroll.plans.pipeline import KEY_BITS, run_pipeline
 from tillroll.plans.registry import warehouse_for
 from tillroll.session import FILE_CLEANUP, shuffles_dropped
 from tillroll.sources import sinks
+from tillroll.sources.layout import write_by_key
 from tillroll.sources.sinks import passes_for, shares, write_passes, write_table
 
 
@@ -51,6 +52,7 @@ def test_shuffle_files_go_with_the_write(spark, gold, tmp_path):
     df = spark.range(3000).repartition(4, "id").withColumn("k", F.col("id") % 7).groupBy("k").agg(F.sum("id").alias("s"))
     assert left_behind(spark, lambda: write_table(df, str(tmp_path / "a"))) == set()
     assert left_behind(spark, lambda: suspected(df, ["k"])) == set()
+    assert left_behind(spark, lambda: write_by_key(gold.fact_sales, str(tmp_path / "by_key"), 1000)) == set()
     with shuffles_dropped(spark):
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, df.collect())) == sorted(map(tuple, spark.read.parquet(str(tmp_path / "a")).collect()))
 

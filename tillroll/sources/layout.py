@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.session import shuffles_dropped
+
 #: Keys along the curve, the leading ones first, with the bits that each leaves to the others before it takes part.
 CURVE = {"location_key": 0, "customer_key": 0, "product_key": 0, "order_date_key": 3}
 #: Bits of a key's rank.
@@ -79,12 +81,13 @@ def along_curve(fact: DataFrame, offsets: Mapping[str, int] = CURVE, rows: int |
 
 def write_by_key(fact: DataFrame, path: str, rows: int | None = None) -> Layout:
     """Write the copy of ``fact`` along the curve, with Bloom filters on its keys, and its table of files."""
-    # Sized by the members that a row group turns out to hold, not by the largest size allowed.
-    writer = along_curve(fact, rows=rows).write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
-    for key in CURVE:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
-    writer.parquet(path)
-    return file_statistics(fact.sparkSession, path, fact.schema)
+    with shuffles_dropped(fact.sparkSession):
+        # Sized by the members that a row group turns out to hold, not by the largest size allowed.
+        writer = along_curve(fact, rows=rows).write.mode("overwrite").option("parquet.bloom.filter.adaptive.enabled", "true")
+        for key in CURVE:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer.parquet(path)
+        return file_statistics(fact.sparkSession, path, fact.schema)
 
 
 def file_statistics(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = KEYS, to: str | None = None) -> Layout:
