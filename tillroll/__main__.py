@@ -18,7 +18,7 @@ from tillroll.plans import views
 from tillroll.plans.pipeline import default_root, open_published, prune_runs, run_pipeline
 from tillroll.rules import DEFAULT_DATE_RANGE
 from tillroll.session import get_session
-from tillroll.sources.readers import read_landing, split_tagged, tolerant_tagged
+from tillroll.sources.readers import read_landing, split_tagged, to_be_split, tolerant_tagged
 from tillroll.sources.sinks import write_table
 
 
@@ -81,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
             tagged = tolerant_tagged(spark, table, path, args.format,
                                      truncate_overlong=args.truncate_overlong, date_format=args.date_format,
                                      multiline=args.multiline)
-            write_table(tagged, f"{staging}/{table}")
+            write_table(to_be_split(tagged, table), f"{staging}/{table}")
             good, rejected = split_tagged(spark.read.parquet(f"{staging}/{table}"), table)
             bronze[table] = good
             bronze[f"{table}_rejected"] = rejected
